@@ -1,6 +1,6 @@
 """Query catalogue: each plan module registers its queries on import."""
 
-from sightline.plans import frames_q  # noqa: F401
+from sightline.plans import events_q, frames_q, messages_q  # noqa: F401
 from sightline.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

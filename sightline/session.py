@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # One-line base64 (JSON envelopes must not carry MIME line breaks).
+    "spark.sql.chunkBase64String.enabled": "false",
     # Stateless streaming micro-batches may use AQE as well.
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
     # Top-k per group filters get a partial (map-side) limit.

@@ -95,3 +95,24 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
+
+
+def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as Kafka-shaped records of per-camera detection topics.
+
+    key: the person id as bytes, except error events whose producer sends
+    no key (NULL, as real keyless producers do); value: the ``props`` JSON
+    bytes; topic ``camN-detections`` from the user; partition ``user % 4``;
+    offset ``event_id``; timestamp ``ts``.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return ev.select(
+        F.when(F.col("event_type") != "error",
+               F.encode(F.concat(F.lit("P"), F.col("user_id").cast("string")), "UTF-8")).alias("key"),
+        F.encode(F.col("props"), "UTF-8").alias("value"),
+        F.concat(camera_of(F.col("user_id")), F.lit("-detections")).alias("topic"),
+        F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").alias("timestamp"),
+        F.col("event_type"),
+    )
