@@ -124,6 +124,7 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
         v = v.unionByName(queries.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"),
                                          F.lit(True).alias("_q")))
     rep, _ = _tiles(v, tile_size)
+    has_q = queries is not None          # the closure must not capture a DataFrame
 
     def best(sims, q_ids, c_ids, self_mask):
         rows_q, rows_n, rows_s = [], [], []
@@ -146,10 +147,10 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
             s = ma @ mb.T
             ia, ib = a["_id"].to_numpy(), b["_id"].to_numpy()
             qa, qb = a["_q"].to_numpy(), b["_q"].to_numpy()
-            want_a = qa if queries is not None else np.ones(len(a), bool)
-            want_b = qb if queries is not None else np.ones(len(b), bool)
-            cand_a = ~qa if queries is not None else np.ones(len(a), bool)
-            cand_b = ~qb if queries is not None else np.ones(len(b), bool)
+            want_a = qa if has_q else np.ones(len(a), bool)
+            want_b = qb if has_q else np.ones(len(b), bool)
+            cand_a = ~qa if has_q else np.ones(len(a), bool)
+            cand_b = ~qb if has_q else np.ones(len(b), bool)
             pairs = [(s, ia, ib, want_a, cand_b)]
             if not same:
                 pairs.append((s.T, ib, ia, want_b, cand_a))
@@ -158,7 +159,7 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
                 if sub.size == 0:
                     continue
                 qsel, csel = qid[want], cid[cand]
-                self_mask = qsel[:, None] == csel[None, :] if queries is None else None
+                self_mask = None if has_q else qsel[:, None] == csel[None, :]
                 r = best(sub, qsel, csel, self_mask)
                 out_q += r[0]
                 out_n += r[1]

@@ -184,12 +184,12 @@ def local_track_ids(dets: DataFrame, iou_threshold: float = 0.3, grace_frames: i
                 t = assigned[d]
                 if t < 0:
                     tracks["ids"].append(nid)
-                    tracks["box"].append(list(boxes[d]))
+                    tracks["box"].append([float(v) for v in boxes[d]])
                     tracks["last"].append(int(fid))
                     out.append((k[0], int(fid), int(seq), nid))
                     nid += 1
                 else:
-                    tracks["box"][t] = list(boxes[d])
+                    tracks["box"][t] = [float(v) for v in boxes[d]]
                     tracks["last"][t] = int(fid)
                     out.append((k[0], int(fid), int(seq), tracks["ids"][t]))
         bx = tracks["box"]
