@@ -29,7 +29,7 @@ def _cells(df: DataFrame, cell: float) -> DataFrame:
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str],
-                  a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 64.0,
+                  a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 256.0,
                   a_prefix: str = "a_", b_prefix: str = "b_",
                   extra: Column | None = None) -> DataFrame:
     """Pairs (a, b) whose boxes overlap with positive area.
@@ -64,14 +64,14 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Seq
 
 
 def iou_pairs(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
-              cell: float = 64.0) -> DataFrame:
+              cell: float = 256.0) -> DataFrame:
     """Every pair of boxes of one frame with IoU > 0 (a.seq < b.seq)."""
     return overlap_pairs(dets, dets, keys, keys, [seq], [seq], cell,
                          extra=F.col("a_" + seq) < F.col("b_" + seq))
 
 
 def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
-        score: str = "confidence", iou_threshold: float = 0.5, cell: float = 64.0) -> DataFrame:
+        score: str = "confidence", iou_threshold: float = 0.5, cell: float = 256.0) -> DataFrame:
     """V2: greedy non-max suppression, distributed.
 
     Greedy NMS keeps a box iff no *kept* box ranked above it (confidence
@@ -98,38 +98,35 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
     contested = (edges.select(*keys, F.col("hi").alias(seq))
                  .unionByName(edges.select(*keys, F.col("lo").alias(seq))).distinct())
     undecided = contested.checkpoint()
-    kept_parts = []
-    while True:
+    suppressed_parts = []
+    while undecided.limit(1).count() > 0:
         live = (edges.join(undecided.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
                 .join(undecided.withColumnRenamed(seq, "lo"), [*keys, "lo"], "left_semi"))
         blocked = live.select(*keys, F.col("lo").alias(seq))
-        newly_kept = undecided.join(blocked, [*keys, seq], "left_anti").checkpoint()
-        if newly_kept.limit(1).count() == 0:
-            break
-        kept_parts.append(newly_kept)
-        suppressed = (live.join(newly_kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                      .select(*keys, F.col("lo").alias(seq)))
+        newly_kept = undecided.join(blocked, [*keys, seq], "left_anti")
+        newly_suppressed = (live.join(newly_kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
+                            .select(*keys, F.col("lo").alias(seq)).distinct().checkpoint())
+        suppressed_parts.append(newly_suppressed)
         undecided = (undecided.join(newly_kept, [*keys, seq], "left_anti")
-                     .join(suppressed, [*keys, seq], "left_anti").checkpoint())
-    uncontested = dets.join(contested, [*keys, seq], "left_anti")
-    kept = uncontested
-    if kept_parts:
-        ids = kept_parts[0]
-        for p in kept_parts[1:]:
-            ids = ids.unionByName(p)
-        kept = kept.unionByName(dets.join(ids, [*keys, seq], "left_semi"))
-    return kept
+                     .join(newly_suppressed, [*keys, seq], "left_anti").checkpoint())
+    if not suppressed_parts:
+        return dets
+    gone = suppressed_parts[0]
+    for p in suppressed_parts[1:]:
+        gone = gone.unionByName(p)
+    return dets.join(gone, [*keys, seq], "left_anti")
 
 
 def mutual_best(pairs: DataFrame, a_id: Sequence[str], b_id: Sequence[str],
                 score: str = "iou", tie_a: str | None = None, tie_b: str | None = None) -> DataFrame:
     """Keep pairs that are each side's best partner (score desc, then the
-    partner's id asc). Both ranks are top-1 filters, planned with a
-    partial window-group limit before the shuffle."""
+    partner's id asc). Both ranks are computed over all pairs, one window
+    after the other on the same rows, so the pairs are built once and no
+    self-join is needed."""
     tb = [F.col(c) for c in ([tie_b] if tie_b else b_id)]
     ta = [F.col(c) for c in ([tie_a] if tie_a else a_id)]
     wa = Window.partitionBy(*a_id).orderBy(F.col(score).desc(), *tb)
     wb = Window.partitionBy(*b_id).orderBy(F.col(score).desc(), *ta)
-    best_a = pairs.withColumn("_r", F.row_number().over(wa)).where(F.col("_r") == 1).drop("_r")
-    best_b = pairs.withColumn("_r", F.row_number().over(wb)).where(F.col("_r") == 1).drop("_r")
-    return best_a.join(best_b.select(*a_id, *b_id), [*a_id, *b_id], "left_semi")
+    ranked = (pairs.withColumn("_ra", F.row_number().over(wa))
+              .withColumn("_rb", F.row_number().over(wb)))
+    return ranked.where((F.col("_ra") == 1) & (F.col("_rb") == 1)).drop("_ra", "_rb")

@@ -26,29 +26,30 @@ def connected_components(vertices: DataFrame, edges: DataFrame, vid: str = "id",
     """Label every vertex with the least vertex id of its component.
 
     ``vertices`` has column ``vid``; ``edges`` has ``src``/``dst`` of the
-    same type (undirected). Ids may be any orderable type. The guard only
-    turns a non-terminating loop into an error; it never truncates.
+    same type (undirected). Ids may be any orderable type. Only vertices
+    that have an edge take part in the rounds; the others are their own
+    component. The guard only turns a non-terminating loop into an error;
+    it never truncates.
     """
     spark = vertices.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a") != F.col("b"))
-    und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    und = und.checkpoint()
-    labels = vertices.select(F.col(vid).alias("v")).distinct().withColumn("l", F.col("v")).checkpoint()
+    und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    # first hook: every edge vertex takes its least neighbour (or itself)
+    labels = (und.groupBy("a").agg(F.min("b").alias("m"))
+              .select(F.col("a").alias("v"), F.least("a", "m").alias("l")).checkpoint())
     for _ in range(guard_rounds):
-        # hook: smallest label among the vertex and its neighbours
-        nb = (und.join(labels.withColumnRenamed("v", "b").withColumnRenamed("l", "lb"), "b")
+        nb = (und.join(labels.select(F.col("v").alias("b"), F.col("l").alias("lb")), "b")
               .groupBy("a").agg(F.min("lb").alias("m")))
         hooked = (labels.join(nb.withColumnRenamed("a", "v"), "v", "left")
-                  .select("v", F.least(F.col("l"), F.coalesce(F.col("m"), F.col("l"))).alias("l")))
-        # jump: take the label of the label
-        jumped = (hooked.alias("x").join(hooked.alias("y"), F.col("x.l") == F.col("y.v"), "left")
-                  .select(F.col("x.v").alias("v"),
-                          F.least(F.col("x.l"), F.coalesce(F.col("y.l"), F.col("x.l"))).alias("l")))
-        new = jumped.checkpoint()
-        changed = (new.join(labels.withColumnRenamed("l", "old"), "v")
-                   .where(F.col("l") != F.col("old")).limit(1).count())
-        labels = new
-        if changed == 0:
-            return labels.select(F.col("v").alias(vid), F.col("l").alias(out))
+                  .select("v", F.col("l").alias("old"), F.least("l", F.coalesce("m", "l")).alias("h")))
+        y = hooked.select(F.col("v").alias("yv"), F.col("h").alias("yh"))
+        jumped = (hooked.join(y, hooked["h"] == y["yv"], "left")
+                  .select("v", F.least("h", F.coalesce("yh", "h")).alias("l"), "old"))
+        new = jumped.withColumn("changed", F.col("l") != F.col("old")).drop("old").checkpoint()
+        labels = new.select("v", "l")
+        if new.where("changed").limit(1).count() == 0:
+            lab = labels.select(F.col("v").alias(vid), F.col("l").alias(out))
+            return (vertices.select(vid).distinct().join(lab, vid, "left")
+                    .withColumn(out, F.coalesce(F.col(out), F.col(vid))))
     raise RuntimeError(f"connected_components did not converge in {guard_rounds} rounds")

@@ -56,13 +56,18 @@ def with_neighbor(df: DataFrame, part: Sequence[str], order: Sequence[str],
     okey = F.struct(*[F.col(c) for c in order])
     w_in = Window.partitionBy(*part, _BK).orderBy(*order)
     wb = Window.partitionBy(*part).orderBy(_BK)
+    # the bucket's edge row; when only the order key itself is wanted a
+    # plain min/max (hash aggregate) replaces min_by/max_by
+    simple = len(order) == 1 and list(cols) == list(order)
     if direction == "prev":
         inner = b.withColumn("_sl_n", F.lag(vals).over(w_in))
-        edge = b.groupBy(*part, _BK).agg(F.max_by(vals, okey).alias("_sl_e"))
+        e = F.struct(F.max(order[0]).alias(order[0])) if simple else F.max_by(vals, okey)
+        edge = b.groupBy(*part, _BK).agg(e.alias("_sl_e"))
         carry = edge.select(*part, _BK, F.lag("_sl_e").over(wb).alias("_sl_c"))
     else:
         inner = b.withColumn("_sl_n", F.lead(vals).over(w_in))
-        edge = b.groupBy(*part, _BK).agg(F.min_by(vals, okey).alias("_sl_e"))
+        e = F.struct(F.min(order[0]).alias(order[0])) if simple else F.min_by(vals, okey)
+        edge = b.groupBy(*part, _BK).agg(e.alias("_sl_e"))
         carry = edge.select(*part, _BK, F.lead("_sl_e").over(wb).alias("_sl_c"))
     j = inner.join(carry, [*part, _BK], "inner").withColumn(
         "_sl_n", F.coalesce(F.col("_sl_n"), F.col("_sl_c")))

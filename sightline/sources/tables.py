@@ -41,20 +41,20 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per detected box, numbered ``det_seq`` within its frame.
 
-    The join and the numbering window share the key ``frame_id``, so one
-    hash exchange per side serves both.
+    Boxes are numbered on the line table alone (narrow rows through the
+    shuffle); the numbering leaves the rows hash-partitioned by frame, so
+    a sort-merge join with the frame table needs no second exchange of
+    the boxes, and a small frame table is broadcast instead.
     """
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount")
-    f = frames(spark, sf_dir).select("frame_id", "camera_id", "ts")
-    j = li.join(f, li.l_orderkey == f.frame_id, "inner")
     w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     x1 = (F.pmod(F.col("l_partkey"), F.lit(12)) * 15).cast("double")
     y1 = (F.pmod(F.col("l_suppkey"), F.lit(6)) * 20).cast("double")
-    return j.select(
-        "frame_id", "camera_id", "ts",
+    boxes = li.select(
+        F.col("l_orderkey").alias("frame_id"),
         (F.row_number().over(w) - 1).cast("long").alias("det_seq"),
         x1.alias("x1"),
         y1.alias("y1"),
@@ -63,6 +63,9 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.round(F.col("l_discount") * 100).cast("int") / F.lit(10.0)).alias("confidence"),
         F.pmod(F.col("l_linenumber") - 1, F.lit(3)).cast("int").alias("class_id"),
     )
+    f = frames(spark, sf_dir).select("frame_id", "camera_id", "ts")
+    return boxes.join(f, "frame_id", "inner").select(
+        "frame_id", "camera_id", "ts", "det_seq", "x1", "y1", "x2", "y2", "confidence", "class_id")
 
 
 # Event type -> camera of the sightings adapter.
