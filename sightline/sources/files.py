@@ -7,6 +7,7 @@ so camera and date filters prune whole folders.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,7 +113,29 @@ def first_available(spark: SparkSession, paths: Sequence[str]) -> str:
 
 def required_files_missing(spark: SparkSession, root: str, required: Sequence[str]) -> DataFrame:
     """Required relative paths that are absent under ``root``."""
-    listing = list_files(spark, root).select(
-        F.regexp_replace("path", r"^.*?" + root.rstrip("/").split(":")[-1] + "/", "").alias("rel"))
+    base = re.escape(root.rstrip("/").split(":", 1)[-1])
+    listing = list_files(spark, root).select(F.regexp_extract("path", base + "/(.*)$", 1).alias("rel"))
     req = spark.createDataFrame([(r,) for r in required], "rel string")
     return req.join(listing, "rel", "left_anti")
+
+
+def read_json_documents(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Per-frame annotation or calibration JSON files (one document
+    per file, possibly pretty-printed). The layout belongs to the dataset,
+    so the schema is an argument; the source file is kept as a column."""
+    return (spark.read.schema(schema).option("multiLine", "true").json(path)
+            .withColumn("source_file", F.input_file_name()))
+
+
+def read_token_lines(spark: SparkSession, path: str, names: Sequence[str],
+                     types: Sequence[str] | None = None) -> DataFrame:
+    """Whitespace-separated text records (e.g. a rectangle list with
+    one ``KIND camera id x1 y1 x2 y2`` line per box). Missing trailing
+    tokens read as NULL; ``types`` casts the named columns."""
+    toks = F.split(F.trim(F.col("value")), r"\s+")
+    df = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    cols = [F.get(toks, i).alias(n) for i, n in enumerate(names)]
+    out = df.select(*cols)
+    if types:
+        out = out.select(*[F.col(n).try_cast(t).alias(n) for n, t in zip(names, types)])
+    return out
