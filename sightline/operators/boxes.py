@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import iou
-from sightline.session import checkpoint_dir
+from sightline.session import checkpoint_dir, materialize
 
 BOX = ("x1", "y1", "x2", "y2")
 
@@ -94,10 +94,10 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
     edges = (pairs.where((F.col("iou") > iou_threshold) & a_first)
              .select(*[F.col(k).alias(k[2:]) for k in kk],
                      F.col("a_" + seq).alias("hi"), F.col("b_" + seq).alias("lo"))
-             .checkpoint())
+             .transform(materialize))
     contested = (edges.select(*keys, F.col("hi").alias(seq))
                  .unionByName(edges.select(*keys, F.col("lo").alias(seq))).distinct())
-    undecided = contested.checkpoint()
+    undecided = contested.transform(materialize)
     suppressed_parts = []
     while undecided.limit(1).count() > 0:
         live = (edges.join(undecided.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
@@ -105,10 +105,10 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
         blocked = live.select(*keys, F.col("lo").alias(seq))
         newly_kept = undecided.join(blocked, [*keys, seq], "left_anti")
         newly_suppressed = (live.join(newly_kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                            .select(*keys, F.col("lo").alias(seq)).distinct().checkpoint())
+                            .select(*keys, F.col("lo").alias(seq)).distinct().transform(materialize))
         suppressed_parts.append(newly_suppressed)
         undecided = (undecided.join(newly_kept, [*keys, seq], "left_anti")
-                     .join(newly_suppressed, [*keys, seq], "left_anti").checkpoint())
+                     .join(newly_suppressed, [*keys, seq], "left_anti").transform(materialize))
     if not suppressed_parts:
         return dets
     gone = suppressed_parts[0]

@@ -9,7 +9,9 @@ logarithmic number of rounds instead of one round per hop.
 
 Each round is two joins and one aggregation; the label table is
 checkpointed into the shared checkpoint folder every round so the plan
-does not grow and a lost executor only replays one round.
+does not grow and a lost executor only replays one round. (Tables are
+written with ``session.materialize``: Parquet under ``spark.checkpoint.dir``,
+computed once, unlike ``Dataset.checkpoint`` which computes twice.)
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sightline.session import checkpoint_dir
+from sightline.session import checkpoint_dir, materialize
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, vid: str = "id",
@@ -34,10 +36,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, vid: str = "id",
     spark = vertices.sparkSession
     checkpoint_dir(spark)
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a") != F.col("b"))
-    und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    und = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().transform(materialize)
     # first hook: every edge vertex takes its least neighbour (or itself)
     labels = (und.groupBy("a").agg(F.min("b").alias("m"))
-              .select(F.col("a").alias("v"), F.least("a", "m").alias("l")).checkpoint())
+              .select(F.col("a").alias("v"), F.least("a", "m").alias("l")).transform(materialize))
     for _ in range(guard_rounds):
         nb = (und.join(labels.select(F.col("v").alias("b"), F.col("l").alias("lb")), "b")
               .groupBy("a").agg(F.min("lb").alias("m")))
@@ -46,10 +48,34 @@ def connected_components(vertices: DataFrame, edges: DataFrame, vid: str = "id",
         y = hooked.select(F.col("v").alias("yv"), F.col("h").alias("yh"))
         jumped = (hooked.join(y, hooked["h"] == y["yv"], "left")
                   .select("v", F.least("h", F.coalesce("yh", "h")).alias("l"), "old"))
-        new = jumped.withColumn("changed", F.col("l") != F.col("old")).drop("old").checkpoint()
+        new = jumped.withColumn("changed", F.col("l") != F.col("old")).drop("old").transform(materialize)
         labels = new.select("v", "l")
         if new.where("changed").limit(1).count() == 0:
             lab = labels.select(F.col("v").alias(vid), F.col("l").alias(out))
             return (vertices.select(vid).distinct().join(lab, vid, "left")
                     .withColumn(out, F.coalesce(F.col(out), F.col(vid))))
     raise RuntimeError(f"connected_components did not converge in {guard_rounds} rounds")
+
+
+def chain_heads(links: DataFrame, src: str = "src", dst: str = "dst", out: str = "head",
+                guard_rounds: int = 64) -> DataFrame:
+    """Head of every chain for links where each vertex has at most one
+    predecessor (tracks built from mutual-best frame-to-frame links).
+
+    Pointer jumping on the predecessor: ``p(v) <- p(p(v))`` until no
+    pointer moves, so a chain of length L needs about log2(L) rounds of one
+    join each. Returns (``dst``-side vertex, head) for every linked vertex;
+    vertices that are never a ``dst`` are their own head.
+    """
+    spark = links.sparkSession
+    checkpoint_dir(spark)
+    ptr = links.select(F.col(dst).alias("v"), F.col(src).alias("p")).transform(materialize)
+    for _ in range(guard_rounds):
+        nxt = ptr.select(F.col("v").alias("pv"), F.col("p").alias("pp"))
+        jumped = (ptr.join(nxt, ptr["p"] == nxt["pv"], "left")
+                  .select("v", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved"))
+                  .transform(materialize))
+        ptr = jumped.select("v", "p")
+        if jumped.where("moved").limit(1).count() == 0:
+            return ptr.select(F.col("v").alias(dst), F.col("p").alias(out))
+    raise RuntimeError(f"chain_heads did not converge in {guard_rounds} rounds")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sightline.functions import geometry as G
 from sightline.functions import text as TX
 from sightline.operators import boxes, stats
-from sightline.operators.graph import connected_components
+from sightline.operators.graph import chain_heads
 from sightline.operators.matching import CLASS_NAMES
 from sightline.operators.sequence import with_neighbor
 from sightline.plans.registry import query
@@ -219,14 +219,14 @@ def local_tracks(spark, sf):
     """V7: chain mutual-best links into tracks; a track is named by its
     first detection (the component's least (frame_id, det_seq))."""
     d, links = _links(spark, sf)
-    v = d.select(F.struct("frame_id", "det_seq").alias("id"), "camera_id")
     e = links.select(F.struct("frame_id", "det_seq").alias("src"),
                      F.struct(F.col("next_frame_id").alias("frame_id"),
                               F.col("next_det_seq").alias("det_seq")).alias("dst"))
-    comp = connected_components(v.select("id"), e, "id", out="track")
-    return (v.join(comp, "id")
-            .select("camera_id", F.col("id.frame_id").alias("frame_id"), F.col("id.det_seq").alias("det_seq"),
-                    F.col("track.frame_id").alias("track_frame_id"), F.col("track.det_seq").alias("track_det_seq")))
+    heads = chain_heads(e, out="track")
+    v = d.select(F.struct("frame_id", "det_seq").alias("dst"), "camera_id")
+    t = v.join(heads, "dst", "left").withColumn("track", F.coalesce("track", "dst"))
+    return t.select("camera_id", F.col("dst.frame_id").alias("frame_id"), F.col("dst.det_seq").alias("det_seq"),
+                    F.col("track.frame_id").alias("track_frame_id"), F.col("track.det_seq").alias("track_det_seq"))
 
 
 @query("detection_precision_recall", FD + f"""

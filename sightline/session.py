@@ -72,3 +72,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str = "step"):
+    """Cut lineage by writing ``df`` as Parquet under the shared checkpoint
+    folder and reading it back.
+
+    Unlike ``Dataset.checkpoint()``, which computes the plan once for its
+    count and again to write the checkpoint, this computes it once. The
+    table survives executor loss like a reliable checkpoint does.
+    """
+    import uuid
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
