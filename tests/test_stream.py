@@ -134,3 +134,42 @@ def test_scoring_job_once_per_batch_and_restart(spark, tmp_dir):
     run()                                                               # only the new file
     assert spark.read.parquet(f"{out}/messages").count() == 4
     assert len([d for d in os.listdir(f"{out}/messages") if d.startswith("batch_id=")]) == 2
+
+
+def test_sessions_alerts_and_active_persons(spark, tmp_dir):
+    rows = [("P1", "cam1", 0), ("P1", "cam2", 60), ("P1", "cam2", 4000), ("P2", "cam1", 30),
+            ("P2", "cam1", 90), ("P3", "cam1", 100), ("P9", "cam3", 20000)]
+    df = spark.createDataFrame(rows, "global_id string, camera_id string, s long") \
+        .withColumn("ts", F.timestamp_seconds("s"))
+    df.write.parquet(f"{tmp_dir}/s")
+    schema = df.schema
+
+    def stream():
+        return spark.readStream.schema(schema).parquet(f"{tmp_dir}/s")
+    sess = _drain(spark, stateful.session_counts(stream(), "ts", "10 minutes", "0 seconds", ["global_id"]), "sess")
+    got = sorted((r.global_id, r.n) for r in sess.collect())
+    # {0, 60} then {4000}; P2: {30, 90}; P3: {100}; P9's session is still open
+    assert got == [("P1", 1), ("P1", 2), ("P2", 2), ("P3", 1)]
+    alerts = _drain(spark, stateful.crowd_alerts(stream(), "ts", "1 hour", "0 seconds", 4), "alerts").collect()
+    assert [(r.camera_id, r.n) for r in alerts] == [("cam1", 4)]
+    act = _drain(spark, stateful.active_persons(stream()), "active", mode="update")
+    last = {r.global_id: r.last_camera_id for r in act.collect()}
+    assert last == {"P1": "cam2", "P2": "cam1", "P3": "cam1", "P9": "cam3"}
+
+
+def test_per_frame_scoring_errors_do_not_stop_the_batch(spark):
+    from sightline.operators.scoring import StubScorer, score_frames
+
+    class OneAtATime:                      # a scorer without score_batch
+        def __init__(self):
+            self.m = StubScorer()
+
+        def score(self, p):
+            return self.m.score(p)
+    frames = spark.createDataFrame([("cam1", 1, b"\xff\xd8abc"), ("cam1", 2, b"GIF89a")],
+                                   "camera_id string, frame_id long, payload binary") \
+        .withColumn("ts", F.current_timestamp())
+    out = {r.frame_id: r for r in score_frames(frames, OneAtATime).collect()}
+    assert out["1"].error is None and len(out["1"].confidence) == 1        # 5 bytes % 4
+    assert out["2"].error.startswith("ValueError") and out["2"].confidence == []
+    assert out["1"].processing_node.startswith("spark-worker-")
