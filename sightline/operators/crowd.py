@@ -96,16 +96,21 @@ def stays(s: DataFrame, who: str = "global_id", max_gap_s: float | None = 86400.
 def routes(legs: DataFrame, who: str, leg: str, hops: int = 3, sep: str = ">") -> DataFrame:
     """Consecutive ``hops``-leg camera routes per person.
 
-    ``leg`` is a dense per-person leg number, so the k-th next leg is an
-    equi-join on ``(who, leg + k)``: no per-person window is needed.
+    ``leg`` is a dense per-person leg number. Each leg is copied to the
+    ``hops`` routes it can belong to (route start = leg - k, position k),
+    and one aggregation per (person, route start) assembles the route: a
+    group never holds more than ``hops`` rows, and no join or per-person
+    window is needed.
     """
-    base = legs.select(who, F.col(leg).alias("_l0"), F.col("camera_id").alias("_c0"))
-    r = base
-    for k in range(1, hops):
-        nxt = legs.select(who, (F.col(leg) - k).alias("_l0"), F.col("camera_id").alias(f"_c{k}"))
-        r = r.join(nxt, [who, "_l0"], "inner")
-    return r.select(who, F.col("_l0").alias("first_leg"),
-                    F.concat_ws(sep, *[F.col(f"_c{k}") for k in range(hops)]).alias("route"))
+    e = legs.select(who, F.col(leg).alias("_l"), "camera_id",
+                    F.explode(F.sequence(F.lit(0), F.lit(hops - 1))).alias("_k"))
+    g = (e.withColumn("_start", F.col("_l") - F.col("_k"))
+         .groupBy(who, "_start")
+         .agg(F.count(F.lit(1)).alias("_n"),
+              *[F.max(F.when(F.col("_k") == k, F.col("camera_id"))).alias(f"_c{k}") for k in range(hops)]))
+    full = g.where((F.col("_n") == hops) & (F.col("_start") >= 1))
+    return full.select(who, F.col("_start").alias("first_leg"),
+                       F.concat_ws(sep, *[F.col(f"_c{k}") for k in range(hops)]).alias("route"))
 
 
 def two_hop(edges: DataFrame, src: str = "src", dst: str = "dst", w: str = "n_moves") -> DataFrame:

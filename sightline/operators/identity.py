@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sightline.operators.graph import connected_components
 from sightline.operators.stats import keep_n
+from sightline.session import materialize
 
 
 def sq_norm(v: Column) -> Column:
@@ -174,10 +175,15 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
 
 
 def k_reciprocal(knn: DataFrame, id_col: str = "vec_id") -> DataFrame:
-    """V6: pairs that are in each other's k-NN lists (a < b)."""
-    fwd = knn.select(F.col(id_col).alias("a"), F.col("nbr_id").alias("b"), "sim")
-    back = knn.select(F.col("nbr_id").alias("a"), F.col(id_col).alias("b"))
-    return fwd.join(back, ["a", "b"], "left_semi").where(F.col("a") < F.col("b"))
+    """V6: pairs that are in each other's k-NN lists (a < b).
+
+    Each list entry votes for its unordered pair; a pair with two votes is
+    mutual. One aggregation over groups of at most two rows, no self-join.
+    """
+    a, b = F.col(id_col), F.col("nbr_id")
+    g = (knn.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+         .agg(F.count(F.lit(1)).alias("_votes"), F.max("sim").alias("sim")))
+    return g.where(F.col("_votes") == 2).select("a", "b", "sim")
 
 
 def jaccard_rerank(knn: DataFrame, id_col: str = "vec_id") -> DataFrame:
@@ -187,6 +193,7 @@ def jaccard_rerank(knn: DataFrame, id_col: str = "vec_id") -> DataFrame:
     neighbour id restricted to (a, b) list pairs; |N(a) | N(b)| follows from
     the list sizes.
     """
+    knn = materialize(knn.select(id_col, "nbr_id", "rank"), "knn")   # read four times below
     lists = knn.select(F.col(id_col).alias("v"), F.col("nbr_id").alias("n"))
     sizes = lists.groupBy("v").agg(F.count(F.lit(1)).alias("size"))
     pairs = knn.select(F.col(id_col).alias("a"), F.col("nbr_id").alias("b"), "rank")

@@ -20,25 +20,42 @@ from pyspark.sql import functions as F
 _BK = "_sl_bucket"
 
 
-def running_total(df: DataFrame, part: Sequence[str], order: Sequence[str | Column],
-                  bucket: Column, value: Column | None, out: str) -> DataFrame:
-    """``sum(value)`` over ``part`` ordered by ``order`` up to the current row.
+def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[str | Column],
+                   bucket: Column, values: dict[str, Column | None]) -> DataFrame:
+    """Several running sums over one ordering in one pass.
 
-    ``value=None`` counts rows, which is the running row number.
+    ``values`` maps an output column to the summed expression (``None``
+    counts rows, i.e. the running row number). One window over
+    ``(part, bucket)``, one per-bucket aggregate and one join serve all
+    outputs.
     """
-    v = F.lit(1).cast("long") if value is None else value
-    b = df.withColumn(_BK, bucket).withColumn("_sl_v", v)
+    b = df.withColumn(_BK, bucket)
+    tmp = {out: f"_sl_v{i}" for i, out in enumerate(values)}
+    for out, v in values.items():
+        b = b.withColumn(tmp[out], F.lit(1).cast("long") if v is None else v)
     inner_w = (Window.partitionBy(*part, _BK).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = b.withColumn(out, F.sum("_sl_v").over(inner_w))
-    per_bucket = b.groupBy(*part, _BK).agg(F.sum("_sl_v").alias("_sl_bt"))
+    inner = b
+    for out in values:
+        inner = inner.withColumn(out, F.sum(tmp[out]).over(inner_w))
+    per_bucket = b.groupBy(*part, _BK).agg(*[F.sum(tmp[o]).alias(tmp[o] + "t") for o in values])
     prior_w = (Window.partitionBy(*part).orderBy(_BK)
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = per_bucket.select(*part, _BK, F.coalesce(F.sum("_sl_bt").over(prior_w),
-                                                      F.lit(0)).alias("_sl_off"))
-    return (inner.join(offsets, [*part, _BK], "inner")
-            .withColumn(out, F.col(out) + F.col("_sl_off"))
-            .drop(_BK, "_sl_v", "_sl_off"))
+    offsets = per_bucket.select(*part, _BK, *[
+        F.coalesce(F.sum(tmp[o] + "t").over(prior_w), F.lit(0)).alias(tmp[o] + "o") for o in values])
+    j = inner.join(offsets, [*part, _BK], "inner")
+    for out in values:
+        j = j.withColumn(out, F.col(out) + F.col(tmp[out] + "o"))
+    return j.drop(_BK, *tmp.values(), *[t + "o" for t in tmp.values()])
+
+
+def running_total(df: DataFrame, part: Sequence[str], order: Sequence[str | Column],
+                  bucket: Column, value: Column | None, out: str) -> DataFrame:
+    """``sum(value)`` over ``part`` ordered by ``order`` up to the current row.
+
+    ``value=None`` counts rows, which is the running row number.
+    """
+    return running_totals(df, part, order, bucket, {out: value})
 
 
 def with_neighbor(df: DataFrame, part: Sequence[str], order: Sequence[str],

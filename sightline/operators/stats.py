@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.operators.sequence import running_total
+from sightline.operators.sequence import running_totals
 
 
 def per_frame_counts(frames: DataFrame, dets: DataFrame, keys: Sequence[str] = ("frame_id",),
@@ -115,8 +115,8 @@ def running_frame_stats(frames_with_counts: DataFrame, part: Sequence[str],
                         order: Sequence[str], bucket: Column,
                         count_col: str = "detection_count") -> DataFrame:
     """Running frame number and running detection total per feed."""
-    a = running_total(frames_with_counts, part, order, bucket, None, "frame_no")
-    return running_total(a, part, order, bucket, F.col(count_col), "running_detections")
+    return running_totals(frames_with_counts, part, order, bucket,
+                          {"frame_no": None, "running_detections": F.col(count_col)})
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,

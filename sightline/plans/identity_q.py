@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sightline.operators import identity as ID
 from sightline.plans.registry import query
 from sightline.plans.sql_views import V_
+from sightline.session import materialize
 from sightline.sources.tables import vectors
 
 _NORMS = V_ + """, normed AS (
@@ -100,7 +101,8 @@ comp AS (SELECT v AS vec_id, min(r) AS global_id FROM reach GROUP BY v)
 
 def _components(spark, sf):
     v = vectors(spark, sf)
-    pairs = ID.similar_pairs(v, "vec_id", "embedding", "camera_id", COMPONENT_T)
+    # the pairs feed the component rounds and the confidence: compute once
+    pairs = materialize(ID.similar_pairs(v, "vec_id", "embedding", "camera_id", COMPONENT_T), "pairs")
     return ID.global_ids(v, pairs), pairs
 
 
