@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.filters import DetectionPolicy
+from sightline.session import default_parallelism, num_partitions
 
 SCORED_SCHEMA = ("camera_id string, frame_id string, ts timestamp_ntz, x1 array<double>, y1 array<double>, "
                  "x2 array<double>, y2 array<double>, confidence array<double>, class_id array<int>, "
@@ -70,8 +71,9 @@ def score_frames(frames: DataFrame, scorer_factory: Callable[[], object] = StubS
     parallelism) is spread round-robin first; a well-partitioned source
     is scored where it lies, without a shuffle.
     """
-    want = min_partitions or frames.sparkSession.sparkContext.defaultParallelism
-    if frames.rdd.getNumPartitions() < want:
+    want = min_partitions or default_parallelism(frames.sparkSession)
+    have = num_partitions(frames)
+    if have is not None and have < want:
         frames = frames.repartition(want)
     policy = policy or DetectionPolicy(0.0)
     thr = float(policy.threshold)

@@ -44,6 +44,14 @@ def get_spark(master: str | None = None, app: str = "sightline",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no driver-side context
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
@@ -53,22 +61,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     no shared folder configured is an error, since a machine-local folder
     would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) before running iterative sightline operators")
         conf_dir = tempfile.mkdtemp(prefix="sightline-ckpt-")
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
+def num_partitions(df) -> int | None:
+    """Partition count of a DataFrame's plan, None where it is not exposed."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect DataFrames have no rdd
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
