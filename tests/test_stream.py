@@ -173,3 +173,18 @@ def test_per_frame_scoring_errors_do_not_stop_the_batch(spark):
     assert out["1"].error is None and len(out["1"].confidence) == 1        # 5 bytes % 4
     assert out["2"].error.startswith("ValueError") and out["2"].confidence == []
     assert out["1"].processing_node.startswith("spark-worker-")
+
+
+def test_progress_frame_and_backlog(spark, tmp_dir):
+    from sightline.streaming.monitor import backlog, progress_frame
+    df = spark.createDataFrame([(i,) for i in range(30)], "v long")
+    for i in range(3):
+        df.where(F.col("v") % 3 == i).coalesce(1).write.parquet(f"{tmp_dir}/p/{i}")
+    s = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/p/*")
+    q = s.writeStream.format("memory").queryName("prog").start()
+    q.processAllAvailable()
+    prog = progress_frame(spark, q.recentProgress)
+    q.stop()
+    rows = prog.where("input_rows > 0").collect()
+    assert sum(r.input_rows for r in rows) == 30 and len(rows) == 3
+    assert backlog(prog).count() == prog.count()
