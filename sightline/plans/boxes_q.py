@@ -101,7 +101,7 @@ def annotation_file_names(spark, sf):
     f = frames(spark, sf).select("frame_id", "camera_id", "ts")
     counted = stats.per_frame_counts(f, detections(spark, sf).select("frame_id"))
     numbered = running_total(counted, ["camera_id"], ["ts", "frame_id"],
-                             F.date_trunc("month", "ts"), None, "frame_no")
+                             F.date_trunc("day", "ts"), None, "frame_no")
     return (numbered.where(F.col("detection_count") > 0)
             .select("camera_id", "frame_id", TX.file_name(F.col("frame_no")).alias("file_name")))
 

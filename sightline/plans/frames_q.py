@@ -73,14 +73,17 @@ def overall_rate(spark, sf):
 
 # ------------------------------------------------------ running sequences
 
-def _month():
-    return F.date_trunc("month", F.col("ts"))
+def _day():
+    """Sequence bucket: a camera's frames of one day. A camera cannot emit
+    more than fps x 86400 frames a day, so a bucket stays bounded however
+    much history the table holds."""
+    return F.date_trunc("day", F.col("ts"))
 
 
 def _running(spark, sf):
     f = frames(spark, sf).select("frame_id", "camera_id", "ts")
     counted = stats.per_frame_counts(f, detections(spark, sf).select("frame_id"))
-    return stats.running_frame_stats(counted, ["camera_id"], ["ts", "frame_id"], _month())
+    return stats.running_frame_stats(counted, ["camera_id"], ["ts", "frame_id"], _day())
 
 
 _RUNNING_SQL = FD + """, counted AS (
