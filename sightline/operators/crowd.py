@@ -93,6 +93,27 @@ def stays(s: DataFrame, who: str = "global_id", max_gap_s: float | None = 86400.
     return g.withColumn("dwell_s", elapsed_seconds(F.col("start_ts"), F.col("end_ts")))
 
 
+def sessions(s: DataFrame, who: str = "global_id", gap_s: float = 1800.0,
+             order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """R5 (batch twin): activity sessions per person, as ``session_window``
+    defines them: a sighting opens a new session when it comes ``gap_s`` or
+    more after the previous one; a session ends ``gap_s`` after its last
+    sighting. Built on the bucketed previous-row and running-sum helpers,
+    so a very active person is not one task (``session_window`` clusters
+    all of a key's rows in one task).
+    """
+    prev = with_neighbor(s, [who], list(order), day_bucket(order[0]), [order[0]], "prev")
+    gap = elapsed_seconds(F.col("prev_" + order[0]), F.col(order[0]))
+    flagged = prev.withColumn("_brk", (F.col("prev_" + order[0]).isNull() | (gap >= gap_s)).cast("long"))
+    numbered = running_total(flagged, [who], list(order), day_bucket(order[0]), F.col("_brk"), "session_no")
+    g = numbered.groupBy(who, "session_no").agg(
+        F.min(order[0]).alias("session_start"), F.max(order[0]).alias("_last"),
+        F.count(F.lit(1)).alias("n_sightings"))
+    return g.select(who, "session_no", "session_start",
+                    (F.col("_last") + F.make_dt_interval(secs=F.lit(float(gap_s)))).alias("session_end"),
+                    "n_sightings")
+
+
 def routes(legs: DataFrame, who: str, leg: str, hops: int = 3, sep: str = ">") -> DataFrame:
     """Consecutive ``hops``-leg camera routes per person.
 

@@ -225,3 +225,21 @@ SELECT camera_id, CAST(max(occ) AS BIGINT) AS peak, arg_min(t, (-occ, t)) AS pea
 def peak_occupancy(spark, sf):
     s = sightings(spark, sf).select("event_id", "camera_id", "ts")
     return crowd.occupancy_peak(s)
+
+
+SESSION_GAP_S = 1800
+
+
+@query("sessions_per_person", S_ + f"""
+, g AS (SELECT *, lag(ts) OVER (PARTITION BY global_id ORDER BY ts, event_id) AS prev_ts FROM sightings),
+f AS (SELECT *, CASE WHEN prev_ts IS NULL OR (epoch_us(ts) - epoch_us(prev_ts)) / 1e6 >= {SESSION_GAP_S}
+                     THEN 1 ELSE 0 END AS brk FROM g),
+n AS (SELECT *, CAST(sum(brk) OVER (PARTITION BY global_id ORDER BY ts, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_no FROM f)
+SELECT global_id, session_no, min(ts) AS session_start, max(ts) + INTERVAL {SESSION_GAP_S} SECOND AS session_end,
+       CAST(count(*) AS BIGINT) AS n_sightings
+FROM n GROUP BY global_id, session_no""")
+def sessions_per_person(spark, sf):
+    """R5 batch twin: 30-minute activity sessions per person."""
+    s = sightings(spark, sf).select("event_id", "global_id", "ts")
+    return crowd.sessions(s, "global_id", SESSION_GAP_S)

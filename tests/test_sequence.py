@@ -92,3 +92,19 @@ def test_components_are_order_independent(spark):
     want = {v: min(g) for g in groups.values() for v in g}
     assert labels[0] == want
     assert labels[0][140] == 100            # a 40-hop chain converges
+
+
+def test_sessions_equal_session_window(spark):
+    from sightline.operators.crowd import sessions
+    from sightline.sources.tables import sightings
+    from tests.conftest import SF_ORACLE
+    s = sightings(spark, SF_ORACLE).select("event_id", "global_id", "ts")
+    got = sorted((r.global_id, r.session_start, r.session_end, r.n_sightings)
+                 for r in sessions(s, "global_id", 1800).collect())
+    sw = (s.withColumn("ts", F.col("ts").cast("timestamp"))
+          .groupBy("global_id", F.session_window("ts", "30 minutes").alias("w"))
+          .agg(F.count(F.lit(1)).alias("n")))
+    want = sorted((r.global_id, r.start, r.end, r.n) for r in
+                  sw.select("global_id", F.col("w.start").cast("timestamp_ntz").alias("start"),
+                            F.col("w.end").cast("timestamp_ntz").alias("end"), "n").collect())
+    assert got == want
