@@ -108,3 +108,16 @@ def test_sessions_equal_session_window(spark):
                   sw.select("global_id", F.col("w.start").cast("timestamp_ntz").alias("start"),
                             F.col("w.end").cast("timestamp_ntz").alias("end"), "n").collect())
     assert got == want
+
+
+def test_approximate_people_within_error(spark):
+    from sightline.operators.crowd import people_per_window
+    from sightline.sources.tables import sightings
+    from tests.conftest import SF_ORACLE
+    s = sightings(spark, SF_ORACLE).select("camera_id", "ts", "global_id")
+    exact = {(r.camera_id, r.window_start): r.n_people for r in people_per_window(s, "1 day").collect()}
+    approx = {(r.camera_id, r.window_start): r.n_people for r in
+              people_per_window(s, "1 day", exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    # HyperLogLog++ default relative standard deviation is 5 %; allow 4 sigma
+    assert all(abs(approx[k] - exact[k]) <= max(1, 0.2 * exact[k]) for k in exact)
