@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import GRID_W, ground_x, ground_y
-from sightline.operators.sequence import running_total, with_neighbor
+from sightline.operators.sequence import numbered_runs, running_total, with_neighbor
 from sightline.operators.stats import elapsed_seconds
 
 
@@ -75,13 +75,14 @@ def islands(s: DataFrame, who: str = "global_id", order: Sequence[str] = ("ts",
     A run breaks when the camera changes or, with ``max_gap_s``, when the
     person was unseen for longer than that.
     """
-    m = moves(s, who, order)
-    brk = F.col("prev_camera_id").isNull() | (F.col("prev_camera_id") != F.col("camera_id"))
-    if max_gap_s is not None:
-        brk = brk | (elapsed_seconds(F.col("prev_" + order[0]), F.col(order[0])) > max_gap_s)
-    flagged = m.withColumn("_brk", brk.cast("long"))
-    numbered = running_total(flagged, [who], list(order), day_bucket(order[0]), F.col("_brk"), out)
-    return numbered.drop("_brk", "prev_camera_id", *["prev_" + c for c in order])
+    ts = order[0]
+
+    def breaks(prev, cur):
+        b = prev["camera_id"] != cur["camera_id"]
+        if max_gap_s is not None:
+            b = b | (elapsed_seconds(prev[ts], cur[ts]) > max_gap_s)
+        return b
+    return numbered_runs(s, [who], list(order), day_bucket(ts), ["camera_id", ts], breaks, out)
 
 
 def stays(s: DataFrame, who: str = "global_id", max_gap_s: float | None = 86400.0,
@@ -98,16 +99,15 @@ def sessions(s: DataFrame, who: str = "global_id", gap_s: float = 1800.0,
     """R5 (batch twin): activity sessions per person, as ``session_window``
     defines them: a sighting opens a new session when it comes ``gap_s`` or
     more after the previous one; a session ends ``gap_s`` after its last
-    sighting. Built on the bucketed previous-row and running-sum helpers,
-    so a very active person is not one task (``session_window`` clusters
-    all of a key's rows in one task).
+    sighting. Built on the bucketed run numbering, so a very active person
+    is not one task (``session_window`` clusters all of a key's rows in one
+    task).
     """
-    prev = with_neighbor(s, [who], list(order), day_bucket(order[0]), [order[0]], "prev")
-    gap = elapsed_seconds(F.col("prev_" + order[0]), F.col(order[0]))
-    flagged = prev.withColumn("_brk", (F.col("prev_" + order[0]).isNull() | (gap >= gap_s)).cast("long"))
-    numbered = running_total(flagged, [who], list(order), day_bucket(order[0]), F.col("_brk"), "session_no")
+    ts = order[0]
+    numbered = numbered_runs(s, [who], list(order), day_bucket(ts), [ts],
+                             lambda p, c: elapsed_seconds(p[ts], c[ts]) >= gap_s, "session_no")
     g = numbered.groupBy(who, "session_no").agg(
-        F.min(order[0]).alias("session_start"), F.max(order[0]).alias("_last"),
+        F.min(ts).alias("session_start"), F.max(ts).alias("_last"),
         F.count(F.lit(1)).alias("n_sightings"))
     return g.select(who, "session_no", "session_start",
                     (F.col("_last") + F.make_dt_interval(secs=F.lit(float(gap_s)))).alias("session_end"),

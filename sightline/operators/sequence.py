@@ -90,3 +90,39 @@ def with_neighbor(df: DataFrame, part: Sequence[str], order: Sequence[str],
         "_sl_n", F.coalesce(F.col("_sl_n"), F.col("_sl_c")))
     return j.select(*[c for c in df.columns],
                     *[F.col("_sl_n")[c].alias(prefix + c) for c in cols])
+
+
+def numbered_runs(df: DataFrame, part: Sequence[str], order: Sequence[str], bucket: Column,
+                  cols: Sequence[str], breaks, out: str) -> DataFrame:
+    """Gaps-and-islands numbering in one window pass per bucket.
+
+    ``breaks(prev, cur)`` gets two structs of ``cols`` (the previous and the
+    current row) and returns true where a new run starts; the first row of
+    each ``part`` always starts run 1. Within a bucket, breaks between
+    consecutive rows are counted by a running sum; the bucket summary
+    (first row, last row, number of inner breaks) decides whether a
+    bucket's first row breaks and how many runs came before it. One
+    summary, one small window over buckets and one join back serve both
+    the previous-row lookup and the numbering.
+    """
+    b = df.withColumn(_BK, bucket)
+    cur = F.struct(*[F.col(c).alias(c) for c in cols])
+    okey = F.struct(*[F.col(c) for c in order])
+    w_in = Window.partitionBy(*part, _BK).orderBy(*order)
+    x = b.withColumn("_sl_prev", F.lag(cur).over(w_in))
+    x = x.withColumn("_sl_ib", F.when(F.col("_sl_prev").isNull(), F.lit(0))
+                     .otherwise(breaks(F.col("_sl_prev"), cur).cast("long")))
+    x = x.withColumn("_sl_run", F.sum("_sl_ib").over(
+        w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summ = x.groupBy(*part, _BK).agg(F.min_by(cur, okey).alias("_sl_first"),
+                                     F.max_by(cur, okey).alias("_sl_last"),
+                                     F.sum("_sl_ib").alias("_sl_sib"))
+    wb = Window.partitionBy(*part).orderBy(_BK)
+    summ = summ.withColumn("_sl_pl", F.lag("_sl_last").over(wb))
+    summ = summ.withColumn("_sl_fb", F.when(F.col("_sl_pl").isNull(), F.lit(1))
+                           .otherwise(breaks(F.col("_sl_pl"), F.col("_sl_first")).cast("long")))
+    summ = summ.withColumn("_sl_off", F.coalesce(F.sum(F.col("_sl_fb") + F.col("_sl_sib")).over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = x.join(summ.select(*part, _BK, "_sl_off", "_sl_fb"), [*part, _BK], "inner")
+    return (j.withColumn(out, (F.col("_sl_off") + F.col("_sl_fb") + F.col("_sl_run")).cast("long"))
+            .drop(_BK, "_sl_prev", "_sl_ib", "_sl_run", "_sl_off", "_sl_fb"))
