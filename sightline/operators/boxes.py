@@ -97,23 +97,24 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
              .transform(materialize))
     contested = (edges.select(*keys, F.col("hi").alias(seq))
                  .unionByName(edges.select(*keys, F.col("lo").alias(seq))).distinct())
-    undecided = contested.transform(materialize)
-    suppressed_parts = []
-    while undecided.limit(1).count() > 0:
-        live = (edges.join(undecided.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                .join(undecided.withColumnRenamed(seq, "lo"), [*keys, "lo"], "left_semi"))
-        blocked = live.select(*keys, F.col("lo").alias(seq))
-        newly_kept = undecided.join(blocked, [*keys, seq], "left_anti")
-        newly_suppressed = (live.join(newly_kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                            .select(*keys, F.col("lo").alias(seq)).distinct().transform(materialize))
-        suppressed_parts.append(newly_suppressed)
-        undecided = (undecided.join(newly_kept, [*keys, seq], "left_anti")
-                     .join(newly_suppressed, [*keys, seq], "left_anti").transform(materialize))
-    if not suppressed_parts:
-        return dets
-    gone = suppressed_parts[0]
-    for p in suppressed_parts[1:]:
-        gone = gone.unionByName(p)
+    # state: 0 undecided, 1 kept, 2 suppressed; one table written per round
+    status = contested.withColumn("state", F.lit(0)).transform(materialize)
+    while status.where(F.col("state") == 0).limit(1).count() > 0:
+        und = status.where(F.col("state") == 0).select(*keys, seq)
+        live = (edges.join(und.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
+                .join(und.withColumnRenamed(seq, "lo"), [*keys, "lo"], "left_semi"))
+        kept_now = und.join(live.select(*keys, F.col("lo").alias(seq)), [*keys, seq], "left_anti")
+        supp_now = (live.join(kept_now.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
+                    .select(*keys, F.col("lo").alias(seq)).distinct())
+        status = (status
+                  .join(kept_now.withColumn("_k", F.lit(True)), [*keys, seq], "left")
+                  .join(supp_now.withColumn("_s", F.lit(True)), [*keys, seq], "left")
+                  .select(*keys, seq,
+                          F.when((F.col("state") == 0) & F.col("_k").isNotNull(), F.lit(1))
+                          .when((F.col("state") == 0) & F.col("_s").isNotNull(), F.lit(2))
+                          .otherwise(F.col("state")).alias("state"))
+                  .transform(materialize))
+    gone = status.where(F.col("state") == 2).select(*keys, seq)
     return dets.join(gone, [*keys, seq], "left_anti")
 
 

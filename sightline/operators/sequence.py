@@ -38,7 +38,8 @@ def running_totals(df: DataFrame, part: Sequence[str], order: Sequence[str | Col
     inner = b
     for out in values:
         inner = inner.withColumn(out, F.sum(tmp[out]).over(inner_w))
-    per_bucket = b.groupBy(*part, _BK).agg(*[F.sum(tmp[o]).alias(tmp[o] + "t") for o in values])
+    # summarised from the windowed rows: already clustered by (part, bucket), no new shuffle
+    per_bucket = inner.groupBy(*part, _BK).agg(*[F.sum(tmp[o]).alias(tmp[o] + "t") for o in values])
     prior_w = (Window.partitionBy(*part).orderBy(_BK)
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_bucket.select(*part, _BK, *[
@@ -79,12 +80,12 @@ def with_neighbor(df: DataFrame, part: Sequence[str], order: Sequence[str],
     if direction == "prev":
         inner = b.withColumn("_sl_n", F.lag(vals).over(w_in))
         e = F.struct(F.max(order[0]).alias(order[0])) if simple else F.max_by(vals, okey)
-        edge = b.groupBy(*part, _BK).agg(e.alias("_sl_e"))
+        edge = inner.groupBy(*part, _BK).agg(e.alias("_sl_e"))
         carry = edge.select(*part, _BK, F.lag("_sl_e").over(wb).alias("_sl_c"))
     else:
         inner = b.withColumn("_sl_n", F.lead(vals).over(w_in))
         e = F.struct(F.min(order[0]).alias(order[0])) if simple else F.min_by(vals, okey)
-        edge = b.groupBy(*part, _BK).agg(e.alias("_sl_e"))
+        edge = inner.groupBy(*part, _BK).agg(e.alias("_sl_e"))
         carry = edge.select(*part, _BK, F.lead("_sl_e").over(wb).alias("_sl_c"))
     j = inner.join(carry, [*part, _BK], "inner").withColumn(
         "_sl_n", F.coalesce(F.col("_sl_n"), F.col("_sl_c")))
