@@ -60,6 +60,12 @@ def moves(s: DataFrame, who: str = "global_id", order: Sequence[str] = ("ts", "e
     return with_neighbor(s, [who], list(order), bucket, ["camera_id", *order], "prev")
 
 
+def next_steps(s: DataFrame, who: str = "global_id", order: Sequence[str] = ("ts", "event_id"),
+               cols: Sequence[str] = ("event_id", "camera_id", "ts", "position_id")) -> DataFrame:
+    """Each sighting with the same person's next sighting (``next_*``)."""
+    return with_neighbor(s, [who], list(order), day_bucket(order[0]), list(cols), "next")
+
+
 def flow_edges(s: DataFrame, who: str = "global_id") -> DataFrame:
     """Camera -> camera transitions of people, counted."""
     m = moves(s, who)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions.geometry import ground_x, ground_y
 from sightline.operators import crowd, stats
-from sightline.operators.matching import time_gate_pairs
+from sightline.operators.stats import elapsed_seconds
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_
 from sightline.sources.tables import EVENT_CAMERA, OTHER_CAMERA, sightings
@@ -180,32 +180,37 @@ GATE_VMAX = 0.005
 
 
 @query("spatiotemporal_gate", S_ + f"""
-, p AS (SELECT a.global_id, a.event_id AS a_event_id, b.event_id AS b_event_id,
-               a.camera_id AS a_camera_id, b.camera_id AS b_camera_id,
-               (epoch_us(b.ts) - epoch_us(a.ts)) / 1e6 AS dt_s,
-               sqrt(power({_X.replace('position_id', 'b.position_id')} - {_X.replace('position_id', 'a.position_id')}, 2)
-                  + power({_Y.replace('position_id', 'b.position_id')} - {_Y.replace('position_id', 'a.position_id')}, 2))
-                 AS dist_m
-        FROM sightings a JOIN sightings b ON a.global_id = b.global_id
-         AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL {GATE_HORIZON_S} SECOND
-        WHERE a.camera_id <> b.camera_id)
+, nx AS (SELECT global_id, event_id, camera_id, ts, position_id,
+                lead(event_id) OVER w AS b_event_id, lead(camera_id) OVER w AS b_camera_id,
+                lead(ts) OVER w AS b_ts, lead(position_id) OVER w AS b_position_id
+         FROM sightings WINDOW w AS (PARTITION BY global_id ORDER BY ts, event_id)),
+p AS (SELECT global_id, event_id AS a_event_id, b_event_id, camera_id AS a_camera_id, b_camera_id,
+             (epoch_us(b_ts) - epoch_us(ts)) / 1e6 AS dt_s,
+             sqrt(power({_X.replace('position_id', 'b_position_id')} - {_X}, 2)
+                + power({_Y.replace('position_id', 'b_position_id')} - {_Y}, 2)) AS dist_m
+      FROM nx WHERE b_event_id IS NOT NULL AND camera_id <> b_camera_id)
 SELECT global_id, a_event_id, b_event_id, a_camera_id, b_camera_id, round(dt_s, 6) AS dt_s,
        round(dist_m, 6) AS dist_m, round(dist_m / dt_s, 9) AS speed_mps
-FROM p WHERE dist_m / dt_s <= {GATE_VMAX}""")
+FROM p WHERE dt_s > 0 AND dt_s <= {GATE_HORIZON_S} AND dist_m / dt_s <= {GATE_VMAX}""")
 def spatiotemporal_gate(spark, sf):
-    """Cross-camera candidate steps of one person that are physically
-    plausible: next sighting within the horizon, on another camera, at an
-    implied ground speed <= vmax."""
+    """Cross-camera steps of one person that are physically plausible:
+    the person's next sighting, within the horizon, on another camera, at
+    an implied ground speed <= vmax. The next sighting comes from the
+    bucketed ``with_neighbor`` (one row per sighting), so the work is
+    linear in the sightings; no pairs within a person are formed."""
     s = sightings(spark, sf).select("event_id", "global_id", "camera_id", "ts", "position_id")
-    p = time_gate_pairs(s, "global_id", "ts", GATE_HORIZON_S, ["event_id", "camera_id", "position_id"])
-    p = p.where(F.col("a_camera_id") != F.col("b_camera_id"))
-    dx = ground_x(F.col("b_position_id")) - ground_x(F.col("a_position_id"))
-    dy = ground_y(F.col("b_position_id")) - ground_y(F.col("a_position_id"))
-    p = p.withColumn("dist_m", F.sqrt(dx * dx + dy * dy)).withColumn("speed", F.col("dist_m") / F.col("dt_s"))
-    return p.where(F.col("speed") <= GATE_VMAX).select(
-        "global_id", "a_event_id", "b_event_id", "a_camera_id", "b_camera_id",
-        F.round("dt_s", 6).alias("dt_s"), F.round("dist_m", 6).alias("dist_m"),
-        F.round("speed", 9).alias("speed_mps"))
+    n = crowd.next_steps(s, "global_id")
+    dt = elapsed_seconds(F.col("ts"), F.col("next_ts"))
+    dx = ground_x(F.col("next_position_id")) - ground_x(F.col("position_id"))
+    dy = ground_y(F.col("next_position_id")) - ground_y(F.col("position_id"))
+    p = (n.where(F.col("next_event_id").isNotNull() & (F.col("camera_id") != F.col("next_camera_id")))
+         .withColumn("dt_s", dt).withColumn("dist_m", F.sqrt(dx * dx + dy * dy))
+         .withColumn("speed", F.col("dist_m") / F.col("dt_s")))
+    p = p.where((F.col("dt_s") > 0) & (F.col("dt_s") <= GATE_HORIZON_S) & (F.col("speed") <= GATE_VMAX))
+    return p.select("global_id", F.col("event_id").alias("a_event_id"), F.col("next_event_id").alias("b_event_id"),
+                    F.col("camera_id").alias("a_camera_id"), F.col("next_camera_id").alias("b_camera_id"),
+                    F.round("dt_s", 6).alias("dt_s"), F.round("dist_m", 6).alias("dist_m"),
+                    F.round("speed", 9).alias("speed_mps"))
 
 
 @query("pseudonymize_ids", S_ + f"""
