@@ -64,9 +64,13 @@ def truncate_int(v: Column) -> Column:
     return v.cast("int")
 
 
+# Fixed value: gap in pixels between a box edge and its label.
+LABEL_GAP = 10
+
+
 def label_row(y1: Column, text_h: int = 20) -> Column:
     """Label above the box when there is room, else below its top."""
-    return F.when(y1 - 10 > 10, y1 - 10).otherwise(y1 + text_h + 10)
+    return F.when(y1 - LABEL_GAP > LABEL_GAP, y1 - LABEL_GAP).otherwise(y1 + text_h + LABEL_GAP)
 
 
 def ground_x(position_id: Column) -> Column:

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.functions.text import NODE_PREFIX
 from sightline.operators.filters import DetectionPolicy
 from sightline.session import default_parallelism, num_partitions
 
@@ -90,7 +91,7 @@ def score_frames(frames: DataFrame, scorer_factory: Callable[[], object] = StubS
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         ctx = TaskContext.get()
-        node = f"spark-worker-{ctx.partitionId() if ctx else 0}"
+        node = f"{NODE_PREFIX}{ctx.partitionId() if ctx else 0}"
         model = scorer_factory()                      # once per task
         batched = hasattr(model, "score_batch")
         for pdf in batches:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sightline.functions.text import NODE_PREFIX, clock
 from sightline.operators import stats
 from sightline.operators.matching import asof_join
 from sightline.plans.registry import query
@@ -49,7 +50,7 @@ SELECT camera_id, event_id, global_id, ts, strftime(ts, '%H:%M:%S') AS clock FRO
 def latest_per_camera(spark, sf):
     s = sightings(spark, sf)
     latest = stats.latest_per_key(s, ["camera_id"], ["ts", "event_id"], ["event_id", "global_id", "ts"])
-    return latest.withColumn("clock", F.date_format("ts", "HH:mm:ss"))
+    return latest.withColumn("clock", clock(F.col("ts")))
 
 
 def _shed(spark, sf, newest: bool):
@@ -85,7 +86,7 @@ SELECT 'spark-worker-' || CAST(user_id % 4 AS VARCHAR) AS node, CAST(count(*) AS
 FROM events GROUP BY 1""")
 def latency_by_node(spark, sf):
     ev = table(spark, sf, "events").select("user_id", "value")
-    node = F.concat(F.lit("spark-worker-"), F.pmod("user_id", F.lit(4)).cast("string"))
+    node = F.concat(F.lit(NODE_PREFIX), F.pmod("user_id", F.lit(4)).cast("string"))
     s = stats.latency_summary(ev, node, "value")
     return s.select("node", "n", F.round("avg_ms", 6).alias("avg_ms"), "max_ms",
                     F.round("p50_ms", 6).alias("p50_ms"))
