@@ -23,7 +23,8 @@ def features(plan: str) -> dict:
         "single_partition": plan.count("Exchange SinglePartition"),
         "broadcasts": plan.count("BroadcastExchange"),
         "partial_aggs": len(re.findall(r"HashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan))
-        + len(re.findall(r"ObjectHashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)),
+        + len(re.findall(r"ObjectHashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan))
+        + len(re.findall(r"SortAggregate\(key=\[[^\]]*\], functions=\[partial_", plan)),
         "window_group_limit": plan.count("WindowGroupLimit"),
         "python": len(re.findall(r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython", plan)),
         "pushed_filters": sorted(set(f for f in re.findall(r"PushedFilters: \[([^\]]+)\]", plan))),

@@ -21,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sightline.operators.filters import DetectionPolicy
 from sightline.operators.scoring import StubScorer, detections_struct, explode_scored, score_frames
 from sightline.sources.envelopes import sniff_frames
-from sightline.streaming.sinks import parquet_batch_sink
+from sightline.operators.messages import to_json_value
+from sightline.streaming.sinks import kafka_batch_write, parquet_batch_sink
 
 
 @dataclass
@@ -33,6 +34,8 @@ class JobConfig:
     trigger_s: float | None = None        # None with available_now=True for replays/tests
     available_now: bool = False
     scorer_factory: Callable[[], object] = StubScorer
+    kafka_brokers: str | None = None      # also publish messages (K1/K6); at-least-once:
+    kafka_topic: str | None = None        # consumers dedupe on the key (stateful.dedupe)
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: JobConfig) -> None:
@@ -48,6 +51,9 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: JobConfig) -> None:
                     .withColumn("model", F.lit(cfg.model))
                     .withColumn("confidence_threshold", F.lit(float(cfg.policy.threshold))))
             parquet_batch_sink(f"{cfg.out_dir}/messages", ("camera_id",))(msgs, batch_id)
+            if cfg.kafka_brokers and cfg.kafka_topic:
+                kafka_batch_write(to_json_value(msgs.drop("processing_node")), cfg.kafka_brokers,
+                                  cfg.kafka_topic)
             parquet_batch_sink(f"{cfg.out_dir}/detections", ("camera_id",))(
                 explode_scored(scored.where(F.col("error").isNull())), batch_id)
             sniff_errors = batch.where(F.col("error").isNotNull()).select(
