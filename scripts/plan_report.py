@@ -26,29 +26,40 @@ def features(plan: str) -> dict:
         + len(re.findall(r"ObjectHashAggregate\(keys=\[[^\]]*\], functions=\[partial_", plan))
         + len(re.findall(r"SortAggregate\(key=\[[^\]]*\], functions=\[partial_", plan)),
         "window_group_limit": plan.count("WindowGroupLimit"),
+        "reused": plan.count("ReusedExchange"),
         "python": len(re.findall(r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython", plan)),
         "pushed_filters": sorted(set(f for f in re.findall(r"PushedFilters: \[([^\]]+)\]", plan))),
         "reads": sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan))),
     }
 
 
+def final_plan(df) -> str:
+    """Run the query on its own QueryExecution so the adaptive plan is final
+    (shows reused exchanges and the runtime join choices)."""
+    df._jdf.queryExecution().toRdd().count()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from sightline.plans import QUERIES
     from sightline.session import get_spark
     spark = get_spark("local[8]", shuffle_partitions=8)
     print(f"# Physical plan summary ({sf})\n")
-    print("Generated by `scripts/plan_report.py` after running each query once, so the plans are the")
-    print("final adaptive plans. Shuffle counts include every hash/range exchange.\n")
-    print("| query | shuffles | single-partition | broadcasts | partial aggs | window-group limits | python ops |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("Generated by `scripts/plan_report.py`. Each query runs once on its own query execution, so")
+    print("these are the final adaptive plans. `shuffles` counts every hash/range/single-partition")
+    print("exchange in the plan text, including the small per-bucket summaries; `reused` counts")
+    print("exchanges Spark reused instead of recomputing. Iterative queries (NMS, tracks, identities)")
+    print("show only their last step: earlier rounds were written as tables.\n")
+    print("| query | shuffles | reused | single-partition | broadcasts | partial aggs | window-group limits | python ops |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     details = []
     for n in sorted(QUERIES):
         df = QUERIES[n](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = final_plan(df)
         f = features(plan)
-        print(f"| {n} | {f['shuffles']} | {f['single_partition']} | {f['broadcasts']} | {f['partial_aggs']} | "
+        print(f"| {n} | {f['shuffles']} | {f['reused']} | {f['single_partition']} | {f['broadcasts']} | {f['partial_aggs']} | "
               f"{f['window_group_limit']} | {f['python']} |")
         details.append((n, f))
     print("\n## Scans (columns read, filters pushed into the Parquet reader)\n")
@@ -56,6 +67,12 @@ def main() -> None:
         reads = "; ".join(f["reads"])
         pushed = "; ".join(f["pushed_filters"]) or "-"
         print(f"- **{n}**: reads `{reads}`; pushed `{pushed}`")
+    print("\n## Final plans of headline queries\n")
+    for n in ("people_per_camera_hour", "running_totals", "iou_pairs", "latency_by_node", "retain_last_n"):
+        df = QUERIES[n](spark, sf)
+        print(f"### {n}\n\n```")
+        print(final_plan(df).rstrip())
+        print("```\n")
     spark.stop()
 
 
