@@ -16,7 +16,12 @@ def _no_coalescing(spark):
     # (and its local shuffle reader would report map-side partition ids)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.adaptive.localShuffleReader.enabled", "false")
+    # and these small "big" sides must not be broadcast, as they would not be at scale
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.adaptive.localShuffleReader.enabled", "true")
 
@@ -63,3 +68,26 @@ def test_exact_median_of_a_hot_key_is_range_split(spark):
     got = {r.k: r.pct for r in exact_percentile(df, ["k"], "v", 0.5).collect()}
     want = {r.k: r.p for r in df.groupBy("k").agg(F.percentile("v", 0.5).alias("p")).collect()}
     assert got == want
+
+
+def test_box_pairs_of_a_crowded_frame_are_spread(spark):
+    from sightline.operators.boxes import iou_pairs
+    n = 3000
+    boxes = (spark.range(n).withColumn("frame_id", F.lit(1))
+             .withColumn("k", F.lit("hot")).withColumnRenamed("id", "det_seq")
+             .withColumn("x1", ((F.col("det_seq") * 37) % 1880).cast("double"))
+             .withColumn("y1", ((F.col("det_seq") * 53) % 1040).cast("double"))
+             .withColumn("x2", F.col("x1") + 40).withColumn("y2", F.col("y1") + 40))
+    pairs = iou_pairs(boxes, ["frame_id"]).withColumn("k", F.lit("hot"))
+    assert _tasks_of_hot(pairs, "iou") > 1
+
+
+def test_asof_of_a_hot_person_is_spread(spark):
+    from sightline.operators.matching import asof_join
+    df = _hot(spark)
+    left = df.where(F.col("id") % 2 == 0).select("k", "id", "ts")
+    right = df.where(F.col("id") % 2 == 1).select("k", F.col("id").alias("rid"), "ts")
+    out = asof_join(left, right, ["k"], "ts", ["rid"])
+    assert _tasks_of_hot(out, "match_rid") > 1
+    got = {r.id: r.match_rid for r in out.collect()}
+    assert all(got[i] == (i - 1 if i > 1 else None) for i in range(0, 20000, 2) if i % 10 != 0 and i > 10)
