@@ -188,3 +188,19 @@ def test_progress_frame_and_backlog(spark, tmp_dir):
     rows = prog.where("input_rows > 0").collect()
     assert sum(r.input_rows for r in rows) == 30 and len(rows) == 3
     assert backlog(prog).count() == prog.count()
+
+
+def test_fan_out_feeds_every_sink_from_one_batch(spark, tmp_dir):
+    from sightline.streaming.sinks import fan_out, parquet_batch_sink
+    df = spark.createDataFrame([("cam1", i) for i in range(10)], "camera_id string, v long")
+    df.coalesce(1).write.parquet(f"{tmp_dir}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/in")
+    run = fan_out({
+        "rows": (lambda b: b, parquet_batch_sink(f"{tmp_dir}/rows")),
+        "counts": (lambda b: b.groupBy("camera_id").count(), parquet_batch_sink(f"{tmp_dir}/counts")),
+    })
+    q = stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{tmp_dir}/ck") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{tmp_dir}/rows").count() == 10
+    assert spark.read.parquet(f"{tmp_dir}/counts").collect()[0]["count"] == 10
