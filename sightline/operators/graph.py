@@ -7,11 +7,11 @@ fixed point every component carries its smallest member id. Pointer
 jumping makes long chains (tracks over many frames) converge in a
 logarithmic number of rounds instead of one round per hop.
 
-Each round is two joins and one aggregation; the label table is
-checkpointed into the shared checkpoint folder every round so the plan
-does not grow and a lost executor only replays one round. (Tables are
-written with ``session.materialize``: Parquet under ``spark.checkpoint.dir``,
-computed once, unlike ``Dataset.checkpoint`` which computes twice.)
+Each round is two joins and one aggregation. The label table of every
+round is written as a Parquet table under ``spark.checkpoint.dir``
+(``session.materialize``: computed once, unlike ``Dataset.checkpoint``,
+which computes twice), so the plan does not grow and a lost executor
+only replays one round.
 """
 
 from __future__ import annotations
