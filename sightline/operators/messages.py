@@ -47,6 +47,35 @@ def build_messages(frames: DataFrame, dets: DataFrame, policy: DetectionPolicy,
     )
 
 
+def build_message_parts(frames: DataFrame, dets: DataFrame, policy: DetectionPolicy,
+                        model: str, max_boxes: int, keys=("frame_id", "camera_id"),
+                        class_names: Column | None = None) -> DataFrame:
+    """P6 with a bounded message size: a frame's boxes are split into parts
+    of at most ``max_boxes`` (by ``det_seq``), so even a frame holding a
+    third of all boxes is assembled by many tasks. Every box is in exactly
+    one part; ``part_no``/``n_parts`` let a consumer reassemble the frame.
+    Frames without boxes get one empty part.
+    """
+    kept = dets.where(policy.predicate()).withColumn(
+        "part_no", F.floor(F.col("det_seq") / F.lit(max_boxes)).cast("long"))
+    parts = kept.groupBy(*keys, "part_no").agg(
+        F.sort_array(F.collect_list(detection_struct(class_names))).alias("detections"))
+    n_parts = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_parts"))
+    msgs = (frames.join(parts, list(keys), "left").join(n_parts, list(keys), "left"))
+    dets_col = F.coalesce(F.col("detections"), F.array().cast(parts.schema["detections"].dataType))
+    return msgs.select(
+        F.col("camera_id"),
+        F.col("frame_id").cast("string").alias("frame_id"),
+        F.coalesce(F.col("part_no"), F.lit(0)).alias("part_no"),
+        F.coalesce(F.col("n_parts"), F.lit(1)).alias("n_parts"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.transform(dets_col, lambda d: d.dropFields("det_seq")).alias("detections"),
+        F.size(dets_col).alias("detection_count"),
+        F.lit(model).alias("model"),
+        F.lit(float(policy.threshold)).alias("confidence_threshold"),
+    )
+
+
 def to_json_value(messages: DataFrame, key_col: str = "frame_id") -> DataFrame:
     """K6: (key, value) pairs for a Kafka sink; value is UTF-8 JSON."""
     fields = [c for c in messages.columns]

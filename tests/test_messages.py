@@ -14,7 +14,7 @@ SAMPLE = {
     "camera_id": "cam1", "frame_id": "offset_123", "timestamp": "2025-01-15T10:30:45.123456",
     "detections": [{"bbox": [272.23, 133.27, 336.24, 295.82], "confidence": 0.89,
                     "class_id": 0, "class_name": "person"}],
-    "detection_count": 1, "model": "yolov8n.pt", "confidence_threshold": 0.5,
+    "detection_count": 1, "model": "nano-detector", "confidence_threshold": 0.5,
     "processing_node": "spark-worker-12345", "processing_time_ms": 156.7,
 }
 
@@ -119,3 +119,17 @@ def test_nested_filter_and_nonempty(spark):
     df = parse_detection_messages(spark.createDataFrame([(json.dumps(SAMPLE),)], "value string"))
     assert nonempty(filter_nested(df, DetectionPolicy(0.9))).count() == 0
     assert nonempty(filter_nested(df, DetectionPolicy(0.5, (0,)))).count() == 1
+
+
+def test_message_parts_bound_the_size_and_keep_every_box(spark):
+    from sightline.operators.messages import build_message_parts
+    frames = spark.createDataFrame([(1, "cam1", "2025-01-01 00:00:00"), (2, "cam1", "2025-01-01 00:00:01")],
+                                   "frame_id long, camera_id string, ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    dets = spark.createDataFrame([(1, "cam1", s, 0.0, 0.0, 1.0, 1.0, 0.9, 0) for s in range(5)],
+                                 "frame_id long, camera_id string, det_seq long, x1 double, y1 double, "
+                                 "x2 double, y2 double, confidence double, class_id int")
+    parts = build_message_parts(frames, dets, DetectionPolicy(0.5), "m", max_boxes=2) \
+        .orderBy("frame_id", "part_no").collect()
+    assert [(p.frame_id, p.part_no, p.n_parts, p.detection_count) for p in parts] == \
+        [("1", 0, 3, 2), ("1", 1, 3, 2), ("1", 2, 3, 1), ("2", 0, 1, 0)]
