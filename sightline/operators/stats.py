@@ -119,17 +119,16 @@ def running_frame_stats(frames_with_counts: DataFrame, part: Sequence[str],
                           {"frame_no": None, "running_detections": F.col(count_col)})
 
 
-def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
-                     out: str = "pct") -> DataFrame:
-    """Exact percentile (linear interpolation between closest ranks) per key,
-    without gathering a key's values in one task.
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
+                      ps: dict[str, float]) -> DataFrame:
+    """Exact percentiles (linear interpolation between closest ranks) per
+    key, several in one pass, without gathering a key's values in one task.
 
     Rows are range-partitioned and sorted by (key, value), so a key with a
     third of all rows spans many partitions. A row's rank within its key is
     its position in the partition (from ``monotonically_increasing_id``)
     plus the key's row count in earlier partitions, taken from a small
-    (partition, key) summary. Only the one or two rows at the target ranks
-    are kept.
+    (partition, key) summary. Only the rows at the target ranks are kept.
     """
     s = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
     srt = (s.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
@@ -140,25 +139,36 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
     total = Window.partitionBy(*keys)
     summary = (summary.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
                .withColumn("_n", F.sum("_c").over(total)))
-    pos = F.lit(float(p)) * (F.col("_n") - 1)
-    ranked = (srt.join(summary, ["_pid", *keys])
-              .withColumn("_rank", F.col("_mid") - F.col("_m0") + F.col("_off"))
-              .withColumn("_lo", F.floor(pos)).withColumn("_hi", F.ceil(pos))
-              .withColumn("_frac", pos - F.floor(pos))
-              .where((F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi"))))
-    g = ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    return g.select(*keys, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))
+    ranked = srt.join(summary, ["_pid", *keys]).withColumn(
+        "_rank", F.col("_mid") - F.col("_m0") + F.col("_off"))
+    pos = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in ps.items()}
+    wanted = None
+    for q in pos.values():
+        hit = (F.col("_rank") == F.floor(q)) | (F.col("_rank") == F.ceil(q))
+        wanted = hit if wanted is None else wanted | hit
+    aggs = []
+    for name, q in pos.items():
+        aggs += [F.max(F.when(F.col("_rank") == F.floor(q), F.col("_v"))).alias(f"_{name}_lo"),
+                 F.max(F.when(F.col("_rank") == F.ceil(q), F.col("_v"))).alias(f"_{name}_hi"),
+                 F.first(q - F.floor(q)).alias(f"_{name}_f")]
+    g = ranked.where(wanted).groupBy(*keys).agg(*aggs)
+    return g.select(*keys, *[(F.col(f"_{n}_lo") + F.col(f"_{n}_f") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")))
+                             .alias(n) for n in ps])
+
+
+def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
+                     out: str = "pct") -> DataFrame:
+    """One exact percentile per key (see ``exact_percentiles``)."""
+    return exact_percentiles(df, keys, value, {out: p})
 
 
 def latency_summary(df: DataFrame, node: Column, value: str) -> DataFrame:
-    """Per-node count, average, maximum and exact median of a latency.
+    """Per-node count, average, maximum, exact median and 95th percentile.
 
-    The mean and maximum are partial aggregates; the median is the
-    sort-based ``exact_percentile`` so a busy node is not one task."""
+    The mean and maximum are partial aggregates; both percentiles come from
+    one sort-based ``exact_percentiles`` pass, so a busy node is not one task."""
     d = df.withColumn("node", node)
     basic = d.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_ms"),
                                   F.max(value).alias("max_ms"))
-    return basic.join(exact_percentile(d, ["node"], value, 0.5, "p50_ms"), "node", "left")
+    pct = exact_percentiles(d, ["node"], value, {"p50_ms": 0.5, "p95_ms": 0.95})
+    return basic.join(pct, "node", "left")
