@@ -128,18 +128,22 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
     has_q = queries is not None          # the closure must not capture a DataFrame
 
     def best(sims, q_ids, c_ids, self_mask):
-        rows_q, rows_n, rows_s = [], [], []
+        """Each row's k best columns, vectorised: a partition finds the
+        k-th best score, every column at least that good is a candidate
+        (ties included), and one global lexsort ranks the candidates."""
         s9 = np.round(sims, 9)
         if self_mask is not None:
             s9 = np.where(self_mask, -np.inf, s9)
         kk = min(k, sims.shape[1])
-        for i in range(sims.shape[0]):
-            order = np.lexsort((c_ids, -s9[i]))[:kk]
-            order = [j for j in order if np.isfinite(s9[i, j])]
-            rows_q.extend([q_ids[i]] * len(order))
-            rows_n.extend(c_ids[order])
-            rows_s.extend(sims[i, order])
-        return rows_q, rows_n, rows_s
+        neg = -s9
+        thr = np.partition(neg, kk - 1, axis=1)[:, kk - 1]
+        r, c = np.nonzero((neg <= thr[:, None]) & np.isfinite(s9))
+        order = np.lexsort((c_ids[c], neg[r, c], r))
+        r, c = r[order], c[order]
+        pos = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+        keep = pos < kk
+        r, c = r[keep], c[keep]
+        return list(q_ids[r]), list(c_ids[c]), list(sims[r, c])
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b, ma, mb, same = _matrices(pdf)
