@@ -121,3 +121,12 @@ def test_approximate_people_within_error(spark):
     assert exact.keys() == approx.keys()
     # HyperLogLog++ default relative standard deviation is 5 %; allow 4 sigma
     assert all(abs(approx[k] - exact[k]) <= max(1, 0.2 * exact[k]) for k in exact)
+
+
+def test_chain_heads_on_long_chains(spark):
+    from sightline.operators.graph import chain_heads
+    links = [(c * 1000 + i, c * 1000 + i + 1) for c, length in enumerate([1, 2, 7, 40]) for i in range(length)]
+    heads = {r.dst: r.head for r in chain_heads(spark.createDataFrame(links, "src long, dst long")).collect()}
+    for c, length in enumerate([1, 2, 7, 40]):
+        for i in range(1, length + 1):
+            assert heads[c * 1000 + i] == c * 1000
