@@ -94,6 +94,36 @@ def test_components_are_order_independent(spark):
     assert labels[0][140] == 100            # a 40-hop chain converges
 
 
+def test_components_need_logarithmic_rounds(spark):
+    """Descending, random-id and star graphs of 2,000 vertices: every label
+    is the least member and the rounds are logarithmic in the size."""
+    import math
+
+    from sightline.operators.graph import component_labels
+    n = 2000
+    rnd = random.Random(5)
+    ids = rnd.sample(range(10 * n), n)
+    shapes = {"descending": [(0, n - 1)] + [(i, i - 1) for i in range(n - 1, 1, -1)],
+              "random ids": list(zip(ids, ids[1:])),
+              "star": [(n // 2, i) for i in range(n) if i != n // 2]}
+    for what, edges in shapes.items():
+        rounds: list[int] = []
+        lab = component_labels(spark.createDataFrame(edges, "src long, dst long"), rounds=rounds).collect()
+        low = min(v for e in edges for v in e)
+        assert len(lab) == n and {r.component for r in lab} == {low}, what
+        assert len(rounds) <= math.log2(n) + 2, (what, rounds)
+        assert all(b < a for a, b in zip(rounds, rounds[1:])), (what, rounds)
+
+
+def test_components_of_text_ids_nulls_and_loops(spark):
+    from sightline.operators.graph import component_labels
+    e = spark.createDataFrame([("b", "a"), ("c", "b"), ("x", "x"), (None, "q"), ("y", "z"), ("y", "z")],
+                              "src string, dst string")
+    assert {(r.v, r.component) for r in component_labels(e).collect()} == {
+        ("a", "a"), ("b", "a"), ("c", "a"), ("y", "y"), ("z", "y")}
+    assert component_labels(e.limit(0)).collect() == []
+
+
 def test_sessions_equal_session_window(spark):
     from sightline.operators.crowd import sessions
     from sightline.sources.tables import sightings
