@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from sightline.llm import bpe, exact_dedup, line_dedup, mixing, simhash
+from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, pii, quality, simhash
 from sightline.llm.common import map_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,48 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix_to_targets(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
                     "copies")
+
+
+@query("op3_ann")
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 3: the 5 nearest of all vectors for every id that 50 divides."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 6 over all documents; a quarter of the ids is held out of the fit."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.held_out("doc_id")
+    m = langid.train(docs.where(~out))
+    p = langid.predict(docs.select("doc_id", "text"), m, keep=["doc_id"])
+    return p.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 7: trained on all documents, scores all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words, net = lm.train(docs)
+    return lm.score(docs, words, net, keep=["doc_id"])
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 9 over all documents; a third of the ids is held out of the fit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.held_out("doc_id")
+    m = quality.train(docs, table(spark, sf_dir, "labels").where(~out))
+    s = quality.score(docs, m, keep=["doc_id"])
+    return s.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 10 over all documents. Counts and digest are those of the rules'
+    spans; ``spans`` holds the added ones too."""
+    p = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("seeds", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
+              for i, k in enumerate(pii.KINDS)]
+    return p.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("seeds")), 256).alias("base_sha256"),
+                    pii.spans_text(F.col("spans")).alias("spans"))
