@@ -36,8 +36,12 @@ def class_dim(spark: SparkSession, names: dict[int, str] | None = None) -> DataF
 def class_name_lookup(spark: SparkSession, df: DataFrame,
                       names: dict[int, str] | None = None) -> DataFrame:
     """Attach ``class_name``; the dimension is a fixed label set, so its
-    broadcast size is bounded by the label count, not by the data."""
-    return df.join(F.broadcast(class_dim(spark, names)), "class_id", "inner")
+    broadcast size is bounded by the label count, not by the data. A class
+    that the set does not have is named ``class_<id>``, a null one is null:
+    no row is lost."""
+    named = df.join(F.broadcast(class_dim(spark, names)), "class_id", "left")
+    return named.withColumn("class_name", F.coalesce(
+        "class_name", F.concat(F.lit("class_"), F.col("class_id").cast("string"))))
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
@@ -46,7 +50,9 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     """Latest-before match: for every left row the right row of the same
     ``by`` key with the greatest ``(ts, tie)`` such that ``ts <= left.ts``.
 
-    Left rows without a match keep NULLs (left outer semantics). Within a
+    Left rows without a match keep NULLs (left outer semantics). A NULL
+    ``by`` or ``ts`` is never equal to or after anything: such left rows
+    keep NULLs and such right rows match nothing. Within a
     bucket (default: the day of ``ts``) the match is a running
     ``last(ignorenulls)``; a left row whose bucket holds no earlier right
     row takes the last right row of the closest earlier bucket, found on a
@@ -56,7 +62,12 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     tie_cols = [tie] if tie else []
     payload = F.struct(*[F.col(c).alias(c) for c in [ts, *tie_cols, *right_cols]])
     lcols = left.columns
-    rt = right.select(*by, F.col(ts), payload.alias("_sl_r")).withColumn("_sl_side", F.lit(0))
+    known = F.lit(True)
+    for c in [*by, ts]:
+        known = known & F.col(c).isNotNull()
+    outside = left.where(~known)
+    left = left.where(known)
+    rt = right.where(known).select(*by, F.col(ts), payload.alias("_sl_r")).withColumn("_sl_side", F.lit(0))
     lt = (left.withColumn("_sl_side", F.lit(1))
           .withColumn("_sl_r", F.lit(None).cast(rt.schema["_sl_r"].dataType)))
     u = lt.unionByName(rt, allowMissingColumns=True).withColumn("_sl_bk", bucket)
@@ -72,7 +83,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], ts: str,
     lefts = inner.where(F.col("_sl_side") == 1)
     j = lefts.join(carry, [*by, "_sl_bk"], "inner")
     m = F.coalesce(F.col("_sl_m"), F.col("_sl_c"))
-    return j.select(*lcols, *[m[c].alias(prefix + c) for c in [ts, *tie_cols, *right_cols]])
+    matched = j.select(*lcols, *[m[c].alias(prefix + c) for c in [ts, *tie_cols, *right_cols]])
+    if not any(f.nullable for f in left.schema.fields if f.name in {*by, ts}):
+        return matched
+    return matched.unionByName(outside, allowMissingColumns=True)
 
 
 def time_gate_pairs(df: DataFrame, key: str, ts: str, horizon_s: int,

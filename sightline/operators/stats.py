@@ -74,14 +74,16 @@ def flushed_totals(windows: DataFrame, keys: Sequence[str] = (), start: str = "w
     """A5: cumulative counter that only includes closed windows.
 
     The last window of each key is still open (a counter flushes only
-    when the next period starts), so it is dropped. The running sum is a
-    window over the per-window table, one row per window, not per event.
+    when the next period starts), so it is dropped. The running sum is split
+    by day, so a key's whole history is not one task.
     """
-    w = Window.partitionBy(*keys).orderBy(start)
-    last = Window.partitionBy(*keys)
-    out = (windows.withColumn("cum_n", F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_last", F.max(start).over(last)))
-    return out.where(F.col(start) < F.col("_last")).drop("_last")
+    out = running_totals(windows, list(keys), [start], F.date_trunc("day", F.col(start)), {"cum_n": F.col(n)})
+    last = windows.groupBy(*keys).agg(F.max(start).alias("_last")) if keys else windows.agg(F.max(start).alias("_last"))
+    match = F.col("_last") > F.col(start)
+    for k in keys:
+        last = last.withColumnRenamed(k, "_last_" + k)
+        match = match & F.col(k).eqNullSafe(F.col("_last_" + k))
+    return out.join(last, match, "left_semi")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -124,38 +126,43 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     """Exact percentiles (linear interpolation between closest ranks) per
     key, several in one pass, without gathering a key's values in one task.
 
-    Rows are range-partitioned and sorted by (key, value), so a key with a
-    third of all rows spans many partitions. A row's rank within its key is
-    its position in the partition (from ``monotonically_increasing_id``)
-    plus the key's row count in earlier partitions, taken from a small
-    (partition, key) summary. Only the rows at the target ranks are kept.
+    Rows are counted per (key, value) before they move. The distinct values
+    are cut into ordered buckets by range of value, and a value's first rank
+    is the running sum of the counts (``running_totals``: per bucket, then
+    stitched), so a key with a third of all rows is spread over its buckets
+    and nothing depends on which partition a row is in. A value that holds a
+    target rank gives it. A NULL key is a key of its own.
     """
-    s = df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
-    srt = (s.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    summary = srt.groupBy("_pid", *keys).agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    total = Window.partitionBy(*keys)
-    summary = (summary.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               .withColumn("_n", F.sum("_c").over(total)))
-    ranked = srt.join(summary, ["_pid", *keys]).withColumn(
-        "_rank", F.col("_mid") - F.col("_m0") + F.col("_off"))
+    s = (df.select(*keys, F.col(value).alias("_v")).where(F.col("_v").isNotNull())
+         .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # buckets of about 0.1 % of the value: monotone, the same for any data
+    v = F.col("_v").cast("double")
+    size = F.when(F.isnan(v), F.lit(1e9)).otherwise(F.floor(F.log2(F.abs(v) + 1) * 512) * F.signum(v))
+    upto = running_totals(s, list(keys), ["_v"], size, {"_upto": F.col("_c")})
+    total = s.groupBy(*[F.col(k).alias("_t_" + k) for k in keys]).agg(F.sum("_c").alias("_n"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_t_" + k))
+    ranked = upto.join(total, same).withColumn("_first", F.col("_upto") - F.col("_c"))
     pos = {name: F.lit(float(p)) * (F.col("_n") - 1) for name, p in ps.items()}
     wanted = None
     for q in pos.values():
-        hit = (F.col("_rank") == F.floor(q)) | (F.col("_rank") == F.ceil(q))
+        hit = _holds(F.floor(q)) | _holds(F.ceil(q))
         wanted = hit if wanted is None else wanted | hit
     aggs = []
     for name, q in pos.items():
-        aggs += [F.max(F.when(F.col("_rank") == F.floor(q), F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(F.col("_rank") == F.ceil(q), F.col("_v"))).alias(f"_{name}_hi"),
+        aggs += [F.max(F.when(_holds(F.floor(q)), F.col("_v"))).alias(f"_{name}_lo"),
+                 F.max(F.when(_holds(F.ceil(q)), F.col("_v"))).alias(f"_{name}_hi"),
                  F.first(q - F.floor(q)).alias(f"_{name}_f")]
     g = ranked.where(wanted).groupBy(*keys).agg(*aggs)
     return g.select(*keys, *[(F.col(f"_{n}_lo") + F.col(f"_{n}_f") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")))
                              .alias(n) for n in ps])
 
 
+def _holds(rank: Column) -> Column:
+    return (F.col("_first") <= rank) & (rank < F.col("_upto"))
+
+
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
                      out: str = "pct") -> DataFrame:
     """One exact percentile per key (see ``exact_percentiles``)."""
@@ -166,9 +173,10 @@ def latency_summary(df: DataFrame, node: Column, value: str) -> DataFrame:
     """Per-node count, average, maximum, exact median and 95th percentile.
 
     The mean and maximum are partial aggregates; both percentiles come from
-    one sort-based ``exact_percentiles`` pass, so a busy node is not one task."""
+    one ``exact_percentiles`` pass, so a busy node is not one task."""
     d = df.withColumn("node", node)
     basic = d.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("avg_ms"),
                                   F.max(value).alias("max_ms"))
     pct = exact_percentiles(d, ["node"], value, {"p50_ms": 0.5, "p95_ms": 0.95})
-    return basic.join(pct, "node", "left")
+    pct = pct.withColumnRenamed("node", "_node")
+    return basic.join(pct, F.col("node").eqNullSafe(F.col("_node")), "left").drop("_node")

@@ -160,3 +160,50 @@ def test_chain_heads_on_long_chains(spark):
     for c, length in enumerate([1, 2, 7, 40]):
         for i in range(1, length + 1):
             assert heads[c * 1000 + i] == c * 1000
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    """Every ordered helper equals a plain window on rows with null keys and
+    null order columns."""
+    from pyspark.sql import Window
+
+    from sightline.operators import stats
+    from sightline.operators.sequence import numbered_runs, running_totals, with_neighbor
+    rnd = random.Random(4)
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([None, *range(60)]), rnd.choice(["x", "y"]), float(i % 7))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "i long, k string, t int, c string, v double")
+    w = Window.partitionBy("k").orderBy("t", "i")
+    bucket = F.floor(F.col("t") / 10)
+    got = running_totals(df, ["k"], ["t", "i"], bucket, {"n": None, "s": F.col("v")})
+    want = df.select("i", F.row_number().over(w).alias("n"), F.sum("v").over(
+        w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+    assert sorted((r.i, r.n, r.s) for r in got.collect()) == sorted((r.i, r.n, r.s) for r in want.collect())
+    for way, fn in (("prev", F.lag), ("next", F.lead)):
+        got = with_neighbor(df, ["k"], ["t", "i"], bucket, ["i", "c"], way)
+        want = df.select("i", fn("i").over(w).alias("o"), fn("c").over(w).alias("oc"))
+        assert (sorted(((r.i, r[f"{way}_i"], r[f"{way}_c"]) for r in got.collect()), key=repr)
+                == sorted(((r.i, r.o, r.oc) for r in want.collect()), key=repr))
+    got = numbered_runs(df, ["k"], ["t", "i"], bucket, ["c"], lambda p, c: p["c"] != c["c"], "run")
+    x = df.withColumn("b", F.coalesce((F.lag("c").over(w) != F.col("c")).cast("int"), F.lit(1)))
+    want = x.select("i", F.sum("b").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    assert sorted((r.i, r.run) for r in got.collect()) == sorted((r.i, r.run) for r in want.collect())
+    pct = {r.k: (r.a, r.b) for r in stats.exact_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.9}).collect()}
+    want = {r.k: (r.a, r.b) for r in df.groupBy("k").agg(
+        F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.9).alias("b")).collect()}
+    assert pct.keys() == want.keys()
+    assert all(abs(p - q) < 1e-9 for k in want for p, q in zip(pct[k], want[k]))
+
+
+def test_asof_keeps_left_rows_with_null_key_or_time(spark):
+    import datetime as dt
+
+    from sightline.operators.matching import asof_join, class_name_lookup
+    t0 = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, "a", t0), (2, None, t0), (3, "a", None), (4, None, None)],
+                                 "i long, k string, ts timestamp_ntz")
+    right = spark.createDataFrame([("a", t0, 7), (None, t0, 8), ("a", None, 9)], "k string, ts timestamp_ntz, v long")
+    got = {r.i: r.match_v for r in asof_join(left, right, ["k"], "ts", ["v"]).collect()}
+    assert got == {1: 7, 2: None, 3: None, 4: None}
+    named = class_name_lookup(spark, spark.createDataFrame([(0,), (9,), (None,)], "class_id int"))
+    assert {(r.class_id, r.class_name) for r in named.collect()} == {(0, "person"), (9, "class_9"), (None, None)}
