@@ -17,6 +17,38 @@ from sightline.operators.filters import DetectionPolicy
 from sightline.sources.envelopes import encode_base64
 
 
+#: Wire form of a message's time.
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def message_columns(detections: Column, policy: DetectionPolicy, model: str, ts: str = "ts") -> list[Column]:
+    """The fields that every published detection message has; the batch
+    builders and the streaming job share them, and
+    ``parse_detection_messages`` reads them back."""
+    return [
+        F.col("camera_id"),
+        F.col("frame_id").cast("string").alias("frame_id"),
+        F.date_format(ts, ISO_MICROS).alias("timestamp"),
+        detections.alias("detections"),
+        F.size(detections).alias("detection_count"),
+        F.lit(model).alias("model"),
+        F.lit(float(policy.threshold)).alias("confidence_threshold"),
+    ]
+
+
+def class_name_of(class_id: Column, names: dict[int, str]) -> Column:
+    """The label of a class id; ``class_<id>`` if it has none."""
+    known = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+    return F.coalesce(F.try_element_at(known, class_id), F.concat(F.lit("class_"), class_id.cast("string")))
+
+
+def scored_messages(scored: DataFrame, policy: DetectionPolicy, model: str, names: dict[int, str]) -> DataFrame:
+    """Messages of scored frames (``scoring.detections_struct``): the shared
+    fields, with what the scorer adds: node, time and error."""
+    dets = F.transform("detections", lambda d: d.withField("class_name", class_name_of(d["class_id"], names)))
+    return scored.select(*message_columns(dets, policy, model), "processing_node", "processing_time_ms", "error")
+
+
 def detection_struct(class_names: Column | None = None) -> Column:
     return F.struct(
         F.col("det_seq").alias("det_seq"),
@@ -36,15 +68,7 @@ def build_messages(frames: DataFrame, dets: DataFrame, policy: DetectionPolicy,
         F.sort_array(F.collect_list(detection_struct(class_names))).alias("detections"))
     msgs = frames.join(per_frame, list(keys), "left")
     dets_col = F.coalesce(F.col("detections"), F.array().cast(per_frame.schema["detections"].dataType))
-    return msgs.select(
-        F.col("camera_id"),
-        F.col("frame_id").cast("string").alias("frame_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.transform(dets_col, lambda d: d.dropFields("det_seq")).alias("detections"),
-        F.size(dets_col).alias("detection_count"),
-        F.lit(model).alias("model"),
-        F.lit(float(policy.threshold)).alias("confidence_threshold"),
-    )
+    return msgs.select(*message_columns(F.transform(dets_col, lambda d: d.dropFields("det_seq")), policy, model))
 
 
 def build_message_parts(frames: DataFrame, dets: DataFrame, policy: DetectionPolicy,
@@ -63,17 +87,9 @@ def build_message_parts(frames: DataFrame, dets: DataFrame, policy: DetectionPol
     n_parts = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_parts"))
     msgs = (frames.join(parts, list(keys), "left").join(n_parts, list(keys), "left"))
     dets_col = F.coalesce(F.col("detections"), F.array().cast(parts.schema["detections"].dataType))
-    return msgs.select(
-        F.col("camera_id"),
-        F.col("frame_id").cast("string").alias("frame_id"),
-        F.coalesce(F.col("part_no"), F.lit(0)).alias("part_no"),
-        F.coalesce(F.col("n_parts"), F.lit(1)).alias("n_parts"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.transform(dets_col, lambda d: d.dropFields("det_seq")).alias("detections"),
-        F.size(dets_col).alias("detection_count"),
-        F.lit(model).alias("model"),
-        F.lit(float(policy.threshold)).alias("confidence_threshold"),
-    )
+    fields = message_columns(F.transform(dets_col, lambda d: d.dropFields("det_seq")), policy, model)
+    return msgs.select(*fields[:2], F.coalesce(F.col("part_no"), F.lit(0)).alias("part_no"),
+                       F.coalesce(F.col("n_parts"), F.lit(1)).alias("n_parts"), *fields[2:])
 
 
 def to_json_value(messages: DataFrame, key_col: str = "frame_id") -> DataFrame:
@@ -89,6 +105,6 @@ def envelope_value(frame_id: Column, ts: Column, payload: Column) -> Column:
     """K7: JSON envelope with a base64 payload."""
     return F.to_json(F.struct(
         frame_id.cast("string").alias("frame_id"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.date_format(ts, ISO_MICROS).alias("timestamp"),
         encode_base64(payload).alias("data"),
     ))

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from sightline.functions.text import NODE_PREFIX
 from sightline.operators.filters import DetectionPolicy
-from sightline.session import default_parallelism, num_partitions
 
 SCORED_SCHEMA = ("camera_id string, frame_id string, ts timestamp_ntz, x1 array<double>, y1 array<double>, "
                  "x2 array<double>, y2 array<double>, confidence array<double>, class_id array<int>, "
@@ -35,21 +34,24 @@ class StubScorer:
 
     Frame ``p`` yields ``len(p) % 4`` boxes; box ``i`` is
     ``[10i, 10i, 10i + 50, 10i + 100]`` with confidence ``0.9 - 0.2 i``
-    and class 0. Bytes that are not a JPEG raise, as a decoder would.
+    and class ``i % classes``. Bytes that are not a JPEG raise, as a decoder would.
     ``score_batch`` is the vectorised form a batching model would offer.
     """
 
+    def __init__(self, classes: int = 1):
+        self.classes = classes
+
     def score(self, payload: bytes):
         if payload is None or payload[:2] != JPEG_MAGIC:
             raise ValueError("payload is not a JPEG image")
         n = len(payload) % 4
         i = np.arange(n, dtype=np.float64)
-        return list(zip(10 * i, 10 * i, 10 * i + 50, 10 * i + 100, 0.9 - 0.2 * i, np.zeros(n, int)))
+        return list(zip(10 * i, 10 * i, 10 * i + 50, 10 * i + 100, 0.9 - 0.2 * i, i % self.classes))
 
     def score_batch(self, payloads):
         """-> (boxes per frame as an (n, 6) array, error text per frame)."""
         out, errs = [], []
-        table = [np.column_stack([10 * i, 10 * i, 10 * i + 50, 10 * i + 100, 0.9 - 0.2 * i, 0 * i])
+        table = [np.column_stack([10 * i, 10 * i, 10 * i + 50, 10 * i + 100, 0.9 - 0.2 * i, i % self.classes])
                  for i in (np.arange(k, dtype=np.float64) for k in range(4))]
         for p in payloads:
             if p is None or p[:2] != JPEG_MAGIC:
@@ -61,21 +63,34 @@ class StubScorer:
         return out, errs
 
 
+class _OneByOne:
+    """A scorer that only scores batches, one frame at a time."""
+
+    def __init__(self, model):
+        self.score_batch = model.score_batch
+
+    def score(self, payload):
+        boxes, errors = self.score_batch([payload])
+        if errors[0]:
+            raise ValueError(errors[0])
+        return boxes[0]
+
+
 def score_frames(frames: DataFrame, scorer_factory: Callable[[], object] = StubScorer,
-                 policy: DetectionPolicy | None = None, min_partitions: int | None = None) -> DataFrame:
+                 policy: DetectionPolicy | None = None, spread_over: int | None = None) -> DataFrame:
     """Frames (camera_id, frame_id, ts, payload) -> one scored row per frame.
 
     Detections come back as parallel arrays; ``detections_struct`` turns
     them into the message form and ``explode_scored`` into one row per box.
-    Scoring is the expensive per-row step, so an input with fewer
-    partitions than ``min_partitions`` (default: the cluster's default
-    parallelism) is spread round-robin first; a well-partitioned source
-    is scored where it lies, without a shuffle.
+    Frames are scored where they lie, without a shuffle. Scoring is the
+    expensive per-row step, so a caller whose source has few partitions may
+    name the number to spread them over round-robin (``spread_over``).
+
+    A batch that the scorer fails on is scored again frame by frame, so the
+    error stays with the frames that cause it.
     """
-    want = min_partitions or default_parallelism(frames.sparkSession)
-    have = num_partitions(frames)
-    if have is not None and have < want:
-        frames = frames.repartition(want)
+    if spread_over:
+        frames = frames.repartition(spread_over)
     policy = policy or DetectionPolicy(0.0)
     thr = float(policy.threshold)
     classes = None if policy.classes is None else set(policy.classes)
@@ -96,12 +111,18 @@ def score_frames(frames: DataFrame, scorer_factory: Callable[[], object] = StubS
         batched = hasattr(model, "score_batch")
         for pdf in batches:
             payloads = list(pdf["payload"])
+            done = False
             if batched:
                 t0 = time.perf_counter()
-                boxes, errs = model.score_batch(payloads)
+                try:
+                    boxes, errs = model.score_batch(payloads)
+                    done = True
+                except Exception:                     # noqa: BLE001 - find the frames that cause it below
+                    if not hasattr(model, "score"):
+                        model = _OneByOne(model)
                 per = (time.perf_counter() - t0) * 1000.0 / max(1, len(payloads))
                 times = [per] * len(payloads)
-            else:
+            if not done:
                 boxes, errs, times = [], [], []
                 for payload in payloads:
                     t0 = time.perf_counter()

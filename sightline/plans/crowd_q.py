@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions.geometry import ground_x, ground_y
 from sightline.operators import crowd, stats
+from sightline.operators.sequence import numbered_runs
 from sightline.operators.stats import elapsed_seconds
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_
@@ -79,12 +80,16 @@ CAMERAS = sorted(set(EVENT_CAMERA.values()) | {OTHER_CAMERA})
 
 @query("flow_pivot", _MOVES + "SELECT src, " + ", ".join(
     f"CAST(coalesce(sum(n_moves) FILTER (WHERE dst = '{c}'), 0) AS BIGINT) AS {c}" for c in CAMERAS)
-    + " FROM edges GROUP BY src")
+    + ", CAST(coalesce(sum(n_moves) FILTER (WHERE dst NOT IN (" + ", ".join(f"'{c}'" for c in CAMERAS)
+    + ")), 0) AS BIGINT) AS other FROM edges GROUP BY src")
 def flow_pivot(spark, sf):
     """The flow matrix as one row per source camera. The pivot values
-    are given, so Spark does not run a job to discover them."""
-    p = _edges(spark, sf).groupBy("src").pivot("dst", CAMERAS).agg(F.sum("n_moves"))
-    return p.select("src", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in CAMERAS])
+    are given, so Spark does not run a job to discover them; moves to any
+    other camera are counted as ``other``."""
+    names = [*CAMERAS, "other"]
+    dst = F.when(F.col("dst").isin(CAMERAS), F.col("dst")).otherwise(F.lit("other"))
+    p = _edges(spark, sf).withColumn("dst", dst).groupBy("src").pivot("dst", names).agg(F.sum("n_moves"))
+    return p.select("src", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in names])
 
 
 @query("two_hop_paths", _MOVES + """
@@ -135,6 +140,17 @@ def trajectories(spark, sf):
     return _legs(spark, sf)
 
 
+@query("trajectory_points", _MOVES + _islands_sql(False, "leg_no") + """
+SELECT global_id, leg_no, event_id, camera_id, ts, confidence, position_id FROM numbered""")
+def trajectory_points(spark, sf):
+    """V8 with every sighting of a leg: its record, time and place, one row
+    each, so nothing is gathered."""
+    s = sightings(spark, sf)
+    return numbered_runs(s, ["global_id"], ["ts", "event_id"], F.date_trunc("day", F.col("ts")), ["camera_id"],
+                         lambda p, c: p["camera_id"] != c["camera_id"], "leg_no").select(
+        "global_id", "leg_no", "event_id", "camera_id", "ts", "confidence", "position_id")
+
+
 @query("top_routes", _LEGS + """
 , routes AS (SELECT a.global_id, a.camera_id || '>' || b.camera_id || '>' || c.camera_id AS route
              FROM legs a JOIN legs b ON a.global_id = b.global_id AND b.leg_no = a.leg_no + 1

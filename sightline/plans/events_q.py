@@ -10,7 +10,7 @@ from sightline.operators import stats
 from sightline.operators.matching import asof_join
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_
-from sightline.sources.tables import sightings, table
+from sightline.sources.tables import camera_of, sightings, table
 
 _HOURLY_SQL = S_ + """, hourly AS (
   SELECT camera_id, time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
@@ -117,14 +117,19 @@ def backlog_per_window(spark, sf):
     return per_day.withColumn("running_backlog", F.sum("backlog").over(w).cast("long"))
 
 
-@query("asof_latest_frame", S_ + """
-SELECT l.event_id, l.global_id, l.ts, r.event_id AS match_event_id, r.ts AS match_ts,
-       r.camera_id AS match_camera_id
-FROM (SELECT * FROM sightings WHERE camera_id = 'cam4') l
-ASOF LEFT JOIN (SELECT * FROM sightings WHERE camera_id = 'cam2') r
-  ON l.global_id = r.global_id AND l.ts >= r.ts""")
+_ASOF_SQL = """
+WITH e AS (SELECT event_id, 'cam' || CAST(user_id % 7 + 1 AS VARCHAR) AS camera_id, ts FROM events),
+r AS (SELECT camera_id, ts, max(event_id) AS event_id FROM e WHERE event_id % 2 = 0 GROUP BY camera_id, ts)
+SELECT l.event_id, l.camera_id, l.ts, r.event_id AS match_event_id, r.ts AS match_ts
+FROM (SELECT * FROM e WHERE event_id % 2 = 1) l ASOF LEFT JOIN r ON l.camera_id = r.camera_id AND l.ts >= r.ts"""
+
+
+@query("asof_latest_frame", _ASOF_SQL)
 def asof_latest_frame(spark, sf):
-    s = sightings(spark, sf).select("event_id", "global_id", "camera_id", "ts")
-    left = s.where(F.col("camera_id") == "cam4").select("event_id", "global_id", "ts")
-    right = s.where(F.col("camera_id") == "cam2")
-    return asof_join(left, right, ["global_id"], "ts", ["event_id", "camera_id"])
+    """Every event is a frame (even ids) or a detection (odd ids) of the
+    camera of its user; a detection takes its camera's latest frame, of
+    equal times the one with the higher id."""
+    e = table(spark, sf, "events").select("event_id", camera_of(F.col("user_id")).alias("camera_id"), "ts")
+    left, right = e.where(F.col("event_id") % 2 == 1), e.where(F.col("event_id") % 2 == 0)
+    return asof_join(left, right, ["camera_id"], "ts", [], tie="event_id").select(
+        "event_id", "camera_id", "ts", "match_event_id", "match_ts")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sightline.functions.geometry import ground_x, ground_y
 from sightline.operators import identity as ID
+from sightline.operators.stats import elapsed_seconds
 from sightline.plans.registry import query
-from sightline.plans.sql_views import V_
+from sightline.plans.sql_views import S_, V_
 from sightline.session import materialize
-from sightline.sources.tables import vectors
+from sightline.sources.tables import sightings, vectors
 
 _NORMS = V_ + """, normed AS (
   SELECT vec_id, camera_id, embedding,
@@ -53,7 +55,7 @@ def reid_similarity_pairs(spark, sf):
 
 
 def _knn_sql(k: int) -> str:
-    return f""", knn AS (
+    return f""", knn AS MATERIALIZED (
   SELECT * FROM (
     SELECT a.vec_id, b.vec_id AS nbr_id, {_SIM} AS sim,
            CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round({_SIM}, 9) DESC, b.vec_id) AS BIGINT) AS rank
@@ -70,7 +72,7 @@ def embedding_topk(spark, sf):
 
 @query("k_reciprocal", _NORMS + _knn_sql(RERANK_K) + """
 SELECT f.vec_id AS a, f.nbr_id AS b, round(f.sim, 6) AS sim FROM knn f
-WHERE f.vec_id < f.nbr_id AND EXISTS (SELECT 1 FROM knn r WHERE r.vec_id = f.nbr_id AND r.nbr_id = f.vec_id)""")
+JOIN knn r ON r.vec_id = f.nbr_id AND r.nbr_id = f.vec_id WHERE f.vec_id < f.nbr_id""")
 def k_reciprocal(spark, sf):
     k = ID.top_k(vectors(spark, sf), "vec_id", "embedding", RERANK_K)
     return ID.k_reciprocal(k).select("a", "b", F.round("sim", 6).alias("sim"))
@@ -122,3 +124,36 @@ def global_id_confidence(spark, sf):
     c = ID.assignment_confidence(comp, pairs)
     return c.select("vec_id", "global_id", "n_edges", F.round("min_sim", 6).alias("min_sim"),
                     F.round("avg_sim", 6).alias("avg_sim"))
+
+
+# Fixed parameters (our choice): a week between two sightings, and a walk of
+# at most 0.0002 m/s between their places.
+GATE_DAYS, GATE_VMAX = 7, 0.0002
+_GX = "(-3.0 + 0.025 * ({p} % 480))"
+_GY = "(-9.0 + 0.025 * floor({p} / 480))"
+
+
+@query("gated_identity_pairs", _NORMS + _pairs_sql(PAIR_T) + ", " + S_.strip()[len("WITH "):] + f"""
+, g AS (SELECT p.vec_id_a, p.vec_id_b, p.sim, abs(epoch_us(b.ts) - epoch_us(a.ts)) / 1e6 AS dt_s,
+               sqrt(power({_GX.format(p='b.position_id')} - {_GX.format(p='a.position_id')}, 2)
+                  + power({_GY.format(p='b.position_id')} - {_GY.format(p='a.position_id')}, 2)) AS dist_m
+        FROM pairs p JOIN sightings a ON a.event_id = p.vec_id_a JOIN sightings b ON b.event_id = p.vec_id_b)
+SELECT vec_id_a, vec_id_b, round(sim, 6) AS sim, round(dt_s, 6) AS dt_s, round(dist_m, 6) AS dist_m
+FROM g WHERE dt_s > 0 AND dt_s <= {GATE_DAYS * 86400} AND dist_m <= {GATE_VMAX} * dt_s""")
+def gated_identity_pairs(spark, sf):
+    """J7 on candidates: pairs of similar vectors on different cameras whose
+    sightings (a vector's id is its sighting's) one person could both have
+    made. Both joins are on the id."""
+    pairs = ID.similar_pairs(vectors(spark, sf), "vec_id", "embedding", "camera_id", PAIR_T)
+    s = sightings(spark, sf).select("event_id", "ts", "position_id")
+    for side in ("a", "b"):
+        pairs = pairs.join(s.select(F.col("event_id").alias(f"vec_id_{side}"), F.col("ts").alias(f"ts_{side}"),
+                                    F.col("position_id").alias(f"place_{side}")), f"vec_id_{side}")
+    dt = F.abs(elapsed_seconds(F.col("ts_a"), F.col("ts_b")))
+    dx = ground_x(F.col("place_b")) - ground_x(F.col("place_a"))
+    dy = ground_y(F.col("place_b")) - ground_y(F.col("place_a"))
+    g = pairs.withColumn("dt_s", dt).withColumn("dist_m", F.sqrt(dx * dx + dy * dy))
+    g = g.where((F.col("dt_s") > 0) & (F.col("dt_s") <= GATE_DAYS * 86400)
+                & (F.col("dist_m") <= GATE_VMAX * F.col("dt_s")))
+    return g.select("vec_id_a", "vec_id_b", F.round("sim", 6).alias("sim"), F.round("dt_s", 6).alias("dt_s"),
+                    F.round("dist_m", 6).alias("dist_m"))

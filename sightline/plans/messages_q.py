@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sightline.operators import filters
-from sightline.operators.messages import build_messages, envelope_value, to_json_value
+from sightline.operators.matching import CLASS_NAMES
+from sightline.operators.messages import (build_message_parts, build_messages, class_name_of, envelope_value,
+                                          to_json_value)
 from sightline.plans.registry import query
 from sightline.plans.sql_views import FD, with_views
-from sightline.sources import envelopes, files
+from sightline.sources import envelopes
 from sightline.sources.tables import detections, frames, kafka_records, table
 
 # Kafka-shaped view of events for the oracle (mirrors tables.kafka_records).
@@ -41,12 +43,47 @@ def json_envelope_parse(spark, sf):
     return parsed.select("frame_id", "frame_ts", F.decode("payload", "UTF-8").alias("payload_text"))
 
 
-@query("detection_message_parse", """
-SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+_NAMES_SQL = "CASE class_id WHEN 0 THEN 'person' WHEN 1 THEN 'bag' WHEN 2 THEN 'bicycle' END"
+
+
+def _frames(spark, sf):
+    return frames(spark, sf).select("frame_id", "camera_id", "ts")
+
+
+@query("detection_message_parse", FD + f"""
+, kept AS (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY det_seq) - 1 AS pos,
+                  count(*) OVER (PARTITION BY frame_id) AS n FROM detections WHERE confidence >= 0.5)
+SELECT CAST(f.frame_id AS VARCHAR) AS frame_id, f.camera_id, CAST(f.ts AS TIMESTAMP) AS ts,
+       CAST(coalesce(k.n, 0) AS INTEGER) AS detection_count, CAST(k.pos AS INTEGER) AS pos,
+       k.x1, k.y2, k.confidence, k.class_id, {_NAMES_SQL.replace('class_id', 'k.class_id')} AS class_name
+FROM frames f LEFT JOIN kept k ON f.frame_id = k.frame_id""")
 def detection_message_parse(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "props")
-    parsed = ev.withColumn("m", F.from_json("props", "k int"))
-    return parsed.select("event_id", F.col("m.k").alias("k"))
+    """Messages of all frames, published as JSON and parsed again, one
+    row per detection (frames without any keep one row)."""
+    msgs = build_messages(_frames(spark, sf), detections(spark, sf), filters.DetectionPolicy(0.5), "stub-v1",
+                          class_names=class_name_of(F.col("class_id"), CLASS_NAMES))
+    back = envelopes.parse_detection_messages(to_json_value(msgs), "value")
+    one = back.select("frame_id", "camera_id", "ts", "detection_count",
+                      F.posexplode_outer("detections").alias("pos", "d"))
+    return one.select("frame_id", "camera_id", "ts", "detection_count", "pos",
+                      F.get(F.col("d.bbox"), 0).alias("x1"), F.get(F.col("d.bbox"), 3).alias("y2"),
+                      F.col("d.confidence").alias("confidence"), F.col("d.class_id").alias("class_id"),
+                      F.col("d.class_name").alias("class_name"))
+
+
+@query("detection_message_parts", FD + """
+, kept AS (SELECT *, CAST(floor(det_seq / 3) AS BIGINT) AS part_no FROM detections WHERE confidence >= 0.5),
+parts AS (SELECT frame_id, part_no, CAST(count(*) AS INTEGER) AS n, arg_min(x2, det_seq) AS first_x2
+          FROM kept GROUP BY frame_id, part_no),
+n AS (SELECT frame_id, count(*) AS n_parts FROM parts GROUP BY frame_id)
+SELECT CAST(f.frame_id AS VARCHAR) AS frame_id, f.camera_id, coalesce(p.part_no, 0) AS part_no,
+       coalesce(n.n_parts, 1) AS n_parts, coalesce(p.n, 0) AS detection_count, p.first_x2
+FROM frames f LEFT JOIN parts p ON f.frame_id = p.frame_id LEFT JOIN n ON f.frame_id = n.frame_id""")
+def detection_message_parts(spark, sf):
+    """P6 in messages of at most 3 boxes: no frame is gathered as a whole."""
+    m = build_message_parts(_frames(spark, sf), detections(spark, sf), filters.DetectionPolicy(0.5), "stub-v1", 3)
+    return m.select("frame_id", "camera_id", "part_no", "n_parts", "detection_count",
+                    F.get(F.get(F.col("detections"), 0)["bbox"], 2).alias("first_x2"))
 
 
 @query("detection_message_emit", FD + """
@@ -88,42 +125,25 @@ def envelope_roundtrip(spark, sf):
                     (back == F.col("text")).alias("roundtrip_ok"))
 
 
-@query("missing_field_defaults", """
-SELECT event_id, coalesce(json_extract_string(props, '$.class_name'), 'person') AS class_name,
-       CAST(coalesce(json_array_length(json_extract(props, '$.detections')), 0) AS INTEGER) AS n_detections,
-       CAST(json_extract(props, '$.k') AS INTEGER) AS k
-FROM events""")
+@query("missing_field_defaults", FD + """
+, kept AS (SELECT * FROM detections WHERE confidence >= 0.5)
+SELECT CAST(f.frame_id AS VARCHAR) AS frame_id, CAST(count(k.det_seq) AS INTEGER) AS detection_count,
+       CAST(count(k.det_seq) AS INTEGER) AS n_detections,
+       CAST(count(k.det_seq) FILTER (WHERE f.frame_id % 3 = 1 OR k.class_id = 0) AS INTEGER) AS n_person
+FROM frames f LEFT JOIN kept k ON f.frame_id = k.frame_id GROUP BY f.frame_id""")
 def missing_field_defaults(spark, sf):
-    ev = table(spark, sf, "events").select("event_id", "props")
-    m = F.from_json("props", "class_name string, detections array<string>, k int")
-    return ev.withColumn("m", m).select(
-        "event_id",
-        F.coalesce(F.col("m.class_name"), F.lit("person")).alias("class_name"),
-        F.size(F.coalesce(F.col("m.detections"), F.array().cast("array<string>"))).alias("n_detections"),
-        F.col("m.k").alias("k"),
-    )
-
-
-@query("error_split", KAFKA_SQL + """
-SELECT CASE WHEN event_type = 'error' THEN 'errors' ELSE 'messages' END AS output,
-       regexp_extract(topic, '^(cam\\d+)', 1) AS camera_id,
-       CAST(count(*) AS BIGINT) AS n_rows,
-       CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) AS BIGINT) AS n_detections
-FROM records GROUP BY 1, 2""")
-def error_split(spark, sf):
-    rec = kafka_records(spark, sf)
-    scored = rec.select(
-        files.camera_of_topic(F.col("topic")).alias("camera_id"),
-        F.when(F.col("event_type") == "error",
-               F.concat(F.lit("scoring failed at offset "), F.col("offset").cast("string"))).alias("error"),
-        F.when(F.col("event_type") == "error", F.lit(0)).otherwise(F.lit(1)).alias("detection_count"))
-    good, bad = filters.split_errors(scored)
-
-    def summary(df, name):
-        return df.groupBy("camera_id").agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum("detection_count").cast("long").alias("n_detections")).withColumn("output", F.lit(name))
-    return summary(bad, "errors").unionByName(summary(good, "messages"))
+    """messages of all frames with fields left out: every third frame
+    has no class names, every third no count, and frames without boxes no
+    list."""
+    frame = F.col("frame_id").cast("long")
+    name = F.when(F.col("frame_id") % 3 != 1, class_name_of(F.col("class_id"), CLASS_NAMES))
+    msgs = build_messages(_frames(spark, sf), detections(spark, sf), filters.DetectionPolicy(0.5), "stub-v1",
+                          class_names=name)
+    gaps = (msgs.withColumn("detections", F.when(F.size("detections") > 0, F.col("detections")))
+            .withColumn("detection_count", F.when(frame % 3 != 0, F.col("detection_count"))))
+    back = envelopes.parse_detection_messages(to_json_value(gaps), "value")
+    return back.select("frame_id", "detection_count", F.size("detections").alias("n_detections"),
+                       F.size(F.filter("detections", lambda d: d["class_name"] == "person")).alias("n_person"))
 
 
 @query("regex_id_patch", KAFKA_SQL + """

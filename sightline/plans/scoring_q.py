@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sightline.operators import filters
 from sightline.operators.filters import DetectionPolicy
 from sightline.operators.scoring import StubScorer, detections_struct, score_frames
 from sightline.plans.registry import query
@@ -13,22 +14,54 @@ from sightline.sources.tables import frames
 
 def frame_payloads(f):
     """Frame bytes for the stub scorer: a JPEG start marker followed by
-    ``frame_id % 7`` filler bytes (the test tables carry no images)."""
+    ``frame_id % 7`` filler bytes (the test tables carry no images). Every
+    11th frame has no such marker, so scoring it fails."""
     filler = F.encode(F.expr("repeat('x', CAST(pmod(frame_id, 7) AS INT))"), "UTF-8")
-    return f.withColumn("payload", F.concat(F.unhex(F.lit("FFD8")), filler))
+    start = F.when(F.col("frame_id") % 11 == 0, F.unhex(F.lit("0000"))).otherwise(F.unhex(F.lit("FFD8")))
+    return f.withColumn("payload", F.concat(start, filler))
 
 
-@query("scored_frames", F_ + """
-SELECT camera_id, CAST(frame_id AS VARCHAR) AS frame_id,
-       CAST((2 + frame_id % 7) % 4 AS INTEGER) AS detection_count,
-       CAST(CASE (2 + frame_id % 7) % 4 WHEN 0 THEN 0.0 WHEN 1 THEN 0.9 WHEN 2 THEN 1.6 ELSE 2.1 END AS DOUBLE) AS total_confidence,
-       CAST(NULL AS VARCHAR) AS error
-FROM frames""")
-def scored_frames(spark, sf):
+def two_class_scorer():
+    return StubScorer(classes=2)
+
+
+def scored(spark, sf):
+    """Every frame scored: boxes of class 0 with a confidence of 0.6 or more
+    stay; of a frame's 0.9 (class 0), 0.7 (class 1), 0.5 (class 0) the first."""
     f = frame_payloads(frames(spark, sf).select("camera_id", "frame_id", "ts"))
-    scored = score_frames(f, StubScorer, DetectionPolicy(0.5, (0,)))
-    msgs = detections_struct(scored)
+    return score_frames(f, two_class_scorer, DetectionPolicy(0.6, (0,)))
+
+
+SCORED_ = F_ + """, scored AS (
+  SELECT camera_id, frame_id,
+         CASE WHEN frame_id % 11 = 0 OR (2 + frame_id % 7) % 4 = 0 THEN 0 ELSE 1 END AS kept,
+         CASE WHEN frame_id % 11 = 0 THEN 'ValueError: payload is not a JPEG image' END AS error
+  FROM frames)
+"""
+
+
+@query("scored_frames", SCORED_ + """
+SELECT camera_id, CAST(frame_id AS VARCHAR) AS frame_id, CAST(kept AS INTEGER) AS detection_count,
+       CAST(0.9 * kept AS DOUBLE) AS total_confidence, error
+FROM scored""")
+def scored_frames(spark, sf):
+    msgs = detections_struct(scored(spark, sf))
     return msgs.select("camera_id", "frame_id", "detection_count",
                        F.round(F.aggregate(F.transform("detections", lambda d: d["confidence"]),
                                            F.lit(0.0), lambda a, x: a + x), 6).alias("total_confidence"),
                        "error")
+
+
+@query("error_split", SCORED_ + """
+SELECT CASE WHEN error IS NULL THEN 'messages' ELSE 'errors' END AS output, camera_id,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(kept) AS BIGINT) AS n_detections
+FROM scored GROUP BY 1, 2""")
+def error_split(spark, sf):
+    """messages and errors of the scored frames, counted per camera."""
+    good, bad = filters.split_errors(detections_struct(scored(spark, sf)))
+
+    def summary(df, name):
+        return df.groupBy("camera_id").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("detection_count").cast("long").alias("n_detections")).withColumn("output", F.lit(name))
+    return summary(bad, "errors").unionByName(summary(good, "messages"))

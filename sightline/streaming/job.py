@@ -12,17 +12,19 @@ driver restarts and lost executors.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sightline.operators.filters import DetectionPolicy
-from sightline.operators.messages import to_json_value
+from sightline.operators.filters import nonempty
+from sightline.operators.matching import CLASS_NAMES
+from sightline.operators.messages import scored_messages, to_json_value
 from sightline.operators.scoring import StubScorer, detections_struct, explode_scored, score_frames
 from sightline.sources.envelopes import sniff_frames
-from sightline.streaming.sinks import kafka_batch_write, parquet_batch_sink
+from sightline.streaming.sinks import console_batch_sink, kafka_batch_write, parquet_batch_sink
 
 
 @dataclass
@@ -36,6 +38,10 @@ class JobConfig:
     scorer_factory: Callable[[], object] = StubScorer
     kafka_brokers: str | None = None      # also publish messages (K1/K6); at-least-once:
     kafka_topic: str | None = None        # consumers dedupe on the key (stateful.dedupe)
+    class_names: dict[int, str] = field(default_factory=lambda: dict(CLASS_NAMES))
+    only_nonempty: bool = False           # publish only messages with detections (K4)
+    monitor_rows: int = 0                 # show the first rows of every batch on the console (K2)
+    publish: Callable[[DataFrame, str, str], None] = kafka_batch_write
 
 
 def process_batch(batch: DataFrame, batch_id: int, cfg: JobConfig) -> None:
@@ -47,13 +53,14 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: JobConfig) -> None:
                               .withColumn("frame_id", F.coalesce("frame_id", "_fk")),
                               cfg.scorer_factory, cfg.policy).persist()
         try:
-            msgs = (detections_struct(scored)
-                    .withColumn("model", F.lit(cfg.model))
-                    .withColumn("confidence_threshold", F.lit(float(cfg.policy.threshold))))
+            msgs = scored_messages(detections_struct(scored), cfg.policy, cfg.model, cfg.class_names)
             parquet_batch_sink(f"{cfg.out_dir}/messages", ("camera_id",))(msgs, batch_id)
             if cfg.kafka_brokers and cfg.kafka_topic:
-                kafka_batch_write(to_json_value(msgs.drop("processing_node")), cfg.kafka_brokers,
-                                  cfg.kafka_topic)
+                out = nonempty(msgs) if cfg.only_nonempty else msgs
+                cfg.publish(to_json_value(out), cfg.kafka_brokers, cfg.kafka_topic)
+            if cfg.monitor_rows:
+                console_batch_sink(cfg.monitor_rows)(
+                    msgs.select("camera_id", "frame_id", "detection_count", "processing_time_ms", "error"), batch_id)
             parquet_batch_sink(f"{cfg.out_dir}/detections", ("camera_id",))(
                 explode_scored(scored.where(F.col("error").isNull())), batch_id)
             sniff_errors = batch.where(F.col("error").isNotNull()).select(

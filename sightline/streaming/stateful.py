@@ -4,8 +4,10 @@ Window aggregations use watermarks so state is dropped once a window
 closes. Logic that depends on arrival order (the exact 1 s FPS flush,
 latest-frame matching, per-camera track ids) is keyed state in
 ``applyInPandasWithState``: the state per key is a few numbers or the
-currently active tracks, never the history, and each call sees only the
-key's rows of one micro-batch.
+currently active tracks, never the history. Spark hands a key's rows of one
+micro-batch over in Arrow batches of ``maxRecordsPerBatch`` rows; they are
+put together before they are ordered, so results do not depend on that
+size. A micro-batch is bounded by the source's per-trigger cap.
 """
 
 from __future__ import annotations
@@ -45,10 +47,34 @@ def dedupe(stream: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> D
     return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
+ACTIVE_OUT = "global_id string, last_ts timestamp, last_camera_id string"
+ACTIVE_STATE = "last_ts timestamp, last_camera_id string"
+
+
 def active_persons(stream: DataFrame, ts: str = "ts", watermark: str = "24 hours") -> DataFrame:
-    """Latest camera and time per person (update mode)."""
-    return (stream.withWatermark(ts, watermark).groupBy("global_id")
-            .agg(F.max(ts).alias("last_ts"), F.max_by("camera_id", F.col(ts)).alias("last_camera_id")))
+    """Latest camera and time per person (update mode). Of equal times
+    the camera that sorts last counts. A person whose last sighting is older
+    than the watermark leaves the state, and comes back with the next one."""
+    def fn(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = tuple(state.get) if state.exists else None
+        for pdf in pdfs:
+            for r in pdf[["ts", "camera_id"]].dropna(subset=["ts"]).itertuples(index=False):
+                now = (pd.Timestamp(r.ts), r.camera_id)
+                if best is None or (now[0], now[1] or "") > (pd.Timestamp(best[0]), best[1] or ""):
+                    best = now
+        if best is None:
+            return
+        state.update(best)
+        last_ms = int(pd.Timestamp(best[0]).value // 1_000_000)
+        state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame([(k[0], *best)], columns=["global_id", "last_ts", "last_camera_id"])
+
+    return (stream.withWatermark(ts, watermark).select("global_id", F.col(ts).alias("ts"), "camera_id")
+            .groupBy("global_id")
+            .applyInPandasWithState(fn, ACTIVE_OUT, ACTIVE_STATE, "update", GroupStateTimeout.EventTimeTimeout))
 
 
 def crowd_alerts(stream: DataFrame, ts: str, width: str, watermark: str, limit: int) -> DataFrame:
@@ -57,6 +83,11 @@ def crowd_alerts(stream: DataFrame, ts: str, width: str, watermark: str, limit:
     return c.where(F.col("n") >= limit)
 
 
+def _in_order(pdfs: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
+    """All rows of a key's micro-batch, ordered; ties keep their order."""
+    return pd.concat(list(pdfs), ignore_index=True).sort_values(by, kind="stable")
+
+
 # ------------------------------------------------------------ A4(b) / R6
 
 FPS_OUT = "camera_id string, flush_ts timestamp, n long, fps double, cumulative long"
@@ -73,17 +104,16 @@ def fps_flush(stream: DataFrame, key: str = "camera_id", ts: str = "ts",
     def fn(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         start, n, cum = state.get if state.exists else (None, 0, 0)
         out = []
-        for pdf in pdfs:
-            for t in pdf.sort_values(ts)[ts]:
-                sec = pd.Timestamp(t).value / 1e9
-                if start is None:
-                    start = sec
-                n += 1
-                elapsed = sec - start
-                if elapsed > interval_s:
-                    cum += n
-                    out.append((k[0], pd.Timestamp(t), n, n / elapsed, cum))
-                    n, start = 0, sec
+        for t in _in_order(pdfs, [ts])[ts]:
+            sec = pd.Timestamp(t).value / 1e9
+            if start is None:
+                start = sec
+            n += 1
+            elapsed = sec - start
+            if elapsed > interval_s:
+                cum += n
+                out.append((k[0], pd.Timestamp(t), n, n / elapsed, cum))
+                n, start = 0, sec
         state.update((start, n, cum))
         yield pd.DataFrame(out, columns=["camera_id", "flush_ts", "n", "fps", "cumulative"])
 
@@ -111,12 +141,11 @@ def latest_frame_match(frames: DataFrame, dets: DataFrame) -> DataFrame:
     def fn(k, pdfs, state: GroupState):
         cur = state.get if state.exists else (None, None, None)
         out = []
-        for pdf in pdfs:
-            for r in pdf.sort_values(["ts", "side", "offset"]).itertuples(index=False):
-                if r.side == 0:
-                    cur = (r.id, r.ts, int(r.offset))
-                else:
-                    out.append((k[0], r.id, r.ts, cur[0], cur[1]))
+        for r in _in_order(pdfs, ["ts", "side", "offset"]).itertuples(index=False):
+            if r.side == 0:
+                cur = (r.id, r.ts, int(r.offset))
+            else:
+                out.append((k[0], r.id, r.ts, cur[0], cur[1]))
         if cur[0] is not None:
             state.update(cur)
         yield pd.DataFrame(out, columns=["camera_id", "det_key", "det_ts", "frame_id", "frame_ts"])
@@ -161,9 +190,8 @@ def local_track_ids(dets: DataFrame, iou_threshold: float = 0.3, grace_frames: i
             tracks = {"ids": list(ids), "box": [list(b) for b in zip(x1, y1, x2, y2)], "last": list(last)}
         else:
             nid, tracks = 0, {"ids": [], "box": [], "last": []}
-        rows = pd.concat(list(pdfs), ignore_index=True)
         out = []
-        for fid, frame in rows.sort_values(["frame_id", "det_seq"]).groupby("frame_id", sort=True):
+        for fid, frame in _in_order(pdfs, ["frame_id", "det_seq"]).groupby("frame_id", sort=True):
             keep = [i for i, l in enumerate(tracks["last"]) if fid - l <= grace_frames]
             tracks = {c: [tracks[c][i] for i in keep] for c in tracks}
             boxes = frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)

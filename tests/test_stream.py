@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sightline.operators.scoring import StubScorer
 from sightline.operators.stats import tumbling_rate
 from sightline.sources.tables import sightings
 from sightline.streaming import stateful
@@ -204,3 +205,91 @@ def test_fan_out_feeds_every_sink_from_one_batch(spark, tmp_dir):
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_dir}/rows").count() == 10
     assert spark.read.parquet(f"{tmp_dir}/counts").collect()[0]["count"] == 10
+
+
+def test_order_does_not_depend_on_arrow_batches(spark, tmp_dir):
+    """One camera's rows come in several Arrow batches of a micro-batch; the
+    flush and the match equal those of one batch."""
+    import random
+    rnd = random.Random(1)
+    t = sorted(rnd.random() * 30 for _ in range(200))
+    rnd.shuffle(t)
+    df = spark.createDataFrame([("cam1", x, i) for i, x in enumerate(t)], "camera_id string, s double, i long") \
+        .withColumn("ts", F.timestamp_micros((F.col("s") * 1e6).cast("long"))).withColumn("offset", F.col("i")) \
+        .withColumn("frame_id", F.col("i").cast("string")).withColumn("det_key", F.col("i").cast("string"))
+    df.coalesce(1).write.parquet(f"{tmp_dir}/o")
+    keep = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = []
+    try:
+        for size in ("5", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/o")
+            fps = _drain(spark, stateful.fps_flush(stream), f"fps{size}").collect()
+            m = _drain(spark, stateful.latest_frame_match(stream.where("i % 2 = 0"), stream.where("i % 2 = 1")), f"m{size}").collect()
+            got.append((sorted(map(tuple, fps)), sorted(map(tuple, m))))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", keep)
+    assert got[0] == got[1]
+    fps, m = got[0]
+    # batch twin of the flush
+    rows, start, n, cum = [], None, 0, 0
+    for x in sorted(int(v * 1e6) for v in t):
+        start = x if start is None else start
+        n += 1
+        if x - start > 1_000_000:
+            cum += n
+            rows.append((n, cum))
+            start, n = x, 0
+    assert [(r[2], r[4]) for r in fps] == rows
+    last = {}
+    frames = sorted((int(x * 1e6), str(i)) for i, x in enumerate(t) if i % 2 == 0)
+    for i, x in enumerate(t):
+        if i % 2:
+            before = [f for s, f in frames if s <= int(x * 1e6)]
+            last[str(i)] = before[-1] if before else None
+    assert {r[1]: r[3] for r in m} == last
+
+
+def test_published_messages_are_read_back_whole(spark, tmp_dir):
+    """What the job publishes gives every field to the repo's own parser;
+    empty messages can be left out."""
+    from sightline.sources.envelopes import parse_detection_messages
+    _records(spark, 0).withColumn("timestamp", F.lit("2025-01-02 03:04:05.678901").cast("timestamp")) \
+        .write.parquet(f"{tmp_dir}/p")
+    schema = _records(spark, 0).schema
+    for only in (False, True):
+        sent = f"{tmp_dir}/sent{only}"
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_dir}/p")
+        q = start(stream, JobConfig(out_dir=f"{tmp_dir}/po{only}", checkpoint=f"{tmp_dir}/pc{only}", available_now=True,
+                                    kafka_brokers="none", kafka_topic="t", only_nonempty=only, monitor_rows=2,
+                                    publish=lambda kv, _b, _t: kv.write.mode("append").parquet(sent)))
+        q.awaitTermination(120)
+        back = {r.camera_id: r for r in parse_detection_messages(spark.read.parquet(sent)).collect()}
+        r = back["cam1"]
+        assert str(r.ts) == "2025-01-02 03:04:05.678901" and r.processing_node.startswith("spark-worker-")
+        assert r.processing_time_ms >= 0 and r.error is None and r.model == "stub-v1"
+        assert r.confidence_threshold == 0.5 and r.detection_count == 1 == len(r.detections)
+        d = r.detections[0]
+        assert (d.bbox, d.confidence, d.class_id, d.class_name) == ([0.0, 0.0, 50.0, 100.0], 0.9, 0, "person")
+
+
+def test_a_failing_batch_is_scored_frame_by_frame(spark):
+    from sightline.operators.scoring import score_frames
+
+    class Fragile:
+        def score_batch(self, payloads):
+            if any(p == b"bad" for p in payloads):
+                raise RuntimeError("batch failed")
+            return StubScorer().score_batch(payloads)
+
+    class FragileWithScore(Fragile):
+        def score(self, payload):
+            return StubScorer().score(payload)
+
+    frames = spark.createDataFrame([("c", str(i), b"bad" if i == 3 else b"\xff\xd8xxx") for i in range(6)],
+                                   "camera_id string, frame_id string, payload binary") \
+        .withColumn("ts", F.current_timestamp())
+    for make, text in ((Fragile, "RuntimeError: batch failed"), (FragileWithScore, "ValueError: payload is not a JPEG image")):
+        out = {r.frame_id: r for r in score_frames(frames.coalesce(1), make).collect()}
+        assert {k for k, r in out.items() if r.error} == {"3"} and out["3"].error == text
+        assert all(len(r.x1) == 1 for k, r in out.items() if k != "3")
