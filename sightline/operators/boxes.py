@@ -29,7 +29,7 @@ def _cells(df: DataFrame, cell: float) -> DataFrame:
 
 
 def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str],
-                  a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 256.0,
+                  a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 64.0,
                   a_prefix: str = "a_", b_prefix: str = "b_",
                   extra: Column | None = None) -> DataFrame:
     """Pairs (a, b) whose boxes overlap with positive area.
@@ -64,14 +64,14 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Seq
 
 
 def iou_pairs(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
-              cell: float = 256.0) -> DataFrame:
+              cell: float = 64.0) -> DataFrame:
     """Every pair of boxes of one frame with IoU > 0 (a.seq < b.seq)."""
     return overlap_pairs(dets, dets, keys, keys, [seq], [seq], cell,
                          extra=F.col("a_" + seq) < F.col("b_" + seq))
 
 
 def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
-        score: str = "confidence", iou_threshold: float = 0.5, cell: float = 256.0) -> DataFrame:
+        score: str = "confidence", iou_threshold: float = 0.5, cell: float = 64.0) -> DataFrame:
     """V2: greedy non-max suppression, distributed.
 
     Greedy NMS keeps a box iff no *kept* box ranked above it (confidence
@@ -80,7 +80,9 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
     Contested boxes are resolved in rounds: a box with no undecided
     higher-ranked rival is kept, and the boxes it suppresses are dropped.
     This yields exactly the sequential greedy result; the number of
-    rounds is the longest chain of rivals, not the frame size.
+    rounds is the longest chain of rivals, not the frame size. Each round
+    reads and writes the edges between undecided boxes only, so the total
+    work is bounded by the edges, however long the one longest chain is.
     """
     spark = dets.sparkSession
     checkpoint_dir(spark)
@@ -95,27 +97,27 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
              .select(*[F.col(k).alias(k[2:]) for k in kk],
                      F.col("a_" + seq).alias("hi"), F.col("b_" + seq).alias("lo"))
              .transform(materialize))
-    contested = (edges.select(*keys, F.col("hi").alias(seq))
-                 .unionByName(edges.select(*keys, F.col("lo").alias(seq))).distinct())
-    # state: 0 undecided, 1 kept, 2 suppressed; one table written per round
-    status = contested.withColumn("state", F.lit(0)).transform(materialize)
-    while status.where(F.col("state") == 0).limit(1).count() > 0:
-        und = status.where(F.col("state") == 0).select(*keys, seq)
-        live = (edges.join(und.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                .join(und.withColumnRenamed(seq, "lo"), [*keys, "lo"], "left_semi"))
-        kept_now = und.join(live.select(*keys, F.col("lo").alias(seq)), [*keys, seq], "left_anti")
-        supp_now = (live.join(kept_now.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
-                    .select(*keys, F.col("lo").alias(seq)).distinct())
-        status = (status
-                  .join(kept_now.withColumn("_k", F.lit(True)), [*keys, seq], "left")
-                  .join(supp_now.withColumn("_s", F.lit(True)), [*keys, seq], "left")
-                  .select(*keys, seq,
-                          F.when((F.col("state") == 0) & F.col("_k").isNotNull(), F.lit(1))
-                          .when((F.col("state") == 0) & F.col("_s").isNotNull(), F.lit(2))
-                          .otherwise(F.col("state")).alias("state"))
-                  .transform(materialize))
-    gone = status.where(F.col("state") == 2).select(*keys, seq)
-    return dets.join(gone, [*keys, seq], "left_anti")
+    box = [*keys, seq]
+    gone: list[DataFrame] = []
+    while not edges.isEmpty():
+        # kept now: higher-ranked boxes that no undecided box suppresses
+        high = edges.select(*keys, F.col("hi").alias(seq)).distinct()
+        kept = high.join(edges.select(*keys, F.col("lo").alias(seq)), box, "left_anti").transform(materialize)
+        lost = (edges.join(kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_semi")
+                .select(*keys, F.col("lo").alias(seq)).distinct().transform(materialize))
+        gone.append(lost)
+        # only edges between boxes that are still undecided go on; a box whose
+        # rivals are all gone has no edge left and stays
+        edges = (edges.join(kept.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_anti")
+                 .join(lost.withColumnRenamed(seq, "hi"), [*keys, "hi"], "left_anti")
+                 .join(lost.withColumnRenamed(seq, "lo"), [*keys, "lo"], "left_anti")
+                 .transform(materialize))
+    if not gone:
+        return dets
+    all_gone = gone[0]
+    for g in gone[1:]:
+        all_gone = all_gone.unionByName(g)
+    return dets.join(all_gone, box, "left_anti")
 
 
 def mutual_best(pairs: DataFrame, a_id: Sequence[str], b_id: Sequence[str],

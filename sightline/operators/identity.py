@@ -3,7 +3,7 @@ global identities (T19, L5, V3-V6, V11).
 
 Exact similarity over all vectors needs every pair's dot product, but
 never a cross join or a group holding all vectors. Vectors are hashed
-into tiles of at most ``tile_size`` rows; each vector is sent to the
+into tiles of about ``tile_size`` rows; each vector is sent to the
 ``T`` tile-pair groups ``(min(i, j), max(i, j))`` that involve its tile.
 A group therefore holds at most two tiles, and one Arrow-batched pandas
 task multiplies the two tile matrices with numpy and emits only what
@@ -81,7 +81,6 @@ def similar_pairs(vecs: DataFrame, id_col: str, vec_col: str, group_col: str | N
                   threshold: float, tile_size: int = 2048) -> DataFrame:
     """Every pair (a < b) with cosine > threshold; with ``group_col``
     only pairs from different groups (different cameras)."""
-    g = group_col or "_nogroup"
     v = vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"),
                     (F.col(group_col) if group_col else F.lit("")).alias("_grp"))
     rep, _ = _tiles(v, tile_size)
@@ -89,7 +88,7 @@ def similar_pairs(vecs: DataFrame, id_col: str, vec_col: str, group_col: str | N
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b, ma, mb, same = _matrices(pdf)
         if ma.size == 0 or mb.size == 0:
-            return pd.DataFrame({"a": [], "b": [], "sim": []})
+            return pd.DataFrame({"a": [], "b": [], "ga": [], "gb": [], "sim": []})
         s = ma @ mb.T
         ids_a, ids_b = a["_id"].to_numpy(), b["_id"].to_numpy()
         mask = s > threshold
@@ -99,18 +98,18 @@ def similar_pairs(vecs: DataFrame, id_col: str, vec_col: str, group_col: str | N
             mask &= ids_a[:, None] < ids_b[None, :]
         ia, ib = np.nonzero(mask)
         x, y = ids_a[ia], ids_b[ib]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "sim": s[ia, ib]})
+        gx, gy = a["_grp"].to_numpy()[ia], b["_grp"].to_numpy()[ib]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "ga": np.where(x < y, gx, gy),
+                             "gb": np.where(x < y, gy, gx), "sim": s[ia, ib]})
 
     id_type = vecs.schema[id_col].dataType.simpleString()
-    out = rep.groupBy("_g_lo", "_g_hi").applyInPandas(fn, f"a {id_type}, b {id_type}, sim double")
-    grp = vecs.select(F.col(id_col).alias("_id"), F.col(group_col).alias("_grp")) if group_col else None
-    res = out.withColumnRenamed("a", id_col + "_a").withColumnRenamed("b", id_col + "_b")
-    if grp is not None:
-        res = (res.join(grp.withColumnRenamed("_id", id_col + "_a").withColumnRenamed("_grp", g + "_a"),
-                        id_col + "_a")
-               .join(grp.withColumnRenamed("_id", id_col + "_b").withColumnRenamed("_grp", g + "_b"),
-                     id_col + "_b"))
-    return res
+    g_type = v.schema["_grp"].dataType.simpleString()
+    out = rep.groupBy("_g_lo", "_g_hi").applyInPandas(
+        fn, f"a {id_type}, b {id_type}, ga {g_type}, gb {g_type}, sim double")
+    cols = [F.col("a").alias(id_col + "_a"), F.col("b").alias(id_col + "_b")]
+    if group_col:
+        cols += [F.col("ga").alias(group_col + "_a"), F.col("gb").alias(group_col + "_b")]
+    return out.select(*cols, "sim")
 
 
 def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2048,

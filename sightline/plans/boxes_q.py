@@ -64,28 +64,45 @@ def rescale_boxes(spark, sf):
                     F.round(G.rescale(F.col("y2"), sh, dh), 6).alias("ry2"))
 
 
-# Fixed values (our choice): label text cell of 9 px per character, 15 px high.
-CHAR_W, TEXT_H = 9, 15
+# Fixed values (our choice): label text cell of 9 px per character, 15 px
+# high, 4 px below its base line. Fixed gap of the feed's label: 5 px.
+CHAR_W, TEXT_H, TEXT_BASE, FEED_GAP = 9, 15, 4, 5
 
 
 @query("annotation_rows", FD + f"""
-SELECT frame_id, det_seq, ix1, iy1, ix2, iy2, label,
-       CASE WHEN iy1 - 10 > 10 THEN iy1 - 10 ELSE iy1 + {TEXT_H} + 10 END AS label_y,
-       ix1 AS bg_x1, iy1 - {TEXT_H} - 10 AS bg_y1, ix1 + {CHAR_W} * CAST(length(label) AS INTEGER) AS bg_x2, iy1 AS bg_y2
-FROM (SELECT frame_id, det_seq,
-             CAST(trunc(x1) AS INTEGER) AS ix1, CAST(trunc(y1) AS INTEGER) AS iy1,
-             CAST(trunc(x2) AS INTEGER) AS ix2, CAST(trunc(y2) AS INTEGER) AS iy2,
-             printf('%s: %.2f', {_CLASS_SQL}, confidence) AS label
-      FROM detections)""")
+, t AS (SELECT frame_id, det_seq,
+               CAST(trunc(x1) AS INTEGER) AS ix1, CAST(trunc(y1) AS INTEGER) AS iy1,
+               CAST(trunc(x2) AS INTEGER) AS ix2, CAST(trunc(y2) AS INTEGER) AS iy2,
+               printf('%s: %.2f', {_CLASS_SQL}, confidence) AS label,
+               printf('%s: %.3f', {_CLASS_SQL}, confidence) AS page_label
+        FROM detections),
+u AS (SELECT *, CASE WHEN iy1 - 10 > 10 THEN iy1 - 10 ELSE iy1 + {TEXT_H} + 10 END AS page_label_y FROM t)
+SELECT frame_id, det_seq, ix1, iy1, ix2, iy2,
+       label, iy1 - {FEED_GAP} AS label_y,
+       iy1 - {TEXT_H} - 10 AS bg_y1, ix1 + {CHAR_W} * CAST(length(label) AS INTEGER) AS bg_x2, iy1 AS bg_y2,
+       page_label, page_label_y, page_label_y - {TEXT_H} - {TEXT_BASE} AS page_bg_y1,
+       ix1 + {CHAR_W} * CAST(length(page_label) AS INTEGER) AS page_bg_x2, page_label_y + {TEXT_BASE} AS page_bg_y2
+FROM u""")
 def annotation_rows(spark, sf):
+    """Box corners and both label layouts, each whole: the feed's (two
+    digits, always above the box) and the page's (three digits, below the
+    top edge where there is no room above). A background starts at the box's
+    left edge and holds its text."""
     d = detections(spark, sf)
     t = d.select("frame_id", "det_seq",
                  *[G.truncate_int(F.col(c)).alias("i" + c) for c in ("x1", "y1", "x2", "y2")],
-                 TX.label_text(class_name_expr(), F.col("confidence")).alias("label"))
-    return t.select("frame_id", "det_seq", "ix1", "iy1", "ix2", "iy2", "label",
-                    G.label_row(F.col("iy1"), TEXT_H).alias("label_y"),
-                    F.col("ix1").alias("bg_x1"), (F.col("iy1") - TEXT_H - 10).alias("bg_y1"),
-                    (F.col("ix1") + CHAR_W * F.length("label")).alias("bg_x2"), F.col("iy1").alias("bg_y2"))
+                 TX.label_text(class_name_expr(), F.col("confidence")).alias("label"),
+                 TX.label_text(class_name_expr(), F.col("confidence"), 3).alias("page_label"))
+    t = t.withColumn("page_label_y", G.label_row(F.col("iy1"), TEXT_H))
+
+    def right(label):
+        return F.col("ix1") + CHAR_W * F.length(label)
+    return t.select("frame_id", "det_seq", "ix1", "iy1", "ix2", "iy2",
+                    "label", (F.col("iy1") - FEED_GAP).alias("label_y"),
+                    (F.col("iy1") - TEXT_H - 10).alias("bg_y1"), right("label").alias("bg_x2"),
+                    F.col("iy1").alias("bg_y2"),
+                    "page_label", "page_label_y", (F.col("page_label_y") - TEXT_H - TEXT_BASE).alias("page_bg_y1"),
+                    right("page_label").alias("page_bg_x2"), (F.col("page_label_y") + TEXT_BASE).alias("page_bg_y2"))
 
 
 @query("annotation_file_names", FD + """

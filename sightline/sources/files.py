@@ -36,10 +36,12 @@ def history_filter(df: DataFrame, cameras: Sequence[str], start: str, end: str,
 
 
 def write_history(df: DataFrame, path: str, ts_col: str = "ts",
-                  camera_col: str = "camera_id", mode: str = "append") -> None:
-    """K9: long-term store partitioned by camera and day."""
+                  camera_col: str = "camera_id", mode: str = "append", files_per_day: int = 8) -> None:
+    """K9: long-term store partitioned by camera and day. A camera's day is
+    dealt over ``files_per_day`` tasks by a hash of its time, so no task
+    writes a whole busy day."""
     (df.withColumn("dt", F.to_date(ts_col))
-       .repartition(camera_col, "dt")
+       .repartition(camera_col, "dt", F.pmod(F.xxhash64(ts_col), F.lit(files_per_day)))
        .write.mode(mode).partitionBy(camera_col, "dt").parquet(path))
 
 
