@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sightline.functions.text import NODE_PREFIX, clock
 from sightline.operators import stats
 from sightline.operators.matching import asof_join
+from sightline.operators.sequence import running_total
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_
 from sightline.sources.tables import camera_of, sightings, table
@@ -105,16 +105,17 @@ FROM (SELECT CAST(ts AS DATE) AS day,
 def backlog_per_window(spark, sf):
     """Produced minus consumed per day and the queue it leaves behind.
 
-    The running sum is taken over the per-day table (one row per day), so
-    its single window partition is bounded by the number of days.
+    A view puts a frame into the queue and a click takes one out; the other
+    event types are no queue events in this mapping. The running sum over
+    the days is stitched from months.
     """
     ev = table(spark, sf, "events").select("ts", "event_type")
     per_day = ev.groupBy(F.to_date("ts").alias("day")).agg(
         F.count(F.when(F.col("event_type") == "view", 1)).alias("produced"),
         F.count(F.when(F.col("event_type") == "click", 1)).alias("consumed"))
     per_day = per_day.withColumn("backlog", F.col("produced") - F.col("consumed"))
-    w = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    return per_day.withColumn("running_backlog", F.sum("backlog").over(w).cast("long"))
+    return running_total(per_day, [], ["day"], F.date_trunc("month", F.col("day")), F.col("backlog"),
+                         "running_backlog").withColumn("running_backlog", F.col("running_backlog").cast("long"))
 
 
 _ASOF_SQL = """

@@ -41,9 +41,30 @@ def get_spark(master: str | None = None, app: str = "sightline",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.master.startswith("local"):
+        ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, which import its functions."""
+    import shutil
+    root = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="sightline-code-"), "sightline"), "zip",
+                               os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(made)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this session's operators wrote to the shared
+    folder. For the end of a run: DataFrames that read them are void then."""
+    sc = _context(spark)
+    if sc is None or not sc.getCheckpointDir():
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(os.path.join(sc.getCheckpointDir(), "tables"))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _context(spark: SparkSession):
     """The SparkContext of a classic session; None for a Connect session."""
     try:
@@ -80,21 +101,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "8"))
-
-
-def num_partitions(df) -> int | None:
-    """Partition count of a DataFrame's plan, None where it is not exposed."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect DataFrames have no rdd
-        return None
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)

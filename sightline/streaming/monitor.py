@@ -2,17 +2,21 @@
 
 ``StreamingQueryProgress`` already carries what a hand-written consumer
 counts: input rows, input and processing rates, trigger duration, and
-per-source offsets. ``progress_frame`` turns a query's recent progress
-(bounded by ``spark.sql.streaming.numRecentProgressUpdates``) into a
-DataFrame so backlog and rates are queried like any other table.
+per-source offsets. ``ProgressLog`` is a listener that appends every update
+of every query to a table, so totals cover the whole run and not only the
+updates that Spark still holds (``numRecentProgressUpdates``);
+``progress_frame`` turns a list of updates into the same columns.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+
+from sightline.operators.sequence import running_total
 
 PROGRESS_SCHEMA = ("batch_id long, ts string, input_rows long, input_rows_per_s double, "
                    "processed_rows_per_s double, trigger_ms long, sources string")
@@ -30,10 +34,34 @@ def progress_frame(spark: SparkSession, progress: list) -> DataFrame:
     return df.withColumn("ts", F.to_timestamp("ts"))
 
 
+class ProgressLog(StreamingQueryListener):
+    """Appends each progress update to the Parquet table at ``path``.
+
+    ``spark.streams.addListener(ProgressLog(spark, path))``; read it back
+    with ``spark.read.parquet(path)``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress_frame(self.spark, [event.progress]).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def backlog(progress_df: DataFrame) -> DataFrame:
     """Rows that arrived faster than they were processed, per batch and in
-    total so far (positive = the stream is falling behind)."""
+    total so far (positive = the stream is falling behind). The total is
+    summed in buckets of 4,096 batches."""
     lag = (F.col("input_rows_per_s") - F.col("processed_rows_per_s")) * F.col("trigger_ms") / 1000.0
-    w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    return (progress_df.withColumn("batch_backlog", F.coalesce(lag, F.lit(0.0)))
-            .withColumn("running_backlog", F.sum("batch_backlog").over(w)))
+    df = progress_df.withColumn("batch_backlog", F.coalesce(lag, F.lit(0.0)))
+    return running_total(df, [], ["batch_id"], F.floor(F.col("batch_id") / 4096), F.col("batch_backlog"),
+                         "running_backlog")

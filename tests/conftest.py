@@ -16,6 +16,8 @@ def spark():
     s = get_spark("local[4]", shuffle_partitions=8,
                   extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="sl-test-ckpt-")})
     yield s
+    from sightline.session import remove_scratch
+    remove_scratch(s)
     s.stop()
 
 

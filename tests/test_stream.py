@@ -176,6 +176,38 @@ def test_per_frame_scoring_errors_do_not_stop_the_batch(spark):
     assert out["1"].processing_node.startswith("spark-worker-")
 
 
+def test_progress_log_holds_every_update(spark, tmp_dir):
+    """The listener's table has all updates, also those Spark has dropped."""
+    import time
+
+    from sightline.streaming.monitor import ProgressLog, backlog
+    df = spark.range(30).withColumn("ts", F.timestamp_seconds("id"))
+    df.repartition(6).write.parquet(f"{tmp_dir}/pl")
+    keep = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    log = ProgressLog(spark, f"{tmp_dir}/progress")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.streams.addListener(log)
+    try:
+        q = (spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/pl")
+             .writeStream.format("noop").trigger(availableNow=True).start())
+        q.awaitTermination(60)
+        n = q.lastProgress.batchId + 1
+        for _ in range(100):
+            if len(glob.glob(f"{tmp_dir}/progress/part-*")) >= n:
+                break
+            time.sleep(0.2)
+        assert len(q.recentProgress) <= 2
+    finally:
+        spark.streams.removeListener(log)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", keep)
+    rows = sorted(backlog(spark.read.parquet(f"{tmp_dir}/progress")).collect(), key=lambda r: r.batch_id)
+    assert [r.batch_id for r in rows] == list(range(n)) and n >= 6
+    total = 0.0
+    for r in rows:
+        total += r.batch_backlog
+        assert abs(r.running_backlog - total) < 1e-6
+
+
 def test_progress_frame_and_backlog(spark, tmp_dir):
     from sightline.streaming.monitor import backlog, progress_frame
     df = spark.createDataFrame([(i,) for i in range(30)], "v long")
