@@ -71,18 +71,22 @@ def parse_envelopes(records: DataFrame) -> DataFrame:
 
 
 def sniff_frames(records: DataFrame) -> DataFrame:
-    """One topic may carry raw JPEG bytes or JSON envelopes.
+    """One topic may carry raw JPEG bytes, their bare base64 text, or
+    JSON envelopes.
 
-    JPEG magic bytes => the value is the frame. Otherwise the value must be
-    an envelope whose ``data`` field (tested as a field: bad JSON gives a
+    JPEG magic bytes => the value is the frame; text that decodes from base64
+    to JPEG bytes => so is that. Otherwise the value must be an envelope whose
+    ``data`` field (tested as a field: bad JSON gives a
     struct of NULLs, not a NULL struct) decodes from base64. Anything else
     keeps its raw bytes and gets an ``error`` text instead of a NULL row.
     """
     env = F.from_json(F.col("value").cast("string"), schemas.FRAME_ENVELOPE)
     is_jpeg = jpeg_payload(F.col("value"))
     decoded = decode_base64(env["data"])
-    payload = F.when(is_jpeg, F.col("value")).otherwise(decoded)
-    error = (F.when(is_jpeg, F.lit(None))
+    bare = decode_base64(F.col("value").cast("string"))
+    is_bare = env["data"].isNull() & F.coalesce(jpeg_payload(bare), F.lit(False))
+    payload = F.when(is_jpeg, F.col("value")).when(is_bare, bare).otherwise(decoded)
+    error = (F.when(is_jpeg | is_bare, F.lit(None))
              .when(env["data"].isNull(), F.lit("not a frame envelope"))
              .when(decoded.isNull(), F.lit("payload is not base64"))
              .when(~jpeg_payload(decoded), F.lit("payload is not a JPEG image")))

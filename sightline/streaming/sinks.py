@@ -39,6 +39,18 @@ def kafka_batch_write(kv: DataFrame, brokers: str, topic: str) -> None:
        .option("topic", topic).save())
 
 
+def publish_results(results: dict[str, tuple[DataFrame, list[str]]], brokers: str, prefix: str,
+                    publish: Callable[[DataFrame, str, str], None] = kafka_batch_write) -> None:
+    """Republish every kind of result (tracks, identities, alerts,
+    flows, ...): kind -> (rows, key columns). Each kind goes to its topic
+    ``<prefix>-<kind>`` as JSON with all its fields, under its key."""
+    from pyspark.sql import functions as F
+    for kind, (rows, keys) in results.items():
+        kv = rows.select(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"),
+                         F.to_json(F.struct(*rows.columns)).alias("value"))
+        publish(kv, brokers, f"{prefix}-{kind}")
+
+
 def console_writer(df: DataFrame, rows: int = 5, truncate: bool = False,
                    trigger_s: float | None = None) -> DataStreamWriter:
     """K2/K3: console monitor."""

@@ -81,11 +81,17 @@ def test_sniff_routes_jpeg_envelope_and_junk(spark):
     rows = [(None, jpeg, "cam3-frames", 0, 10, None),
             (None, env_ok, "cam3-frames", 1, 10, None),
             (None, env_bad, "cam3-frames", 1, 11, None),
-            (None, b"\x89PNG....", "cam3-frames", 2, 12, None)]
+            (None, b"\x89PNG....", "cam3-frames", 2, 12, None),
+            (None, base64.b64encode(jpeg), "cam3-frames", 3, 13, None),
+            (None, base64.b64encode(b"no image"), "cam3-frames", 3, 14, None)]
     out = sniff_frames(_records(spark, rows)).orderBy("frame_key").collect()
     by_key = {r.frame_key: r for r in out}
     # NULL key => topic-partition-offset id, never a NULL row
-    assert set(by_key) == {"cam3-frames-0-10", "cam3-frames-1-10", "cam3-frames-1-11", "cam3-frames-2-12"}
+    assert set(by_key) == {"cam3-frames-0-10", "cam3-frames-1-10", "cam3-frames-1-11", "cam3-frames-2-12",
+                           "cam3-frames-3-13", "cam3-frames-3-14"}
+    # bare base64 text of a JPEG is a frame, other base64 text is not
+    assert by_key["cam3-frames-3-13"].error is None and bytes(by_key["cam3-frames-3-13"].payload) == jpeg
+    assert by_key["cam3-frames-3-14"].error == "not a frame envelope"
     assert by_key["cam3-frames-0-10"].error is None and bytes(by_key["cam3-frames-0-10"].payload) == jpeg
     assert by_key["cam3-frames-1-10"].error is None and bytes(by_key["cam3-frames-1-10"].payload) == jpeg
     assert by_key["cam3-frames-1-11"].error == "payload is not base64"
@@ -133,3 +139,16 @@ def test_message_parts_bound_the_size_and_keep_every_box(spark):
         .orderBy("frame_id", "part_no").collect()
     assert [(p.frame_id, p.part_no, p.n_parts, p.detection_count) for p in parts] == \
         [("1", 0, 3, 2), ("1", 1, 3, 2), ("1", 2, 3, 1), ("2", 0, 1, 0)]
+
+
+def test_every_kind_of_result_is_published(spark):
+    """One topic a kind; keys and all fields are in the messages."""
+    from sightline.streaming.sinks import publish_results
+    tracks = spark.createDataFrame([("cam1", 5, 2)], "camera_id string, frame_id long, local_id long")
+    alerts = spark.createDataFrame([("cam1", 99)], "camera_id string, n long")
+    sent = {}
+    publish_results({"tracks": (tracks, ["camera_id", "frame_id"]), "alerts": (alerts, ["camera_id"])}, "b", "store",
+                    publish=lambda kv, brokers, topic: sent.setdefault(topic, [tuple(r) for r in kv.collect()]))
+    assert {t: [(k, json.loads(v)) for k, v in rows] for t, rows in sent.items()} == {
+        "store-tracks": [("cam1|5", {"camera_id": "cam1", "frame_id": 5, "local_id": 2})],
+        "store-alerts": [("cam1", {"camera_id": "cam1", "n": 99})]}
