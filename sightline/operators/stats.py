@@ -121,6 +121,20 @@ def running_frame_stats(frames_with_counts: DataFrame, part: Sequence[str],
                           {"frame_no": None, "running_detections": F.col(count_col)})
 
 
+def running_rate(running: DataFrame, part: Sequence[str], ts: str, n: str = "frame_no",
+                 out: str = "running_fps") -> DataFrame:
+    """The rate so far next to a running count: rows of the feed up to
+    this one over the seconds since its first. NULL while no time has
+    passed. The first times come from a partial aggregate, one row a feed."""
+    first = running.groupBy(*[F.col(p).alias("_f_" + p) for p in part]).agg(F.min(ts).alias("_first"))
+    same = F.lit(True)
+    for p in part:
+        same = same & F.col(p).eqNullSafe(F.col("_f_" + p))
+    el = elapsed_seconds(F.col("_first"), F.col(ts))
+    return (running.join(first, same).withColumn(out, F.when(el > 0, F.col(n) / el))
+            .drop("_first", *["_f_" + p for p in part]))
+
+
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str,
                       ps: dict[str, float]) -> DataFrame:
     """Exact percentiles (linear interpolation between closest ranks) per

@@ -98,9 +98,15 @@ running AS (
 """
 
 
-@query("running_totals", _RUNNING_SQL + "SELECT * FROM running")
+@query("running_totals", _RUNNING_SQL + """
+SELECT *, round(CASE WHEN epoch_us(ts) > epoch_us(min(ts) OVER (PARTITION BY camera_id))
+                     THEN frame_no / ((epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY camera_id))) / 1e6) END, 12)
+          AS running_fps
+FROM running""")
 def running_totals(spark, sf):
-    return _running(spark, sf)
+    """Frame number, detections and rate of each feed so far."""
+    r = stats.running_rate(_running(spark, sf), ["camera_id"], "ts")
+    return r.withColumn("running_fps", F.round("running_fps", 12))
 
 
 @query("progress_rows", _RUNNING_SQL + "SELECT * FROM running WHERE frame_no % 20 = 0")
