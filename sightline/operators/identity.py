@@ -177,6 +177,51 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
     return ranked.select(F.col("q").alias(id_col), "rank", F.col("n").alias("nbr_id"), "sim")
 
 
+def search(vecs: DataFrame, id_col: str, vec_col: str, queries: DataFrame, k: int,
+           most_queries: int = 4096, tile_size: int = 2048) -> DataFrame:
+    """The k most similar vectors of each query row, the query's own id
+    left out, ordered as in ``top_k``.
+
+    Up to ``most_queries`` query rows (counted first) travel to the tasks and
+    the corpus streams past them where it lies: it is not shuffled, and a
+    task hands on k rows a query at most. More queries than that go through
+    the tiles of ``top_k``; both ways give the same rows."""
+    q = queries.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
+    got = q.limit(most_queries + 1).toPandas()
+    if len(got) > most_queries:
+        own = F.col("nbr_id") != F.col(id_col)
+        wide = top_k(vecs, id_col, vec_col, k + 1, tile_size, queries).where(own)
+        return keep_n(wide.withColumn("_s9", F.round("sim", 9)).drop("rank"), [id_col],
+                      [F.col("_s9").desc(), F.col("nbr_id")], k, "rank").select(id_col, "rank", "nbr_id", "sim")
+    q_ids = got["_id"].to_numpy()
+    id_type = vecs.schema[id_col].dataType.simpleString()
+
+    def unit(column) -> np.ndarray:
+        m = np.stack([np.asarray(x, dtype=np.float64) for x in column])
+        n = np.sqrt((m * m).sum(axis=1))
+        return m / np.where(n > 0, n, 1.0)[:, None]
+    q_unit = unit(got["_v"]) if len(got) else np.zeros((0, 0))
+
+    def run(batches):
+        ids, sims = np.zeros((len(q_ids), 0), dtype=object), np.zeros((len(q_ids), 0))
+        for b in batches:
+            if not len(b) or not len(q_ids):
+                continue
+            s = q_unit @ unit(b["_v"]).T
+            c = b["_id"].to_numpy()
+            s[q_ids[:, None] == c[None, :]] = -np.inf
+            sims = np.concatenate([sims, s], axis=1)
+            ids = np.concatenate([ids, np.broadcast_to(c.astype(object), s.shape)], axis=1)
+            order = np.array([np.lexsort((i, -np.round(r, 9)))[:k] for i, r in zip(ids, sims)])
+            ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+        r, c = np.nonzero(np.isfinite(sims))
+        yield pd.DataFrame({"q": q_ids[r], "n": ids[r, c], "sim": sims[r, c]})
+    found = vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")).mapInPandas(
+        run, f"q {id_type}, n {id_type}, sim double").withColumn("_s9", F.round("sim", 9))
+    return keep_n(found, ["q"], [F.col("_s9").desc(), F.col("n")], k, "rank").select(
+        F.col("q").alias(id_col), "rank", F.col("n").alias("nbr_id"), "sim")
+
+
 def k_reciprocal(knn: DataFrame, id_col: str = "vec_id") -> DataFrame:
     """V6: pairs that are in each other's k-NN lists (a < b).
 

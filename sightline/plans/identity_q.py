@@ -70,6 +70,15 @@ def embedding_topk(spark, sf):
     return k.select("vec_id", "rank", "nbr_id", F.round("sim", 6).alias("sim"))
 
 
+@query("vector_search", _NORMS + _knn_sql(SEARCH_K) + """
+SELECT vec_id, rank, nbr_id, round(sim, 6) AS sim FROM knn WHERE vec_id % 100 = 0""")
+def vector_search(spark, sf):
+    """The query set (ids that 100 divides) against all vectors."""
+    v = vectors(spark, sf)
+    s = ID.search(v, "vec_id", "embedding", v.where(F.col("vec_id") % 100 == 0), SEARCH_K)
+    return s.select("vec_id", "rank", "nbr_id", F.round("sim", 6).alias("sim"))
+
+
 @query("k_reciprocal", _NORMS + _knn_sql(RERANK_K) + """
 SELECT f.vec_id AS a, f.nbr_id AS b, round(f.sim, 6) AS sim FROM knn f
 JOIN knn r ON r.vec_id = f.nbr_id AND r.nbr_id = f.vec_id WHERE f.vec_id < f.nbr_id""")

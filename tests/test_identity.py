@@ -56,3 +56,25 @@ def test_topk_for_query_vectors(spark, vecs):
 def test_normalise_unit_length(spark, vecs):
     n = vecs.select(ID.l2_norm(ID.normalise(F.col("embedding"))).alias("n")).collect()
     assert all(abs(r.n - 1.0) < 1e-9 for r in n)
+
+
+def test_search_is_the_same_with_and_without_tiles(spark):
+    import numpy as np
+
+    from sightline.operators.identity import search
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.standard_normal(8).round(2)]) for i in range(120)]
+    rows += [(200 + i, rows[i][1]) for i in range(5)]          # ties
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = v.where("vec_id % 10 = 0")
+    a = search(v.repartition(5), "vec_id", "embedding", q, 4)
+    b = search(v, "vec_id", "embedding", q, 4, most_queries=3, tile_size=40)
+    pick = lambda d: sorted((r.vec_id, r["rank"], r.nbr_id, round(r.sim, 9)) for r in d.collect())
+    assert pick(a) == pick(b)
+    x = {i: np.array(e) / np.linalg.norm(e) for i, e in rows}
+    want = []
+    for i, _ in rows:
+        if i % 10 == 0:
+            best = sorted((-round(float(x[i] @ x[j]), 9), j) for j in x if j != i)[:4]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    assert [w[:3] for w in pick(a)] == [w[:3] for w in sorted(want)]
