@@ -47,10 +47,10 @@ PLACES = (-2, -1, 1, 2)
 class Shape:
     """Sizes of the network: ``groups`` x ``group`` slots, of which ``other``
     are shared by all words outside the vocabulary."""
-    groups: int = 48
-    group: int = 40
-    other: int = 40
-    hidden: int = 24
+    groups: int = 32
+    group: int = 32
+    other: int = 32
+    hidden: int = 16
 
     @property
     def slots(self) -> int:
@@ -227,7 +227,7 @@ def _average(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).applyInPandas(mean, df.schema)
 
 
-def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), rate: float = 0.1, step: int = 2048,
+def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), rate: float = 0.1, step: int = 4096,
           slice_of: int = 8192, fan_in: int = 32) -> tuple[list[bytes], Network]:
     """(vocabulary, network) of the corpus."""
     from pyspark import TaskContext
