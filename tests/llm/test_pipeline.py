@@ -52,7 +52,7 @@ def test_stages_one_by_one(spark):
     texts = {r[0]: r[1] for r in after}
     assert len(last) == len(after)
     for r in last:
-        assert r.ids == m.encode(texts[r.doc_id]) and r.decoded == m.decode(r.ids)
+        assert r.ids == m.encode(texts[r.doc_id]).tolist() and r.decoded == m.decode(r.ids)
 
 
 def test_run(spark):
