@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 _BK = "_sl_bucket"
 _PART = "_sl_part"      # struct of the key columns
-_KEY = "_sl_key"        # struct of the key columns and the bucket
+_KEY = "_sl_bucket_key"        # struct of the key columns and the bucket
 
 
 def _keyed(df: DataFrame, part: Sequence[str], bucket: Column) -> DataFrame:

@@ -26,8 +26,10 @@ def test_hot_keys_are_split_before_the_window_or_join(spark, name, key):
     assert any(key in line for line in exchanges)
 
 
-def test_exact_median_is_range_partitioned(spark):
-    assert "rangepartitioning" in plan(spark, "latency_by_node")
+def test_exact_percentiles_count_first_and_rank_by_bucket(spark):
+    p = plan(spark, "latency_by_node")
+    assert "partial_count" in p and "SinglePartition" not in p
+    assert any("_sl_bucket" in line for line in p.splitlines() if "Exchange hashpartitioning" in line)
 
 
 @pytest.mark.parametrize("name", ["retain_last_n", "shed_newest", "shed_oldest", "embedding_topk"])
