@@ -7,12 +7,13 @@ groups are refined in three steps, each on the survivors of the one before:
 2. of those, rows that share a hash of its first ``prefix`` characters;
 3. of those, rows that share SHA-256 of the whole normalised text.
 
-Steps 1 and 2 work on a narrow table (a key, two lengths, a hash) that one
-scan writes; the counts are pre-aggregated before their shuffle and the
-joins back to the rows are plain equi-joins, which Spark splits when a
-length or a text is very common. Step 3 scans the texts again and hashes
-only rows that a fixed-size bitmap of the survivors lets through. The text
-itself is never shuffled, and nothing is collected.
+Steps 1 and 2 work on a narrow table (a key, a length, a hash) that one scan
+writes: the counts are pre-aggregated, and a bitmap of fixed size tells
+which rows survive without moving them. Step 3 scans the texts again and
+hashes only rows that the bitmap of the survivors lets through; bitmaps may
+let too many through, so this step alone decides. The rows are joined with
+their groups by a plain equi-join, which Spark splits when a text is very
+common. The text itself is never shuffled, and nothing is collected.
 
 Defined cases: a null text is an empty one, and empty texts are equal to
 each other; a null id sorts after all others; rows that repeat an id are
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.llm.common import BLANK_CLASS, sieve, sift, without_keys
+from sightline.llm.common import BLANK_CLASS, fresh, sieve, sift, without_keys
 from sightline.session import materialize
 
 
@@ -44,27 +45,29 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.xxhash64(F.substring("norm", 1, prefix)).alias("head")))
 
 
-def _shared(rows: DataFrame, by: list[str]) -> DataFrame:
-    """The rows whose values of ``by`` more than one row has."""
-    many = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_same")).where("n_same > 1").drop("n_same")
-    return rows.join(many, by)
-
-
-def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64) -> DataFrame:
-    """Keys ``k`` of the documents that share length and prefix hash with
-    another one: only their full content needs reading."""
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64,
+              bits: int = 1 << 24) -> DataFrame:
+    """Keys ``k`` of the documents that may share length and prefix hash
+    with another one: only their full content needs reading. Shared lengths,
+    then shared prefixes, go into bitmaps, which pass the rows in place: no
+    row moves to where its length is counted, however common that is."""
     sig = signatures(docs, id_col, text_col, prefix).select("k", "len", "head").transform(materialize)
-    return _shared(_shared(sig, ["len"]), ["len", "head"]).select("k")
+
+    def shared(rows: DataFrame, *by: str) -> DataFrame:
+        many = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        key = F.xxhash64(*by)
+        return sift(rows.withColumn("by", key), "by", sieve(many.select(key.alias("by")), "by", bits), bits)[0]
+    return shared(shared(sig, "len"), "len", "head").select("k")
 
 
 def full_hashes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = 64,
                 bits: int = 1 << 24) -> DataFrame:
-    """(id, n_points, sha) of the documents that survive the first two
+    """(id, k, n_points, sha) of the documents that survive the first two
     steps (and the few that the bitmap cannot tell from them)."""
     keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     keyed = keyed.withColumn("k", F.xxhash64("id", "t"))
-    left, _ = sift(keyed, "k", sieve(survivors(docs, id_col, text_col, prefix), "k", bits), bits)
-    return left.select("id", F.char_length("t").cast("long").alias("n_points"),
+    left, _ = sift(keyed, "k", sieve(survivors(docs, id_col, text_col, prefix, bits), "k", bits), bits)
+    return left.select("id", "k", F.char_length("t").cast("long").alias("n_points"),
                        F.sha2(normalised(F.col("t")), 256).alias("sha"))
 
 
@@ -106,5 +109,7 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     g = duplicate_groups(docs, id_col, text_col, prefix, bits)
     h = full_hashes(docs, id_col, text_col, prefix, bits)
     gone = (h.join(g, "sha").where(~F.col("id").eqNullSafe(F.col("keep_id")))
-            .select("id").where("id is not null").distinct().transform(materialize))
-    return without_keys(docs, id_col, gone, "id", bits)
+            .select("k").distinct().transform(materialize))
+    key = fresh("row_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    return without_keys(keyed, key, gone, "k", bits).select(*docs.columns)
