@@ -72,10 +72,11 @@ class LineRuns:
 
     def add(self, keys: DataFrame) -> None:
         """A batch: one row (h1, h2) for each document and distinct key."""
+        counts = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
         known = self.known()
         if known is not None:
-            keys = keys.join(known, ["h1", "h2"], "left_anti")
-        self._store(keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")), 0)
+            counts = counts.join(known, ["h1", "h2"], "left_anti")
+        self._store(counts, 0)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             runs, self.levels[level] = self.levels[level], []
