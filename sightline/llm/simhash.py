@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from sightline.llm.common import map_columns
+from sightline.llm.common import fresh, map_columns, without_keys
 from sightline.operators.graph import component_labels
 from sightline.session import materialize
 
@@ -89,12 +89,14 @@ def _majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp): the fingerprint as a signed 64-bit number."""
+    """(id, k, fp): hash of id and text, the fingerprint as a signed 64-bit
+    number."""
     def batch(_state, texts: pa.Array) -> list:
         made = np.array([fingerprint_of(t, shingle) for t in texts.to_pylist()], dtype=np.uint64)
         return [pa.array(made.view(np.int64))]
-    return map_columns(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")), batch, ["t"],
-                       [StructField("fp", LongType())], keep=["id"])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
+                       F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("k"))
+    return map_columns(rows, batch, ["t"], [StructField("fp", LongType())], keep=["id", "k"])
 
 
 def _byte(fp: Column, position: int) -> Column:
@@ -174,14 +176,17 @@ def links(fps: DataFrame, bucket: int = 2048, max_bits: int = MAX_BITS) -> DataF
     # three open bytes: group under every mask of max_bits of their 24 bits
     def masks(batches):
         for b in batches:
-            f = b["fp"].to_numpy(dtype=np.int64)
-            w = b["way"].to_numpy()
+            f, w = b["fp"].to_numpy(dtype=np.int64), b["way"].to_numpy()
             for way in np.unique(w):
-                mine = f[w == way]
                 free = [8 * (7 - p) + k for p in sorted(set(range(8)) - set(ways[way][1])) for k in range(8)]
-                for m, c in enumerate(combinations(free, max_bits)):
-                    clear = np.int64(np.uint64((~sum(1 << x for x in c)) & (2 ** 64 - 1)).view(np.int64))
-                    yield pd.DataFrame({"fp": mine, "way": way, "mask": m, "key": mine & clear})
+                clear = np.array([~sum(1 << x for x in c) & (2 ** 64 - 1) for c in combinations(free, max_bits)],
+                                 dtype=np.uint64).view(np.int64)
+                mine = f[w == way]
+                for a in range(0, len(mine), 256):
+                    part = mine[a:a + 256]
+                    yield pd.DataFrame({"fp": np.repeat(part, len(clear)), "way": way,
+                                        "mask": np.tile(np.arange(len(clear), dtype=np.int32), len(part)),
+                                        "key": (part[:, None] & clear[None, :]).ravel()})
     masked = large.select("fp", "way").mapInPandas(masks, "fp long, way int, mask int, key long")
     least = masked.groupBy("way", "mask", "key").agg(F.min("fp").alias("src"), F.count(F.lit(1)).alias("n"))
     least = least.where("n > 1").drop("n")
@@ -189,10 +194,9 @@ def links(fps: DataFrame, bucket: int = 2048, max_bits: int = MAX_BITS) -> DataF
     return out.unionByName(star.distinct())
 
 
-def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                       max_bits: int = MAX_BITS, bucket: int = 2048) -> DataFrame:
-    """One row per document: id, fingerprint (16 hex digits), component_id
-    (least id reachable over links)."""
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+               max_bits: int = MAX_BITS, bucket: int = 2048) -> DataFrame:
+    """(id, k, fp, component_id) of every document."""
     rows = fingerprints(docs, id_col, text_col, shingle).transform(lambda d: materialize(d, "simhash"))
     distinct = rows.groupBy("fp").agg(F.min("id").alias("least_id")).transform(lambda d: materialize(d, "simhash-fp"))
     lab = component_labels(links(distinct.select("fp"), bucket, max_bits)).withColumnRenamed("v", "fp")
@@ -201,15 +205,21 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     comp = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_fp = named.select("fp", "component").join(comp, "component").select("fp", "component_id").transform(
         lambda d: materialize(d, "simhash-comp"))
-    return rows.join(of_fp, "fp").select(F.col("id").alias(id_col),
-                                         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                         "component_id")
+    return rows.join(of_fp, "fp").select("id", "k", "fp", "component_id")
+
+
+def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: id, fingerprint (16 hex digits), component_id
+    (least id reachable over links)."""
+    return components(docs, id_col, text_col, **options).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows (all columns) whose id is the least of its component."""
-    from sightline.llm.common import without_keys
-    gone = (simhash_near_dedup(docs, id_col, text_col, **options)
-            .where(~F.col(id_col).eqNullSafe(F.col("component_id")) & F.col(id_col).isNotNull())
-            .select(id_col).distinct().transform(lambda d: materialize(d, "simhash-gone")))
-    return without_keys(docs, id_col, gone, id_col)
+    gone = (components(docs, id_col, text_col, **options)
+            .where(~F.col("id").eqNullSafe(F.col("component_id")))
+            .select("k").distinct().transform(lambda d: materialize(d, "simhash-gone")))
+    key = fresh("row_key", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
+    return without_keys(keyed, key, gone, "k").select(*docs.columns)

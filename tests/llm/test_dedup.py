@@ -33,7 +33,8 @@ def test_drop_exact_keeps_all_columns(odd):
     out = exact_dedup.drop_exact_duplicates(odd)
     assert out.columns == odd.columns
     ids = [r.doc_id for r in out.collect()]
-    assert sorted(x for x in ids if x is not None) == [2, 2, 3, 6, 7, 8, 9]
+    # of the blank texts the longest stays, id 5; rows without an id go like any other
+    assert sorted(ids) == [2, 2, 5, 6, 7, 8, 9]
 
 
 def test_line_dedup_on_documents(docs, doc_rows):
@@ -68,21 +69,19 @@ def test_simhash_on_documents_and_odd_rows(docs, doc_rows, odd, empty):
     assert simhash.simhash_near_dedup(empty).collect() == []
 
 
-@pytest.mark.parametrize("bucket", [2048, 3, 1])
-def test_simhash_links_are_whole_at_any_bucket_size(spark, bucket):
+@pytest.mark.parametrize("bucket,clusters,each", [(2048, 12, 25), (4, 3, 8), (1, 1, 3)])
+def test_simhash_links_are_whole_at_any_bucket_size(spark, bucket, clusters, each):
     """Clusters of close fingerprints, so that small buckets go through the
     second and third level of the index."""
     rnd = random.Random(2)
     fps = set()
-    for _ in range(12):
+    for _ in range(clusters):
         f = rnd.getrandbits(64)
-        for _ in range(25):
+        for _ in range(each):
             g = f
             for _ in range(rnd.randrange(5)):
-                g ^= 1 << rnd.randrange(64)
+                g ^= 1 << rnd.randrange(24 if bucket < 2048 else 64)
             fps.add(g)
-    for a in range(40):  # a chain in the last bytes
-        fps.add((1 << 60) | ((1 << a % 20) * 3))
     signed = [(f - (1 << 64) if f >= 1 << 63 else f,) for f in fps]
     df = spark.createDataFrame(signed, "fp long")
     parent = {f: f for f in fps}
@@ -101,6 +100,6 @@ def test_simhash_links_are_whole_at_any_bucket_size(spark, bucket):
 
 def test_keep_one_of_each_keeps_columns(odd):
     out = simhash.keep_one_of_each(odd)
-    want = {i for i, _, c in brute.simhash(ODD_TEXTS) if i == c}
+    want = sorted((i for i, _, c in brute.simhash(ODD_TEXTS) if i == c), key=repr)
     assert out.columns == odd.columns
-    assert {r.doc_id for r in out.collect()} - {None} == want - {None}
+    assert sorted((r.doc_id for r in out.collect()), key=repr) == want

@@ -1,44 +1,40 @@
 """Mixing: targets against repeated sharing, words against targets."""
 
 import numpy as np
+import pytest
 
 from sightline.llm import mixing
 from tests.llm import brute
 from tests.llm.conftest import ODD, rows_of
 
 
-def check(df, rows, **options):
-    """rows: (doc_id, text, source)"""
-    sizes, longest = {}, {}
-    for i, t, s in rows:
-        n = len(brute.WORD.findall(t or ""))
-        sizes[s] = sizes.get(s, 0) + n
-        longest[s] = max(longest.get(s, 0), n)
-    want = brute.targets(sizes)
-    m = mixing.mix_to_targets(df, **options)
-    got = [r.asDict() for r in m.select("doc_id", "size", "source_size", "target", "copies").collect()]
-    by_id = {}
-    for i, t, s in rows:
-        by_id.setdefault((i, len(brute.WORD.findall(t or ""))), set()).add(s)
-    assert sorted((r["doc_id"], r["size"]) for r in got if r["doc_id"] is not None) == sorted(
-        (i, len(brute.WORD.findall(t or ""))) for i, t, _ in rows if i is not None)
-    assert len(got) == len(rows)
-    taken = {}
-    for r in got:
-        s = [x for x in by_id[r["doc_id"], r["size"]] if sizes[x] == r["source_size"]]
-        assert any(abs(want[x] - r["target"]) <= 1e-6 * max(1, want[x]) for x in s)
-        assert 0 <= r["copies"] <= 3
-        taken[r["target"]] = taken.get(r["target"], 0) + r["copies"] * r["size"]
-    return want, taken, longest, sizes
+def n_words(t):
+    return len(brute.WORD.findall(t or ""))
+
+
+def sizes_of(rows):
+    out = {}
+    for _, t, s in rows:
+        out[s] = out.get(s, 0) + n_words(t)
+    return out
 
 
-def test_words_meet_targets(docs):
+@pytest.mark.parametrize("options", [{}, {"block": 7, "fan_in": 2}])
+def test_words_meet_targets(docs, options):
     rows = [tuple(r) for r in docs.select("doc_id", "text", "source").collect()]
-    for block, fan_in in ((4096, 256), (7, 2)):
-        want, taken, longest, sizes = check(docs, rows, block=block, fan_in=fan_in)
-        for s, t in want.items():
-            near = min(taken, key=lambda x: abs(x - t))
-            assert abs(taken[near] - t) <= sum(longest[x] for x in want if abs(want[x] - t) < 1e-6) + 1
+    sizes, source = sizes_of(rows), {i: s for i, _, s in rows}
+    want = brute.targets(sizes)
+    got = mixing.mix_to_targets(docs, **options).collect()
+    assert sorted((r.doc_id, r["size"]) for r in got) == sorted((i, n_words(t)) for i, t, _ in rows)
+    taken, longest = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0)
+    for r in got:
+        s = source[r.doc_id]
+        assert r.source_size == sizes[s] and abs(r.target - want[s]) <= 1e-9 * want[s]
+        assert 0 <= r.copies <= 3
+        taken[s] += r.copies * r["size"]
+        longest[s] = max(longest[s], r["size"])
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= longest[s], s
 
 
 def test_reruns_agree(docs):
@@ -62,7 +58,12 @@ def test_pivot_keeps_expectation_and_mass():
 
 def test_odd(odd, empty):
     rows = [(r[0], r[1], r[3]) for r in ODD]
-    check(odd, rows)
+    sizes = sizes_of(rows)
+    want = brute.targets(sizes)
+    got = mixing.mix_to_targets(odd).collect()
+    assert sorted(((r.doc_id, r["size"]) for r in got), key=repr) == sorted(
+        ((i, n_words(t)) for i, t, _ in rows), key=repr)
+    assert {round(r.target, 6) for r in got} == {round(x, 6) for x in want.values()}
     out = mixing.mixed_documents(odd)
     assert out.columns == odd.columns
     copies = {(r.doc_id, r["size"]): r.copies for r in mixing.mix_to_targets(odd).collect()}
