@@ -48,6 +48,15 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def small_batches(spark: SparkSession, rows: int = 1024, size: int = 8 << 20) -> None:
+    """Limit the session's Arrow batches; smaller limits stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def map_columns(df: DataFrame, fn: Callable[..., list], inputs: list[str],
                 outputs: list[StructField], keep: list[str] | None = None,
                 setup: Callable[[], object] | None = None, rows: int = 512) -> DataFrame:
@@ -56,9 +65,11 @@ def map_columns(df: DataFrame, fn: Callable[..., list], inputs: list[str],
 
     ``fn(state, *arrays)`` gets Arrow arrays of at most ``rows`` rows and
     returns one array or list for each output; ``state`` is what ``setup``
-    returned, built once in a task. Spark cuts its batches by bytes as well,
-    so a task holds one batch whatever the length of the texts.
+    returned, built once in a task. Spark's own batches are kept small, in
+    rows and in bytes, so a task holds little whatever the length of the
+    texts, and what Arrow has pooled is given back when the task ends.
     """
+    small_batches(df.sparkSession)
     keep = list(df.columns) if keep is None else keep
     out = StructType([df.schema[c] for c in keep] + outputs)
     from pyspark.sql.pandas.types import to_arrow_type
@@ -75,6 +86,7 @@ def map_columns(df: DataFrame, fn: Callable[..., list], inputs: list[str],
                         for x, k in zip(made, kinds)]
                 made = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in made]
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + made, names=keep + names)
+        pa.default_memory_pool().release_unused()
 
     need = list(dict.fromkeys([*keep, *inputs]))
     return df.select(*need).mapInArrow(run, out)

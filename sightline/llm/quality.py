@@ -40,7 +40,7 @@ _KINDS = _KINDS.translate(bytes.maketrans(b"abcdefghijklmnopqrstuvwxyz", b"a" *
 _KINDS = _KINDS.translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"A" * 26))
 _KINDS = _KINDS.translate(bytes.maketrans(b"0123456789", b"9" * 10))
 _RUNS = re.compile(rb"(.)\1+", re.S)
-_WORDS_KEPT = 200_000
+_WORDS_KEPT = 100_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,7 +122,7 @@ def held_out(id_col: str = "doc_id", rest: int = 1, mod: int = 3) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", per_class: int = 3000, dim: int = 1 << 18, **options) -> QualityModel:
+          label_col: str = "quality", per_class: int = 2000, dim: int = 1 << 18, **options) -> QualityModel:
     """Model of the labelled documents. ``labels`` holds the rows that may
     train: the caller leaves out what is held back."""
     y = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(
@@ -152,9 +152,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n_of = {c: max(1, int((y_all == c).sum())) for c in shares}
     total = sum(shares.values())
     rows = []
-    for at, x, c in zip(got["slots"].to_pylist(), got["values"].to_pylist(), y_all.tolist()):
-        rows.append((np.array([*at, dim], dtype=np.int64), np.array([*x, 1.0]), c,
-                     shares[c] / total * len(y_all) / n_of[c]))
+    for part in got.select(["y", "slots", "values"]).to_batches():
+        # flat Arrow buffers cut by row: no Python object for each number
+        ends = part.column(1).offsets.to_numpy()
+        at, x = part.column(1).values.to_numpy(), part.column(2).values.to_numpy()
+        for c, a, b in zip(part.column(0).to_pylist(), ends[:-1], ends[1:]):
+            rows.append((np.append(at[a:b], np.int32(dim)), np.append(x[a:b], np.float32(1.0)), c,
+                         shares[c] / total * len(y_all) / n_of[c]))
+    del got
     return ftrl(rows, dim, **options)
 
 
