@@ -120,8 +120,19 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     back. None if no row has a language and letters."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t"))
     rows = rows.where("lang is not null and t rlike '\\\\p{L}'").withColumn("k", F.xxhash64("id", "t"))
-    first = Window.partitionBy("lang").orderBy("k")
-    picks = (rows.select("lang", "k").withColumn("place", F.row_number().over(first))
+    keys = rows.select("lang", "k").transform(lambda d: materialize(d, "lang-keys"))
+    # common languages (at most 1,000 have many rows to spare) are thinned by
+    # their rows' hash to about four times what is wanted, in place, so none
+    # costs the ranking more than that
+    common = (keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 16 * per_lang)
+              .orderBy(F.col("n").desc(), "lang").limit(1000).collect())
+    place = F.pmod(F.xxhash64(F.lit(1), "k"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = keys
+    if common:
+        n_of = F.create_map(*[x for r in common for x in (F.lit(r["lang"]), F.lit(r["n"]))])
+        few = keys.where(place * F.coalesce(F.try_element_at(n_of, F.col("lang")), F.lit(0)) < 4 * per_lang)
+    first = Window.partitionBy("lang").orderBy(place, "k")
+    picks = (few.withColumn("place", F.row_number().over(first))
              .where(F.col("place") <= per_lang).select("k").distinct()
              .transform(lambda d: materialize(d, "lang-sample")))
     maybe, _ = sift(rows, "k", sieve(picks, "k"))
