@@ -154,12 +154,14 @@ def mix_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     **options) -> DataFrame:
-    """The input rows, each as often as the mix takes it (all columns)."""
+    """The input rows, each as often as the mix takes it (all columns). The
+    rows meet their copies by a sort-merge join at every size, so what a run
+    moves grows with its input, and Spark splits it where a key is hot."""
     from sightline.llm.common import fresh
     k, n = fresh("mix_k", docs.columns), fresh("mix_copies", docs.columns)
     m = (mix_to_targets(docs, id_col, text_col, source_col, **options)
          .select(F.col("k").alias(k), F.col("copies").alias(n)).where(F.col(n) > 0).distinct())
     key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")), F.col(source_col))
-    j = docs.withColumn(k, key).join(m, k)
+    j = docs.withColumn(k, key).join(m.hint("merge"), k)
     one = fresh("mix_one", j.columns)
     return j.withColumn(one, F.explode(F.array_repeat(F.lit(0), F.col(n).cast("int")))).select(*docs.columns)
