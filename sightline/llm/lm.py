@@ -4,12 +4,24 @@ Every word of a text is predicted from the words on both sides of it, the
 word itself masked: log P(w | two words left, two words right). The sum over
 the text is its score.
 
-Vocabulary: the most frequent words of the whole corpus by exact counts,
-pre-aggregated in each task before they are shuffled; all other words share
-hashed slots. Network, in numpy: an embedding table for each of the four
-places of the window, their sum through tanh to a hidden layer, and a
-two-step softmax, first over groups of words, then over the words of the
-group. So a prediction costs the square root of the vocabulary.
+Vocabulary: every word of the whole corpus by exact counts, pre-aggregated in
+each task before they are shuffled. The network's slots follow the number of
+distinct words, up to ``WIDEST`` squared; they go to the most frequent words,
+and all other words share hashed slots. Network, in numpy: an embedding table
+for each of the four places of the window, their sum through tanh to a hidden
+layer, and a two-step softmax, first over groups of words, then over the words
+of the group. So a prediction costs the square root of the vocabulary. The
+biases of the softmax begin at the counts, so training begins at the words'
+frequencies.
+
+Words in a shared slot have probabilities of their own: log P(word | slot) is
+added to the network's log P(slot | window). P(word | slot) = (n + Q) / (N + 1),
+where N is the slot's occurrences, n the exact count of the word, found by a
+join with the table of counts, which is sharded by word and grows with the
+corpus (nothing of it is collected), and Q the probability of its spelling: a
+chain of bytes, fitted on these words. So words never counted have a
+probability too: they divide one occurrence. Spellings also reach words of
+other slots, so the probabilities of all strings add up to at most 1.
 
 Training covers every word of every document: each task trains a copy on its
 own documents in small steps (Adagrad), and the copies are averaged, weighted
@@ -33,24 +45,32 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
-from sightline.llm.common import map_columns
+from sightline.llm.common import fresh, map_columns
 from sightline.session import materialize
 
 PLACES = (-2, -1, 1, 2)
 
+#: The sides of the smallest and the largest square of slots,
+#: and the unit of the added log-probabilities (whole numbers of it, so sums
+#: do not depend on the order of rows).
+NARROWEST, WIDEST = 44, 96
+UNIT = 1e-6
+_END = 256  # begins and ends a word; the bytes are 0 to 255
+
 
 @dataclass(frozen=True)
 class Shape:
     """Sizes of the network: ``groups`` x ``group`` slots, of which ``other``
     are shared by all words outside the vocabulary."""
-    groups: int = 32
-    group: int = 32
-    other: int = 32
-    hidden: int = 16
+    groups: int = WIDEST
+    group: int = WIDEST
+    other: int = WIDEST
+    hidden: int = 24
 
     @property
     def slots(self) -> int:
@@ -60,6 +80,14 @@ class Shape:
     def words(self) -> int:
         return self.slots - self.other
 
+    @staticmethod
+    def holding(words: int) -> Shape:
+        """The square that holds so many words, within the fixed sides."""
+        side = NARROWEST
+        while side < WIDEST and side * side - side < words:
+            side += 1
+        return Shape(side, side, side)
+
 
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "surrogatepass").split()
@@ -74,12 +102,51 @@ class Slots:
         self.first, self.other = shape.words, shape.other
 
     def __call__(self, text: str | None) -> np.ndarray:
+        return self.split(text)[0]
+
+    def split(self, text: str | None) -> tuple[np.ndarray, Counter[bytes]]:
+        """(slots of the words, the words in shared slots with their counts)."""
         words = words_of(text)
         get, first, other = self.of.get, self.first, self.other
         out = [get(w, -1) for w in words]
+        rest: Counter[bytes] = Counter()
         if -1 in out:
-            out = [first + zlib.crc32(w) % other if s < 0 else s for w, s in zip(words, out)]
-        return np.array(out, dtype=np.int64)
+            rest.update(w for w, s in zip(words, out) if s < 0)
+            at = {w: first + zlib.crc32(w) % other for w in rest}
+            out = [at[w] if s < 0 else s for w, s in zip(words, out)]
+        return np.array(out, dtype=np.int64), rest
+
+
+def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes of the byte pairs of all words, the ends included; where each
+    word's pairs begin)."""
+    size = np.array([len(w) for w in words], dtype=np.int64)
+    n = len(words)
+    chain = np.full(int(size.sum()) + n + 1, _END, dtype=np.int32)
+    chain[np.arange(int(size.sum())) + np.repeat(np.arange(n), size) + 1] = np.frombuffer(b"".join(words), np.uint8)
+    return chain[:-1] * (_END + 1) + chain[1:], np.cumsum(size + 1) - size - 1
+
+
+class Rest:
+    """The words beyond the vocabulary: ``counts`` (word, n; a table, None if
+    there is none), the occurrences in each shared slot, and the logs of the
+    chain of bytes, in which every pair counts once more."""
+
+    def __init__(self, occurrences: np.ndarray, pairs: np.ndarray, counts: DataFrame | None = None):
+        self.counts, self.occurrences = counts, occurrences
+        self.chain = (np.log(pairs + 1.0) - np.log(pairs.sum(axis=1, keepdims=True) + _END + 1.0)).ravel()
+
+    @staticmethod
+    def unknown(shape: Shape) -> Rest:
+        return Rest(np.zeros(shape.other), np.zeros((_END + 1, _END + 1)))
+
+
+def spelt(words: list[bytes], chain: np.ndarray) -> np.ndarray:
+    """log Q of each word."""
+    if not words:
+        return np.zeros(0)
+    codes, first = byte_pairs(words)
+    return np.add.reduceat(chain[codes], first)
 
 
 def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +178,15 @@ class Network:
             parts.append(flat[at:at + n].reshape(x))
             at += n
         self.embed, self.bias, self.to_group, self.group_bias, self.to_word, self.word_bias = parts
+        self.rest: Rest | None = None  # of a trained network
+
+    def begin_at(self, counts: np.ndarray) -> Network:
+        """Biases that give every slot its frequency."""
+        n = counts.reshape(self.shape.groups, self.shape.group) + 1.0
+        own = n.sum(axis=1, keepdims=True)
+        self.group_bias[:] = np.log(own[:, 0] / own.sum())
+        self.word_bias[:] = np.log(n / own)
+        return self
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
         h = self.embed[0][ctx[:, 0]]
@@ -209,10 +285,41 @@ def word_counts(docs: DataFrame, text_col: str = "text", held: int = 200_000) ->
     return part.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame, shape: Shape, text_col: str = "text") -> list[bytes]:
-    """The ``shape.words`` most frequent words: a bounded list."""
-    top = word_counts(docs, text_col).orderBy(F.col("n").desc(), "word").limit(shape.words)
-    return [bytes(r["word"]) for r in top.collect()]
+def vocabulary(counts: DataFrame, shape: Shape) -> tuple[list[bytes], list[int], DataFrame]:
+    """(the ``shape.words`` most frequent words: a bounded list; their
+    counts; the counts of all others)."""
+    top = counts.orderBy(F.col("n").desc(), "word").limit(shape.words).collect()
+    others = counts.limit(0)
+    if len(top) == shape.words:
+        n, word = top[-1]["n"], F.lit(bytes(top[-1]["word"]))
+        others = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
+    return [bytes(r["word"]) for r in top], [r["n"] for r in top], others
+
+
+def rest_of(others: DataFrame, shape: Shape) -> Rest:
+    """What is known of the words in ``others``. Collected are one number
+    for each shared slot and the counts of byte pairs."""
+    occurrences = np.zeros(shape.other)
+    for r in others.groupBy(_shared(shape.other).alias("slot")).agg(F.sum("n").alias("n")).collect():
+        occurrences[r["slot"]] = r["n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((_END + 1) ** 2, dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                sums += np.bincount(byte_pairs(b.column(0).to_pylist())[0], minlength=len(sums))
+        own = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["pair", "n"])
+    pairs = np.zeros((_END + 1) ** 2)
+    for r in (others.select("word").mapInArrow(run, "pair long, n long")
+              .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
+        pairs[r["pair"]] = r["n"]
+    return Rest(occurrences, pairs.reshape(_END + 1, _END + 1), others)
+
+
+def _shared(other: int) -> Column:
+    """Which of the shared slots a word has."""
+    return F.pmod(F.crc32("word"), F.lit(other)).cast("int")
 
 
 def _average(df: DataFrame, by: list[str]) -> DataFrame:
@@ -227,14 +334,20 @@ def _average(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).applyInPandas(mean, df.schema)
 
 
-def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), rate: float = 0.1, step: int = 4096,
-          slice_of: int = 8192, fan_in: int = 32) -> tuple[list[bytes], Network]:
-    """(vocabulary, network) of the corpus."""
+def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None, rate: float = 0.1,
+          step: int = 2048, slice_of: int = 8192, fan_in: int = 32) -> tuple[list[bytes], Network]:
+    """(vocabulary, network) of the corpus. The shape follows the counts if
+    none is given."""
     from pyspark import TaskContext
-    words = vocabulary(docs, shape, text_col)
+    counts = word_counts(docs, text_col).transform(lambda d: materialize(d, "lm-counts"))
+    shape = shape or Shape.holding(counts.count())
+    words, often, others = vocabulary(counts, shape)
+    rest = rest_of(others, shape)
+    begin = np.zeros(shape.slots)
+    begin[:len(often)], begin[shape.words:] = often, rest.occurrences
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, net = Slots(words, shape), Network(shape)
+        slots, net = Slots(words, shape), Network(shape).begin_at(begin)
         seen = Network(shape, np.zeros_like(net.flat))
         n, wait, held = 0, [], 0
         for batch in batches:
@@ -263,27 +376,60 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), rate:
         copies = _average(copies.withColumn("task", F.expr(f"task div {fan_in}")), ["task", "slice"])
         tasks = -(-tasks // fan_in)
     got = copies.orderBy("slice").collect()  # one network
-    return words, (Network(shape, np.frombuffer(b"".join(bytes(r["part"]) for r in got), dtype=np.float32).copy())
-                   if got else Network(shape))
+    net = (Network(shape, np.frombuffer(b"".join(bytes(r["part"]) for r in got), dtype=np.float32).copy())
+           if got else Network(shape))
+    net.rest = rest
+    return words, net
+
+
+_REST = StructType([StructField("word", BinaryType()), StructField("c", LongType()),
+                    StructField("spelt", DoubleType())])
 
 
 def score(docs: DataFrame, words: list[bytes], net: Network, text_col: str = "text",
           keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all by default), the words of the text, the sum of
-    their conditional log-probabilities and its mean."""
-    shape, flat = net.shape, net.flat
+    their conditional log-probabilities and its mean.
+
+    One scan writes the network's sums and the words in shared slots with
+    what their spelling gives; those words alone are shuffled, to the table
+    of counts and back to their rows."""
+    shape, flat, rest = net.shape, net.flat, net.rest or Rest.unknown(net.shape)
+    chain = rest.chain
+    keep = list(docs.columns) if keep is None else keep
+    key, base, more, add = (fresh(c, [*keep, "n_words"]) for c in ("row_key", "slot_log_prob", "rest", "rest_units"))
 
     def batch(state, texts: pa.Array) -> list:
         slots, model = state
-        rows = [slots(t) for t in texts.to_pylist()]
+        both = [slots.split(t) for t in texts.to_pylist()]
+        rows = [r for r, _ in both]
         n = np.array([len(r) for r in rows], dtype=np.int64)
         total = np.zeros(len(rows))
         if n.sum():
             lp = model.log_prob(*windows(rows, shape.slots))
             has = np.flatnonzero(n)
             total[has] = np.add.reduceat(lp, (np.cumsum(n) - n)[has])
-        return [n, total, [t / c if c else None for t, c in zip(total.tolist(), n.tolist())]]
-    return map_columns(docs, batch, [text_col],
-                       [StructField("n_words", LongType()), StructField("log_prob", DoubleType()),
-                        StructField("mean_log_prob", DoubleType())], keep,
+        own = [w for _, c in both for w in c]
+        ends = np.cumsum([0] + [len(c) for _, c in both])
+        parts = pa.StructArray.from_arrays(
+            [pa.array(own, type=pa.binary()), pa.array([x for _, c in both for x in c.values()], type=pa.int64()),
+             pa.array(spelt(own, chain))], fields=list(to_arrow_type(_REST)))
+        return [n, total, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), parts)]
+    rows = map_columns(docs, batch, [text_col],
+                       [StructField("n_words", LongType()), StructField(base, DoubleType()),
+                        StructField(more, ArrayType(_REST))], keep,
                        setup=lambda: (Slots(words, shape), Network(shape, flat)), rows=64)
+    # The number is written with the row, so it stays the same for both uses.
+    rows = rows.withColumn(key, F.monotonically_increasing_id()).transform(lambda d: materialize(d, "lm-rows"))
+    tail = rows.select(F.col(key), F.explode(more).alias("w")).select(key, "w.*")
+    lp = F.col("spelt")
+    if rest.counts is not None:
+        tail = tail.join(rest.counts.select("word", "n"), "word", "left")
+        lp = F.when(F.col("n").isNull(), lp).otherwise(F.log(F.col("n") + F.exp(lp)))
+    among = F.array(*[F.lit(float(x)) for x in np.log(rest.occurrences + 1.0)])
+    lp = lp - F.element_at(among, _shared(shape.other) + 1)
+    tail = tail.groupBy(key).agg(F.sum(F.col("c") * F.round(lp / UNIT).cast("long")).alias(add))
+    total = F.col(base) + F.coalesce(F.col(add), F.lit(0)) * F.lit(UNIT)
+    return (rows.join(tail, key, "left")
+            .select(*keep, "n_words", total.alias("log_prob"),
+                    F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob")))

@@ -129,3 +129,40 @@ def test_lm_odd(odd, empty):
     assert (3, 0, 0.0, None) in got and (5, 0, 0.0, None) in got
     w0, n0 = lm.train(empty, shape=SMALL)
     assert w0 == [] and lm.score(empty.drop("n_words"), w0, n0).collect() == []
+
+
+def test_lm_words_beyond_the_vocabulary_have_their_own_probability(spark):
+    """Words that share a slot are told apart by their exact counts, and
+    those never counted by their spelling; the sums stay below 1."""
+    from collections import Counter
+    shape = lm.Shape(groups=2, group=4, other=1, hidden=4)
+    rng = np.random.default_rng(0)
+    rare = ["".join(rng.choice(list("aeiou") + list("lnrst"), 5)) for _ in range(40)]
+    texts = ["a b c d e f g"] * 30 + ["often rarely often often"] * 4 + ["rarely"] + [f"a {w}" for w in rare]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, net = lm.train(df, shape=shape)
+    assert words == [b"a", b"b", b"c", b"d", b"e", b"f", b"g"]
+    ask = ["often", "rarely", rare[0], "stern", "xq\x01jz", None]
+    got = [r.log_prob for r in lm.score(
+        spark.createDataFrame(list(enumerate(ask)), "doc_id long, text string"), words, net).orderBy("doc_id").collect()]
+    slot = net.log_prob(np.array([7]), np.full((1, 4), shape.slots))[0]
+    counts = Counter(w for t in texts for w in lm.words_of(t))
+    own = {w: n for w, n in counts.items() if w not in words}
+    chain = np.exp(net.rest.chain.reshape(257, 257))
+    assert np.allclose(chain.sum(axis=1), 1.0)
+
+    def alone(w):
+        q = np.prod([chain[a, b] for a, b in zip([256, *w], [*w, 256])])
+        return (own.get(w, 0) + q) / (sum(own.values()) + 1)
+    assert got[:5] == pytest.approx([slot + np.log(alone(w.encode())) for w in ask[:5]], abs=1e-4)
+    assert got[0] > got[1] > got[2] > got[3] > got[4] and got[5] == 0.0
+    assert sum(alone(w) for w in own) < 1.0
+
+
+def test_lm_vocabulary_follows_the_counts(spark):
+    texts = [" ".join(f"w{i}" for i in range(a, a + 50)) for a in range(0, 5000, 50)] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words, net = lm.train(df)
+    assert len(words) == 5000 and net.shape.words >= 5000
+    got = lm.score(df, words, net, keep=["doc_id"]).collect()
+    assert len(got) == len(texts) and all(r.n_words == 50 and r.log_prob < 0 for r in got)
