@@ -3,12 +3,16 @@
 Seeds are what the fixed rules for e-mail, IP, card and phone find. One scan
 notes, for every seed and for every string that merely looks like one of the
 kinds, the two words before it: its lexical pattern. Spark then scores the
-graph of patterns and instances in rounds. A pattern's confidence is the
-mean trust of its distinct instances, if ``min_support`` of them are trusted;
-an instance's trust grows with the patterns that hold it (1 for seeds). The
-patterns that reach ``min_confidence`` hand trust to instances no rule knew,
-which support further patterns in the next round. In the end the occurrences
-of trusted instances are added to the seeds' spans; spans of the rules stay.
+graph of patterns and instances in rounds. A lookalike is unknown, unless it
+fails a check of its kind (``fails``): those contradict. A pattern's
+confidence is the share of the trusted among its distinct instances that are
+trusted or contradict, if ``min_support`` of them are trusted; unknown ones do
+not count against it, however many. An instance's trust grows with the
+patterns that hold it (1 for seeds). The patterns that reach
+``min_confidence`` hand trust to instances no rule knew, which support further
+patterns in the next round. Trust never falls, and the rounds end when one
+adds no trusted instance. In the end the occurrences of trusted instances are
+added to the seeds' spans; spans of the rules stay.
 
 The scan writes narrow rows (spans, not texts) to the shared folder. All
 graph tables are pre-aggregated before their shuffles, so a pattern that a
@@ -52,6 +56,10 @@ _LOOSE = (
     re.compile(r"(?<!\w)[0-9](?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])(?!\w)"),
     re.compile(r"(?<![\w+])\(?[0-9][\x20().0-9-]{5,}[0-9](?!\w)"),
 )
+# Numbers that are no phone: dates, spans of years, decimal numbers.
+_NO_PHONE = re.compile(r"(?:1[0-9]|20)[0-9]{2}([-. ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-. ])[0-9]{1,2}\2(?:1[0-9]|20)[0-9]{2}"
+                       r"|(?:1[0-9]|20)[0-9]{2} ?- ?(?:1[0-9]|20)[0-9]{2}|[0-9]+\.[0-9]+")
+_DOT = re.compile(r"\.|[\[(]dot[\])]", re.IGNORECASE)
 _BEFORE = re.compile(r"(\S+)\s+(\S+)\s*\Z")
 _REACH = 160  # code points before a span in which its two words are looked for
 
@@ -124,6 +132,20 @@ def lookalikes(text: str | None, found: list[tuple[int, int, int]]) -> list[tupl
     return out
 
 
+def fails(kind: int, found: str) -> bool:
+    """Whether a lookalike fails a check of its kind: a mail domain without a
+    dot, an address of too few groups, a card number of full length without
+    its check digit, a date, a span of years or a decimal for a phone."""
+    if kind == 0:
+        return not _DOT.search(re.split(r"@|[\[(]at[\])]", found, maxsplit=1)[-1])
+    if kind == 1:
+        return found.count(":") < 7
+    if kind == 2:
+        digits = found.replace(" ", "").replace("-", "")
+        return len(digits) >= 14 and not luhn(digits)
+    return _NO_PHONE.fullmatch(found) is not None
+
+
 def context(text: str, start: int) -> str | None:
     """The two words before a span, lower-cased, without marks around them."""
     m = _BEFORE.search(text, max(0, start - _REACH), start)
@@ -137,7 +159,8 @@ _SPAN = StructType([StructField("start", IntegerType()), StructField("kind", Int
                     StructField("end", IntegerType())])
 _NODE = StructType([StructField("kind", IntegerType()), StructField("start", IntegerType()),
                     StructField("end", IntegerType()), StructField("pattern", StringType()),
-                    StructField("instance", StringType()), StructField("seed", BooleanType())])
+                    StructField("instance", StringType()), StructField("seed", BooleanType()),
+                    StructField("wrong", BooleanType())])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,7 +173,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             more = lookalikes(t, found)
             spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
             nodes.append([{"kind": k, "start": a, "end": b, "pattern": context(t, a),
-                           "instance": " ".join(t[a:b].lower().split()), "seed": own}
+                           "instance": " ".join(t[a:b].lower().split()), "seed": own,
+                           "wrong": not own and fails(k, t[a:b])}
                           for group, own in ((found, True), (more, False)) for a, k, b in group])
         return [spans, nodes]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
@@ -159,34 +183,41 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                                             StructField("nodes", ArrayType(_NODE))], keep=["id", "k"])
 
 
-def trusted_instances(nodes: DataFrame, rounds: int = 3, min_support: int = 5, min_confidence: float = 0.8,
+def trusted_instances(nodes: DataFrame, min_support: int = 5, min_confidence: float = 0.8,
                       min_trust: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(instances no rule knew that are trusted: kind, instance; patterns
     that reached the confidence: kind, pattern, confidence), from rows
-    (kind, pattern, instance, seed)."""
-    edges = (nodes.groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed"))
+    (kind, pattern, instance, seed, wrong)."""
+    edges = (nodes.groupBy("kind", "pattern", "instance").agg(F.max("seed").alias("seed"), F.max("wrong").alias("wrong"))
              .transform(lambda d: materialize(d, "pii-edges")))
-    known = (edges.groupBy("kind", "instance").agg(F.max("seed").alias("seed"))
-             .select("kind", "instance", "seed", F.col("seed").cast("double").alias("trust")))
+    known = (edges.groupBy("kind", "instance").agg(F.max("seed").alias("seed"), F.max("wrong").alias("wrong"))
+             .withColumn("trusted", F.col("seed")))
     known = known.transform(lambda d: materialize(d, "pii-trust-0"))
     graph = edges.where("pattern is not null").select("kind", "pattern", "instance")
-    patterns = None
-    for r in range(1, rounds + 1):
+    before, r = 0, 0
+    while True:
+        r += 1
         patterns = (graph.join(known, ["kind", "instance"])
                     .groupBy("kind", "pattern")
-                    .agg(F.avg("trust").alias("confidence"),
-                         F.sum((F.col("trust") >= min_trust).cast("int")).alias("support"))
+                    .agg(F.sum(F.col("trusted").cast("int")).alias("support"),
+                         F.sum((F.col("wrong") & ~F.col("trusted")).cast("int")).alias("against"))
+                    .withColumn("confidence", F.col("support") / F.greatest(F.col("support") + F.col("against"), F.lit(1)))
                     .where((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
                     .select("kind", "pattern", "confidence")
                     .transform(lambda d, n=r: materialize(d, f"pii-patterns-{n}")))
         miss = F.sum(F.log(F.lit(1.0) - F.least(F.col("confidence"), F.lit(0.999))))
         given = (graph.join(patterns, ["kind", "pattern"]).groupBy("kind", "instance")
                  .agg((F.lit(1.0) - F.exp(miss)).alias("given")))
+        # A float of 1 - exp(log(1 - c)) may fall short of c by rounding.
+        enough = F.coalesce(F.col("given") >= min_trust - 1e-9, F.lit(False))
         known = (known.join(given, ["kind", "instance"], "left")
-                 .select("kind", "instance", "seed",
-                         F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("given", F.lit(0.0))).alias("trust"))
+                 .select("kind", "instance", "seed", "wrong", (F.col("trusted") | enough).alias("trusted"))
                  .transform(lambda d, n=r: materialize(d, f"pii-trust-{n}")))
-    found = known.where(~F.col("seed") & (F.col("trust") >= min_trust)).select("kind", "instance")
+        now = known.where("trusted and not seed").count()
+        if now == before:
+            break
+        before = now
+    found = known.where(~F.col("seed") & F.col("trusted")).select("kind", "instance")
     return found, patterns
 
 
@@ -196,7 +227,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sorted."""
     rows = scan(docs, id_col, text_col).transform(lambda d: materialize(d, "pii-scan"))
     nodes = rows.select("k", F.explode("nodes").alias("n")).select("k", "n.*")
-    found, _ = trusted_instances(nodes.select("kind", "pattern", "instance", "seed"), **options)
+    found, _ = trusted_instances(nodes.select("kind", "pattern", "instance", "seed", "wrong"), **options)
     added = (nodes.where(~F.col("seed")).join(found, ["kind", "instance"])
              .groupBy("k").agg(F.collect_set(F.struct("start", "kind", "end")).alias("added")))
     return (rows.select("id", "k", "seeds").join(added, "k", "left")

@@ -59,6 +59,38 @@ def test_contexts_discover_what_rules_miss(spark):
     assert found(frame(spark, texts), min_support=50)[12] == ("", "")
 
 
+def test_unseen_identifiers_do_not_count_against_their_context(spark):
+    """25 seeds and 75 lookalikes that no rule knows: all are found. Those
+    that fail a check of the kind do count."""
+    seen = [f"please call me on +1 (555) 010-{2000 + i} today" for i in range(25)]
+    unseen = [f"please call me on 555 867 {5000 + i} today" for i in range(75)]
+    dates = [f"the meeting was +1 (555) 020-{2000 + i} today" for i in range(10)]
+    dates += [f"the meeting was 2024-01-{i + 10} today" for i in range(10)] + ["the meeting was 555 222 1111 today"]
+    texts = seen + unseen + dates
+    got = found(frame(spark, texts))
+    for i in range(25, 100):
+        assert got[i] == ("", f"phone:{texts[i].index('555')}:{texts[i].index(' today')}")
+    assert all(got[i] == ("", "") for i in range(110, len(texts)))
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    """A chain of eight contexts, each known only through the one before."""
+    number = [[f"555 {100 + h} {1000 + i}" for i in range(5)] for h in range(8)]
+    texts = [f"first place0 +1 (555) 010-{2000 + i} x" for i in range(5)]
+    for h in range(8):
+        texts += [f"hop place{h} {n} x" if h else f"first place0 {n} x" for n in number[h]]
+        texts += [f"hop place{h + 1} {n} x" for n in number[h]]
+    got = found(frame(spark, texts))
+    assert all(a.startswith("phone:") for _, a in got.values())
+
+
+def test_checks_of_lookalikes():
+    wrong = [(0, "bob@localhost"), (1, "12:30:45:10"), (2, "4111 1111 1111 1112"), (3, "2024-01-15"), (3, "1990-1995"),
+             (3, "15.01.2024"), (3, "1234567.89")]
+    unknown = [(0, "bob (at) example (dot) com"), (1, "1:2:3:4:5:6:7:8"), (2, "411111111111"), (3, "555 867 5309")]
+    assert all(pii.fails(k, x) for k, x in wrong) and not any(pii.fails(k, x) for k, x in unknown)
+
+
 def test_clean_documents_stay_clean(docs, doc_rows):
     got = found(docs)
     for i, t in doc_rows:
