@@ -98,6 +98,41 @@ def test_simhash_links_are_whole_at_any_bucket_size(spark, bucket, clusters, eac
     assert {f: find(f) for f in fps} == brute.components(fps)
 
 
+@pytest.mark.parametrize("bucket,clusters,each,chain", [(3, 4, 12, 24), (1, 3, 5, 10)])
+def test_simhash_links_in_small_buckets_reach_every_byte(spark, bucket, clusters, each, chain):
+    """Flips over all 64 bits, links that flip bits of each byte, and a chain
+    in the last bytes, all through the second and third level."""
+    rnd = random.Random(5)
+    fps = set()
+    for _ in range(clusters):
+        f = rnd.getrandbits(64)
+        for _ in range(each):
+            g = f
+            for _ in range(rnd.randrange(5)):
+                g ^= 1 << rnd.randrange(64)
+            fps.add(g)
+    f = rnd.getrandbits(64)
+    for byte in range(8):  # one, two and three bits, in this byte and the next
+        fps |= {f, f ^ 1 << 8 * byte, f ^ 1 << 8 * byte ^ 1 << (8 * byte + 11) % 64,
+                f ^ 7 << 8 * byte}
+    for a in range(chain):
+        fps.add((1 << 60) | ((1 << a % 20) * 3) << 20 * (a // 20))
+    signed = [(f - (1 << 64) if f >= 1 << 63 else f,) for f in fps]
+    parent = {f: f for f in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    got = simhash.links(spark.createDataFrame(signed, "fp long"), bucket=bucket).collect()
+    for r in got:
+        a, b = r.src % (1 << 64), r.dst % (1 << 64)
+        assert (a ^ b).bit_count() <= 3
+        ra, rb = find(a), find(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    assert {f: find(f) for f in fps} == brute.components(fps)
+
+
 def test_keep_one_of_each_keeps_columns(odd):
     out = simhash.keep_one_of_each(odd)
     want = sorted((i for i, _, c in brute.simhash(ODD_TEXTS) if i == c), key=repr)
