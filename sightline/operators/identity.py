@@ -116,7 +116,8 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
           queries: DataFrame | None = None) -> DataFrame:
     """The k most similar other vectors of every vector (or of every
     row of ``queries``), ordered by similarity (rounded to 1e-9) desc, then
-    neighbour id asc. Each task keeps its rows' top k per tile pair; a
+    neighbour id asc. Every row with the vector's own id is left out before
+    the k are taken, so repeated ids leave k. Each task keeps its rows' top k per tile pair; a
     global top-k per query (with a partial window-group limit) merges them.
     """
     v = vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), F.lit(False).alias("_q"))
@@ -131,8 +132,7 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
         k-th best score, every column at least that good is a candidate
         (ties included), and one global lexsort ranks the candidates."""
         s9 = np.round(sims, 9)
-        if self_mask is not None:
-            s9 = np.where(self_mask, -np.inf, s9)
+        s9 = np.where(self_mask, -np.inf, s9)
         kk = min(k, sims.shape[1])
         neg = -s9
         thr = np.partition(neg, kk - 1, axis=1)[:, kk - 1]
@@ -163,8 +163,7 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
                 if sub.size == 0:
                     continue
                 qsel, csel = qid[want], cid[cand]
-                self_mask = None if has_q else qsel[:, None] == csel[None, :]
-                r = best(sub, qsel, csel, self_mask)
+                r = best(sub, qsel, csel, qsel[:, None] == csel[None, :])
                 out_q += r[0]
                 out_n += r[1]
                 out_s += r[2]
@@ -189,10 +188,7 @@ def search(vecs: DataFrame, id_col: str, vec_col: str, queries: DataFrame, k: in
     q = queries.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
     got = q.limit(most_queries + 1).toPandas()
     if len(got) > most_queries:
-        own = F.col("nbr_id") != F.col(id_col)
-        wide = top_k(vecs, id_col, vec_col, k + 1, tile_size, queries).where(own)
-        return keep_n(wide.withColumn("_s9", F.round("sim", 9)).drop("rank"), [id_col],
-                      [F.col("_s9").desc(), F.col("nbr_id")], k, "rank").select(id_col, "rank", "nbr_id", "sim")
+        return top_k(vecs, id_col, vec_col, k, tile_size, queries)
     q_ids = got["_id"].to_numpy()
     id_type = vecs.schema[id_col].dataType.simpleString()
 

@@ -78,3 +78,24 @@ def test_search_is_the_same_with_and_without_tiles(spark):
             best = sorted((-round(float(x[i] @ x[j]), 9), j) for j in x if j != i)[:4]
             want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     assert [w[:3] for w in pick(a)] == [w[:3] for w in sorted(want)]
+
+
+def test_search_leaves_k_neighbours_of_repeated_ids(spark):
+    """Ids that occur three times with almost the same vector, so the own
+    ones are the nearest."""
+    rng = np.random.default_rng(4)
+    near = rng.standard_normal((30, 6))
+    rows = [(i // 3, [float(x) for x in near[i // 3] + 0.001 * rng.standard_normal(6)]) for i in range(90)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = spark.createDataFrame(rows[::15], v.schema)
+    few = ID.search(v.repartition(4), "vec_id", "embedding", q, 4).collect()
+    tiles = ID.search(v, "vec_id", "embedding", q, 4, most_queries=2, tile_size=25).collect()
+    x = np.array([e for _, e in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    want = []
+    for r in q.collect():
+        s = x @ (np.array(r.embedding) / np.linalg.norm(r.embedding))
+        best = sorted((-round(float(s[j]), 9), i) for j, (i, _) in enumerate(rows) if i != r.vec_id)[:4]
+        want += [(r.vec_id, n + 1, i, -c) for n, (c, i) in enumerate(best)]
+    for got in (few, tiles):
+        assert sorted((r.vec_id, r["rank"], r.nbr_id, round(r.sim, 9)) for r in got) == sorted(want)
