@@ -96,8 +96,8 @@ class QualityModel:
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int, float]], dim: int, epochs: int = 5, alpha: float = 3.0,
          beta: float = 0.05, l1: float = 1e-5, l2: float = 1e-3, seed: int = 3) -> QualityModel:
-    """Rows are (slots, values, label, weight). The last coordinate is the
-    intercept. Each update adds the gradient and the shift of the proximal
+    """Rows are (slots, values, label, weight); the intercept is added to
+    each as the last coordinate. Each update adds the gradient and the shift of the proximal
     term to z, the square to n, for the row's coordinates only."""
     z, n = np.zeros(dim + 1), np.zeros(dim + 1)
     w = np.zeros(dim + 1)
@@ -105,6 +105,7 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray, int, float]], dim: int, epochs
     for _ in range(epochs):
         for r in order.permutation(len(rows)):
             at, x, label, weight = rows[r]
+            at, x = np.append(at, np.int32(dim)), np.append(x, np.float32(1.0))
             p = 1.0 / (1.0 + np.exp(-np.clip(w[at] @ x, -500, 500)))
             g = weight * (p - label) * x
             step = n[at] + g * g
@@ -122,7 +123,7 @@ def held_out(id_col: str = "doc_id", rest: int = 1, mod: int = 3) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", per_class: int = 2000, dim: int = 1 << 18, **options) -> QualityModel:
+          label_col: str = "quality", per_class: int = 3000, dim: int = 1 << 18, **options) -> QualityModel:
     """Model of the labelled documents. ``labels`` holds the rows that may
     train: the caller leaves out what is held back."""
     y = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(
@@ -153,13 +154,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = sum(shares.values())
     rows = []
     for part in got.select(["y", "slots", "values"]).to_batches():
-        # flat Arrow buffers cut by row: no Python object for each number
+        # views of the flat Arrow buffers: neither copies nor Python numbers
         ends = part.column(1).offsets.to_numpy()
         at, x = part.column(1).values.to_numpy(), part.column(2).values.to_numpy()
         for c, a, b in zip(part.column(0).to_pylist(), ends[:-1], ends[1:]):
-            rows.append((np.append(at[a:b], np.int32(dim)), np.append(x[a:b], np.float32(1.0)), c,
-                         shares[c] / total * len(y_all) / n_of[c]))
-    del got
+            rows.append((at[a:b], x[a:b], c, shares[c] / total * len(y_all) / n_of[c]))
     return ftrl(rows, dim, **options)
 
 

@@ -67,6 +67,14 @@ def test_quality_odd(spark, odd, empty):
     assert quality.keep_good(empty, y).collect() == []
 
 
+def test_quality_fits_on_3000_rows_a_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "ftrl", lambda rows, dim, **o: seen.append(rows) or quality.QualityModel(np.zeros(dim), 0.0))
+    docs = spark.range(6400).selectExpr("id AS doc_id", "concat('w', id % 7, ' v') AS text")
+    quality.train(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 AS int) AS quality"))
+    assert sorted(c for _, _, c, _ in seen[0]) == [0] * 3000 + [1] * 3000
+
+
 def test_quality_is_a_sparse_dot_product():
     h = quality.Hasher(1 << 10)
     w = np.random.default_rng(0).standard_normal(1 << 10).astype(np.float32)
