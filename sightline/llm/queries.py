@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, pii, quality, simhash
+from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, packing, pii, quality, simhash
 from sightline.llm.common import map_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
               for i, k in enumerate(pii.KINDS)]
     return p.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("seeds")), 256).alias("base_sha256"),
                     pii.spans_text(F.col("spans")).alias("spans"))
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 11 over all documents: sequences of 4,096 tokens, id 1 ends a document."""
+    p = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096, end_id=1)
+    return p.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
