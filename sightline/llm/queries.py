@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, packing, pii, quality, simhash
+from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, packing, pii, quality, simhash, trie
 from sightline.llm.common import map_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,39 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 11 over all documents: sequences of 4,096 tokens, id 1 ends a document."""
     p = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=4096, end_id=1)
     return p.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op12_trie", oracle=r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+     v AS (SELECT c, CAST(c AS VARCHAR) AS s FROM t GROUP BY c),
+     crc AS (SELECT c, xor(4294967295, list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length(s) + 1),
+                 lambda k: [CAST(ord(s[k]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) AS crc
+             FROM v),
+     h AS (SELECT c, c - c % 100 AS base, crc % 6 AS h FROM crc),
+     r AS (SELECT h.c, t.i, t.role, t.text FROM h JOIN t ON t.c = h.base AND t.i <= h.h
+           UNION ALL SELECT h.c, t.i, t.role, t.text FROM h JOIN t ON t.c = h.c AND t.i > h.h),
+     q AS (SELECT v.c, coalesce(turns, []) AS turns FROM v LEFT JOIN (
+             SELECT c, list({'role': role, 'text': text} ORDER BY i) AS turns FROM r GROUP BY c) USING (c)),
+     d AS (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS depth FROM q),
+     p AS (SELECT c, depth, depth = len(turns) AS ends, sha256(CAST(to_json(turns[1:depth]) AS VARCHAR)) AS k,
+                  sha256(CAST(to_json(turns[1:depth - 1]) AS VARCHAR)) AS pk,
+                  CASE WHEN depth = 0 THEN 0 ELSE length(turns[depth].text) END AS points FROM d),
+     n AS (SELECT depth, k, min(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(points) AS saved,
+                  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+           FROM p GROUP BY depth, k),
+     ch AS (SELECT pk AS k, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+     m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (k, depth)),
+     s AS (SELECT p.depth, p.k, sum(CASE WHEN m.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(m.saved) AS saved_tokens
+           FROM m JOIN p ON p.c = m.conv_id AND p.depth <= m.depth GROUP BY p.depth, p.k)
+SELECT m.conv_id, m.depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN s USING (depth, k) LEFT JOIN n up ON m.depth > 0 AND up.depth = m.depth - 1 AND up.k = m.pk
+""")
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 12 over all conversations."""
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
