@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
-from sightline.llm import ann, bpe, exact_dedup, langid, line_dedup, lm, mixing, packing, pii, quality, simhash, trie
+from sightline.llm import ann, bpe, codes, exact_dedup, langid, line_dedup, lm, mixing, packing, pii, quality, simhash, trie
 from sightline.llm.common import map_columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,43 @@ FROM m JOIN s USING (depth, k) LEFT JOIN n up ON m.depth > 0 AND up.depth = m.de
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 12 over all conversations."""
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """The rounds of op 13 written out."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+     a{r} AS (SELECT part, rid, arg_min(entry, d * {entries} + entry) AS entry, min(d) AS d, any_value(v) AS v FROM (
+               SELECT x.part, x.rid, b.entry, x.v, list_sum(list_transform(list_zip(x.v, b.v),
+                 lambda q: (q[1] - q[2]) * (q[1] - q[2])))::BIGINT AS d FROM x JOIN b{r} b USING (part)) GROUP BY part, rid)""")
+        if r < rounds:
+            steps.append(f"""
+     u{r} AS (SELECT part, entry, list(m ORDER BY pos) AS v FROM (
+               SELECT part, entry, pos, CAST(((sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*)) AS BIGINT) AS m
+               FROM (SELECT part, entry, unnest(v) AS c, generate_subscripts(v, 1) AS pos FROM a{r}) GROUP BY part, entry, pos)
+             GROUP BY part, entry),
+     b{r + 1} AS (SELECT part, entry, coalesce(u{r}.v, b{r}.v) AS v FROM b{r} LEFT JOIN u{r} USING (part, entry))""")
+    body = ",".join(steps)
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS rid, vec_id, label,
+                  list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+     x AS (SELECT rid, part, v[part * len(v) // {parts} + 1:(part + 1) * len(v) // {parts}] AS v
+           FROM k, range({parts}) t(part)),
+     b0 AS (SELECT part, rid AS entry, v FROM x WHERE rid < {entries}),{body},
+     e AS (SELECT rid, string_agg(lpad(lower(hex(entry)), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+           FROM a{rounds} GROUP BY rid),
+     s AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN e USING (rid), s
+"""
+
+
+@query("op13_codes", oracle=_codes_sql())
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Op 13 over all embeddings: 4 parts, 256 entries, 4 rounds."""
+    found, books = codes.vector_codes(table(spark, sf_dir, "embeddings"), keep=["vec_id", "label"])
+    d = codes.with_group_error(found, books, "label")
+    return d.select("vec_id", "code", "error", F.col("group_error").alias("label_error"), "codebooks_sha256")
