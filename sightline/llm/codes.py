@@ -259,8 +259,8 @@ def first_books(rows: DataFrame, id_col: str, parts: int, entries: int) -> Codeb
              .groupBy("length", "rank").agg(F.min("v").alias("v")).collect())
     books: dict[int, list[np.ndarray]] = {}
     for n in sorted({r["length"] for r in found}):
-        x = np.array([r["v"] for r in sorted((r for r in found if r["length"] == n), key=lambda r: r["rank"])], dtype=np.int64)
-        x = x.reshape(-1, n)
+        least = [r["v"] for r in sorted((r for r in found if r["length"] == n), key=lambda r: r["rank"])]
+        x = np.array(least, dtype=np.int64).reshape(len(least), n)
         books[n] = [x[:, c] for c in cuts(n, parts)]
     return Codebooks(books, parts)
 
