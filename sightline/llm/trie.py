@@ -121,13 +121,19 @@ def prefixes(turns: DataFrame) -> DataFrame:
         "conv", "depth", carried("s1", "f1").alias("k1"), carried("s2", "f2").alias("k2"), "points")
 
 
-def trie_paths(turns: DataFrame) -> DataFrame:
+def trie_paths(turns: DataFrame, hot_share: int = 10_000) -> DataFrame:
     """(conv, depth, owner, n_convs, points): for each prefix of each
-    conversation the smallest member of its node, and their number."""
-    rows = prefixes(turns)
+    conversation the smallest member of its node, and their number.
+
+    Nodes that hold one in ``hot_share`` of all prefixes, at most that many,
+    are broadcast, so their members stay where they are."""
+    rows = materialize(prefixes(turns), "trie-prefixes")
     key = ["depth", "k1", "k2"]
-    nodes = rows.groupBy(*key).agg(F.min("conv").alias("owner"), F.count(F.lit(1)).alias("n_convs"))
-    return rows.join(nodes, key).select("conv", "depth", "owner", "n_convs", "points")
+    nodes = materialize(rows.groupBy(*key).agg(F.min("conv").alias("owner"), F.count(F.lit(1)).alias("n_convs")), "trie-owners")
+    is_hot = F.col("n_convs") >= max(256, -(-rows.count() // hot_share))
+    hot = F.broadcast(nodes.where(is_hot))
+    met = rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(nodes.where(~is_hot), key))
+    return met.select("conv", "depth", "owner", "n_convs", "points")
 
 
 def ends_digests(ends: DataFrame, together: int = 4096) -> DataFrame:
