@@ -1,13 +1,19 @@
 """Appearance vectors: normalisation, similarity pairs, k-NN, re-ranking,
 global identities (T19, L5, V3-V6, V11).
 
-Exact similarity over all vectors needs every pair's dot product, but
-never a cross join or a group holding all vectors. Vectors are hashed
-into tiles of about ``tile_size`` rows; each vector is sent to the
-``T`` tile-pair groups ``(min(i, j), max(i, j))`` that involve its tile.
-A group therefore holds at most two tiles, and one Arrow-batched pandas
-task multiplies the two tile matrices with numpy and emits only what
-the query asks for (pairs over a threshold, or each row's top k).
+Pairs over a threshold come from ``metric.near_pairs``, which compares only
+what the angles to pivots allow. The k nearest of every vector (``top_k``)
+need every pair's dot product, but never a cross join or a group holding all
+vectors: vectors are hashed into tiles of about ``tile_size`` rows; each is
+sent to the ``T`` tile-pair groups ``(min(i, j), max(i, j))`` that involve
+its tile. A group therefore holds at most two tiles, and one Arrow-batched
+pandas task multiplies the two tile matrices with numpy and emits each row's
+top k. A bounded query set needs no shuffle (``search``), and a stored index
+is searched by its bounds (``metric.search_index``).
+
+Vectors without a direction (null, empty, zero, null or non-finite
+components), of another than the usual length, or without an id take no
+part in any of them.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sightline.operators.graph import connected_components
+from sightline.operators.metric import has_direction, near_pairs, unit, usable
 from sightline.operators.stats import keep_n
 from sightline.session import materialize
 
@@ -80,36 +87,9 @@ def _matrices(pdf: pd.DataFrame):
 def similar_pairs(vecs: DataFrame, id_col: str, vec_col: str, group_col: str | None,
                   threshold: float, tile_size: int = 2048) -> DataFrame:
     """Every pair (a < b) with cosine > threshold; with ``group_col``
-    only pairs from different groups (different cameras)."""
-    v = vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"),
-                    (F.col(group_col) if group_col else F.lit("")).alias("_grp"))
-    rep, _ = _tiles(v, tile_size)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, ma, mb, same = _matrices(pdf)
-        if ma.size == 0 or mb.size == 0:
-            return pd.DataFrame({"a": [], "b": [], "ga": [], "gb": [], "sim": []})
-        s = ma @ mb.T
-        ids_a, ids_b = a["_id"].to_numpy(), b["_id"].to_numpy()
-        mask = s > threshold
-        if group_col:
-            mask &= a["_grp"].to_numpy()[:, None] != b["_grp"].to_numpy()[None, :]
-        if same:
-            mask &= ids_a[:, None] < ids_b[None, :]
-        ia, ib = np.nonzero(mask)
-        x, y = ids_a[ia], ids_b[ib]
-        gx, gy = a["_grp"].to_numpy()[ia], b["_grp"].to_numpy()[ib]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "ga": np.where(x < y, gx, gy),
-                             "gb": np.where(x < y, gy, gx), "sim": s[ia, ib]})
-
-    id_type = vecs.schema[id_col].dataType.simpleString()
-    g_type = v.schema["_grp"].dataType.simpleString()
-    out = rep.groupBy("_g_lo", "_g_hi").applyInPandas(
-        fn, f"a {id_type}, b {id_type}, ga {g_type}, gb {g_type}, sim double")
-    cols = [F.col("a").alias(id_col + "_a"), F.col("b").alias(id_col + "_b")]
-    if group_col:
-        cols += [F.col("ga").alias(group_col + "_a"), F.col("gb").alias(group_col + "_b")]
-    return out.select(*cols, "sim")
+    only pairs from different groups (different cameras). See
+    ``metric.near_pairs``."""
+    return near_pairs(vecs, id_col, vec_col, group_col, threshold, tile_size)
 
 
 def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2048,
@@ -124,6 +104,7 @@ def top_k(vecs: DataFrame, id_col: str, vec_col: str, k: int, tile_size: int = 2
     if queries is not None:
         v = v.unionByName(queries.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"),
                                          F.lit(True).alias("_q")))
+    v = usable(v.where("_id IS NOT NULL"), "_v")
     rep, _ = _tiles(v, tile_size)
     has_q = queries is not None          # the closure must not capture a DataFrame
 
@@ -185,34 +166,50 @@ def search(vecs: DataFrame, id_col: str, vec_col: str, queries: DataFrame, k: in
     the corpus streams past them where it lies: it is not shuffled, and a
     task hands on k rows a query at most. More queries than that go through
     the tiles of ``top_k``; both ways give the same rows."""
+    rows = usable(vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")).where("_id IS NOT NULL"), "_v")
     q = queries.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
-    got = q.limit(most_queries + 1).toPandas()
+    got = q.where(has_direction(F.col("_v")) & F.col("_id").isNotNull()).limit(most_queries + 1).toPandas()
     if len(got) > most_queries:
         return top_k(vecs, id_col, vec_col, k, tile_size, queries)
-    q_ids = got["_id"].to_numpy()
+    q_ids, q_vecs = got["_id"].to_numpy(), list(got["_v"])
     id_type = vecs.schema[id_col].dataType.simpleString()
 
-    def unit(column) -> np.ndarray:
-        m = np.stack([np.asarray(x, dtype=np.float64) for x in column])
-        n = np.sqrt((m * m).sum(axis=1))
-        return m / np.where(n > 0, n, 1.0)[:, None]
-    q_unit = unit(got["_v"]) if len(got) else np.zeros((0, 0))
-
     def run(batches):
-        ids, sims = np.zeros((len(q_ids), 0), dtype=object), np.zeros((len(q_ids), 0))
+        q_unit = None
+        ids = sims = None
         for b in batches:
             if not len(b) or not len(q_ids):
                 continue
-            s = q_unit @ unit(b["_v"]).T
-            c = b["_id"].to_numpy()
-            s[q_ids[:, None] == c[None, :]] = -np.inf
-            sims = np.concatenate([sims, s], axis=1)
-            ids = np.concatenate([ids, np.broadcast_to(c.astype(object), s.shape)], axis=1)
-            order = np.array([np.lexsort((i, -np.round(r, 9)))[:k] for i, r in zip(ids, sims)])
-            ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
-        r, c = np.nonzero(np.isfinite(sims))
-        yield pd.DataFrame({"q": q_ids[r], "n": ids[r, c], "sim": sims[r, c]})
-    found = vecs.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")).mapInPandas(
+            x = unit(b["_v"])
+            if q_unit is None:
+                fits = np.array([len(v) == x.shape[1] for v in q_vecs])
+                q_unit = np.zeros((len(q_ids), x.shape[1]))
+                if fits.any():
+                    q_unit[fits] = unit([v for v, ok in zip(q_vecs, fits) if ok])
+                ids = np.zeros((len(q_ids), 0), dtype=b["_id"].to_numpy().dtype)
+                sims = np.zeros((len(q_ids), 0))
+            for at in range(0, len(b), 1024):
+                c = b["_id"].to_numpy()[at:at + 1024]
+                s = q_unit @ x[at:at + 1024].T
+                s[~fits] = -np.inf
+                s[q_ids[:, None] == c[None, :]] = -np.inf
+                # the k best of this block, ties at the cut included, then those of both
+                s9 = np.round(s, 9)
+                if s.shape[1] > k:
+                    s[s9 < np.partition(s9, -k, axis=1)[:, -k][:, None]] = -np.inf
+                r, j = np.nonzero(np.isfinite(s))
+                pr, pj = np.nonzero(np.isfinite(sims))
+                row, n, sim = np.concatenate([pr, r]), np.concatenate([ids[pr, pj], c[j]]), np.concatenate([sims[pr, pj], s[r, j]])
+                order = np.lexsort((n, -np.round(sim, 9), row))
+                row, n, sim = row[order], n[order], sim[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row, side="left")
+                row, n, sim, place = (v[place < k] for v in (row, n, sim, place))
+                ids, sims = np.zeros((len(q_ids), k), dtype=ids.dtype), np.full((len(q_ids), k), -np.inf)
+                ids[row, place], sims[row, place] = n, sim
+        if sims is not None:
+            r, c = np.nonzero(np.isfinite(sims))
+            yield pd.DataFrame({"q": q_ids[r], "n": ids[r, c], "sim": sims[r, c]})
+    found = rows.mapInPandas(
         run, f"q {id_type}, n {id_type}, sim double").withColumn("_s9", F.round("sim", 9))
     return keep_n(found, ["q"], [F.col("_s9").desc(), F.col("n")], k, "rank").select(
         F.col("q").alias(id_col), "rank", F.col("n").alias("nbr_id"), "sim")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sightline.functions.geometry import ground_x, ground_y
 from sightline.operators import identity as ID
+from sightline.operators import metric
 from sightline.operators.stats import elapsed_seconds
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_, V_
@@ -55,11 +56,13 @@ def reid_similarity_pairs(spark, sf):
 
 
 def _knn_sql(k: int) -> str:
-    return f""", knn AS MATERIALIZED (
-  SELECT * FROM (
-    SELECT a.vec_id, b.vec_id AS nbr_id, {_SIM} AS sim,
-           CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY round({_SIM}, 9) DESC, b.vec_id) AS BIGINT) AS rank
-    FROM normed a JOIN normed b ON a.vec_id <> b.vec_id) WHERE rank <= {k})
+    return f""", half AS MATERIALIZED (
+  SELECT a.vec_id AS a_id, b.vec_id AS b_id, {_SIM} AS sim FROM normed a JOIN normed b ON a.vec_id < b.vec_id),
+both_ways AS (SELECT a_id AS vec_id, b_id AS nbr_id, sim FROM half UNION ALL SELECT b_id, a_id, sim FROM half),
+knn AS MATERIALIZED (
+  SELECT vec_id, nbr_id, sim, rank FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY round(sim, 9) DESC, nbr_id) AS BIGINT) AS rank
+    FROM both_ways) WHERE rank <= {k})
 """
 
 
@@ -79,6 +82,15 @@ def vector_search(spark, sf):
     return s.select("vec_id", "rank", "nbr_id", F.round("sim", 6).alias("sim"))
 
 
+@query("indexed_search", _NORMS + _knn_sql(SEARCH_K) + """
+SELECT vec_id, rank, nbr_id, round(sim, 6) AS sim FROM knn WHERE vec_id % 100 = 0""")
+def indexed_search(spark, sf):
+    """V11/L5 over a stored index: built from all vectors, read by bounds."""
+    v = vectors(spark, sf)
+    s = metric.indexed_search(v, "vec_id", "embedding", v.where(F.col("vec_id") % 100 == 0), SEARCH_K)
+    return s.select("vec_id", "rank", "nbr_id", F.round("sim", 6).alias("sim"))
+
+
 @query("k_reciprocal", _NORMS + _knn_sql(RERANK_K) + """
 SELECT f.vec_id AS a, f.nbr_id AS b, round(f.sim, 6) AS sim FROM knn f
 JOIN knn r ON r.vec_id = f.nbr_id AND r.nbr_id = f.vec_id WHERE f.vec_id < f.nbr_id""")
