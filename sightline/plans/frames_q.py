@@ -10,7 +10,9 @@ from sightline.operators.sequence import running_total
 from sightline.plans.registry import query
 from sightline.plans.sql_views import F_, FD
 from sightline.sources import files
-from sightline.sources.tables import detections, frames
+from sightline.sources.tables import detection_arrivals, detections, frames
+from sightline.streaming.joins import frame_detections
+from sightline.streaming.stateful import event_time
 
 # ---------------------------------------------------------------- counts
 
@@ -139,6 +141,27 @@ def retain_last_n(spark, sf):
 # -------------------------------------------------------------- joins
 
 
+# Fixed parameter (our choice): a detection arrives within 45 days of its frame.
+ARRIVES_DAYS = 45
+
+
+@query("frame_detection_interval", F_ + f"""
+, d AS (SELECT l_orderkey AS frame_id, 'cam' || CAST(o_custkey % 7 + 1 AS VARCHAR) AS camera_id, l_shipdate AS det_ts,
+               l_linenumber AS line, l_partkey AS part, l_suppkey AS supp FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT coalesce(f.frame_id, d.frame_id) AS frame_id, coalesce(f.camera_id, d.camera_id) AS camera_id, f.ts, f.width,
+       d.det_ts, d.line, d.part, d.supp
+FROM frames f FULL JOIN d ON f.frame_id = d.frame_id AND f.camera_id = d.camera_id
+  AND d.det_ts BETWEEN f.ts AND f.ts + INTERVAL {ARRIVES_DAYS} DAY""")
+def frame_detection_interval(spark, sf):
+    """J2 with times, both sides kept: each frame with the detections that
+    arrive in time, and once alone if none does; the same for detections."""
+    f = event_time(frames(spark, sf).select("frame_id", "camera_id", "ts", "width"))
+    d = event_time(detection_arrivals(spark, sf), "det_ts")
+    out = frame_detections(f, d, within=f"{ARRIVES_DAYS} days", how="full_outer")
+    back = [F.col(c).cast("timestamp_ntz").alias(c) if c in ("ts", "det_ts") else c for c in out.columns]
+    return out.select(*back)
+
+
 @query("frame_detection_join", FD + """
 SELECT f.frame_id, f.camera_id, f.ts, f.width, f.height, d.det_seq, d.confidence, d.class_id
 FROM frames f JOIN detections d ON f.frame_id = d.frame_id AND f.camera_id = d.camera_id""")

@@ -68,6 +68,16 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "frame_id", "camera_id", "ts", "det_seq", "x1", "y1", "x2", "y2", "confidence", "class_id")
 
 
+def detection_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes with the time at which their message arrives (the line's ship
+    date), under the keys of their frame."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("frame_id"), F.col("l_shipdate").alias("det_ts"), F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"))
+    f = frames(spark, sf_dir).select("frame_id", "camera_id")
+    return li.join(f, "frame_id").select("frame_id", "camera_id", "det_ts", "line", "part", "supp")
+
+
 # Event type -> camera of the sightings adapter.
 EVENT_CAMERA = {"signup": "cam1", "view": "cam2", "click": "cam3", "purchase": "cam4"}
 OTHER_CAMERA = "cam5"
