@@ -25,10 +25,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sightline.operators.graph import connected_components
+from sightline.operators.graph import component_labels, connected_components
 from sightline.operators.metric import has_direction, near_pairs, unit, usable
 from sightline.operators.stats import keep_n
 from sightline.session import materialize
+from sightline.sources.versions import VersionedTable
 
 
 def sq_norm(v: Column) -> Column:
@@ -260,6 +261,59 @@ def global_ids(vecs: DataFrame, pairs: DataFrame, id_col: str = "vec_id") -> Dat
                                 src=id_col + "_a", dst=id_col + "_b", out="global_id")
 
 
+class GrowingIdentities:
+    """V4 for links that arrive over time: a stored table of (id, identity,
+    turn), to which a batch of links adds only the rows that change.
+
+    The ends of new links are replaced by their identities so far; components
+    of this small graph of identities say which of them are one. As every
+    identity bears its least member's id, the least of the joined ones is
+    the least member of all. Members whose identity changes are written
+    again, members of other identities are not touched. The last row of an
+    id counts; ``compact`` drops the others. Any split of the links into
+    batches gives the identities of all links at once.
+    """
+
+    def __init__(self, spark, path: str):
+        self.table = VersionedTable(spark, path)
+
+    def labels(self, id_col: str = "id", out: str = "global_id") -> DataFrame:
+        """Every id that had a link to another id, with its identity."""
+        return _last_turn(self.table.read()).select(F.col("id").alias(id_col), F.col("identity").alias(out))
+
+    def add(self, links: DataFrame, src: str, dst: str, query: str | None = None, batch_id: int | None = None) -> bool:
+        """Merge a batch of links; False if this batch was merged before."""
+        m = self.table.manifest()
+        if query is not None and m["queries"].get(query, -1) >= batch_id:
+            return False
+        e = (links.select(F.col(src).alias("a"), F.col(dst).alias("b"))
+             .where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).distinct())
+        e = materialize(e, "new-links")
+        ends = e.select(F.col("a").alias("id")).union(e.select(F.col("b").alias("id"))).distinct()
+        if m["schema"] is None:
+            known = ends.limit(0).select("id", F.col("id").alias("identity"))
+        else:
+            known = _last_turn(self.table.read()).select("id", "identity")
+        known = materialize(known, "identities")
+        of = materialize(ends.join(known, "id", "left"), "ends")
+        name = of.select("id", F.coalesce("identity", "id").alias("name"))
+        named = (e.join(name.select(F.col("id").alias("a"), F.col("name").alias("na")), "a")
+                 .join(name.select(F.col("id").alias("b"), F.col("name").alias("nb")), "b"))
+        joined = materialize(component_labels(named, "na", "nb").where("v <> component"), "joined")
+        changed = known.join(joined, known["identity"] == joined["v"]).select("id", F.col("component").alias("identity"))
+        new = (of.where("identity IS NULL").join(joined, of["id"] == joined["v"], "left")
+               .select("id", F.coalesce("component", "id").alias("identity")))
+        turn = F.lit(m["version"] + 1).cast("long").alias("turn")
+        return self.table.append(changed.unionByName(new).select("id", "identity", turn), query, batch_id)
+
+    def compact(self) -> bool:
+        return self.table.compact(merge=_last_turn)
+
+
+def _last_turn(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("id").agg(F.max_by("identity", "turn").alias("identity"), F.max("turn").alias("turn"))
+
+
 def assignment_confidence(comp: DataFrame, pairs: DataFrame, id_col: str = "vec_id") -> DataFrame:
     """V5: per member, the number, minimum and mean similarity of its edges."""
     inc = (pairs.select(F.col(id_col + "_a").alias(id_col), "sim")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import ground_x, ground_y
@@ -10,7 +12,7 @@ from sightline.operators import metric
 from sightline.operators.stats import elapsed_seconds
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_, V_
-from sightline.session import materialize
+from sightline.session import materialize, scratch_path
 from sightline.sources.tables import sightings, vectors
 
 _NORMS = V_ + """, normed AS (
@@ -135,6 +137,19 @@ def global_ids(spark, sf):
     return comp
 
 
+@query("global_ids_growing", _COMPONENTS_SQL + "SELECT vec_id, global_id FROM comp")
+def global_ids_growing(spark, sf):
+    """V4 as links arrive: three batches into a stored table give what all
+    links give at once."""
+    v = vectors(spark, sf)
+    pairs = materialize(ID.similar_pairs(v, "vec_id", "embedding", "camera_id", COMPONENT_T), "pairs")
+    grown = ID.GrowingIdentities(spark, scratch_path(spark, f"tables/identities-{uuid.uuid4().hex}"))
+    for i in range(3):
+        grown.add(pairs.where(F.pmod(F.xxhash64("vec_id_a", "vec_id_b"), F.lit(3)) == i), "vec_id_a", "vec_id_b", "links", i)
+    return (v.select("vec_id").join(grown.labels("vec_id"), "vec_id", "left")
+            .select("vec_id", F.coalesce("global_id", "vec_id").alias("global_id")))
+
+
 @query("global_id_confidence", _COMPONENTS_SQL + """
 , inc AS (SELECT vec_id_a AS vec_id, sim FROM pairs UNION ALL SELECT vec_id_b, sim FROM pairs)
 SELECT c.vec_id, c.global_id, CAST(count(i.sim) AS BIGINT) AS n_edges,
