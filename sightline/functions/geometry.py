@@ -35,10 +35,20 @@ def intersection(a: tuple[Column, Column, Column, Column],
 
 def iou(a: tuple[Column, Column, Column, Column],
         b: tuple[Column, Column, Column, Column]) -> Column:
-    """Intersection over union; 0 for disjoint or zero-area boxes."""
+    """Intersection over union; 0 for disjoint or zero-area boxes and
+    for boxes with a null, NaN or infinite corner (NaN is above every number,
+    so it fails the second test)."""
     inter = intersection(a, b)
     union = area(*a) + area(*b) - inter
-    return F.when(union > 0, inter / union).otherwise(F.lit(0.0))
+    return F.when((union > 0) & (union < float("inf")), inter / union).otherwise(F.lit(0.0))
+
+
+def is_box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Finite corners, and some area between them."""
+    finite = F.lit(True)
+    for c in (x1, y1, x2, y2):
+        finite = finite & (F.abs(c) < float("inf"))
+    return F.coalesce(finite & (x2 > x1) & (y2 > y1), F.lit(False))
 
 
 def box(prefix: str = "") -> tuple[Column, Column, Column, Column]:

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sightline.functions.geometry import iou
+from sightline.functions.geometry import iou, is_box
 from sightline.session import checkpoint_dir, materialize
 
 BOX = ("x1", "y1", "x2", "y2")
@@ -31,8 +31,10 @@ def _cells(df: DataFrame, cell: float) -> DataFrame:
 def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str],
                   a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 64.0,
                   a_prefix: str = "a_", b_prefix: str = "b_",
-                  extra: Column | None = None) -> DataFrame:
-    """Pairs (a, b) whose boxes overlap with positive area.
+                  extra: Column | None = None, most_cells: int = 256) -> DataFrame:
+    """Pairs (a, b) whose boxes overlap with positive area. Boxes with null,
+    NaN or infinite corners, or no area, overlap nothing; a box of more than
+    ``most_cells`` cells is not copied to them, however large it is.
 
     ``a`` rows match ``b`` rows where ``a_keys`` equal ``b_keys`` (same
     frame, or a frame and its successor). ``extra`` is an additional
@@ -41,23 +43,32 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Seq
     """
     def side(df, keys, cols, p):
         sel = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-        sel += [F.col(c).alias(p + c) for c in cols] + [F.col(c).alias(c) for c in BOX]
-        s = _cells(df.select(*sel), cell)
-        return s.select(*[f"_k{i}" for i in range(len(keys))], "_cx", "_cy",
-                        *[p + c for c in cols], *[F.col(c).alias(p + c) for c in BOX])
+        sel += [F.col(c).alias(p + c) for c in cols] + [F.col(c).cast("double").alias(c) for c in BOX]
+        df = df.where(is_box(*[F.col(c).cast("double") for c in BOX])).select(*sel)
+        across, down = (F.floor(F.col(hi) / cell) - F.floor(F.col(lo) / cell) + 1 for lo, hi in (("x1", "x2"), ("y1", "y2")))
+        return df.withColumn("_large", across * down > most_cells)
 
+    def named(df, cols, p):
+        return df.select(*on, *[p + c for c in cols], *[F.col(c).alias(p + c) for c in BOX])
+
+    on = [f"_k{i}" for i in range(len(a_keys))]
     sa, sb = side(a, a_keys, a_cols, a_prefix), side(b, b_keys, b_cols, b_prefix)
-    on = [f"_k{i}" for i in range(len(a_keys))] + ["_cx", "_cy"]
-    j = sa.join(sb, on, "inner")
     A = tuple(F.col(a_prefix + c) for c in BOX)
     B = tuple(F.col(b_prefix + c) for c in BOX)
     ix, iy = F.greatest(A[0], B[0]), F.greatest(A[1], B[1])
-    positive = (F.least(A[2], B[2]) > ix) & (F.least(A[3], B[3]) > iy)
-    home = (F.floor(ix / cell) == F.col("_cx")) & (F.floor(iy / cell) == F.col("_cy"))
-    cond = positive & home
+    cond = (F.least(A[2], B[2]) > ix) & (F.least(A[3], B[3]) > iy)
     if extra is not None:
         cond = cond & extra
-    out = j.where(cond).withColumn("iou", iou(A, B))
+    home = (F.floor(ix / cell) == F.col("_cx")) & (F.floor(iy / cell) == F.col("_cy"))
+    small_a, small_b = sa.where("not _large"), sb.where("not _large")
+    ca, cb = _cells(small_a, cell), _cells(small_b, cell)
+    ca = ca.select("_cx", "_cy", *on, *[a_prefix + c for c in a_cols], *[F.col(c).alias(a_prefix + c) for c in BOX])
+    cb = cb.select("_cx", "_cy", *on, *[b_prefix + c for c in b_cols], *[F.col(c).alias(b_prefix + c) for c in BOX])
+    met = ca.join(cb, [*on, "_cx", "_cy"]).where(cond & home).drop("_cx", "_cy")
+    # boxes of very many cells meet the boxes of their frame by its key
+    large = named(sa.where("_large"), a_cols, a_prefix).join(named(sb, b_cols, b_prefix), on).where(cond)
+    other = named(small_a, a_cols, a_prefix).join(named(sb.where("_large"), b_cols, b_prefix), on).where(cond)
+    out = met.unionByName(large).unionByName(other).withColumn("iou", iou(A, B))
     keys_out = [F.col(f"_k{i}").alias(a_prefix + k) for i, k in enumerate(a_keys)]
     return out.select(*keys_out, *[a_prefix + c for c in a_cols], *[b_prefix + c for c in b_cols],
                       *[a_prefix + c for c in BOX], *[b_prefix + c for c in BOX], "iou")
@@ -120,6 +131,42 @@ def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_se
     return dets.join(all_gone, box, "left_anti")
 
 
+def gap_links(dets: DataFrame, camera: str = "camera_id", number: str = "frame_no", seq: str = "det_seq",
+              grace: int = 1, threshold: float = 0.3, cell: float = 64.0) -> DataFrame:
+    """V7 links with a grace for lost tracks: (camera, frame_no, det_seq,
+    next_frame_no, next_det_seq, iou, gap).
+
+    Gaps of 1 to ``grace`` frames are taken in turn. In each, boxes that have
+    no successor yet meet boxes that have no predecessor yet, as many frames
+    later, and those that are each other's best (IoU rounded to 1e-9, then
+    the lower ``seq``) are linked. A box's links over smaller gaps are all
+    known by then, so this is what a tracker gives that goes frame by frame
+    and asks the tracks it saw last first. ``number`` counts a camera's
+    frames without holes; frames without boxes count."""
+    boxes = dets.select(camera, number, seq, *BOX)
+    heads, tails = boxes, boxes                # without successor, without predecessor
+    links: list[DataFrame] = []
+    for gap in range(1, grace + 1):
+        a = heads.withColumn("_to", F.col(number) + gap)
+        pairs = overlap_pairs(a, tails, [camera, "_to"], [camera, number], [number, seq], [seq], cell)
+        pairs = pairs.where(F.col("iou") >= threshold).select(
+            F.col("a_" + camera).alias(camera), F.col("a_" + number).alias(number), F.col("a_" + seq).alias(seq),
+            F.col("a__to").alias("next_" + number), F.col("b_" + seq).alias("next_" + seq), "iou",
+            F.round("iou", 9).alias("_iou9"))
+        found = mutual_best(pairs, [camera, number, seq], [camera, "next_" + number, "next_" + seq], "_iou9",
+                            tie_a=seq, tie_b="next_" + seq)
+        found = materialize(found.drop("_iou9").withColumn("gap", F.lit(gap)), "gap-links")
+        links.append(found)
+        if gap < grace:
+            heads = heads.join(found.select(camera, number, seq), [camera, number, seq], "left_anti")
+            done = found.select(camera, F.col("next_" + number).alias(number), F.col("next_" + seq).alias(seq))
+            tails = tails.join(done, [camera, number, seq], "left_anti")
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def mutual_best(pairs: DataFrame, a_id: Sequence[str], b_id: Sequence[str],
                 score: str = "iou", tie_a: str | None = None, tie_b: str | None = None) -> DataFrame:
     """Keep pairs that are each side's best partner (score desc, then the

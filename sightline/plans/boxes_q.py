@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from sightline.functions import geometry as G
 from sightline.functions import text as TX
-from sightline.operators import boxes, stats
+from sightline.operators import assignment, boxes, stats
 from sightline.operators.graph import chain_heads
 from sightline.operators.matching import CLASS_NAMES
 from sightline.operators.sequence import running_total, with_neighbor
 from sightline.plans.registry import query
 from sightline.plans.sql_views import FD
+from sightline.session import materialize
 from sightline.sources.tables import detections, frames, table
 
 
@@ -245,6 +246,149 @@ def local_tracks(spark, sf):
                     F.col("track.frame_id").alias("track_frame_id"), F.col("track.det_seq").alias("track_det_seq"))
 
 
+# Fixed parameter (our choice): a track may be lost for two frames.
+GRACE = 3
+
+
+def _gap_sql(grace: int) -> str:
+    """The links gap by gap, as ``gap_links`` takes them."""
+    out = FD + """
+, numbered AS (SELECT frame_id, CAST(row_number() OVER (PARTITION BY camera_id ORDER BY ts, frame_id) AS BIGINT) AS frame_no
+               FROM frames),
+b AS (SELECT d.camera_id, n.frame_no, d.det_seq, d.x1, d.y1, d.x2, d.y2 FROM detections d JOIN numbered n USING (frame_id)),
+l0 AS (SELECT camera_id, frame_no, det_seq, frame_no AS next_frame_no, det_seq AS next_det_seq, 0.0 AS iou, 0 AS gap
+       FROM b WHERE false)"""
+    for g in range(1, grace + 1):
+        out += f"""
+, p{g} AS (SELECT a.camera_id, a.frame_no, a.det_seq, z.frame_no AS next_frame_no, z.det_seq AS next_det_seq,
+             {iou_sql('a', 'z')} AS iou
+           FROM b a JOIN b z ON a.camera_id = z.camera_id AND z.frame_no = a.frame_no + {g}
+           WHERE {iou_sql('a', 'z')} >= 0.3
+             AND NOT EXISTS (SELECT 1 FROM l{g - 1} l WHERE l.camera_id = a.camera_id AND l.frame_no = a.frame_no
+                             AND l.det_seq = a.det_seq)
+             AND NOT EXISTS (SELECT 1 FROM l{g - 1} l WHERE l.camera_id = z.camera_id AND l.next_frame_no = z.frame_no
+                             AND l.next_det_seq = z.det_seq))
+, r{g} AS (SELECT *, row_number() OVER (PARTITION BY camera_id, frame_no, det_seq ORDER BY round(iou, 9) DESC, next_det_seq) AS ra,
+             row_number() OVER (PARTITION BY camera_id, next_frame_no, next_det_seq ORDER BY round(iou, 9) DESC, det_seq) AS rb
+           FROM p{g})
+, l{g} AS (SELECT * FROM l{g - 1} UNION ALL
+           SELECT camera_id, frame_no, det_seq, next_frame_no, next_det_seq, iou, {g} FROM r{g} WHERE ra = 1 AND rb = 1)"""
+    return out
+
+
+def numbered_boxes(spark, sf):
+    """Boxes with the running number of their frame in its camera."""
+    f = frames(spark, sf).select("frame_id", "camera_id", "ts")
+    no = running_total(f, ["camera_id"], ["ts", "frame_id"], F.date_trunc("day", "ts"), None, "frame_no")
+    d = detections(spark, sf).select("frame_id", "det_seq", "x1", "y1", "x2", "y2")
+    return d.join(no.select("frame_id", "camera_id", "frame_no"), "frame_id").drop("frame_id")
+
+
+@query("tracks_with_grace", "WITH RECURSIVE " + _gap_sql(GRACE)[len("WITH "):] + f"""
+, heads AS (SELECT camera_id, frame_no, det_seq FROM b
+            WHERE NOT EXISTS (SELECT 1 FROM l{GRACE} l WHERE l.camera_id = b.camera_id AND l.next_frame_no = b.frame_no
+                              AND l.next_det_seq = b.det_seq)),
+walk(camera_id, frame_no, det_seq, track_frame_no, track_det_seq, gap) AS (
+  SELECT camera_id, frame_no, det_seq, frame_no, det_seq, 0 FROM heads
+  UNION ALL
+  SELECT w.camera_id, l.next_frame_no, l.next_det_seq, w.track_frame_no, w.track_det_seq, l.gap
+  FROM walk w JOIN l{GRACE} l ON l.camera_id = w.camera_id AND l.frame_no = w.frame_no AND l.det_seq = w.det_seq)
+SELECT * FROM walk""")
+def tracks_with_grace(spark, sf):
+    """V7 with a grace: tracks that survive two lost frames. ``gap`` is the
+    number of frames since the track was last seen, 0 at its start."""
+    b = materialize(numbered_boxes(spark, sf), "numbered-boxes")
+    links = boxes.gap_links(b, grace=GRACE)
+    e = links.select(F.struct("camera_id", "frame_no", "det_seq").alias("src"),
+                     F.struct(F.col("camera_id"), F.col("next_frame_no").alias("frame_no"),
+                              F.col("next_det_seq").alias("det_seq")).alias("dst"), "gap")
+    heads = chain_heads(e, out="track").join(e.select("dst", "gap"), "dst")
+    t = b.select(F.struct("camera_id", "frame_no", "det_seq").alias("dst")).join(heads, "dst", "left")
+    t = t.withColumn("track", F.coalesce("track", "dst"))
+    return t.select("dst.camera_id", "dst.frame_no", "dst.det_seq", F.col("track.frame_no").alias("track_frame_no"),
+                    F.col("track.det_seq").alias("track_det_seq"), F.coalesce("gap", F.lit(0)).alias("gap"))
+
+
+# Fixed value: the least IoU of a prediction with its truth.
+MATCH_IOU = 0.3
+
+_MATCH_SQL = "WITH RECURSIVE " + FD[len("WITH "):] + f"""
+, truth AS (SELECT * FROM detections WHERE det_seq % 2 = 0),
+pred AS (SELECT * FROM detections WHERE det_seq % 2 = 1),
+pairs AS (SELECT t.camera_id, t.frame_id, t.det_seq AS truth_seq, p.det_seq AS pred_seq, p.confidence,
+                 round({iou_sql('t', 'p')}, 9) AS iou
+          FROM truth t JOIN pred p ON t.frame_id = p.frame_id WHERE {iou_sql('t', 'p')} >= {MATCH_IOU}),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY confidence DESC, iou DESC, truth_seq, pred_seq) AS rk
+            FROM pairs),
+walk(frame_id, rk, truths, preds) AS (
+  SELECT frame_id, rk, [truth_seq], [pred_seq] FROM ordered WHERE rk = 1
+  UNION ALL
+  SELECT o.frame_id, o.rk,
+         CASE WHEN list_contains(w.truths, o.truth_seq) OR list_contains(w.preds, o.pred_seq) THEN w.truths
+              ELSE list_append(w.truths, o.truth_seq) END,
+         CASE WHEN list_contains(w.truths, o.truth_seq) OR list_contains(w.preds, o.pred_seq) THEN w.preds
+              ELSE list_append(w.preds, o.pred_seq) END
+  FROM walk w JOIN ordered o ON o.frame_id = w.frame_id AND o.rk = w.rk + 1),
+last AS (SELECT frame_id, unnest(truths) AS truth_seq, unnest(preds) AS pred_seq
+         FROM walk QUALIFY row_number() OVER (PARTITION BY frame_id ORDER BY rk DESC) = 1),
+matched AS (SELECT p.* FROM last JOIN pairs p USING (frame_id, truth_seq, pred_seq))
+"""
+
+
+def _matches(spark, sf):
+    d = detections(spark, sf).select("camera_id", "frame_id", "det_seq", "confidence", "x1", "y1", "x2", "y2")
+    is_truth = F.pmod("det_seq", F.lit(2)) == 0
+    truth, pred = d.where(is_truth), d.where(~is_truth)
+    keys = ["camera_id", "frame_id"]
+    pairs = boxes.overlap_pairs(truth, pred, keys, keys, ["det_seq"], ["det_seq", "confidence"], a_prefix="t_", b_prefix="p_")
+    pairs = pairs.where(F.col("iou") >= MATCH_IOU).select(
+        F.col("t_camera_id").alias("camera_id"), F.col("t_frame_id").alias("frame_id"),
+        F.col("t_det_seq").alias("truth_seq"), F.col("p_det_seq").alias("pred_seq"),
+        F.col("p_confidence").alias("confidence"), F.round("iou", 9).alias("iou"))
+    hits = assignment.greedy_matching(pairs, keys, ["truth_seq"], ["pred_seq"], [("confidence", False), ("iou", False)])
+    return truth, pred, hits
+
+
+@query("detection_matches", _MATCH_SQL + """
+SELECT camera_id, frame_id, truth_seq, pred_seq, confidence, round(iou, 6) AS iou FROM matched""")
+def detection_matches(spark, sf):
+    """One-to-one matches. Predictions in the order of their confidence
+    take the free truth of greatest IoU; a second choice counts."""
+    return _matches(spark, sf)[2].withColumn("iou", F.round("iou", 6)).select(
+        "camera_id", "frame_id", "truth_seq", "pred_seq", "confidence", "iou")
+
+
+_CURVE_SQL = _MATCH_SQL + """
+, scored AS (SELECT camera_id, confidence AS threshold, count(*) AS p FROM pred GROUP BY ALL),
+hit AS (SELECT camera_id, confidence AS threshold, count(*) AS h FROM matched GROUP BY ALL),
+n AS (SELECT camera_id, count(*) AS n_truth FROM truth GROUP BY camera_id),
+curve AS (SELECT camera_id, threshold, n_truth, CAST(sum(p) OVER w AS BIGINT) AS n_pred,
+                 CAST(sum(coalesce(h, 0)) OVER w AS BIGINT) AS tp
+          FROM scored LEFT JOIN hit USING (camera_id, threshold) LEFT JOIN n USING (camera_id)
+          WINDOW w AS (PARTITION BY camera_id ORDER BY threshold DESC))
+"""
+
+
+@query("precision_recall_curve", _CURVE_SQL + """
+SELECT camera_id, threshold, n_pred, tp, n_truth, round(tp / n_pred, 6) AS precision, round(tp / n_truth, 6) AS recall FROM curve""")
+def precision_recall_curve(spark, sf):
+    """Precision and recall of each camera over thresholds of confidence."""
+    truth, pred, hits = _matches(spark, sf)
+    c = assignment.precision_recall_curve(pred, truth, hits, "camera_id", "confidence")
+    return c.withColumn("precision", F.round("precision", 6)).withColumn("recall", F.round("recall", 6))
+
+
+@query("average_precision", _CURVE_SQL + """
+, best AS (SELECT camera_id, tp / n_truth - coalesce(lag(tp / n_truth) OVER (PARTITION BY camera_id ORDER BY threshold DESC), 0) AS step,
+                  max(tp / n_pred) OVER (PARTITION BY camera_id ORDER BY threshold) AS precision FROM curve)
+SELECT camera_id, round(sum(step * precision), 6) AS ap FROM best GROUP BY camera_id""")
+def average_precision(spark, sf):
+    """Area under each camera's curve."""
+    truth, pred, hits = _matches(spark, sf)
+    c = assignment.precision_recall_curve(pred, truth, hits, "camera_id", "confidence")
+    return assignment.average_precision(c, "camera_id").withColumn("ap", F.round("ap", 6))
+
+
 @query("detection_precision_recall", FD + f"""
 , truth AS (SELECT * FROM detections WHERE det_seq % 2 = 0),
 pred AS (SELECT * FROM detections WHERE det_seq % 2 = 1),
