@@ -21,10 +21,12 @@ from sightline.sources.envelopes import encode_base64
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def message_columns(detections: Column, policy: DetectionPolicy, model: str, ts: str = "ts") -> list[Column]:
+def message_columns(detections: Column, policy: DetectionPolicy, model: str, ts: str = "ts",
+                    shape: Column | None = None) -> list[Column]:
     """The fields that every published detection message has; the batch
     builders and the streaming job share them, and
-    ``parse_detection_messages`` reads them back."""
+    ``parse_detection_messages`` reads them back. ``shape`` is the frame's
+    [height, width, channels], where it is known."""
     return [
         F.col("camera_id"),
         F.col("frame_id").cast("string").alias("frame_id"),
@@ -33,6 +35,7 @@ def message_columns(detections: Column, policy: DetectionPolicy, model: str, ts:
         F.size(detections).alias("detection_count"),
         F.lit(model).alias("model"),
         F.lit(float(policy.threshold)).alias("confidence_threshold"),
+        *([shape.alias("frame_shape")] if shape is not None else []),
     ]
 
 
@@ -44,9 +47,9 @@ def class_name_of(class_id: Column, names: dict[int, str]) -> Column:
 
 def scored_messages(scored: DataFrame, policy: DetectionPolicy, model: str, names: dict[int, str]) -> DataFrame:
     """Messages of scored frames (``scoring.detections_struct``): the shared
-    fields, with what the scorer adds: node, time and error."""
+    fields, with what the scorer adds: frame shape, node, time and error."""
     dets = F.transform("detections", lambda d: d.withField("class_name", class_name_of(d["class_id"], names)))
-    return scored.select(*message_columns(dets, policy, model), "processing_node", "processing_time_ms", "error")
+    return scored.select(*message_columns(dets, policy, model, shape=F.col("frame_shape")), "processing_node", "processing_time_ms", "error")
 
 
 def detection_struct(class_names: Column | None = None) -> Column:

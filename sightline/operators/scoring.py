@@ -2,7 +2,7 @@
 
 A scorer is any object with ``score(payload: bytes) -> list of
 (x1, y1, x2, y2, confidence, class_id)``. ``score_frames`` runs it with
-``mapInPandas``: the scorer is built once per task (the per-worker model
+``mapInArrow``: the scorer is built once per task (the per-worker model
 cache), each Arrow batch is scored in place, the time per frame is
 measured, failures become an ``error`` value on that frame only, and the
 output is typed columns (no JSON round trip). Scoring has no side
@@ -15,16 +15,17 @@ import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions.text import NODE_PREFIX
 from sightline.operators.filters import DetectionPolicy
+from sightline.operators.shapes import jpeg_shape
 
 SCORED_SCHEMA = ("camera_id string, frame_id string, ts timestamp_ntz, x1 array<double>, y1 array<double>, "
                  "x2 array<double>, y2 array<double>, confidence array<double>, class_id array<int>, "
-                 "processing_node string, processing_time_ms double, error string")
+                 "processing_node string, processing_time_ms double, error string, frame_shape array<int>")
 
 JPEG_MAGIC = b"\xff\xd8"
 
@@ -93,58 +94,60 @@ def score_frames(frames: DataFrame, scorer_factory: Callable[[], object] = StubS
         frames = frames.repartition(spread_over)
     policy = policy or DetectionPolicy(0.0)
     thr = float(policy.threshold)
-    classes = None if policy.classes is None else set(policy.classes)
+    classes = None if policy.classes is None else list(policy.classes)
     src = frames.select(F.col("camera_id"), F.col("frame_id").cast("string").alias("frame_id"),
                         F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("payload"))
 
-    def keep(boxes: np.ndarray) -> np.ndarray:
-        m = boxes[:, 4] >= thr
-        if classes is not None:
-            m &= np.isin(boxes[:, 5].astype(int), list(classes))
-        return boxes[m]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def boxes_of(model, batched: bool, payloads: list) -> tuple[list[np.ndarray], list, list[float]]:
+        """Boxes, error and milliseconds of every frame."""
+        if batched:
+            t0 = time.perf_counter()
+            try:
+                boxes, errs = model.score_batch(payloads)
+                return boxes, errs, [(time.perf_counter() - t0) * 1000.0 / max(1, len(payloads))] * len(payloads)
+            except Exception:                             # noqa: BLE001 - find the frames that cause it below
+                if not hasattr(model, "score"):
+                    model = _OneByOne(model)
+        boxes, errs, times = [], [], []
+        for payload in payloads:
+            t0 = time.perf_counter()
+            try:
+                b = np.asarray(model.score(payload), dtype=np.float64).reshape(-1, 6)
+                err = None
+            except Exception as e:                        # noqa: BLE001 - one bad frame must not stop the stream
+                b, err = np.zeros((0, 6)), f"{type(e).__name__}: {e}"
+            times.append((time.perf_counter() - t0) * 1000.0)
+            boxes.append(b)
+            errs.append(err)
+        return boxes, errs, times
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         ctx = TaskContext.get()
         node = f"{NODE_PREFIX}{ctx.partitionId() if ctx else 0}"
-        model = scorer_factory()                      # once per task
+        model = scorer_factory()                          # once per task
         batched = hasattr(model, "score_batch")
-        for pdf in batches:
-            payloads = list(pdf["payload"])
-            done = False
-            if batched:
-                t0 = time.perf_counter()
-                try:
-                    boxes, errs = model.score_batch(payloads)
-                    done = True
-                except Exception:                     # noqa: BLE001 - find the frames that cause it below
-                    if not hasattr(model, "score"):
-                        model = _OneByOne(model)
-                per = (time.perf_counter() - t0) * 1000.0 / max(1, len(payloads))
-                times = [per] * len(payloads)
-            if not done:
-                boxes, errs, times = [], [], []
-                for payload in payloads:
-                    t0 = time.perf_counter()
-                    try:
-                        b = np.asarray(model.score(payload), dtype=np.float64).reshape(-1, 6)
-                        err = None
-                    except Exception as e:            # noqa: BLE001 - one bad frame must not stop the stream
-                        b, err = np.zeros((0, 6)), f"{type(e).__name__}: {e}"
-                    times.append((time.perf_counter() - t0) * 1000.0)
-                    boxes.append(b)
-                    errs.append(err)
-            kept = [keep(b) for b in boxes]
-            out = pdf[["camera_id", "frame_id", "ts"]].copy()
-            for j, k in enumerate(("x1", "y1", "x2", "y2", "confidence")):
-                out[k] = [b[:, j] for b in kept]
-            out["class_id"] = [b[:, 5].astype(np.int32) for b in kept]
-            out["processing_node"] = node
-            out["processing_time_ms"] = times
-            out["error"] = errs
-            yield out
-
-    return src.mapInPandas(run, SCORED_SCHEMA)
+        for batch in batches:
+            payloads = batch.column("payload").to_pylist()
+            boxes, errs, times = boxes_of(model, batched, payloads)
+            # all boxes of the batch are tested at once; offsets say whose they are
+            flat = np.concatenate([np.zeros((0, 6)), *boxes])
+            frame = np.repeat(np.arange(len(boxes)), [len(b) for b in boxes])
+            good = flat[:, 4] >= thr
+            if classes is not None:
+                good &= np.isin(flat[:, 5].astype(int), classes)
+            flat, frame = flat[good], frame[good]
+            ends = pa.array(np.searchsorted(frame, np.arange(len(boxes) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(flat[:, j]))) for j in range(5)]
+            lists.append(pa.ListArray.from_arrays(ends, pa.array(flat[:, 5].astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("camera_id", "frame_id", "ts")], *lists,
+                 pa.array([node] * len(boxes), type=pa.string()), pa.array(times, type=pa.float64()),
+                 pa.array(errs, type=pa.string()), pa.array([jpeg_shape(p) for p in payloads], type=pa.list_(pa.int32()))],
+                names=["camera_id", "frame_id", "ts", "x1", "y1", "x2", "y2", "confidence", "class_id",
+                       "processing_node", "processing_time_ms", "error", "frame_shape"])
+
+    return src.mapInArrow(run, SCORED_SCHEMA)
 
 
 def detections_struct(scored: DataFrame) -> DataFrame:
@@ -155,7 +158,7 @@ def detections_struct(scored: DataFrame) -> DataFrame:
         d["confidence"].alias("confidence"), d["class_id"].alias("class_id")))
     return scored.select("camera_id", "frame_id", "ts", dets.alias("detections"),
                          F.size("confidence").alias("detection_count"),
-                         "processing_node", "processing_time_ms", "error")
+                         "processing_node", "processing_time_ms", "error", "frame_shape")
 
 
 def explode_scored(scored: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sightline.functions.geometry import ground_x, ground_y
-from sightline.operators import crowd, stats
+from sightline.operators import crowd, paths, sketches, stats
 from sightline.operators.sequence import numbered_runs
-from sightline.operators.stats import elapsed_seconds
+from sightline.operators.stats import elapsed_seconds, keep_n
 from sightline.plans.registry import query
 from sightline.plans.sql_views import S_
+from sightline.session import materialize
 from sightline.sources.tables import EVENT_CAMERA, OTHER_CAMERA, sightings
 
 _X = "(-3.0 + 0.025 * (position_id % 480))"
@@ -99,6 +100,79 @@ def two_hop_paths(spark, sf):
     return crowd.two_hop(_edges(spark, sf))
 
 
+# Fixed parameters (our choice): zones of 96 x 96 ground positions; a leg is
+# two sightings of a person less than a week apart.
+ZONE, LEG_S = 96, 7 * 86400
+
+_LEGS = S_ + f"""
+, z AS (SELECT global_id, ts, event_id, CAST(floor((position_id % 480) / {ZONE}) AS BIGINT) * 100
+               + CAST(floor(floor(position_id / 480) / {ZONE}) AS BIGINT) AS zone FROM sightings),
+n AS (SELECT zone AS src, lead(zone) OVER w AS dst, (epoch_us(lead(ts) OVER w) - epoch_us(ts)) / 1e6 AS seconds
+      FROM z WINDOW w AS (PARTITION BY global_id ORDER BY ts, event_id)),
+legs AS (SELECT src, dst, min(seconds) AS seconds FROM n WHERE src <> dst AND seconds < {LEG_S} GROUP BY src, dst
+         QUALIFY row_number() OVER (PARTITION BY src ORDER BY min(seconds), dst) <= 4)
+"""
+
+
+@query("zone_reachability", "WITH RECURSIVE " + _LEGS[len("WITH "):] + """
+, hop(src, dst, hops) USING KEY (src, dst) AS (
+  SELECT src, dst, 1 FROM legs
+  UNION
+  SELECT h.src, l.dst, min(h.hops + 1) FROM hop h JOIN legs l ON h.dst = l.src
+  LEFT JOIN recurring.hop k ON k.src = h.src AND k.dst = l.dst
+  WHERE h.src <> l.dst AND (k.hops IS NULL OR h.hops + 1 < k.hops) GROUP BY h.src, l.dst),
+fast(src, dst, seconds) USING KEY (src, dst) AS (
+  SELECT src, dst, seconds FROM legs
+  UNION
+  SELECT h.src, l.dst, min(h.seconds + l.seconds) FROM fast h JOIN legs l ON h.dst = l.src
+  LEFT JOIN recurring.fast k ON k.src = h.src AND k.dst = l.dst
+  WHERE h.src <> l.dst AND (k.seconds IS NULL OR h.seconds + l.seconds < k.seconds) GROUP BY h.src, l.dst)
+SELECT src, dst, CAST(hops AS BIGINT) AS hops, CAST(round(seconds * 1e6) AS BIGINT) AS micros FROM hop JOIN fast USING (src, dst)""")
+def zone_reachability(spark, sf):
+    """From which ground zone people get to which others along the four
+    fastest legs out of each zone, in how few legs, and how fast."""
+    s = sightings(spark, sf)
+    zone = (F.floor(F.pmod("position_id", F.lit(480)) / ZONE) * 100
+            + F.floor(F.floor(F.col("position_id") / 480) / ZONE)).cast("long")
+    s = s.select("global_id", "event_id", "ts", zone.alias("zone"))
+    nxt = crowd.next_steps(s, cols=("zone", "ts"))
+    legs = nxt.select(F.col("zone").alias("src"), F.col("next_zone").alias("dst"),
+                      elapsed_seconds(F.col("ts"), F.col("next_ts")).alias("seconds"))
+    legs = legs.where((F.col("src") != F.col("dst")) & (F.col("seconds") < LEG_S)).groupBy("src", "dst").agg(
+        F.min("seconds").alias("seconds"))
+    legs = keep_n(legs, ["src"], [F.col("seconds"), F.col("dst")], 4, "place")
+    r = paths.reachability(legs.select("src", "dst", "seconds"))
+    return r.select("src", "dst", "hops", F.round(F.col("seconds") * 1e6).cast("long").alias("micros"))
+
+
+@query("sketched_days", S_ + """
+SELECT camera_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(DISTINCT global_id) AS BIGINT) AS n_people, true AS people_within, true AS median_within, true AS p95_within
+FROM sightings GROUP BY 1, 2""")
+def sketched_days(spark, sf):
+    """A8/A10 from stored sketches: hours are united into days; the answers
+    are held against the exact ones, which must be within the stated bounds."""
+    s = sightings(spark, sf).select("camera_id", "ts", "global_id", "confidence")
+    hours = materialize(sketches.hourly_sketches(s, ["camera_id"], F.col("global_id"), F.col("confidence")), "sketches")
+    day = F.date_trunc("day", "hour").cast("timestamp_ntz").alias("day")
+    d = sketches.unite(hours, ["camera_id", day]).select(
+        "camera_id", "day", "n", sketches.n_distinct().alias("about"),
+        sketches.quantile(0.5).alias("median"), sketches.quantile(0.95).alias("p95"))
+    rows = s.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    below = [(F.sum((F.col("confidence") < F.col(c)).cast("long")), F.sum((F.col("confidence") <= F.col(c)).cast("long")))
+             for c in ("median", "p95")]
+    exact = rows.join(d, ["camera_id", "day"]).groupBy("camera_id", "day", "n", "about").agg(
+        F.countDistinct("global_id").alias("n_people"), F.count("confidence").alias("m"),
+        *[x.alias(f"{side}{i}") for i, pair in enumerate(below) for side, x in zip("lh", pair)])
+
+    def rank_within(i, p):          # the ranks that the value holds reach the asked one, within the bound
+        slack = sketches.RANK_ERROR * F.col("m") + 1
+        return (F.col(f"l{i}") - slack <= p * F.col("m")) & (F.col(f"h{i}") + slack >= p * F.col("m"))
+    near = F.abs(F.col("about") - F.col("n_people")) <= sketches.COUNT_ERROR * F.col("n_people") + 1
+    return exact.select("camera_id", "day", "n", "n_people", near.alias("people_within"),
+                        rank_within(0, 0.5).alias("median_within"), rank_within(1, 0.95).alias("p95_within"))
+
+
 def _islands_sql(gap: bool, name: str) -> str:
     cond = "prev_camera_id IS NULL OR prev_camera_id <> camera_id"
     if gap:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sightline import schemas
 from sightline.operators.filters import jpeg_payload
+from sightline.operators.matching import CLASS_NAMES
 from sightline.sources.files import camera_of_topic
 
 
@@ -56,8 +57,8 @@ def decode_base64(text: Column) -> Column:
 def parse_envelopes(records: DataFrame) -> DataFrame:
     """JSON frame envelopes to typed columns.
 
-    Adds ``error`` when the value is not an envelope or its payload is not
-    base64; such rows are routed to the error output by ``sniff_frames``.
+    Fields that are missing or cannot be read are null; ``sniff_frames`` says
+    what is wrong with a record and routes it to the error output.
     """
     env = F.from_json(F.col("value").cast("string"), schemas.FRAME_ENVELOPE)
     out = records.withColumn("_sl_env", env)
@@ -114,18 +115,21 @@ def normalise_detection(d: Column) -> Column:
                     class_id.alias("class_id"), class_name.alias("class_name"))
 
 
-def parse_detection_messages(df: DataFrame, col: str = "value",
-                             default_class: str = "person") -> DataFrame:
+def parse_detection_messages(df: DataFrame, col: str = "value", default_class: str = "person",
+                             names: dict[int, str] | None = None) -> DataFrame:
     """Detection-message JSON to a typed, defaulted struct.
 
-    Defaults: a missing ``detections`` is an empty list and a missing
-    ``class_name`` is ``person``; ``error`` (D5) is a first-class field and
-    ``detection_count`` falls back to the list size.
+    Defaults: a missing ``detections`` is an empty list; a missing
+    ``class_name`` is that of the class id (``class_<id>`` for an unknown
+    one), and ``person`` only if the id is missing too; ``error`` (D5) is a
+    first-class field and ``detection_count`` falls back to the list size.
     """
     m = F.from_json(F.col(col).cast("string"), schemas.DETECTION_MESSAGE)
     dets = F.transform(F.coalesce(m["detections"], F.array()), normalise_detection)
-    dets = F.transform(dets, lambda d: d.withField(
-        "class_name", F.coalesce(d["class_name"], F.lit(default_class))))
+    labels = F.create_map(*[F.lit(x) for pair in sorted((names or CLASS_NAMES).items()) for x in pair])
+    dets = F.transform(dets, lambda d: d.withField("class_name", F.coalesce(
+        d["class_name"], F.try_element_at(labels, d["class_id"]),
+        F.concat(F.lit("class_"), d["class_id"].cast("string")), F.lit(default_class))))
     return df.withColumn("_sl_m", m).select(
         "*",
         F.col("_sl_m.camera_id").alias("camera_id"),
@@ -142,7 +146,11 @@ def parse_detection_messages(df: DataFrame, col: str = "value",
 
 
 def patch_json_id(text: Column, field: str, value: Column) -> Column:
-    """Fill an empty id field whatever the spacing after the colon."""
+    """Fill an empty id field whatever the spacing after the colon.
+    The value is written as a JSON string; a null one leaves the text as it is."""
     pattern = '"' + field + r'"\s*:\s*""'
-    return F.regexp_replace(text, F.lit(pattern),
-                            F.concat(F.lit('"' + field + '": "'), value, F.lit('"')))
+    quoted = F.to_json(F.struct(value.cast("string").alias("v")))                 # {"v":"..."}
+    quoted = F.substr(quoted, F.lit(6), F.length(quoted) - 6)
+    literal = F.replace(F.replace(quoted, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+    filled = F.regexp_replace(text, F.lit(pattern), F.concat(F.lit('"' + field + '": '), literal))
+    return F.when(value.isNull(), text).otherwise(filled)

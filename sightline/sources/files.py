@@ -82,18 +82,23 @@ def read_frames_dir(spark: SparkSession, root: str, glob: str = "*.jpg") -> Data
     """A directory of frame images as a frames table.
 
     Camera and frame number come from the path (``.../C3/00000120.jpg``
-    or ``cam3/frame_000120.jpg``) via ``regexp_extract``.
+    or ``cam3/frame_000120.jpg``) via ``regexp_extract``. A file whose path
+    lacks one of them stays, with nulls and an ``error``.
     """
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(root))
     cam = F.regexp_extract("path", r"/(?:C|cam)(\d+)/[^/]+$", 1)
     num = F.regexp_extract("path", r"(\d+)\.[A-Za-z]+$", 1)
+    camera = F.when(cam != "", F.concat(F.lit("cam"), cam))
+    number = num.try_cast("long")
     return df.select(
-        F.concat(F.lit("cam"), cam).alias("camera_id"),
-        num.cast("long").alias("frame_id"),
+        camera.alias("camera_id"),
+        number.alias("frame_id"),
         F.col("modificationTime").cast("timestamp_ntz").alias("ts"),
         F.col("content").alias("payload"),
-        "path")
+        "path",
+        F.when(camera.isNull(), F.lit("no camera in the path"))
+         .when(number.isNull(), F.lit("no frame number in the file name")).alias("error"))
 
 
 def usage_rollup(df: DataFrame, levels: Sequence[str], size: Column) -> DataFrame:

@@ -23,6 +23,7 @@ from sightline.operators.filters import nonempty
 from sightline.operators.matching import CLASS_NAMES
 from sightline.operators.messages import scored_messages, to_json_value
 from sightline.operators.scoring import StubScorer, detections_struct, explode_scored, score_frames
+from sightline.operators.shapes import with_frame_shape
 from sightline.sources.envelopes import sniff_frames
 from sightline.streaming.sinks import console_batch_sink, kafka_batch_write, parquet_batch_sink
 
@@ -40,6 +41,7 @@ class JobConfig:
     kafka_topic: str | None = None        # consumers dedupe on the key (stateful.dedupe)
     class_names: dict[int, str] = field(default_factory=lambda: dict(CLASS_NAMES))
     only_nonempty: bool = False           # publish only messages with detections (K4)
+    require_shape: bool = False           # frames without a readable JPEG header are errors (D3)
     monitor_rows: int = 0                 # show the first rows of every batch on the console (K2)
     publish: Callable[[DataFrame, str, str], None] = kafka_batch_write
 
@@ -48,6 +50,11 @@ def process_batch(batch: DataFrame, batch_id: int, cfg: JobConfig) -> None:
     """Score one micro-batch and fan it out to every output."""
     batch.persist()
     try:
+        if cfg.require_shape:
+            sized = with_frame_shape(batch)
+            no_shape = F.col("payload").isNotNull() & F.col("frame_shape").isNull()
+            batch = sized.withColumn("error", F.coalesce("error", F.when(no_shape, F.lit("no JPEG frame header")))) \
+                         .drop("frame_shape")
         good = batch.where(F.col("error").isNull())
         scored = score_frames(good.withColumnRenamed("frame_key", "_fk")
                               .withColumn("frame_id", F.coalesce("frame_id", "_fk")),

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sightline.operators.assignment import best_first
+
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session zone is UTC."""
@@ -94,18 +96,35 @@ FPS_OUT = "camera_id string, flush_ts timestamp, n long, fps double, cumulative
 FPS_STATE = "start double, n long, cumulative long"
 
 
-def fps_flush(stream: DataFrame, key: str = "camera_id", ts: str = "ts",
-              interval_s: float = 1.0) -> DataFrame:
+def _idle_after(state: GroupState, last_ms: int, idle_ms: int) -> None:
+    """Let the state go once the watermark is ``idle_ms`` past its last row."""
+    state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + idle_ms)
+
+
+def _millis(span: str) -> int:
+    return max(1, int(pd.Timedelta(span).total_seconds() * 1000))
+
+
+def fps_flush(stream: DataFrame, key: str = "camera_id", ts: str = "ts", interval_s: float = 1.0,
+              watermark: str = "1 hour", idle: str = "1 hour") -> DataFrame:
     """Exact non-aligned FPS counter: count rows; once more than
     ``interval_s`` has passed since the counter started, emit
     ``n / elapsed``, add n to the cumulative total and restart the counter
-    at that row. Rows are taken in event-time order within each trigger.
+    at that row. Rows are taken in event-time order within each trigger;
+    rows without a time are not counted. A camera that is silent for ``idle``
+    beyond the watermark leaves the state and starts anew.
     """
+    idle_ms = _millis(idle)
+
     def fn(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         start, n, cum = state.get if state.exists else (None, 0, 0)
-        out = []
+        out, last_ms = [], 0
         for t in _in_order(pdfs, [ts])[ts]:
             sec = pd.Timestamp(t).value / 1e9
+            last_ms = int(sec * 1000)
             if start is None:
                 start = sec
             n += 1
@@ -115,11 +134,12 @@ def fps_flush(stream: DataFrame, key: str = "camera_id", ts: str = "ts",
                 out.append((k[0], pd.Timestamp(t), n, n / elapsed, cum))
                 n, start = 0, sec
         state.update((start, n, cum))
+        _idle_after(state, last_ms, idle_ms)
         yield pd.DataFrame(out, columns=["camera_id", "flush_ts", "n", "fps", "cumulative"])
 
-    return (stream.select(F.col(key).alias("camera_id"), F.col(ts).alias(ts))
-            .groupBy("camera_id")
-            .applyInPandasWithState(fn, FPS_OUT, FPS_STATE, "append", GroupStateTimeout.NoTimeout))
+    return (stream.where(F.col(ts).isNotNull()).withWatermark(ts, watermark)
+            .select(F.col(key).alias("camera_id"), F.col(ts).alias(ts)).groupBy("camera_id")
+            .applyInPandasWithState(fn, FPS_OUT, FPS_STATE, "append", GroupStateTimeout.EventTimeTimeout))
 
 
 # ---------------------------------------------------------------- R7
@@ -129,29 +149,37 @@ MATCH_OUT = ("camera_id string, det_key string, det_ts timestamp, frame_id strin
 MATCH_STATE = "frame_id string, frame_ts timestamp, frame_off long"
 
 
-def latest_frame_match(frames: DataFrame, dets: DataFrame) -> DataFrame:
+def latest_frame_match(frames: DataFrame, dets: DataFrame, watermark: str = "1 hour", idle: str = "1 hour") -> DataFrame:
     """Each detection message takes the camera's latest frame seen so far
     (by event time, then offset). Inputs: ``camera_id, ts, offset`` and
-    ``frame_id`` (frames) / ``det_key`` (detections)."""
+    ``frame_id`` (frames) / ``det_key`` (detections); rows without a time are
+    left out. A camera that is silent for ``idle`` beyond the watermark
+    leaves the state."""
+    idle_ms = _millis(idle)
     f = frames.select("camera_id", "ts", "offset", F.col("frame_id").cast("string").alias("id"),
                       F.lit(0).alias("side"))
     d = dets.select("camera_id", "ts", "offset", F.col("det_key").cast("string").alias("id"),
                     F.lit(1).alias("side"))
 
     def fn(k, pdfs, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         cur = state.get if state.exists else (None, None, None)
-        out = []
+        out, last_ms = [], 0
         for r in _in_order(pdfs, ["ts", "side", "offset"]).itertuples(index=False):
+            last_ms = int(pd.Timestamp(r.ts).value // 1_000_000)
             if r.side == 0:
                 cur = (r.id, r.ts, int(r.offset))
             else:
                 out.append((k[0], r.id, r.ts, cur[0], cur[1]))
         if cur[0] is not None:
             state.update(cur)
+            _idle_after(state, last_ms, idle_ms)
         yield pd.DataFrame(out, columns=["camera_id", "det_key", "det_ts", "frame_id", "frame_ts"])
 
-    return (f.unionByName(d).groupBy("camera_id")
-            .applyInPandasWithState(fn, MATCH_OUT, MATCH_STATE, "append", GroupStateTimeout.NoTimeout))
+    return (f.unionByName(d).where("ts IS NOT NULL").withWatermark("ts", watermark).groupBy("camera_id")
+            .applyInPandasWithState(fn, MATCH_OUT, MATCH_STATE, "append", GroupStateTimeout.EventTimeTimeout))
 
 
 # ---------------------------------------------------------------- R8
@@ -165,6 +193,7 @@ def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     ix = np.maximum(0, np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0]))
     iy = np.maximum(0, np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1]))
     inter = ix * iy
+    inter = np.where(np.isfinite(inter), inter, 0.0)
     area_a = np.maximum(0, a[:, 2] - a[:, 0]) * np.maximum(0, a[:, 3] - a[:, 1])
     area_b = np.maximum(0, b[:, 2] - b[:, 0]) * np.maximum(0, b[:, 3] - b[:, 1])
     union = area_a[:, None] + area_b[None, :] - inter
@@ -186,45 +215,36 @@ def local_track_ids(dets: DataFrame, iou_threshold: float = 0.3, grace_frames: i
             state.remove()
             return
         if state.exists:
-            nid, ids, x1, y1, x2, y2, last = state.get
-            tracks = {"ids": list(ids), "box": [list(b) for b in zip(x1, y1, x2, y2)], "last": list(last)}
+            nid, ids, *corners, last = state.get
+            ids, last = np.asarray(ids, dtype=np.int64), np.asarray(last, dtype=np.int64)
+            tracks = np.array([list(c) for c in corners], dtype=float).T.reshape(-1, 4)
         else:
-            nid, tracks = 0, {"ids": [], "box": [], "last": []}
-        out = []
-        for fid, frame in _in_order(pdfs, ["frame_id", "det_seq"]).groupby("frame_id", sort=True):
-            keep = [i for i, l in enumerate(tracks["last"]) if fid - l <= grace_frames]
-            tracks = {c: [tracks[c][i] for i in keep] for c in tracks}
-            boxes = frame[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)
-            assigned = [-1] * len(frame)
-            if tracks["ids"] and len(frame):
-                m = _iou_matrix(boxes, np.asarray(tracks["box"], dtype=float))
-                used_d, used_t = set(), set()
-                for flat in np.argsort(-m, axis=None, kind="stable"):
-                    d, t = divmod(int(flat), m.shape[1])
-                    if m[d, t] < iou_threshold:
-                        break
-                    if d in used_d or t in used_t:
-                        continue
-                    used_d.add(d)
-                    used_t.add(t)
-                    assigned[d] = t
-            for d, seq in enumerate(frame["det_seq"].to_numpy()):
-                t = assigned[d]
-                if t < 0:
-                    tracks["ids"].append(nid)
-                    tracks["box"].append([float(v) for v in boxes[d]])
-                    tracks["last"].append(int(fid))
-                    out.append((k[0], int(fid), int(seq), nid))
-                    nid += 1
-                else:
-                    tracks["box"][t] = [float(v) for v in boxes[d]]
-                    tracks["last"][t] = int(fid)
-                    out.append((k[0], int(fid), int(seq), tracks["ids"][t]))
-        bx = tracks["box"]
-        state.update((nid, tracks["ids"], [b[0] for b in bx], [b[1] for b in bx], [b[2] for b in bx],
-                      [b[3] for b in bx], tracks["last"]))
-        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + int(pd.Timedelta(timeout).total_seconds() * 1000))
-        yield pd.DataFrame(out, columns=["camera_id", "frame_id", "det_seq", "local_id"])
+            nid, ids, last, tracks = 0, np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 4))
+        rows = _in_order(pdfs, ["frame_id", "det_seq"])
+        frames, all_boxes = rows["frame_id"].to_numpy(), rows[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)
+        given = np.empty(len(rows), dtype=np.int64)
+        starts = np.flatnonzero(np.r_[True, frames[1:] != frames[:-1]])
+        for at, end in zip(starts, np.r_[starts[1:], len(rows)]):
+            fid, boxes = frames[at], all_boxes[at:end]
+            keep = fid - last <= grace_frames
+            ids, last, tracks = ids[keep], last[keep], tracks[keep]
+            m = _iou_matrix(boxes, tracks)
+            d, t = np.nonzero(m >= iou_threshold)                   # few of all pairs overlap enough
+            order = np.lexsort((t, d, -m[d, t]))
+            d, t = d[order], t[order]
+            won = best_first(d, t, np.arange(len(d))) if len(d) else np.zeros(0, dtype=bool)
+            track = np.full(len(boxes), -1)
+            track[d[won]] = t[won]
+            old, new = np.flatnonzero(track >= 0), np.flatnonzero(track < 0)
+            fresh = nid + np.arange(len(new))
+            nid += len(new)
+            tracks[track[old]], last[track[old]] = boxes[old], fid
+            given[at + old], given[at + new] = ids[track[old]], fresh
+            ids, last = np.r_[ids, fresh], np.r_[last, np.full(len(new), fid)]
+            tracks = np.concatenate([tracks, boxes[new]])
+        state.update((int(nid), ids.tolist(), *[tracks[:, j].tolist() for j in range(4)], last.tolist()))
+        state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + _millis(timeout))
+        yield pd.DataFrame({"camera_id": k[0], "frame_id": frames, "det_seq": rows["det_seq"].to_numpy(), "local_id": given})
 
     return (dets.groupBy("camera_id")
             .applyInPandasWithState(fn, TRACK_OUT, TRACK_STATE, "append", GroupStateTimeout.EventTimeTimeout))

@@ -55,7 +55,7 @@ def test_windowed_stream_equals_batch(spark, tmp_dir, files_per_trigger):
 def test_fps_flush_exact(spark, tmp_dir):
     secs = [0.0, 0.5, 1.0, 1.2, 2.0, 2.3, 3.5]
     df = spark.createDataFrame([("cam1", s) for s in secs], "camera_id string, s double") \
-        .select("camera_id", F.timestamp_seconds("s").alias("ts"))
+        .select("camera_id", F.timestamp_seconds(F.col("s") + 1000).alias("ts"))
     df.write.parquet(f"{tmp_dir}/fps")
     stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/fps")
     out = _drain(spark, stateful.fps_flush(stream), "fps").orderBy("flush_ts").collect()
@@ -63,6 +63,27 @@ def test_fps_flush_exact(spark, tmp_dir):
         [(4, round(4 / 1.2, 6), 4), (2, round(2 / 1.1, 6), 6), (1, round(1 / 1.2, 6), 7)]
 
 
+def test_idle_cameras_leave_the_state(spark, tmp_dir):
+    """A camera that falls silent is forgotten, and counts anew when it returns."""
+    t0 = 1_700_000_000
+    batches = [[("a", 0.0), ("a", 0.5), ("b", 0.0)], [("b", 8000.0), ("b", 8000.5)], [("b", 16000.0)], [("a", 16001.0), ("a", 16003.0)],
+               [("b", 16004.0)]]
+    schema = "camera_id string, s double"
+    for i, rows in enumerate(batches):
+        (spark.createDataFrame(rows, schema).select("camera_id", F.timestamp_seconds(F.col("s") + t0).alias("ts"))
+         .coalesce(1).write.parquet(f"{tmp_dir}/idle/c={i}"))
+    src = (spark.readStream.schema("camera_id string, ts timestamp").option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/idle"))
+    q = stateful.fps_flush(src, watermark="10 seconds", idle="100 seconds").writeStream.format("memory") \
+        .queryName("idle").outputMode("append").start()
+    q.processAllAvailable()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    q.stop()
+    assert 1 in held[1:-1]                                     # only b was held for a while
+    rows = [(r.camera_id, r.n, r.cumulative) for r in spark.table("idle").where("camera_id = 'a'").collect()]
+    assert rows == [("a", 2, 2)]                              # the two rows before its silence are gone
+
+
 def test_latest_frame_match_ties_take_higher_offset(spark, tmp_dir):
     frames = spark.createDataFrame(
         [("cam1", 10, 1, "f1"), ("cam1", 10, 2, "f2"), ("cam1", 20, 3, "f3")],
