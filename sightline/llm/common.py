@@ -61,7 +61,8 @@ def map_columns(df: DataFrame, fn: Callable[..., list], inputs: list[str],
                 outputs: list[StructField], keep: list[str] | None = None,
                 setup: Callable[[], object] | None = None, rows: int = 512) -> DataFrame:
     """``keep`` columns of ``df`` (all by default) plus the columns that
-    ``fn`` makes of the ``inputs``.
+    ``fn`` makes of the ``inputs``. An output whose name a kept column has
+    gets underscores in front (``fresh``).
 
     ``fn(state, *arrays)`` gets Arrow arrays of at most ``rows`` rows and
     returns one array or list for each output; ``state`` is what ``setup``
@@ -71,6 +72,10 @@ def map_columns(df: DataFrame, fn: Callable[..., list], inputs: list[str],
     """
     small_batches(df.sparkSession)
     keep = list(df.columns) if keep is None else keep
+    taken = list(keep)
+    for i, f in enumerate(outputs):
+        outputs = [*outputs[:i], StructField(fresh(f.name, taken), f.dataType, f.nullable), *outputs[i + 1:]]
+        taken.append(outputs[i].name)
     out = StructType([df.schema[c] for c in keep] + outputs)
     from pyspark.sql.pandas.types import to_arrow_type
     kinds = [to_arrow_type(f.dataType) for f in outputs]
@@ -117,11 +122,18 @@ def sift(df: DataFrame, key: str, bitmap: DataFrame, bits: int = 1 << 24) -> tup
     return at.where(hit).select(*taken), at.where(~hit).select(*taken)
 
 
-def without_keys(df: DataFrame, key: str, drop: DataFrame, drop_key: str,
-                 bits: int = 1 << 24) -> DataFrame:
+def without_keys(df: DataFrame, key: str, drop: DataFrame, drop_key: str, bits: int = 1 << 24,
+                 same: dict[str, str] | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` is not in ``drop``. Only the rows that
-    the sieve lets through are shuffled for the exact anti-join."""
+    the sieve lets through are shuffled for the exact anti-join. Of a key
+    that is a hash, ``same`` names the columns of ``df`` and of ``drop`` that
+    must be equal too (nulls to nulls), so a collision loses no row."""
     k = fresh("drop_key", df.columns)
-    gone = drop.select(F.col(drop_key).alias(k)).where(F.col(k).isNotNull())
+    also = {c: fresh(f"drop_same_{i}", df.columns) for i, c in enumerate(same or {})}
+    gone = drop.select(F.col(drop_key).alias(k), *[F.col(same[c]).alias(n) for c, n in also.items()])
+    gone = gone.where(F.col(k).isNotNull())
     maybe, sure = sift(df, key, sieve(gone, k, bits), bits)
-    return sure.unionByName(maybe.join(gone, maybe[key] == gone[k], "left_anti"))
+    on = maybe[key] == gone[k]
+    for c, n in also.items():
+        on = on & maybe[c].eqNullSafe(gone[n])
+    return sure.unionByName(maybe.join(gone, on, "left_anti"))

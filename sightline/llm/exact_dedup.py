@@ -76,7 +76,10 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(sha, keep_id, group_size) of every text that several rows have. The
     row with the most code points in its original text, then the least id,
     is the one to keep."""
-    h = full_hashes(docs, id_col, text_col, prefix, bits)
+    return _groups(full_hashes(docs, id_col, text_col, prefix, bits))
+
+
+def _groups(h: DataFrame) -> DataFrame:
     order = F.struct(-F.col("n_points"), F.col("id").isNull(), F.col("id"))
     return (h.groupBy("sha").agg(F.count(F.lit(1)).alias("group_size"),
                                  F.min(order).getField("id").alias("keep_id"))
@@ -106,10 +109,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The input rows (all columns) without those whose text another row
     keeps. Only narrow rows of duplicated texts are joined; the texts stay
     where they are."""
-    g = duplicate_groups(docs, id_col, text_col, prefix, bits)
-    h = full_hashes(docs, id_col, text_col, prefix, bits)
-    gone = (h.join(g, "sha").where(~F.col("id").eqNullSafe(F.col("keep_id")))
-            .select("k").distinct().transform(materialize))
+    h = materialize(full_hashes(docs, id_col, text_col, prefix, bits), "full-hashes")
+    gone = (h.join(_groups(h), "sha").where(~F.col("id").eqNullSafe(F.col("keep_id")))
+            .select("k", "id").distinct().transform(materialize))
     key = fresh("row_key", docs.columns)
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
-    return without_keys(keyed, key, gone, "k", bits).select(*docs.columns)
+    return without_keys(keyed, key, gone, "k", bits, same={id_col: "id"}).select(*docs.columns)

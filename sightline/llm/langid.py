@@ -26,11 +26,11 @@ rows are predicted alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField
@@ -38,7 +38,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, St
 from sightline.llm.common import map_columns, sieve, sift
 from sightline.session import materialize
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PAIRS, _TRIPLES = 256, 256 + 65536
 _CODES = _TRIPLES + (1 << 24)
 

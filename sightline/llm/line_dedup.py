@@ -16,22 +16,27 @@ hashes; a fixed-size bitmap over document keys tells the others apart,
 whose text is neither shuffled nor split.
 
 Defined cases: a null text is empty, an empty text is one empty line; lines
-whose key is empty always stay; repeated rows count as documents of their
+whose key is empty always stay; very long texts are split whole, and every
+line is looked up in a set; repeated rows count as documents of their
 own; null ids are allowed; extra columns are ignored; an empty table gives
 an empty result.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField
 
-from sightline.llm.common import BLANK, sieve, sift
+from sightline.llm.common import BLANK, map_columns, sieve, sift
 from sightline.session import materialize
 
 #: The letters that the key lower-cases.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+_BLANK, _MASK = BLANK.encode(), (1 << 64) - 1
 
 
 def lines_of(text: Column) -> Column:
@@ -39,9 +44,11 @@ def lines_of(text: Column) -> Column:
 
 
 def line_hash(line: Column) -> Column:
-    """128-bit hash of a line's key; null if the key is empty."""
+    """128-bit hash of a line's key, as the text of two longs; null if the
+    key is empty. A text, because sets of texts are hashed in Spark and sets
+    of structs are not."""
     key = F.translate(F.btrim(line, F.lit(BLANK)), UPPER, LOWER)
-    return F.when(key != "", F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(1), key).alias("h2")))
+    return F.when(key != "", F.concat_ws(",", F.xxhash64(key).cast("string"), F.xxhash64(F.lit(1), key).cast("string")))
 
 
 def _hashes(text: Column) -> Column:
@@ -107,13 +114,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``min_docs`` documents have, joined by newlines."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.withColumn("k", F.xxhash64("id"))
+    rows = rows.withColumn("k", F.xxhash64("id", "t"))
     # one scan writes the narrow line table, one folder a batch
     from sightline.session import scratch_path
     import uuid
     where = scratch_path(spark, f"tables/lines-{uuid.uuid4().hex}")
     (rows.select("k", F.explode(_hashes(F.col("t"))).alias("h"))
-     .select("k", "h.h1", "h.h2", F.pmod(F.xxhash64(F.lit(2), "k"), F.lit(batches)).cast("int").alias("batch"))
+     .select("k", F.substring_index("h", ",", 1).cast("long").alias("h1"),
+             F.substring_index("h", ",", -1).cast("long").alias("h2"), F.pmod(F.xxhash64(F.lit(2), "k"), F.lit(batches)).cast("int").alias("batch"))
      .write.partitionBy("batch").parquet(where))
     lines = spark.read.schema("k long, h1 long, h2 long, batch int").parquet(where)
     runs = LineRuns(min_docs, fanout)
@@ -125,15 +133,30 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy("k").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
             .transform(lambda d: materialize(d, "hits")))
     maybe, sure = sift(rows, "k", sieve(hits, "k", bits), bits)
-    none = F.lit(None).cast(hits.schema["gone"].dataType)
     # documents under one key hold only keys that are common everywhere, so
     # the union of their hashes is right for each of them
-    hit_rows = maybe.join(hits, "k", "left")
-    all_rows = sure.withColumn("gone", none).unionByName(hit_rows)
-    ls = lines_of(F.col("t"))
-    stays = F.filter(ls, lambda x: ~F.coalesce(F.array_contains(F.col("gone"), line_hash(x)), F.lit(False)))
-    return (all_rows.withColumn("stay", F.when(F.col("gone").isNotNull(), stays))
-            .select(F.col("id").alias(id_col), F.size(ls).cast("long").alias("lines"),
-                    F.coalesce(F.size(ls) - F.size("stay"), F.lit(0)).cast("long").alias("dropped"),
-                    F.when(F.col("gone").isNotNull(), F.array_join("stay", "\n")).otherwise(F.col("t"))
-                    .alias("kept_text")))
+    hit = maybe.join(hits, "k", "left").select(
+        "id", "t", F.transform("gone", lambda g: g["h1"]).alias("g1"), F.transform("gone", lambda g: g["h2"]).alias("g2"))
+    second = spark.range(1).select(F.xxhash64(F.lit(1))).first()[0] & _MASK
+    kept = map_columns(hit, lambda _state, *cols: _kept(second, *cols), ["t", "g1", "g2"],
+                       [StructField("stay", LongType()), StructField("kept", StringType())], keep=["id", "t"])
+    n = F.size(lines_of(F.col("t"))).cast("long")
+    whole = sure.select("id", n.alias("lines"), F.lit(0).cast("long").alias("dropped"), F.col("t").alias("kept_text"))
+    cut = kept.select("id", n.alias("lines"), (n - F.col("stay")).alias("dropped"), F.col("kept").alias("kept_text"))
+    return whole.unionByName(cut).withColumnRenamed("id", id_col)
+
+
+def _kept(second: int, texts: pa.Array, g1: pa.Array, g2: pa.Array) -> list:
+    """(lines that stay, their text) of each text, given the hashes of its
+    common lines; one look into a set a line."""
+    stay, out = [], []
+    for text, one, two in zip(texts.to_pylist(), g1.to_pylist(), g2.to_pylist()):
+        lines = text.split("\n")
+        if one:
+            gone = {(a & _MASK, b & _MASK) for a, b in zip(one, two)}
+            keys = (line.encode("utf-8").strip(_BLANK).lower() for line in lines)
+            lines = [line for line, key in zip(lines, keys) if not key or (
+                xxhash.xxh64_intdigest(key, 42), xxhash.xxh64_intdigest(key, second)) not in gone]
+        stay.append(len(lines))
+        out.append("\n".join(lines))
+    return [stay, out]

@@ -398,6 +398,7 @@ def score(docs: DataFrame, words: list[bytes], net: Network, text_col: str = "te
     chain = rest.chain
     keep = list(docs.columns) if keep is None else keep
     key, base, more, add = (fresh(c, [*keep, "n_words"]) for c in ("row_key", "slot_log_prob", "rest", "rest_units"))
+    n_words, log_prob, mean = (fresh(c, keep) for c in ("n_words", "log_prob", "mean_log_prob"))
 
     def batch(state, texts: pa.Array) -> list:
         slots, model = state
@@ -416,7 +417,7 @@ def score(docs: DataFrame, words: list[bytes], net: Network, text_col: str = "te
              pa.array(spelt(own, chain))], fields=list(to_arrow_type(_REST)))
         return [n, total, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), parts)]
     rows = map_columns(docs, batch, [text_col],
-                       [StructField("n_words", LongType()), StructField(base, DoubleType()),
+                       [StructField(n_words, LongType()), StructField(base, DoubleType()),
                         StructField(more, ArrayType(_REST))], keep,
                        setup=lambda: (Slots(words, shape), Network(shape, flat)), rows=64)
     # The number is written with the row, so it stays the same for both uses.
@@ -431,5 +432,5 @@ def score(docs: DataFrame, words: list[bytes], net: Network, text_col: str = "te
     tail = tail.groupBy(key).agg(F.sum(F.col("c") * F.round(lp / UNIT).cast("long")).alias(add))
     total = F.col(base) + F.coalesce(F.col(add), F.lit(0)) * F.lit(UNIT)
     return (rows.join(tail, key, "left")
-            .select(*keep, "n_words", total.alias("log_prob"),
-                    F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_prob")))
+            .select(*keep, n_words, total.alias(log_prob),
+                    F.when(F.col(n_words) > 0, total / F.col(n_words)).alias(mean)))

@@ -22,12 +22,16 @@ read once and never shuffled; nothing is collected.
 Defined cases: a null text is empty and has no spans; an added span never
 overlaps a seed's; rows that repeat id and text get equal results; null ids
 are allowed; extra columns are ignored; an empty table gives an empty result.
-Positions are code points, the end exclusive.
+Very long texts are scanned whole, in time that grows with their length. The
+loose shapes keep to their formats: an address has at most 64 characters
+before the @ and in each of at most nine labels, a card 12 to 19 digits; a
+pattern's words have at most ``_LONGEST`` code points. Positions are code points, the end exclusive.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,8 +64,10 @@ _LOOSE = (
 _NO_PHONE = re.compile(r"(?:1[0-9]|20)[0-9]{2}([-. ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-. ])[0-9]{1,2}\2(?:1[0-9]|20)[0-9]{2}"
                        r"|(?:1[0-9]|20)[0-9]{2} ?- ?(?:1[0-9]|20)[0-9]{2}|[0-9]+\.[0-9]+")
 _DOT = re.compile(r"\.|[\[(]dot[\])]", re.IGNORECASE)
-_BEFORE = re.compile(r"(\S+)\s+(\S+)\s*\Z")
-_REACH = 160  # code points before a span in which its two words are looked for
+_WORD = re.compile(r"\S+")
+_MARKS = ".,:;!?()[]{}\"'=<>*#-"
+#: Words of more code points are no part of a pattern.
+_LONGEST = 160
 
 
 def luhn(digits: str) -> bool:
@@ -119,16 +125,19 @@ def lookalikes(text: str | None, found: list[tuple[int, int, int]]) -> list[tupl
         return out
     low = "@" in text or "(at)" in text or "[at]" in text
     digits = _DIGIT.search(text) is not None
-    taken = [(a, b) for a, _, b in found]
+    taken = bytearray(len(text))               # code points that a span holds
+    for a, _, b in found:
+        taken[a:b] = b"\1" * (b - a)
     for kind, shape in enumerate(_LOOSE):
         if not (low if kind == 0 else digits or (kind == 1 and ":" in text)):
             continue
         for m in shape.finditer(text):
             if kind == 3 and not 7 <= len(_DIGIT.findall(m.group())) <= 15:
                 continue
-            if all(m.end() <= a or b <= m.start() for a, b in taken):
-                out.append((m.start(), kind, m.end()))
-                taken.append((m.start(), m.end()))
+            a, b = m.span()
+            if taken.find(1, a, b) < 0:
+                out.append((a, kind, b))
+                taken[a:b] = b"\1" * (b - a)
     return out
 
 
@@ -146,13 +155,28 @@ def fails(kind: int, found: str) -> bool:
     return _NO_PHONE.fullmatch(found) is not None
 
 
+def contexts(text: str, starts: list[int]) -> list[str | None]:
+    """For each place the two words before it, lower-cased, without marks
+    around them; of a word that the place cuts, the part before it. None if
+    there are no two, or one is longer than ``_LONGEST`` code points."""
+    if not starts:
+        return []
+    words = [m.span() for m in _WORD.finditer(text, 0, max(starts))]
+    begins = [a for a, _ in words]
+    out: list[str | None] = []
+    for start in starts:
+        i = bisect_left(begins, start) - 1
+        pair = [(a, min(b, start)) for a, b in words[max(0, i - 1):i + 1]] if i > 0 else []
+        if len(pair) < 2 or any(b - a > _LONGEST for a, b in pair):
+            out.append(None)
+            continue
+        found = [text[a:b].strip(_MARKS).lower() for a, b in pair]
+        out.append(" ".join(found) if all(found) else None)
+    return out
+
+
 def context(text: str, start: int) -> str | None:
-    """The two words before a span, lower-cased, without marks around them."""
-    m = _BEFORE.search(text, max(0, start - _REACH), start)
-    if not m:
-        return None
-    words = [w.strip(".,:;!?()[]{}\"'=<>*#-").lower() for w in m.groups()]
-    return " ".join(words) if all(words) else None
+    return contexts(text, [start])[0]
 
 
 _SPAN = StructType([StructField("start", IntegerType()), StructField("kind", IntegerType()),
@@ -172,7 +196,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             found = seeds(t)
             more = lookalikes(t, found)
             spans.append([{"start": a, "kind": k, "end": b} for a, k, b in found])
-            nodes.append([{"kind": k, "start": a, "end": b, "pattern": context(t, a),
+            before = iter(contexts(t, [a for group in (found, more) for a, _, _ in group]))
+            nodes.append([{"kind": k, "start": a, "end": b, "pattern": next(before),
                            "instance": " ".join(t[a:b].lower().split()), "seed": own,
                            "wrong": not own and fails(k, t[a:b])}
                           for group, own in ((found, True), (more, False)) for a, k, b in group])

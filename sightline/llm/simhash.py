@@ -219,7 +219,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The input rows (all columns) whose id is the least of its component."""
     gone = (components(docs, id_col, text_col, **options)
             .where(~F.col("id").eqNullSafe(F.col("component_id")))
-            .select("k").distinct().transform(lambda d: materialize(d, "simhash-gone")))
+            .select("k", "id").distinct().transform(lambda d: materialize(d, "simhash-gone")))
     key = fresh("row_key", docs.columns)
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
-    return without_keys(keyed, key, gone, "k").select(*docs.columns)
+    return without_keys(keyed, key, gone, "k", same={id_col: "id"}).select(*docs.columns)
