@@ -57,10 +57,45 @@ class ProgressLog(StreamingQueryListener):
         pass
 
 
+_SOURCES = "array<struct<description string, startOffset string, endOffset string, latestOffset string>>"
+_OFFSETS = "map<string, map<string, bigint>>"
+
+
+def partition_lag(progress_df: DataFrame) -> DataFrame:
+    """Offsets by topic and partition as the source itself reports them:
+    (batch_id, ts, source, topic, partition, start_offset, end_offset,
+    latest_offset, read, lag). ``read`` rows were taken by the batch, ``lag``
+    are still queued behind it. Sources without topics (files) have no rows; a
+    partition that the batch had not started on, or whose latest offset is
+    not reported, has null there."""
+    s = progress_df.select("batch_id", "ts", F.posexplode(F.from_json("sources", _SOURCES)).alias("source", "s"))
+    sides = {c: F.from_json(F.col("s." + c), _OFFSETS) for c in ("startOffset", "endOffset", "latestOffset")}
+    s = s.select("batch_id", "ts", "source", *[c.alias(n) for n, c in sides.items()]).where("endOffset IS NOT NULL")
+    t = s.select("*", F.explode("endOffset").alias("topic", "ends")).where("ends IS NOT NULL")
+    p = t.select("*", F.explode("ends").alias("p", "end_offset"))
+
+    def at(side: str):
+        return F.try_element_at(F.try_element_at(F.col(side), F.col("topic")), F.col("p"))
+    p = p.select("batch_id", "ts", "source", "topic", F.col("p").try_cast("int").alias("partition"),
+                 at("startOffset").alias("start_offset"), "end_offset", at("latestOffset").alias("latest_offset"))
+    return p.select("*", (F.col("end_offset") - F.col("start_offset")).alias("read"),
+                    (F.col("latest_offset") - F.col("end_offset")).alias("lag"))
+
+
+def queue_sizes(progress_df: DataFrame) -> DataFrame:
+    """A9 from the source: per topic the rows that its last report left
+    queued, with the number of partitions that report and the worst of them."""
+    lag = partition_lag(progress_df).where("lag IS NOT NULL")
+    last = lag.groupBy("topic", "partition").agg(F.max_by(F.struct("lag", "ts"), "batch_id").alias("r"))
+    return last.groupBy("topic").agg(F.sum("r.lag").alias("queued"), F.count(F.lit(1)).alias("partitions"),
+                                     F.max("r.lag").alias("worst"), F.max("r.ts").alias("as_of"))
+
+
 def backlog(progress_df: DataFrame) -> DataFrame:
     """Rows that arrived faster than they were processed, per batch and in
-    total so far (positive = the stream is falling behind). The total is
-    summed in buckets of 4,096 batches."""
+    total so far (positive = the stream is falling behind), from the rates;
+    ``queue_sizes`` has the queue itself where the source reports offsets. The
+    total is summed in buckets of 4,096 batches."""
     lag = (F.col("input_rows_per_s") - F.col("processed_rows_per_s")) * F.col("trigger_ms") / 1000.0
     df = progress_df.withColumn("batch_backlog", F.coalesce(lag, F.lit(0.0)))
     return running_total(df, [], ["batch_id"], F.floor(F.col("batch_id") / 4096), F.col("batch_backlog"),
