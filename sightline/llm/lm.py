@@ -1,262 +1,205 @@
 """Language-model scoring by masked pseudo-likelihood.
 
-Every word of a text is predicted from the words on both sides of it, the
-word itself masked: log P(w | two words left, two words right). The sum over
-the text is its score.
-
-Vocabulary: every word of the whole corpus by exact counts, pre-aggregated in
-each task before they are shuffled. The network's slots follow the number of
-distinct words, up to ``WIDEST`` squared; they go to the most frequent words,
-and all other words share hashed slots. Network, in numpy: an embedding table
-for each of the four places of the window, their sum through tanh to a hidden
-layer, and a two-step softmax, first over groups of words, then over the words
-of the group. So a prediction costs the square root of the vocabulary. The
-biases of the softmax begin at the counts, so training begins at the words'
-frequencies.
-
-Words in a shared slot have probabilities of their own: log P(word | slot) is
-added to the network's log P(slot | window). P(word | slot) = (n + Q) / (N + 1),
-where N is the slot's occurrences, n the exact count of the word, found by a
-join with the table of counts, which is sharded by word and grows with the
-corpus (nothing of it is collected), and Q the probability of its spelling: a
-chain of bytes, fitted on these words. So words never counted have a
-probability too: they divide one occurrence. Spellings also reach words of
-other slots, so the probabilities of all strings add up to at most 1.
-
-Training covers every word of every document: each task trains a copy on its
-own documents in small steps (Adagrad), and the copies are averaged, weighted
-by their words. The averaging is a tree over slices of the parameters, so
-neither a task nor the driver holds more than a bounded share of the copies,
-and what is gathered grows with the number of tasks, that is, with the input.
-
-Defined cases: a null or blank text has no words, score 0 and a null mean;
-ties in the counts go to the word that sorts first; repeated rows count as
-often as they occur and get equal scores; extra columns are ignored; an
-empty corpus gives the untrained, uniform network and an empty result.
+Every token of a text is predicted from the tokens on both sides of it, the
+token itself masked: log P(t | two left, two right). The sum over the text
+is its score. Tokens are the pieces of a public BPE vocabulary, so every
+word of any text is made of them, each with a probability of its own.
+
+Network, in numpy: one embedding of each token, a weight of each of its
+components for each of the four places of the window, their sum through tanh to a hidden layer, and a softmax
+over all tokens in three steps: a tree of three levels with the cube root of
+the vocabulary as its fan-out, its leaves in the order of the tokens' counts.
+So a prediction costs three times the cube root of the vocabulary, not the
+vocabulary. The biases of the tree begin at the exact counts over the whole
+corpus, so training begins at the tokens' frequencies.
+
+Training covers every token of every document. One scan writes the tokens of
+every row; they are dealt evenly to trainers of about ``per_trainer`` tokens
+each, a row at a time in turn, so no hot source, language or group of copies
+shapes a trainer. A trainer fits a copy by Adagrad: the nodes of the tree take
+their rows of a buffer in small steps, then the embeddings. The copies are
+averaged, weighted by their tokens, in a tree over slices of the parameters,
+so neither a task nor the driver holds more than a bounded share of them. The
+number of copies, that is, what is gathered, grows with the corpus. The
+network that is broadcast for scoring has a fixed size (the vocabulary's).
+
+Defined cases: a null or blank text has no tokens, score 0 and a null mean;
+ties in the counts go to the smaller id; repeated rows count as often as they
+occur and get scores that are equal up to single precision; very long texts are encoded and scored whole;
+extra columns are ignored or kept whatever their names (a new column whose
+name is taken gets underscores in front); an empty corpus gives the untrained
+network and an empty result.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField
 
+from sightline.llm import bpe, packing
 from sightline.llm.common import fresh, map_columns
 from sightline.session import materialize
 
 PLACES = (-2, -1, 1, 2)
-
-#: The sides of the smallest and the largest square of slots,
-#: and the unit of the added log-probabilities (whole numbers of it, so sums
-#: do not depend on the order of rows).
-NARROWEST, WIDEST = 44, 96
-UNIT = 1e-6
-_END = 256  # begins and ends a word; the bytes are 0 to 255
+#: How the tokens of a row are written.
+_IDS = np.dtype("<u2")
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes of the network: ``groups`` x ``group`` slots, of which ``other``
-    are shared by all words outside the vocabulary."""
-    groups: int = WIDEST
-    group: int = WIDEST
-    other: int = WIDEST
-    hidden: int = 24
-
-    @property
-    def slots(self) -> int:
-        return self.groups * self.group
+    """Sizes of the network: ``tokens`` in all, ``fan`` to the third leaves."""
+    tokens: int
+    hidden: int = 16
 
     @property
-    def words(self) -> int:
-        return self.slots - self.other
-
-    @staticmethod
-    def holding(words: int) -> Shape:
-        """The square that holds so many words, within the fixed sides."""
-        side = NARROWEST
-        while side < WIDEST and side * side - side < words:
-            side += 1
-        return Shape(side, side, side)
-
-
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "surrogatepass").split()
-
-
-class Slots:
-    """Word to slot. Words outside the vocabulary are hashed to the shared
-    slots; the cache of those is bounded."""
-
-    def __init__(self, vocabulary: list[bytes], shape: Shape):
-        self.of = {w: i for i, w in enumerate(vocabulary)}
-        self.first, self.other = shape.words, shape.other
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        return self.split(text)[0]
-
-    def split(self, text: str | None) -> tuple[np.ndarray, Counter[bytes]]:
-        """(slots of the words, the words in shared slots with their counts)."""
-        words = words_of(text)
-        get, first, other = self.of.get, self.first, self.other
-        out = [get(w, -1) for w in words]
-        rest: Counter[bytes] = Counter()
-        if -1 in out:
-            rest.update(w for w, s in zip(words, out) if s < 0)
-            at = {w: first + zlib.crc32(w) % other for w in rest}
-            out = [at[w] if s < 0 else s for w, s in zip(words, out)]
-        return np.array(out, dtype=np.int64), rest
-
-
-def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(codes of the byte pairs of all words, the ends included; where each
-    word's pairs begin)."""
-    size = np.array([len(w) for w in words], dtype=np.int64)
-    n = len(words)
-    chain = np.full(int(size.sum()) + n + 1, _END, dtype=np.int32)
-    chain[np.arange(int(size.sum())) + np.repeat(np.arange(n), size) + 1] = np.frombuffer(b"".join(words), np.uint8)
-    return chain[:-1] * (_END + 1) + chain[1:], np.cumsum(size + 1) - size - 1
-
-
-class Rest:
-    """The words beyond the vocabulary: ``counts`` (word, n; a table, None if
-    there is none), the occurrences in each shared slot, and the logs of the
-    chain of bytes, in which every pair counts once more."""
-
-    def __init__(self, occurrences: np.ndarray, pairs: np.ndarray, counts: DataFrame | None = None):
-        self.counts, self.occurrences = counts, occurrences
-        self.chain = (np.log(pairs + 1.0) - np.log(pairs.sum(axis=1, keepdims=True) + _END + 1.0)).ravel()
-
-    @staticmethod
-    def unknown(shape: Shape) -> Rest:
-        return Rest(np.zeros(shape.other), np.zeros((_END + 1, _END + 1)))
-
-
-def spelt(words: list[bytes], chain: np.ndarray) -> np.ndarray:
-    """log Q of each word."""
-    if not words:
-        return np.zeros(0)
-    codes, first = byte_pairs(words)
-    return np.add.reduceat(chain[codes], first)
+    def fan(self) -> int:
+        k = 1
+        while k ** 3 < self.tokens:
+            k += 1
+        return k
 
 
 def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
-    """(targets, contexts (n, 4)) of all texts; places beyond an end hold
+    """(tokens, contexts (n, 4)) of all texts; places beyond an end hold
     ``pad``."""
     reach = max(PLACES)
-    gap = np.full(reach, pad, dtype=np.int64)
-    flat = np.concatenate([x for t in texts for x in (gap, t)] + [gap])
+    gap = np.full(reach, pad, dtype=np.int32)
+    flat = np.concatenate([x for t in texts for x in (gap, t)] + [gap]).astype(np.int32)
     at = np.flatnonzero(flat != pad)
     return flat[at], np.stack([flat[at + p] for p in PLACES], axis=1)
 
 
 class Network:
-    """Parameters as one flat vector, so copies are averaged slice by slice."""
-
-    def __init__(self, shape: Shape, flat: np.ndarray | None = None, seed: int = 5):
-        self.shape = s = shape
-        sizes = [(len(PLACES), s.slots + 1, s.hidden), (s.hidden,), (s.hidden, s.groups), (s.groups,),
-                 (s.groups, s.hidden, s.group), (s.groups, s.group)]
+    """Parameters as one flat vector, so copies are averaged slice by slice.
+    ``leaf`` is the place of each token among the leaves."""
+
+    def __init__(self, shape: Shape, leaf: np.ndarray | None = None, flat: np.ndarray | None = None, seed: int = 5):
+        self.shape, h, k = shape, shape.hidden, shape.fan
+        self.leaf = np.arange(shape.tokens) if leaf is None else leaf
+        sizes = [(shape.tokens + 1, h), (len(PLACES), h), (h,), (1, h, k), (1, k), (k, h, k), (k, k),
+                 (k * k, h, k), (k * k, k)]
         total = sum(int(np.prod(x)) for x in sizes)
         if flat is None:
             flat = np.zeros(total, dtype=np.float32)
-            n = int(np.prod(sizes[0]))
-            flat[:n] = np.random.default_rng(seed).standard_normal(n).astype(np.float32) * 0.1
-        self.flat = flat
-        parts, at = [], 0
+            n = int(np.prod(sizes[0])) + int(np.prod(sizes[1]))
+            flat[:n] = np.random.default_rng(seed).standard_normal(n).astype(np.float32) * 0.2
+            flat[int(np.prod(sizes[0])):n] *= 5.0
+        self.flat, parts, at = flat, [], 0
         for x in sizes:
             n = int(np.prod(x))
             parts.append(flat[at:at + n].reshape(x))
             at += n
-        self.embed, self.bias, self.to_group, self.group_bias, self.to_word, self.word_bias = parts
-        self.rest: Rest | None = None  # of a trained network
+        self.embed, self.place, self.bias = parts[:3]
+        #: (weights, biases) of the nodes of each level
+        self.levels = [(parts[3], parts[4]), (parts[5], parts[6]), (parts[7], parts[8])]
 
     def begin_at(self, counts: np.ndarray) -> Network:
-        """Biases that give every slot its frequency."""
-        n = counts.reshape(self.shape.groups, self.shape.group) + 1.0
-        own = n.sum(axis=1, keepdims=True)
-        self.group_bias[:] = np.log(own[:, 0] / own.sum())
-        self.word_bias[:] = np.log(n / own)
+        """Biases that give every token its frequency, one more each; the
+        leaves that no token has get nothing."""
+        k = self.shape.fan
+        n = np.full(k ** 3, 1e-9)
+        n[self.leaf] = counts + 1.0
+        n = n.reshape(k, k, k)
+        two, one = n.sum(axis=2), n.sum(axis=(1, 2))
+        self.levels[0][1][:] = np.log(one / one.sum())
+        self.levels[1][1][:] = np.log(two / one[:, None])
+        self.levels[2][1][:] = np.log(n / two[:, :, None]).reshape(k * k, k)
         return self
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
-        h = self.embed[0][ctx[:, 0]]
+        h = self.embed[ctx[:, 0]]
+        h *= self.place[0]
         for p in range(1, len(PLACES)):
-            h += self.embed[p][ctx[:, p]]
+            x = self.embed[ctx[:, p]]
+            x *= self.place[p]
+            h += x
         h += self.bias
         return np.tanh(h, out=h)
 
-    def log_prob(self, target: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-        """log P of every target given its context."""
-        out = np.empty(len(target), dtype=np.float64)
-        for a in range(0, len(target), 16384):
-            t, h = target[a:a + 16384], self.hidden(ctx[a:a + 16384])
-            g, w = t // self.shape.group, t % self.shape.group
-            x = h @ self.to_group + self.group_bias
-            lp = x[np.arange(len(t)), g] - _lse(x)
-            order = np.argsort(g, kind="stable")
-            ends = np.searchsorted(g[order], np.arange(self.shape.groups + 1))
-            for c in np.flatnonzero(np.diff(ends)):
-                rows = order[ends[c]:ends[c + 1]]
-                y = h[rows] @ self.to_word[c] + self.word_bias[c]
-                lp[rows] += y[np.arange(len(rows)), w[rows]] - _lse(y)
-            out[a:a + len(t)] = lp
+    def _sorted(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows in the order of their leaves, the leaves)."""
+        at = self.leaf[token]
+        order = np.argsort(at.astype(np.uint16) if self.shape.fan ** 3 <= 1 << 16 else at, kind="stable")
+        return order, at[order]
+
+    def _nodes(self, at: np.ndarray) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
+        """(level, node, first and last row, the branch each takes) of sorted
+        leaves: the rows of a node are next to each other."""
+        k = self.shape.fan
+        for level in range(3):
+            node, branch = at // k ** (3 - level), at // k ** (2 - level) % k
+            first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])).tolist()
+            for a, b in zip(first, [*first[1:], len(at)]):
+                yield level, int(node[a]), a, b, branch[a:b]
+
+    def log_prob(self, token: np.ndarray, ctx: np.ndarray, most: int = 1 << 16) -> np.ndarray:
+        """log P of every token given its context."""
+        out = np.zeros(len(token))
+        ones, every = np.ones(self.shape.fan, dtype=np.float32), np.arange(1024)
+        for a in range(0, len(token), most):
+            order, at = self._sorted(token[a:a + most])
+            h = self.hidden(ctx[a:a + most][order])
+            lp = np.zeros(len(order))
+            for level, node, i, j, branch in self._nodes(at):
+                weights, biases = self.levels[level]
+                for f in range(i, j, 1024):
+                    t = min(f + 1024, j)
+                    x = h[f:t] @ weights[node]
+                    x += biases[node]
+                    lp[f:t] += x[every[:t - f], branch[f - i:t - i]]
+                    np.exp(x, out=x)
+                    lp[f:t] -= np.log(x @ ones)
+            out[a + order] = lp
         return out
 
-    def train(self, target: np.ndarray, ctx: np.ndarray, seen: Network, rate: float, step: int) -> None:
-        """One pass of Adagrad in steps of ``step`` words; ``seen`` holds the
-        sums of squares."""
-        for a in range(0, len(target), step):
-            t, c4 = target[a:a + step], ctx[a:a + step]
-            n = len(t)
-            h = self.hidden(c4)
-            g, w = t // self.shape.group, t % self.shape.group
-            dx = _softmax(h @ self.to_group + self.group_bias)
-            dx[np.arange(n), g] -= 1.0
-            dh = dx @ self.to_group.T
-            _update(self.to_group, seen.to_group, h.T @ dx, rate)
-            _update(self.group_bias, seen.group_bias, dx.sum(axis=0), rate)
-            order = np.argsort(g, kind="stable")
-            ends = np.searchsorted(g[order], np.arange(self.shape.groups + 1))
-            for c in np.flatnonzero(np.diff(ends)):
-                rows = order[ends[c]:ends[c + 1]]
-                hc = h[rows]
-                dy = _softmax(hc @ self.to_word[c] + self.word_bias[c])
-                dy[np.arange(len(rows)), w[rows]] -= 1.0
-                dh[rows] += dy @ self.to_word[c].T
-                _update(self.to_word[c], seen.to_word[c], hc.T @ dy, rate)
-                _update(self.word_bias[c], seen.word_bias[c], dy.sum(axis=0), rate)
-            dh *= 1.0 - h * h
-            _update(self.bias, seen.bias, dh.sum(axis=0), rate)
+    def train(self, token: np.ndarray, ctx: np.ndarray, seen: Network, rate: float, step: int) -> None:
+        """One buffer: every node of the tree takes its rows in steps of about
+        ``step`` by Adagrad, each step dealt over all branches, then the
+        embeddings take all in such steps. ``seen`` holds the sums of squares."""
+        order, at = self._sorted(token)
+        ctx = ctx[order]
+        h = self.hidden(ctx)
+        dh = np.zeros_like(h)
+        ones, rows = np.ones(self.shape.fan, dtype=np.float32), np.ones(step, dtype=np.float32)
+        every = np.arange(step)
+        for level, node, i, j, branch in self._nodes(at):
+            (weights, biases), (sw, sb) = self.levels[level], seen.levels[level]
+            w, bias, hn, dn = weights[node], biases[node], h[i:j], dh[i:j]
+            deal = -(-(j - i) // step)
+            for a in range(deal):
+                hi, c = np.ascontiguousarray(hn[a::deal]), branch[a::deal]
+                d = hi @ w
+                d += bias
+                np.exp(d, out=d)
+                d /= (d @ ones)[:, None]
+                d[every[:len(c)], c] -= 1.0
+                dn[a::deal] += d @ w.T
+                _update(w, sw[node], hi.T @ d, rate)
+                _update(bias, sb[node], rows[:len(c)] @ d, rate)
+        dh *= 1.0 - h * h
+        deal = -(-len(token) // (8 * step))
+        for a in range(deal):
+            c4, d = ctx[a::deal], dh[a::deal]
+            _update(self.bias, seen.bias, d.sum(axis=0), rate)
+            grads = [d * x for x in self.place]
             for p in range(len(PLACES)):
-                ids = c4[:, p]
-                by = np.argsort(ids, kind="stable")
-                own, first = np.unique(ids[by], return_index=True)
-                grad = np.add.reduceat(dh[by], first, axis=0)
-                sq = seen.embed[p][own] + grad * grad
-                seen.embed[p][own] = sq
-                self.embed[p][own] -= rate * grad / np.sqrt(sq + 1e-6)
-
-
-def _lse(x: np.ndarray) -> np.ndarray:
-    top = x.max(axis=1)
-    return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
+                _update(self.place[p], seen.place[p], (self.embed[c4[:, p]] * d).sum(axis=0), rate)
+            ids = c4.T.ravel()
+            by = np.argsort(ids.astype(np.uint16) if self.shape.tokens < 1 << 16 else ids, kind="stable")
+            ids = ids[by]
+            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+            grad = np.add.reduceat(np.concatenate(grads)[by], first, axis=0)
+            own = ids[first]
+            sq = seen.embed[own] + grad * grad
+            seen.embed[own] = sq
+            self.embed[own] -= rate * grad / np.sqrt(sq + 1e-6)
 
 
 def _update(par: np.ndarray, seen: np.ndarray, grad: np.ndarray, rate: float) -> None:
@@ -264,62 +207,43 @@ def _update(par: np.ndarray, seen: np.ndarray, grad: np.ndarray, rate: float) ->
     par -= rate * grad / np.sqrt(seen + 1e-6)
 
 
-def word_counts(docs: DataFrame, text_col: str = "text", held: int = 200_000) -> DataFrame:
-    """(word, n) over the whole texts of all documents. A task adds its words
-    up and hands the sums on when it holds ``held`` of them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: Counter[bytes] = Counter()
+def tokenized(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None,
+              ids_col: str = "token_ids", n_col: str = "n_tokens") -> tuple[DataFrame, str, str]:
+    """(written table of the ``keep`` columns (all by default), the packed
+    tokens of the whole text and their number; the names of these two)."""
+    if vocabulary_size(path) >= 1 << 16:
+        raise ValueError("the vocabulary does not fit into 16 bits")
+    keep = list(docs.columns) if keep is None else keep
+    n_col = fresh(n_col, keep)
+    ids_col = fresh(ids_col, [*keep, n_col])
 
-        def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(list(sums.keys()), type=pa.binary()),
-                                            pa.array(list(sums.values()), type=pa.int64())], names=["word", "n"])
-            sums.clear()
-            return b
-        for batch in batches:
-            for t in batch.column(0):
-                sums.update(words_of(t.as_py()))
-                if len(sums) >= held:
-                    yield out()
-        yield out()
-    part = docs.select(text_col).mapInArrow(run, "word binary, n long")
-    return part.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(counts: DataFrame, shape: Shape) -> tuple[list[bytes], list[int], DataFrame]:
-    """(the ``shape.words`` most frequent words: a bounded list; their
-    counts; the counts of all others)."""
-    top = counts.orderBy(F.col("n").desc(), "word").limit(shape.words).collect()
-    others = counts.limit(0)
-    if len(top) == shape.words:
-        n, word = top[-1]["n"], F.lit(bytes(top[-1]["word"]))
-        others = counts.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("word") > word)))
-    return [bytes(r["word"]) for r in top], [r["n"] for r in top], others
-
-
-def rest_of(others: DataFrame, shape: Shape) -> Rest:
-    """What is known of the words in ``others``. Collected are one number
-    for each shared slot and the counts of byte pairs."""
-    occurrences = np.zeros(shape.other)
-    for r in others.groupBy(_shared(shape.other).alias("slot")).agg(F.sum("n").alias("n")).collect():
-        occurrences[r["slot"]] = r["n"]
+    def batch(encoder: packing.Encoder, texts: pa.Array) -> list:
+        ids = list(encoder.encode(texts.to_pylist()))
+        return [[len(x) for x in ids], [x.astype(_IDS).tobytes() for x in ids]]
+    rows = map_columns(docs, batch, [text_col], [StructField(n_col, LongType()), StructField(ids_col, BinaryType())],
+                       keep, setup=lambda: packing.Encoder(path))
+    return materialize(rows, "lm-tokens"), ids_col, n_col
 
+
+def vocabulary_size(path: str) -> int:
+    return len(bpe.model(path).token_list)
+
+
+def token_counts(rows: DataFrame, ids_col: str, size: int) -> np.ndarray:
+    """How often each token occurs in all rows; added up in each task first,
+    so ``size`` numbers a task at most are shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((_END + 1) ** 2, dtype=np.int64)
+        sums = np.zeros(size, dtype=np.int64)
         for b in batches:
-            if b.num_rows:
-                sums += np.bincount(byte_pairs(b.column(0).to_pylist())[0], minlength=len(sums))
+            for x in b.column(0):
+                sums += np.bincount(np.frombuffer(x.as_py(), _IDS), minlength=size)
         own = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["pair", "n"])
-    pairs = np.zeros((_END + 1) ** 2)
-    for r in (others.select("word").mapInArrow(run, "pair long, n long")
-              .groupBy("pair").agg(F.sum("n").alias("n")).collect()):
-        pairs[r["pair"]] = r["n"]
-    return Rest(occurrences, pairs.reshape(_END + 1, _END + 1), others)
-
-
-def _shared(other: int) -> Column:
-    """Which of the shared slots a word has."""
-    return F.pmod(F.crc32("word"), F.lit(other)).cast("int")
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["token", "n"])
+    out = np.zeros(size, dtype=np.int64)
+    for r in (rows.select(ids_col).where(F.length(ids_col) > 0).mapInArrow(run, "token long, n long")
+              .groupBy("token").agg(F.sum("n").alias("n")).collect()):
+        out[r["token"]] = r["n"]
+    return out
 
 
 def _average(df: DataFrame, by: list[str]) -> DataFrame:
@@ -334,32 +258,30 @@ def _average(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).applyInPandas(mean, df.schema)
 
 
-def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None, rate: float = 0.1,
-          step: int = 2048, slice_of: int = 8192, fan_in: int = 32) -> tuple[list[bytes], Network]:
-    """(vocabulary, network) of the corpus. The shape follows the counts if
-    none is given."""
+def fit(rows: DataFrame, ids_col: str, size: int, hidden: int = 16, rate: float = 0.1, step: int = 1024,
+        buffer: int = 1 << 16, per_trainer: int = 1 << 23, slice_of: int = 1 << 15, fan_in: int = 32) -> Network:
+    """The network of a written table of tokens."""
     from pyspark import TaskContext
-    counts = word_counts(docs, text_col).transform(lambda d: materialize(d, "lm-counts"))
-    shape = shape or Shape.holding(counts.count())
-    words, often, others = vocabulary(counts, shape)
-    rest = rest_of(others, shape)
-    begin = np.zeros(shape.slots)
-    begin[:len(often)], begin[shape.words:] = often, rest.occurrences
+    shape = Shape(size, hidden)
+    counts = token_counts(rows, ids_col, size)
+    leaf = np.empty(size, dtype=np.int64)
+    leaf[np.lexsort((np.arange(size), -counts))] = np.arange(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, net = Slots(words, shape), Network(shape).begin_at(begin)
-        seen = Network(shape, np.zeros_like(net.flat))
+        net = Network(shape, leaf).begin_at(counts)
+        seen = Network(shape, leaf, np.zeros_like(net.flat))
         n, wait, held = 0, [], 0
         for batch in batches:
-            for t in batch.column(0):
-                s = slots(t.as_py())
-                wait.append(s)
-                held += len(s)
-                if held >= 65536:
-                    net.train(*windows(wait, shape.slots), seen, rate, step)
-                    n, wait, held = n + held, [], 0
+            for x in batch.column(0):
+                ids = np.frombuffer(x.as_py(), _IDS)
+                for a in range(0, len(ids), buffer):  # a long text is cut between buffers only here
+                    wait.append(ids[a:a + buffer])
+                    held += len(wait[-1])
+                    if held >= buffer:
+                        net.train(*windows(wait, size), seen, rate, step)
+                        n, wait, held = n + held, [], 0
         if held:
-            net.train(*windows(wait, shape.slots), seen, rate, step)
+            net.train(*windows(wait, size), seen, rate, step)
             n += held
         if n:
             ctx = TaskContext.get()
@@ -369,68 +291,56 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None, r
                 [pa.array([task] * len(parts), type=pa.int64()), pa.array(range(len(parts)), type=pa.int64()),
                  pa.array([n] * len(parts), type=pa.int64()), pa.array(parts, type=pa.binary())],
                 names=["task", "slice", "n", "part"])
-    copies = docs.select(text_col).mapInArrow(run, "task long, slice long, n long, part binary").transform(
-        lambda d: materialize(d, "lm-copies"))
-    tasks = (copies.agg(F.max("task")).first()[0] or 0) + 1
-    while tasks > 1:
+    trainers = max(1, -(-int(counts.sum()) // per_trainer))
+    copies = (rows.select(ids_col).where(F.length(ids_col) > 0).repartition(trainers)
+              .mapInArrow(run, "task long, slice long, n long, part binary")
+              .transform(lambda d: materialize(d, "lm-copies")))
+    while trainers > 1:
         copies = _average(copies.withColumn("task", F.expr(f"task div {fan_in}")), ["task", "slice"])
-        tasks = -(-tasks // fan_in)
+        trainers = -(-trainers // fan_in)
     got = copies.orderBy("slice").collect()  # one network
-    net = (Network(shape, np.frombuffer(b"".join(bytes(r["part"]) for r in got), dtype=np.float32).copy())
-           if got else Network(shape))
-    net.rest = rest
-    return words, net
+    if not got:
+        return Network(shape, leaf).begin_at(counts)
+    return Network(shape, leaf, np.frombuffer(b"".join(bytes(r["part"]) for r in got), dtype=np.float32).copy())
 
 
-_REST = StructType([StructField("word", BinaryType()), StructField("c", LongType()),
-                    StructField("spelt", DoubleType())])
+def train(docs: DataFrame, path: str, text_col: str = "text", **how) -> Network:
+    """The network of the corpus; ``how`` are the options of ``fit``."""
+    rows, ids, _ = tokenized(docs, path, text_col, keep=[])
+    return fit(rows, ids, vocabulary_size(path), **how)
 
 
-def score(docs: DataFrame, words: list[bytes], net: Network, text_col: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns (all by default), the words of the text, the sum of
-    their conditional log-probabilities and its mean.
-
-    One scan writes the network's sums and the words in shared slots with
-    what their spelling gives; those words alone are shuffled, to the table
-    of counts and back to their rows."""
-    shape, flat, rest = net.shape, net.flat, net.rest or Rest.unknown(net.shape)
-    chain = rest.chain
-    keep = list(docs.columns) if keep is None else keep
-    key, base, more, add = (fresh(c, [*keep, "n_words"]) for c in ("row_key", "slot_log_prob", "rest", "rest_units"))
-    n_words, log_prob, mean = (fresh(c, keep) for c in ("n_words", "log_prob", "mean_log_prob"))
-
-    def batch(state, texts: pa.Array) -> list:
-        slots, model = state
-        both = [slots.split(t) for t in texts.to_pylist()]
-        rows = [r for r, _ in both]
-        n = np.array([len(r) for r in rows], dtype=np.int64)
-        total = np.zeros(len(rows))
+def _scored(rows: DataFrame, net: Network, ids_col: str, n_col: str, keep: list[str]) -> DataFrame:
+    shape, leaf, flat = net.shape, net.leaf, net.flat
+    log_prob, mean = (fresh(c, [*keep, n_col]) for c in ("log_prob", "mean_log_prob"))
+
+    def batch(model: Network, packed: pa.Array) -> list:
+        ids = [np.frombuffer(x, _IDS) for x in packed.to_pylist()]
+        n = np.array([len(x) for x in ids], dtype=np.int64)
+        total = np.zeros(len(ids))
         if n.sum():
-            lp = model.log_prob(*windows(rows, shape.slots))
+            lp = model.log_prob(*windows(ids, shape.tokens))
             has = np.flatnonzero(n)
             total[has] = np.add.reduceat(lp, (np.cumsum(n) - n)[has])
-        own = [w for _, c in both for w in c]
-        ends = np.cumsum([0] + [len(c) for _, c in both])
-        parts = pa.StructArray.from_arrays(
-            [pa.array(own, type=pa.binary()), pa.array([x for _, c in both for x in c.values()], type=pa.int64()),
-             pa.array(spelt(own, chain))], fields=list(to_arrow_type(_REST)))
-        return [n, total, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), parts)]
-    rows = map_columns(docs, batch, [text_col],
-                       [StructField(n_words, LongType()), StructField(base, DoubleType()),
-                        StructField(more, ArrayType(_REST))], keep,
-                       setup=lambda: (Slots(words, shape), Network(shape, flat)), rows=64)
-    # The number is written with the row, so it stays the same for both uses.
-    rows = rows.withColumn(key, F.monotonically_increasing_id()).transform(lambda d: materialize(d, "lm-rows"))
-    tail = rows.select(F.col(key), F.explode(more).alias("w")).select(key, "w.*")
-    lp = F.col("spelt")
-    if rest.counts is not None:
-        tail = tail.join(rest.counts.select("word", "n"), "word", "left")
-        lp = F.when(F.col("n").isNull(), lp).otherwise(F.log(F.col("n") + F.exp(lp)))
-    among = F.array(*[F.lit(float(x)) for x in np.log(rest.occurrences + 1.0)])
-    lp = lp - F.element_at(among, _shared(shape.other) + 1)
-    tail = tail.groupBy(key).agg(F.sum(F.col("c") * F.round(lp / UNIT).cast("long")).alias(add))
-    total = F.col(base) + F.coalesce(F.col(add), F.lit(0)) * F.lit(UNIT)
-    return (rows.join(tail, key, "left")
-            .select(*keep, n_words, total.alias(log_prob),
-                    F.when(F.col(n_words) > 0, total / F.col(n_words)).alias(mean)))
+        return [total]
+    out = map_columns(rows, batch, [ids_col], [StructField(log_prob, DoubleType())], [*keep, n_col],
+                      setup=lambda: Network(shape, leaf, flat))
+    return out.select("*", F.when(F.col(n_col) > 0, F.col(log_prob) / F.col(n_col)).alias(mean))
+
+
+def score(docs: DataFrame, net: Network, path: str, text_col: str = "text",
+          keep: list[str] | None = None) -> DataFrame:
+    """``keep`` columns (all by default), the tokens of the text, the sum of
+    their conditional log-probabilities and its mean."""
+    keep = list(docs.columns) if keep is None else keep
+    rows, ids, n = tokenized(docs, path, text_col, keep)
+    return _scored(rows, net, ids, n, keep)
+
+
+def score_corpus(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None,
+                 **how) -> DataFrame:
+    """``score`` of all rows by the network of all rows; the texts are read
+    and encoded once."""
+    keep = list(docs.columns) if keep is None else keep
+    rows, ids, n = tokenized(docs, path, text_col, keep)
+    return _scored(rows, fit(rows, ids, vocabulary_size(path), **how), ids, n, keep)

@@ -119,9 +119,7 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Op 7: trained on all documents, scores all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words, net = lm.train(docs)
-    return lm.score(docs, words, net, keep=["doc_id"])
+    return lm.score_corpus(table(spark, sf_dir, "documents"), tokenizer_path(), keep=["doc_id"])
 
 
 @query("op9_quality")

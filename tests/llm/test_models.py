@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sightline.llm import langid, lm, quality
+from sightline.llm.queries import tokenizer_path
 from tests.conftest import SF_ORACLE
 from tests.llm import brute
 
@@ -84,34 +85,94 @@ def test_quality_is_a_sparse_dot_product():
     assert m.score(h, "a b a b C!! 12") == pytest.approx(1 / (1 + np.exp(-(0.25 + dense @ w))), rel=1e-5)
 
 
-SMALL = lm.Shape(groups=12, group=10, other=8, hidden=12)
-
-
-def test_lm_log_prob_is_normalised_and_gradient_right():
-    rng = np.random.default_rng(1)
-    net = lm.Network(SMALL, seed=2)
-    net.flat[:] = rng.standard_normal(len(net.flat)).astype(np.float32) * 0.3
-    ctx = rng.integers(0, SMALL.slots + 1, (1, 4))
-    every = np.arange(SMALL.slots)
-    lp = net.log_prob(every, np.repeat(ctx, SMALL.slots, axis=0))
-    assert np.exp(lp).sum() == pytest.approx(1.0, abs=1e-4)
-    # one step of training makes what it saw more likely
-    before = net.log_prob(np.array([7]), ctx)[0]
-    seen = lm.Network(SMALL, np.zeros_like(net.flat))
-    net.train(np.array([7]), ctx, seen, 0.05, 8)
-    assert net.log_prob(np.array([7]), ctx)[0] > before
-
-
-def test_lm_counts_cover_all(docs, doc_rows):
+SMALL = lm.Shape(tokens=100, hidden=6)
+PATH = tokenizer_path()
+
+
+def _random(shape=SMALL, seed=1):
+    rng = np.random.default_rng(seed)
+    net = lm.Network(shape, rng.permutation(shape.tokens))
+    net.flat[:] = rng.standard_normal(len(net.flat)).astype(np.float32) * 0.4
+    return net
+
+
+def _plain(net, t, c):
+    """log P of one token by its definition, in Python's floats."""
+    k, pad = net.shape.fan, net.shape.hidden
+    h = [np.tanh(sum(float(net.embed[c[p]][x]) * float(net.place[p][x]) for p in range(4)) + float(net.bias[x]))
+         for x in range(pad)]
+    at = int(net.leaf[t])
+    path = [(0, at // k ** 2), (at // k ** 2, at // k % k), (at // k, at % k)]
+    out = 0.0
+    for (w, b), (node, branch) in zip(net.levels, path):
+        x = [sum(h[i] * float(w[node][i][j]) for i in range(pad)) + float(b[node][j]) for j in range(k)]
+        out += x[branch] - np.log(sum(np.exp(x)))
+    return out
+
+
+def test_lm_equals_its_definition_and_adds_up_to_one():
+    net = _random()
+    rng = np.random.default_rng(3)
+    t, c = rng.integers(0, 100, 300), rng.integers(0, 101, (300, 4))
+    assert net.log_prob(t, c, most=64) == pytest.approx([_plain(net, a, b) for a, b in zip(t, c)], abs=1e-4)
+    every, ctx = np.arange(100), np.repeat(c[:1], 100, axis=0)
+    assert np.exp(net.log_prob(every, ctx)).sum() < 1.0  # leaves that no token has
+    whole = lm.Shape(tokens=125, hidden=6)
+    net = _random(whole)
+    assert np.exp(net.log_prob(np.arange(125), np.repeat(c[:1], 125, axis=0))).sum() == pytest.approx(1.0, abs=1e-4)
+
+
+def test_lm_begins_at_the_frequencies():
+    counts = np.random.default_rng(0).integers(0, 50, 100)
+    net = lm.Network(SMALL).begin_at(counts)
+    got = net.log_prob(np.arange(100), np.full((100, 4), 100))
+    assert np.exp(got) == pytest.approx((counts + 1) / (counts + 1).sum(), rel=1e-3)
+
+
+def test_lm_gradient():
+    """The first Adagrad step moves every parameter against the sign of its
+    slope, measured by differences."""
+    net = _random()
+    t, c = np.array([7, 7, 31]), np.array([[1, 2, 3, 100], [2, 2, 5, 9], [100, 100, 4, 1]])
+    slope = np.zeros(len(net.flat))
+    for i in np.unique(np.random.default_rng(2).integers(0, len(net.flat), 400)):
+        one = net.flat[i]
+        lp = []
+        for e in (1e-2, -1e-2):
+            net.flat[i] = one + e
+            lp.append(net.log_prob(t, c).sum())
+        net.flat[i] = one
+        slope[i] = (lp[0] - lp[1]) / 2e-2
+    before, flat = net.log_prob(t, c).sum(), net.flat.copy()
+    net.train(t, c, lm.Network(SMALL, net.leaf, np.zeros_like(net.flat)), 1e-3, 8)
+    moved = np.flatnonzero(np.abs(slope) > 0.02)
+    assert len(moved) > 20 and (np.sign(net.flat - flat)[moved] == np.sign(slope)[moved]).all()
+    assert net.log_prob(t, c).sum() > before
+
+
+def test_lm_windows():
+    t, c = lm.windows([np.array([5, 6, 7]), np.array([], dtype=int), np.array([8])], 9)
+    assert t.tolist() == [5, 6, 7, 8]
+    assert c.tolist() == [[9, 9, 6, 7], [9, 5, 7, 9], [5, 6, 9, 9], [9, 9, 9, 9]]
+
+
+def test_lm_tokens_and_counts_cover_all(docs, doc_rows):
     from collections import Counter
-    want = Counter(w for _, t in doc_rows for w in lm.words_of(t))
-    got = {bytes(r.word): r.n for r in lm.word_counts(docs, held=500).collect()}
-    assert got == dict(want)
+
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(PATH)
+    want = {d: lib.encode(t or "", add_special_tokens=False).ids for d, t in doc_rows}
+    rows, ids, n = lm.tokenized(docs, PATH, keep=["doc_id"])
+    got = {r.doc_id: np.frombuffer(r[ids], "<u2").tolist() for r in rows.collect()}
+    assert got == want
+    counts = lm.token_counts(rows, ids, lm.vocabulary_size(PATH))
+    assert {i: x for i, x in enumerate(counts.tolist()) if x} == dict(Counter(i for x in want.values() for i in x))
 
 
 def test_lm_prefers_text_in_order(spark, docs):
-    words, net = lm.train(docs.where("lang = 'en'").repartition(3))
-    text = docs.where("lang = 'en'").select("text").orderBy("doc_id").limit(60)
+    some = docs.where("lang = 'en'")
+    net = lm.train(some, PATH, buffer=4096, step=256, per_trainer=60_000)  # several trainers
+    text = some.select("text").orderBy("doc_id").limit(60)
     rng = np.random.default_rng(0)
     pairs = []
     for i, r in enumerate(text.collect()):
@@ -120,57 +181,26 @@ def test_lm_prefers_text_in_order(spark, docs):
             pairs.append((i, " ".join(w), " ".join(rng.permutation(w))))
     df = spark.createDataFrame([(i, a) for i, a, _ in pairs] + [(i + 1000, b) for i, _, b in pairs],
                                "doc_id long, text string")
-    got = {r.doc_id: r for r in lm.score(df, words, net).collect()}
-    better = np.mean([got[i].mean_log_prob > got[i + 1000].mean_log_prob for i, _, _ in pairs])
-    uniform = -np.log(net.shape.slots)
-    assert better > 0.6
-    assert np.mean([got[i].mean_log_prob for i, _, _ in pairs]) > uniform + 1.0
+    got = {r.doc_id: r for r in lm.score(df, net, PATH).collect()}
+    assert np.mean([got[i].mean_log_prob > got[i + 1000].mean_log_prob for i, _, _ in pairs]) > 0.6
+    assert np.mean([got[i].mean_log_prob for i, _, _ in pairs]) > 1.0 - np.log(lm.vocabulary_size(PATH))
     for r in got.values():
-        assert r.log_prob == pytest.approx(r.mean_log_prob * r.n_words, rel=1e-9)
+        assert r.log_prob == pytest.approx(r.mean_log_prob * r.n_tokens, rel=1e-9)
 
 
 def test_lm_odd(odd, empty):
-    words, net = lm.train(odd, shape=SMALL)
-    got = [(r.doc_id, r.nw, r.log_prob, r.mean_log_prob) for r in
-           lm.score(odd.drop("n_words"), words, net, keep=["doc_id"]).withColumnRenamed("n_words", "nw").collect()]
+    net = lm.train(odd, PATH)
+    out = lm.score(odd.withColumn("n_tokens", F.lit("x")).withColumn("log_prob", F.lit("x")), net, PATH)
+    assert {"n_tokens", "_n_tokens", "log_prob", "_log_prob", "mean_log_prob"} <= set(out.columns)
+    got = out.collect()
     assert len(got) == odd.count()
-    assert (3, 0, 0.0, None) in got and (5, 0, 0.0, None) in got
-    w0, n0 = lm.train(empty, shape=SMALL)
-    assert w0 == [] and lm.score(empty.drop("n_words"), w0, n0).collect() == []
-
-
-def test_lm_words_beyond_the_vocabulary_have_their_own_probability(spark):
-    """Words that share a slot are told apart by their exact counts, and
-    those never counted by their spelling; the sums stay below 1."""
-    from collections import Counter
-    shape = lm.Shape(groups=2, group=4, other=1, hidden=4)
-    rng = np.random.default_rng(0)
-    rare = ["".join(rng.choice(list("aeiou") + list("lnrst"), 5)) for _ in range(40)]
-    texts = ["a b c d e f g"] * 30 + ["often rarely often often"] * 4 + ["rarely"] + [f"a {w}" for w in rare]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    words, net = lm.train(df, shape=shape)
-    assert words == [b"a", b"b", b"c", b"d", b"e", b"f", b"g"]
-    ask = ["often", "rarely", rare[0], "stern", "xq\x01jz", None]
-    got = [r.log_prob for r in lm.score(
-        spark.createDataFrame(list(enumerate(ask)), "doc_id long, text string"), words, net).orderBy("doc_id").collect()]
-    slot = net.log_prob(np.array([7]), np.full((1, 4), shape.slots))[0]
-    counts = Counter(w for t in texts for w in lm.words_of(t))
-    own = {w: n for w, n in counts.items() if w not in words}
-    chain = np.exp(net.rest.chain.reshape(257, 257))
-    assert np.allclose(chain.sum(axis=1), 1.0)
-
-    def alone(w):
-        q = np.prod([chain[a, b] for a, b in zip([256, *w], [*w, 256])])
-        return (own.get(w, 0) + q) / (sum(own.values()) + 1)
-    assert got[:5] == pytest.approx([slot + np.log(alone(w.encode())) for w in ask[:5]], abs=1e-4)
-    assert got[0] > got[1] > got[2] > got[3] > got[4] and got[5] == 0.0
-    assert sum(alone(w) for w in own) < 1.0
-
-
-def test_lm_vocabulary_follows_the_counts(spark):
-    texts = [" ".join(f"w{i}" for i in range(a, a + 50)) for a in range(0, 5000, 50)] * 2
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    words, net = lm.train(df)
-    assert len(words) == 5000 and net.shape.words >= 5000
-    got = lm.score(df, words, net, keep=["doc_id"]).collect()
-    assert len(got) == len(texts) and all(r.n_words == 50 and r.log_prob < 0 for r in got)
+    for r in got:
+        if r.text is None or not r.text.strip():
+            assert (r._n_tokens, r._log_prob, r.mean_log_prob) == (0, 0.0, None)
+        else:
+            assert r._n_tokens > 0 and r._log_prob < 0
+    two = [r._log_prob for r in got if r.doc_id == 2]
+    assert len(two) == 2 and two[0] == pytest.approx(two[1], rel=1e-6)
+    nothing = lm.train(empty, PATH)
+    assert lm.score(empty, nothing, PATH).collect() == []
+    assert lm.score_corpus(empty, PATH).collect() == []
