@@ -25,7 +25,9 @@ network that is broadcast for scoring has a fixed size (the vocabulary's).
 
 Defined cases: a null or blank text has no tokens, score 0 and a null mean;
 ties in the counts go to the smaller id; repeated rows count as often as they
-occur and get scores that are equal up to single precision; very long texts are encoded and scored whole;
+occur and get scores that are equal up to single precision; very long texts are encoded and scored whole
+(in training, a text longer than a buffer is cut there, and the tokens beside
+a cut see an end);
 extra columns are ignored or kept whatever their names (a new column whose
 name is taken gets underscores in front); an empty corpus gives the untrained
 network and an empty result.
@@ -274,7 +276,7 @@ def fit(rows: DataFrame, ids_col: str, size: int, hidden: int = 16, rate: float
         for batch in batches:
             for x in batch.column(0):
                 ids = np.frombuffer(x.as_py(), _IDS)
-                for a in range(0, len(ids), buffer):  # a long text is cut between buffers only here
+                for a in range(0, len(ids), buffer):
                     wait.append(ids[a:a + buffer])
                     held += len(wait[-1])
                     if held >= buffer:
