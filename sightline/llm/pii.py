@@ -266,3 +266,10 @@ def spans_text(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def n_spans(spans: Column, kind: str) -> Column:
+    """How many of the spans are of a kind. The lambda takes the span alone:
+    Spark hands a second argument the span's index."""
+    at = KINDS.index(kind)
+    return F.size(F.filter(spans, lambda s: s["kind"] == at))

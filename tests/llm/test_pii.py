@@ -1,5 +1,6 @@
 """Personal data: the rules against plain patterns, and what contexts add."""
 
+import hashlib
 import random
 
 from hypothesis import given, settings
@@ -106,3 +107,17 @@ def test_odd(odd, empty):
     got = sorted(((r.doc_id, tuple(tuple(s) for s in r.seeds)) for r in rows), key=repr)
     assert got == sorted(((r[0], tuple(brute.base_spans(r[1]))) for r in ODD), key=repr)
     assert pii.find_personal_data(empty).collect() == []
+
+
+def test_query_counts_the_spans_of_each_kind(spark, tmp_path):
+    """op10's counts are those of the rules, whatever a span's place is."""
+    from sightline.llm.queries import QUERIES
+    texts = ["10.0.0.1 and 10.0.0.2 then 10.0.0.3", "write a@b.example.com, c@d.example.com or 10.0.0.255",
+             "card 4111 1111 1111 1111 or +1 (988) 555-2485 or +1 (988) 555-2486", "nothing", "", None]
+    frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op10_pii"](spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        base = brute.base_spans(t)
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(kind == j for _, kind, _ in base) for j in range(4)]
+        assert got[i].base_sha256 == hashlib.sha256(brute.spans_text(base).encode()).hexdigest()
+    assert [got[0].n_ip, got[1].n_email, got[2].n_phone] == [3, 2, 2]
