@@ -1,12 +1,13 @@
 """Box-pair operators: overlaps, IoU pairs, NMS, linking, evaluation.
 
-Pairs of boxes are never formed as all pairs of a frame. Boxes are
-placed on a grid of ``cell`` pixels; each box is copied to the cells it
-covers and boxes meet only when they share a cell (an equi-join on
-frame key + cell). A pair is reported once, in the cell holding the
-top-left corner of the pair's intersection, so the result is exact and
-free of duplicates. A frame with very many boxes is thereby split into
-its occupied cells.
+Boxes of a frame meet by its key, one copy of each, as long as a frame
+holds few. Pairs of a crowded frame are never formed as all its pairs:
+its boxes are placed on a grid of ``cell`` pixels; each box is copied to
+the cells it covers and boxes meet only when they share a cell (an
+equi-join on frame key + cell). A pair is reported once, in the cell
+holding the top-left corner of the pair's intersection, so the result is
+exact and free of duplicates. A frame with very many boxes is thereby
+split into its occupied cells.
 """
 
 from __future__ import annotations
@@ -22,16 +23,10 @@ from sightline.session import checkpoint_dir, materialize
 BOX = ("x1", "y1", "x2", "y2")
 
 
-def _cells(df: DataFrame, cell: float) -> DataFrame:
-    cx = F.sequence(F.floor(F.col("x1") / cell), F.floor(F.col("x2") / cell))
-    cy = F.sequence(F.floor(F.col("y1") / cell), F.floor(F.col("y2") / cell))
-    return (df.withColumn("_cx", F.explode(cx)).withColumn("_cy", F.explode(cy)))
-
-
 def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str],
                   a_cols: Sequence[str], b_cols: Sequence[str], cell: float = 64.0,
                   a_prefix: str = "a_", b_prefix: str = "b_",
-                  extra: Column | None = None, most_cells: int = 256) -> DataFrame:
+                  extra: Column | None = None, most_cells: int = 256, most_boxes: int = 256) -> DataFrame:
     """Pairs (a, b) whose boxes overlap with positive area. Boxes with null,
     NaN or infinite corners, or no area, overlap nothing; a box of more than
     ``most_cells`` cells is not copied to them, however large it is.
@@ -40,38 +35,63 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Seq
     frame, or a frame and its successor). ``extra`` is an additional
     predicate on the prefixed columns (e.g. ``a_det_seq < b_det_seq``).
     Output columns: prefixed keys, cols and boxes, plus ``iou``.
+
+    Keys of at most ``most_boxes`` rows of ``b`` are joined as they are: one
+    copy of a box moves, and a box of ``a`` is compared with as many. Only
+    the other keys go through the grid. ``b`` is counted first, so it should
+    be cheap to read.
     """
     def side(df, keys, cols, p):
         sel = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-        sel += [F.col(c).alias(p + c) for c in cols] + [F.col(c).cast("double").alias(c) for c in BOX]
-        df = df.where(is_box(*[F.col(c).cast("double") for c in BOX])).select(*sel)
-        across, down = (F.floor(F.col(hi) / cell) - F.floor(F.col(lo) / cell) + 1 for lo, hi in (("x1", "x2"), ("y1", "y2")))
-        return df.withColumn("_large", across * down > most_cells)
-
-    def named(df, cols, p):
-        return df.select(*on, *[p + c for c in cols], *[F.col(c).alias(p + c) for c in BOX])
+        sel += [F.col(c).alias(p + c) for c in cols] + [F.col(c).cast("double").alias(p + c) for c in BOX]
+        return df.where(is_box(*[F.col(c).cast("double") for c in BOX])).select(*sel)
 
     on = [f"_k{i}" for i in range(len(a_keys))]
     sa, sb = side(a, a_keys, a_cols, a_prefix), side(b, b_keys, b_cols, b_prefix)
     A = tuple(F.col(a_prefix + c) for c in BOX)
     B = tuple(F.col(b_prefix + c) for c in BOX)
-    ix, iy = F.greatest(A[0], B[0]), F.greatest(A[1], B[1])
-    cond = (F.least(A[2], B[2]) > ix) & (F.least(A[3], B[3]) > iy)
+    cond = (F.least(A[2], B[2]) > F.greatest(A[0], B[0])) & (F.least(A[3], B[3]) > F.greatest(A[1], B[1]))
     if extra is not None:
         cond = cond & extra
-    home = (F.floor(ix / cell) == F.col("_cx")) & (F.floor(iy / cell) == F.col("_cy"))
-    small_a, small_b = sa.where("not _large"), sb.where("not _large")
-    ca, cb = _cells(small_a, cell), _cells(small_b, cell)
-    ca = ca.select("_cx", "_cy", *on, *[a_prefix + c for c in a_cols], *[F.col(c).alias(a_prefix + c) for c in BOX])
-    cb = cb.select("_cx", "_cy", *on, *[b_prefix + c for c in b_cols], *[F.col(c).alias(b_prefix + c) for c in BOX])
-    met = ca.join(cb, [*on, "_cx", "_cy"]).where(cond & home).drop("_cx", "_cy")
-    # boxes of very many cells meet the boxes of their frame by its key
-    large = named(sa.where("_large"), a_cols, a_prefix).join(named(sb, b_cols, b_prefix), on).where(cond)
-    other = named(small_a, a_cols, a_prefix).join(named(sb.where("_large"), b_cols, b_prefix), on).where(cond)
-    out = met.unionByName(large).unionByName(other).withColumn("iou", iou(A, B))
+    crowded = materialize(sb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+                          .where(F.col("_n") > most_boxes).select(*on), "crowded")
+    if crowded.isEmpty():
+        met = sa.join(sb, on).where(cond)
+    else:
+        met = (sa.join(crowded, on, "left_anti").join(sb.join(crowded, on, "left_anti"), on).where(cond)
+               .unionByName(_met_in_cells(sa.join(crowded, on, "left_semi"), sb.join(crowded, on, "left_semi"),
+                                          on, a_prefix, b_prefix, cond, cell, most_cells)))
     keys_out = [F.col(f"_k{i}").alias(a_prefix + k) for i, k in enumerate(a_keys)]
-    return out.select(*keys_out, *[a_prefix + c for c in a_cols], *[b_prefix + c for c in b_cols],
-                      *[a_prefix + c for c in BOX], *[b_prefix + c for c in BOX], "iou")
+    return met.withColumn("iou", iou(A, B)).select(
+        *keys_out, *[a_prefix + c for c in a_cols], *[b_prefix + c for c in b_cols],
+        *[a_prefix + c for c in BOX], *[b_prefix + c for c in BOX], "iou")
+
+
+def _met_in_cells(sa: DataFrame, sb: DataFrame, on: Sequence[str], a_prefix: str, b_prefix: str, cond: Column,
+                  cell: float, most_cells: int) -> DataFrame:
+    """The rows of ``sa`` and ``sb`` that are equal in ``on`` and fulfil
+    ``cond``, by way of the grid."""
+    def measured(df, p):
+        across, down = (F.floor(F.col(p + hi) / cell) - F.floor(F.col(p + lo) / cell) + 1
+                        for lo, hi in (("x1", "x2"), ("y1", "y2")))
+        return df.withColumn("_large", across * down > most_cells)
+
+    def cells(df, p):
+        cx = F.sequence(F.floor(F.col(p + "x1") / cell), F.floor(F.col(p + "x2") / cell))
+        cy = F.sequence(F.floor(F.col(p + "y1") / cell), F.floor(F.col(p + "y2") / cell))
+        return df.withColumn("_cx", F.explode(cx)).withColumn("_cy", F.explode(cy))
+
+    sa, sb = measured(sa, a_prefix), measured(sb, b_prefix)
+    small_a, large_a = sa.where("not _large").drop("_large"), sa.where("_large").drop("_large")
+    small_b, large_b = sb.where("not _large").drop("_large"), sb.where("_large").drop("_large")
+    home = ((F.floor(F.greatest(a_prefix + "x1", b_prefix + "x1") / cell) == F.col("_cx"))
+            & (F.floor(F.greatest(a_prefix + "y1", b_prefix + "y1") / cell) == F.col("_cy")))
+    met = (cells(small_a, a_prefix).join(cells(small_b, b_prefix), [*on, "_cx", "_cy"])
+           .where(cond & home).drop("_cx", "_cy"))
+    # boxes of very many cells meet the boxes of their frame by its key
+    large = large_a.join(sb.drop("_large"), on).where(cond)
+    other = small_a.join(large_b, on).where(cond)
+    return met.unionByName(large).unionByName(other)
 
 
 def iou_pairs(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
@@ -142,28 +162,34 @@ def gap_links(dets: DataFrame, camera: str = "camera_id", number: str = "frame_n
     the lower ``seq``) are linked. A box's links over smaller gaps are all
     known by then, so this is what a tracker gives that goes frame by frame
     and asks the tracks it saw last first. ``number`` counts a camera's
-    frames without holes; frames without boxes count."""
+    frames without holes; frames without boxes count.
+
+    The pairs over all gaps are formed at once, in blocks of consecutive
+    frames: a box moves to its own block, as a successor also to the block
+    before if its predecessors may lie there. What is decided gap by gap are
+    the pairs over the threshold."""
+    width = max(8, 2 * grace)
     boxes = dets.select(camera, number, seq, *BOX)
-    heads, tails = boxes, boxes                # without successor, without predecessor
-    links: list[DataFrame] = []
+    first = F.floor((F.col(number) - grace) / width)
+    a = boxes.withColumn("_block", F.floor(F.col(number) / width))
+    b = boxes.withColumn("_block", F.explode(F.sequence(first, F.floor((F.col(number) - 1) / width))))
+    ahead = F.col("b_" + number) - F.col("a_" + number)
+    pairs = overlap_pairs(a, b, [camera, "_block"], [camera, "_block"], [number, seq], [number, seq], cell,
+                          extra=ahead.between(1, grace), most_boxes=1024)
+    a_id, b_id = [camera, number, seq], [camera, "next_" + number, "next_" + seq]
+    pairs = materialize(pairs.where(F.col("iou") >= threshold).select(
+        F.col("a_" + camera).alias(camera), F.col("a_" + number).alias(number), F.col("a_" + seq).alias(seq),
+        F.col("b_" + number).alias("next_" + number), F.col("b_" + seq).alias("next_" + seq), "iou",
+        ahead.cast("int").alias("gap")), "gap-pairs")
+    out: DataFrame | None = None
     for gap in range(1, grace + 1):
-        a = heads.withColumn("_to", F.col(number) + gap)
-        pairs = overlap_pairs(a, tails, [camera, "_to"], [camera, number], [number, seq], [seq], cell)
-        pairs = pairs.where(F.col("iou") >= threshold).select(
-            F.col("a_" + camera).alias(camera), F.col("a_" + number).alias(number), F.col("a_" + seq).alias(seq),
-            F.col("a__to").alias("next_" + number), F.col("b_" + seq).alias("next_" + seq), "iou",
-            F.round("iou", 9).alias("_iou9"))
-        found = mutual_best(pairs, [camera, number, seq], [camera, "next_" + number, "next_" + seq], "_iou9",
+        free = pairs.where(F.col("gap") == gap)
+        if out is not None:
+            free = free.join(out.select(*a_id), a_id, "left_anti").join(out.select(*b_id), b_id, "left_anti")
+        found = mutual_best(free.withColumn("_iou9", F.round("iou", 9)), a_id, b_id, "_iou9",
                             tie_a=seq, tie_b="next_" + seq)
-        found = materialize(found.drop("_iou9").withColumn("gap", F.lit(gap)), "gap-links")
-        links.append(found)
-        if gap < grace:
-            heads = heads.join(found.select(camera, number, seq), [camera, number, seq], "left_anti")
-            done = found.select(camera, F.col("next_" + number).alias(number), F.col("next_" + seq).alias(seq))
-            tails = tails.join(done, [camera, number, seq], "left_anti")
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
+        found = materialize(found.drop("_iou9"), "gap-links")
+        out = found if out is None else out.unionByName(found)
     return out
 
 

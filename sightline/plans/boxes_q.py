@@ -153,7 +153,7 @@ SELECT a.frame_id, a.det_seq AS det_a, b.det_seq AS det_b, round({iou_sql('a', '
 FROM detections a JOIN detections b ON a.frame_id = b.frame_id AND a.det_seq < b.det_seq
 WHERE {iou_sql('a', 'b')} > 0""")
 def iou_pairs(spark, sf):
-    d = detections(spark, sf).select("frame_id", "det_seq", "x1", "y1", "x2", "y2")
+    d = materialize(detections(spark, sf).select("frame_id", "det_seq", "x1", "y1", "x2", "y2"), "boxes")
     p = boxes.iou_pairs(d, ["frame_id"])
     return p.select(F.col("a_frame_id").alias("frame_id"), F.col("a_det_seq").alias("det_a"),
                     F.col("b_det_seq").alias("det_b"), F.round("iou", 6).alias("iou"))
@@ -178,7 +178,8 @@ final AS (SELECT g.frame_id, unnest(g.kept).det_seq AS det_seq FROM greedy g
 SELECT d.frame_id, d.camera_id, d.det_seq, d.confidence
 FROM final JOIN detections d ON d.frame_id = final.frame_id AND d.det_seq = final.det_seq""")
 def nms_per_frame(spark, sf):
-    d = detections(spark, sf).select("frame_id", "camera_id", "det_seq", "confidence", "x1", "y1", "x2", "y2")
+    d = materialize(detections(spark, sf).select("frame_id", "camera_id", "det_seq", "confidence", "x1", "y1", "x2", "y2"),
+                    "boxes")
     return boxes.nms(d, ["frame_id"], iou_threshold=0.5).select("frame_id", "camera_id", "det_seq", "confidence")
 
 
@@ -198,13 +199,16 @@ links AS (SELECT camera_id, frame_id, det_seq, next_frame_id, next_det_seq, iou
 
 
 def _links(spark, sf):
-    d = detections(spark, sf).select("camera_id", "frame_id", "det_seq", "x1", "y1", "x2", "y2")
+    # read for both sides, the counts and the tracks: compute once
+    d = materialize(detections(spark, sf).select("camera_id", "frame_id", "det_seq", "x1", "y1", "x2", "y2"), "boxes")
     f = frames(spark, sf).select("camera_id", "frame_id")
     nxt = with_neighbor(f, ["camera_id"], ["frame_id"], F.floor(F.col("frame_id") / 4096),
                         ["frame_id"], "next")
     a = d.join(nxt.select("frame_id", "next_frame_id"), "frame_id")
-    pairs = boxes.overlap_pairs(a, d, ["camera_id", "next_frame_id"], ["camera_id", "frame_id"],
-                                ["frame_id", "det_seq"], ["det_seq"], a_prefix="a_", b_prefix="b_")
+    # by the frame alone, so that the ranks of the next frame's boxes need no further shuffle
+    pairs = boxes.overlap_pairs(a, d, ["next_frame_id"], ["frame_id"], ["camera_id", "frame_id", "det_seq"],
+                                ["camera_id", "det_seq"], a_prefix="a_", b_prefix="b_",
+                                extra=F.col("a_camera_id") == F.col("b_camera_id"))
     pairs = (pairs.where(F.col("iou") >= 0.3)
              .select(F.col("a_camera_id").alias("camera_id"), F.col("a_frame_id").alias("frame_id"),
                      F.col("a_det_seq").alias("det_seq"), F.col("a_next_frame_id").alias("next_frame_id"),
@@ -336,7 +340,9 @@ matched AS (SELECT p.* FROM last JOIN pairs p USING (frame_id, truth_seq, pred_s
 
 
 def _matches(spark, sf):
-    d = detections(spark, sf).select("camera_id", "frame_id", "det_seq", "confidence", "x1", "y1", "x2", "y2")
+    # read for the pairs and for the counts of the curve: compute once
+    d = materialize(detections(spark, sf).select("camera_id", "frame_id", "det_seq", "confidence", "x1", "y1", "x2", "y2"),
+                    "boxes")
     is_truth = F.pmod("det_seq", F.lit(2)) == 0
     truth, pred = d.where(is_truth), d.where(~is_truth)
     keys = ["camera_id", "frame_id"]
@@ -410,7 +416,7 @@ def detection_precision_recall(spark, sf):
     """Match predictions to ground truth per frame (mutual best IoU
     >= 0.3); precision and recall per camera. In the fixture, even
     ``det_seq`` rows play the truth and odd rows the predictions."""
-    d = detections(spark, sf).select("camera_id", "frame_id", "det_seq", "x1", "y1", "x2", "y2")
+    d = materialize(detections(spark, sf).select("camera_id", "frame_id", "det_seq", "x1", "y1", "x2", "y2"), "boxes")
     is_truth = F.pmod("det_seq", F.lit(2)) == 0
     truth, pred = d.where(is_truth), d.where(~is_truth)
     pairs = boxes.overlap_pairs(truth, pred, ["camera_id", "frame_id"], ["camera_id", "frame_id"],

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sightline.operators import assignment, boxes
+from sightline.session import materialize
 
 BOXES = "camera_id string, frame_no long, det_seq long, x1 double, y1 double, x2 double, y2 double"
 NAN, INF = float("nan"), float("inf")
@@ -147,3 +148,32 @@ def test_gap_links_equal_a_plain_tracker(spark, grace):
     assert sorted((r.camera_id, r.frame_no, r.det_seq, r.next_frame_no, r.next_det_seq, r.gap) for r in got) == \
         frame_by_frame(rows, grace)
     assert any(r.gap == 3 for r in got) == (grace == 3)
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_boxes_of_small_frames_are_not_copied(spark):
+    """One copy of a box moves; only crowded frames go through the grid, with
+    the same pairs."""
+    df = materialize(spark.createDataFrame(
+        [(f, s, float(20 * s), 0.0, 20.0 * s + 150, 150.0) for f in range(3) for s in range(4 + 8 * f)] + [(None, 0, 0.0, 0.0, 9.0, 9.0)],
+        "frame_id long, det_seq long, x1 double, y1 double, x2 double, y2 double"))
+    way = (df, df, ["frame_id"], ["frame_id"], ["det_seq"], ["det_seq"])
+    whole, some, grid = (boxes.overlap_pairs(*way, most_boxes=n) for n in (256, 10, 0))
+    assert "Generate" not in plan(whole) and "Generate" in plan(some)
+    rows = [sorted(tuple(r) for r in x.collect()) for x in (whole, some, grid)]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) > 500
+
+
+def test_gap_links_of_crowded_frames_and_over_block_ends(spark):
+    """Tracks over every frame border, with and without the grid."""
+    rows = [("cam1", n, s, 50.0 * s, 0.0, 50.0 * s + 40, 40.0) for n in range(1, 60) for s in range(30) if (n + s) % 5]
+    rows += [(None, 3, 0, 0.0, 0.0, 9.0, 9.0), ("cam1", None, 0, 0.0, 0.0, 9.0, 9.0)]
+    df = spark.createDataFrame(rows, "camera_id string, frame_no long, det_seq long, x1 double, y1 double, x2 double, y2 double")
+    got = sorted((r.frame_no, r.det_seq, r.next_frame_no, r.next_det_seq, r.gap) for r in boxes.gap_links(df, grace=2).collect())
+    seen = {(n, s) for c, n, s, *_ in rows if c and n}
+    want = [(n, s, n + (1 if (n + 1, s) in seen else 2), s, 1 if (n + 1, s) in seen else 2)
+            for n, s in seen if (n + 1, s) in seen or (n + 2, s) in seen]
+    assert got == sorted(want)
