@@ -119,3 +119,36 @@ def test_odd_vectors_take_no_part(spark):
     df = spark.createDataFrame(rows + ODD, SCHEMA)
     got = identity.top_k(df, "vec_id", "embedding", 2, tile_size=8)
     assert sorted((r.vec_id, r.rank, r.nbr_id) for r in got.collect()) == brute_nearest(rows, range(30), 2)
+
+
+def test_vectors_are_not_copied_for_their_pairs(spark):
+    """Pairs of blocks are read where they are written: no shuffle holds
+    copies of vectors, however many cells they can reach."""
+    df = spark.createDataFrame(scattered(200) + ODD, SCHEMA)
+    pairs = metric.near_pairs(df, "vec_id", "embedding", "camera_id", 0.3, tile_size=20)
+    plan = pairs._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "FlatMapGroupsInPandas" not in plan
+    nearest = identity.top_k(df, "vec_id", "embedding", 3, tile_size=20)
+    plan = nearest._jdf.queryExecution().toString()
+    assert "CartesianProduct" in plan and "FlatMapGroupsInPandas" not in plan
+
+
+def test_pairs_carry_columns_of_both_ends(spark):
+    rows = clustered(90, 9)
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("seen", F.col("vec_id") * 10)
+    got = metric.near_pairs(df, "vec_id", "embedding", "camera_id", 0.8, tile_size=20, carry=("seen",)).collect()
+    assert sorted((r.vec_id_a, r.vec_id_b) for r in got) == brute_pairs(rows, 0.8)
+    assert all(r.seen_a == 10 * r.vec_id_a and r.seen_b == 10 * r.vec_id_b for r in got)
+
+
+def test_best_so_far_takes_little_of_a_block():
+    """The k best over blocks equal those of all rows at once, ties by id."""
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(7, 4)).round(1), rng.normal(size=(90, 4)).round(1)
+    y[60:] = y[:30]
+    best = None
+    for at in range(0, 90, 20):
+        best = identity._better(best, x, np.arange(1000, 1007), y[at:at + 20], np.arange(90)[at:at + 20], 5)
+    s = x @ y.T
+    want = [(i, j) for i in range(7) for j in sorted(range(90), key=lambda j: (-round(s[i, j], 9), j))[:5]]
+    assert list(zip(best["at"], best["n"])) == want
