@@ -53,9 +53,15 @@ def overlap_pairs(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Seq
     cond = (F.least(A[2], B[2]) > F.greatest(A[0], B[0])) & (F.least(A[3], B[3]) > F.greatest(A[1], B[1]))
     if extra is not None:
         cond = cond & extra
-    crowded = materialize(sb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-                          .where(F.col("_n") > most_boxes).select(*on), "crowded")
-    if crowded.isEmpty():
+    if most_boxes <= 0:
+        crowded = None
+        met = _met_in_cells(sa, sb, on, a_prefix, b_prefix, cond, cell, most_cells)
+    else:
+        crowded = materialize(sb.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+                              .where(F.col("_n") > most_boxes).select(*on), "crowded")
+    if crowded is None:
+        pass
+    elif crowded.isEmpty():
         met = sa.join(sb, on).where(cond)
     else:
         met = (sa.join(crowded, on, "left_anti").join(sb.join(crowded, on, "left_anti"), on).where(cond)
@@ -98,7 +104,7 @@ def iou_pairs(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "
               cell: float = 64.0) -> DataFrame:
     """Every pair of boxes of one frame with IoU > 0 (a.seq < b.seq)."""
     return overlap_pairs(dets, dets, keys, keys, [seq], [seq], cell,
-                         extra=F.col("a_" + seq) < F.col("b_" + seq))
+                         extra=F.col("a_" + seq) < F.col("b_" + seq), most_boxes=0)
 
 
 def nms(dets: DataFrame, keys: Sequence[str] = ("frame_id",), seq: str = "det_seq",
@@ -168,7 +174,7 @@ def gap_links(dets: DataFrame, camera: str = "camera_id", number: str = "frame_n
     frames: a box moves to its own block, as a successor also to the block
     before if its predecessors may lie there. What is decided gap by gap are
     the pairs over the threshold."""
-    width = max(8, 2 * grace)
+    width = max(16, 4 * grace)
     boxes = dets.select(camera, number, seq, *BOX)
     first = F.floor((F.col(number) - grace) / width)
     a = boxes.withColumn("_block", F.floor(F.col(number) / width))
@@ -185,7 +191,8 @@ def gap_links(dets: DataFrame, camera: str = "camera_id", number: str = "frame_n
     for gap in range(1, grace + 1):
         free = pairs.where(F.col("gap") == gap)
         if out is not None:
-            free = free.join(out.select(*a_id), a_id, "left_anti").join(out.select(*b_id), b_id, "left_anti")
+            # the heads last: their ranks are taken in the same partitions
+            free = free.join(out.select(*b_id), b_id, "left_anti").join(out.select(*a_id), a_id, "left_anti")
         found = mutual_best(free.withColumn("_iou9", F.round("iou", 9)), a_id, b_id, "_iou9",
                             tie_a=seq, tie_b="next_" + seq)
         found = materialize(found.drop("_iou9"), "gap-links")
