@@ -11,7 +11,9 @@ over all tokens in three steps: a tree of three levels with the cube root of
 the vocabulary as its fan-out, its leaves in the order of the tokens' counts.
 So a prediction costs three times the cube root of the vocabulary, not the
 vocabulary. The biases of the tree begin at the exact counts over the whole
-corpus, so training begins at the tokens' frequencies.
+corpus, so training begins at the tokens' frequencies. Texts are worked on as
+one sequence: an embedding is read once for the four windows that it is in,
+and the layers lie in memory as the products read them.
 
 Training covers every token of every document. One scan writes the tokens of
 every row; they are dealt evenly to trainers of about ``per_trainer`` tokens
@@ -50,6 +52,9 @@ from sightline.llm.common import fresh, map_columns
 from sightline.session import materialize
 
 PLACES = (-2, -1, 1, 2)
+REACH = max(PLACES)
+#: Rows of the sequence that are worked on at once, so that they stay in the processor's cache.
+_ROWS = 4096
 #: How the tokens of a row are written.
 _IDS = np.dtype("<u2")
 
@@ -68,16 +73,27 @@ class Shape:
         return k
 
 
+def joined(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
+    """(all texts in one sequence, with ``pad`` at every end as far as a
+    window reaches; the places of their tokens in it)."""
+    gap = np.full(REACH, pad, dtype=np.int32)
+    flat = np.concatenate([x for t in texts for x in (gap, t)] + [gap]).astype(np.int32, copy=False)
+    return flat, np.flatnonzero(flat != pad)
+
+
 def windows(texts: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, contexts (n, 4)) of all texts; places beyond an end hold
     ``pad``."""
-    reach = max(PLACES)
-    gap = np.full(reach, pad, dtype=np.int32)
-    flat = np.concatenate([x for t in texts for x in (gap, t)] + [gap]).astype(np.int32)
-    at = np.flatnonzero(flat != pad)
+    flat, at = joined(texts, pad)
     return flat[at], np.stack([flat[at + p] for p in PLACES], axis=1)
 
 
+def _apart(token: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same as ``joined`` of windows that are given one by one."""
+    flat = np.insert(ctx, REACH, token, axis=1).astype(np.int32).ravel()
+    return flat, np.arange(REACH, len(flat), 2 * REACH + 1)
+
+
 class Network:
     """Parameters as one flat vector, so copies are averaged slice by slice.
     ``leaf`` is the place of each token among the leaves."""
@@ -85,8 +101,7 @@ class Network:
     def __init__(self, shape: Shape, leaf: np.ndarray | None = None, flat: np.ndarray | None = None, seed: int = 5):
         self.shape, h, k = shape, shape.hidden, shape.fan
         self.leaf = np.arange(shape.tokens) if leaf is None else leaf
-        sizes = [(shape.tokens + 1, h), (len(PLACES), h), (h,), (1, h, k), (1, k), (k, h, k), (k, k),
-                 (k * k, h, k), (k * k, k)]
+        sizes = [(shape.tokens + 1, h), (len(PLACES), h), (h,), (1, k, h + 1), (k, k, h + 1), (k * k, k, h + 1)]
         total = sum(int(np.prod(x)) for x in sizes)
         if flat is None:
             flat = np.zeros(total, dtype=np.float32)
@@ -99,8 +114,10 @@ class Network:
             parts.append(flat[at:at + n].reshape(x))
             at += n
         self.embed, self.place, self.bias = parts[:3]
-        #: (weights, biases) of the nodes of each level
-        self.levels = [(parts[3], parts[4]), (parts[5], parts[6]), (parts[7], parts[8])]
+        #: (nodes, branches, hidden and 1) of each level, the bias beside its weights
+        self.tree = parts[3:]
+        #: (weights (nodes, hidden, branches), biases) of the nodes of each level
+        self.levels = [(x[:, :, :h].transpose(0, 2, 1), x[:, :, h]) for x in self.tree]
 
     def begin_at(self, counts: np.ndarray) -> Network:
         """Biases that give every token its frequency, one more each; the
@@ -115,98 +132,150 @@ class Network:
         self.levels[2][1][:] = np.log(n / two[:, :, None]).reshape(k * k, k)
         return self
 
-    def hidden(self, ctx: np.ndarray) -> np.ndarray:
-        h = self.embed[ctx[:, 0]]
-        h *= self.place[0]
-        for p in range(1, len(PLACES)):
-            x = self.embed[ctx[:, p]]
-            x *= self.place[p]
-            h += x
-        h += self.bias
-        return np.tanh(h, out=h)
-
-    def _sorted(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rows in the order of their leaves, the leaves)."""
-        at = self.leaf[token]
-        order = np.argsort(at.astype(np.uint16) if self.shape.fan ** 3 <= 1 << 16 else at, kind="stable")
-        return order, at[order]
-
-    def _nodes(self, at: np.ndarray) -> Iterator[tuple[int, int, int, int, np.ndarray]]:
-        """(level, node, first and last row, the branch each takes) of sorted
-        leaves: the rows of a node are next to each other."""
-        k = self.shape.fan
-        for level in range(3):
-            node, branch = at // k ** (3 - level), at // k ** (2 - level) % k
-            first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])).tolist()
-            for a, b in zip(first, [*first[1:], len(at)]):
-                yield level, int(node[a]), a, b, branch[a:b]
+    def _kernel(self) -> np.ndarray:
+        """(hidden, width of a window): what a component's weights are at each
+        place of the window, none at its middle."""
+        out = np.zeros((self.shape.hidden, 2 * REACH + 1), dtype=np.float32)
+        out[:, [REACH + p for p in PLACES]] = self.place.T
+        return out
 
-    def log_prob(self, token: np.ndarray, ctx: np.ndarray, most: int = 1 << 16) -> np.ndarray:
+    def hidden(self, flat: np.ndarray) -> np.ndarray:
+        """The hidden layer (a row a component) at every token of a sequence
+        but those without a whole window, and a row of 1 for the biases. A
+        token's embedding is read once for all its windows."""
+        n = max(0, len(flat) - 2 * REACH)
+        out = np.ones((self.shape.hidden + 1, n), dtype=np.float32)
+        kernel = self._kernel()
+        for a in range(0, n, _ROWS):
+            x = self.embed.take(flat[a:a + _ROWS + 2 * REACH], axis=0)
+            h = out[:-1, a:a + _ROWS]
+            for c, k in enumerate(kernel):
+                h[c] = np.correlate(x[:, c], k)
+            h += self.bias[:, None]
+            np.tanh(h, out=h)
+        return out
+
+    def _leaves(self, token: np.ndarray) -> np.ndarray:
+        return self.leaf.take(token).astype(np.uint16 if self.shape.fan ** 3 <= 1 << 16 else np.int64)
+
+    def _level(self, leaf: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(the node of the level on the way to each leaf, the branch there)."""
+        down = self.shape.fan ** (2 - level)
+        node, branch = leaf // (down * self.shape.fan), leaf // down if level < 2 else leaf
+        return node, (branch - node * self.shape.fan).astype(np.intp)
+
+    def log_prob(self, token: np.ndarray, ctx: np.ndarray, most: int = 1 << 17) -> np.ndarray:
         """log P of every token given its context."""
-        out = np.zeros(len(token))
-        ones, every = np.ones(self.shape.fan, dtype=np.float32), np.arange(1024)
-        for a in range(0, len(token), most):
-            order, at = self._sorted(token[a:a + most])
-            h = self.hidden(ctx[a:a + most][order])
-            lp = np.zeros(len(order))
-            for level, node, i, j, branch in self._nodes(at):
-                weights, biases = self.levels[level]
-                for f in range(i, j, 1024):
-                    t = min(f + 1024, j)
-                    x = h[f:t] @ weights[node]
-                    x += biases[node]
-                    lp[f:t] += x[every[:t - f], branch[f - i:t - i]]
-                    np.exp(x, out=x)
-                    lp[f:t] -= np.log(x @ ones)
-            out[a + order] = lp
+        return self.log_prob_at(*_apart(token, ctx), most)
+
+    def log_prob_at(self, flat: np.ndarray, at: np.ndarray, most: int = 1 << 17) -> np.ndarray:
+        """log P of the tokens at the places ``at`` (ascending) of a sequence."""
+        out, k = np.zeros(len(at)), self.shape.fan
+        ones, every, work = np.ones(k, dtype=np.float32), np.arange(1024), np.empty(k * 1024, dtype=np.float32)
+        for a in range(0, len(at), most):
+            own = at[a:a + most]
+            low = own[0] - REACH
+            leaf = self._leaves(flat[own])
+            order = np.argsort(leaf, kind="stable")
+            leaf = leaf[order]
+            h = self.hidden(flat[low:own[-1] + REACH + 1]).take(own[order] - own[0], axis=1)
+            lp, sums = np.zeros(len(own)), np.empty((len(self.tree), len(own)), dtype=np.float32)
+            for level, weights in enumerate(self.tree):
+                node, branch = self._level(leaf, level)
+                for i, j in _runs(node):
+                    w = weights[node[i]]
+                    for f in range(i, j, 1024):
+                        t = min(f + 1024, j)
+                        x = work[:k * (t - f)].reshape(k, t - f)
+                        np.matmul(w, h[:, f:t], out=x)
+                        lp[f:t] += x.ravel().take(branch[f:t] * (t - f) + every[:t - f])
+                        np.exp(x, out=x)
+                        np.matmul(ones, x, out=sums[level, f:t])
+            out[a + order] = lp - np.log(sums, out=sums).sum(axis=0)
         return out
 
     def train(self, token: np.ndarray, ctx: np.ndarray, seen: Network, rate: float, step: int) -> None:
-        """One buffer: every node of the tree takes its rows in steps of about
-        ``step`` by Adagrad, each step dealt over all branches, then the
-        embeddings take all in such steps. ``seen`` holds the sums of squares."""
-        order, at = self._sorted(token)
-        ctx = ctx[order]
-        h = self.hidden(ctx)
-        dh = np.zeros_like(h)
-        ones, rows = np.ones(self.shape.fan, dtype=np.float32), np.ones(step, dtype=np.float32)
-        every = np.arange(step)
-        for level, node, i, j, branch in self._nodes(at):
-            (weights, biases), (sw, sb) = self.levels[level], seen.levels[level]
-            w, bias, hn, dn = weights[node], biases[node], h[i:j], dh[i:j]
-            deal = -(-(j - i) // step)
-            for a in range(deal):
-                hi, c = np.ascontiguousarray(hn[a::deal]), branch[a::deal]
-                d = hi @ w
-                d += bias
-                np.exp(d, out=d)
-                d /= (d @ ones)[:, None]
-                d[every[:len(c)], c] -= 1.0
-                dn[a::deal] += d @ w.T
-                _update(w, sw[node], hi.T @ d, rate)
-                _update(bias, sb[node], rows[:len(c)] @ d, rate)
-        dh *= 1.0 - h * h
-        deal = -(-len(token) // (8 * step))
-        for a in range(deal):
-            c4, d = ctx[a::deal], dh[a::deal]
-            _update(self.bias, seen.bias, d.sum(axis=0), rate)
-            grads = [d * x for x in self.place]
-            for p in range(len(PLACES)):
-                _update(self.place[p], seen.place[p], (self.embed[c4[:, p]] * d).sum(axis=0), rate)
-            ids = c4.T.ravel()
+        """``train_at`` with windows that are given one by one."""
+        self.train_at(*_apart(token, ctx), seen, rate, step)
+
+    def train_at(self, flat: np.ndarray, at: np.ndarray, seen: Network, rate: float, step: int) -> None:
+        """One buffer, the tokens at the places ``at`` of a sequence: every
+        node of the tree takes its rows in steps of about ``step`` by Adagrad,
+        each step dealt over all branches, then the embeddings take the
+        sequence in steps of eight times that. ``seen`` holds the sums of
+        squares."""
+        k, n, width = self.shape.fan, len(at), self.shape.hidden
+        deal = -(-n // step)
+        at = np.concatenate([at[a::deal] for a in range(deal)])
+        leaf = self._leaves(flat[at])
+        h = self.hidden(flat).take(at - REACH, axis=1)
+        dh = np.empty((n, width + 1), dtype=np.float32)
+        ones, every, work = np.ones(k, dtype=np.float32), np.arange(step), np.empty(k * step, dtype=np.float32)
+        for level, weights in enumerate(self.tree):
+            node, branch = self._level(leaf, level)
+            hs, ds = h, dh
+            if level:  # the rows of a node next to each other, in the order they were dealt in
+                order = np.argsort(node, kind="stable")
+                node, branch, hs, ds = node[order], branch[order], h.take(order, axis=1), np.empty_like(dh)
+            for i, j in _runs(node):
+                w, sw = weights[node[i]], seen.tree[level][node[i]]
+                size = -(-(j - i) // -(-(j - i) // step))
+                for f in range(i, j, size):
+                    t = min(f + size, j)
+                    x, d = hs[:, f:t], work[:k * (t - f)].reshape(k, t - f)
+                    np.matmul(w, x, out=d)
+                    np.exp(d, out=d)
+                    d *= 1.0 / (ones @ d)
+                    d.ravel()[branch[f:t] * (t - f) + every[:t - f]] -= 1.0
+                    np.matmul(d.T, w, out=ds[f:t])
+                    _update(w, sw, d @ x.T, rate)
+            if level:
+                back = np.empty_like(order)
+                back[order] = np.arange(n)
+                for a in range(0, n, _ROWS):
+                    dh[a:a + _ROWS] += ds.take(back[a:a + _ROWS], axis=0)
+        d0 = np.zeros((n + 1, width), dtype=np.float32)  # the last row: of places without a token
+        for a in range(0, n, _ROWS):
+            x = h[:width, a:a + _ROWS]
+            x = np.subtract(1.0, np.multiply(x, x, out=x), out=x)
+            np.multiply(dh[a:a + _ROWS, :width], x.T, out=d0[a:a + x.shape[1]])
+        back = np.full(len(flat) + 2 * REACH, n)
+        back[at + REACH] = np.arange(n)
+        ones = np.ones(8 * step, dtype=np.float32)
+        for a in range(0, len(flat), 8 * step):
+            ids = flat[a:a + 8 * step]
+            m = len(ids)
+            d, x = d0.take(back[a:a + m + 2 * REACH], axis=0), self.embed.take(ids, axis=0)
+            grad = np.empty((width, m), dtype=np.float32)
+            for c, kernel in enumerate(self._kernel()):
+                grad[c] = np.correlate(d[:, c], kernel[::-1])
+            _update(self.bias, seen.bias, ones[:m] @ d[REACH:REACH + m], rate)
+            places = [ones[:m] @ (x * d[REACH - p:REACH - p + m]) for p in PLACES]
+            _update(self.place, seen.place, np.stack(places), rate)
             by = np.argsort(ids.astype(np.uint16) if self.shape.tokens < 1 << 16 else ids, kind="stable")
             ids = ids[by]
             first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-            grad = np.add.reduceat(np.concatenate(grads)[by], first, axis=0)
+            grad = np.add.reduceat(np.ascontiguousarray(grad.T).take(by, axis=0), first, axis=0)
             own = ids[first]
-            sq = seen.embed[own] + grad * grad
-            seen.embed[own] = sq
-            self.embed[own] -= rate * grad / np.sqrt(sq + 1e-6)
+            par, sq = self.embed.take(own, axis=0), seen.embed.take(own, axis=0)
+            _update(par, sq, grad, rate)
+            self.embed[own], seen.embed[own] = par, sq
 
 
 def _update(par: np.ndarray, seen: np.ndarray, grad: np.ndarray, rate: float) -> None:
-    seen += grad * grad
-    par -= rate * grad / np.sqrt(seen + 1e-6)
+    x = grad * grad
+    seen += x
+    np.add(seen, 1e-6, out=x)
+    np.sqrt(x, out=x)
+    np.divide(grad, x, out=x)
+    x *= rate
+    par -= x
+
+
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """(first, end) of the runs of equal values."""
+    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])).tolist()
+    return list(zip(first, [*first[1:], len(x)]))
 
 
 def tokenized(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None,
@@ -223,7 +292,7 @@ def tokenized(docs: DataFrame, path: str, text_col: str = "text", keep: list[str
         ids = list(encoder.encode(texts.to_pylist()))
         return [[len(x) for x in ids], [x.astype(_IDS).tobytes() for x in ids]]
     rows = map_columns(docs, batch, [text_col], [StructField(n_col, LongType()), StructField(ids_col, BinaryType())],
-                       keep, setup=lambda: packing.Encoder(path))
+                       keep, setup=lambda: packing.encoder(path, 500_000), rows=1024)
     return materialize(rows, "lm-tokens"), ids_col, n_col
 
 
@@ -237,8 +306,7 @@ def token_counts(rows: DataFrame, ids_col: str, size: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size, dtype=np.int64)
         for b in batches:
-            for x in b.column(0):
-                sums += np.bincount(np.frombuffer(x.as_py(), _IDS), minlength=size)
+            sums += np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), _IDS), minlength=size)
         own = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[own])], names=["token", "n"])
     out = np.zeros(size, dtype=np.int64)
@@ -280,10 +348,10 @@ def fit(rows: DataFrame, ids_col: str, size: int, hidden: int = 16, rate: float
                     wait.append(ids[a:a + buffer])
                     held += len(wait[-1])
                     if held >= buffer:
-                        net.train(*windows(wait, size), seen, rate, step)
+                        net.train_at(*joined(wait, size), seen, rate, step)
                         n, wait, held = n + held, [], 0
         if held:
-            net.train(*windows(wait, size), seen, rate, step)
+            net.train_at(*joined(wait, size), seen, rate, step)
             n += held
         if n:
             ctx = TaskContext.get()
@@ -321,7 +389,7 @@ def _scored(rows: DataFrame, net: Network, ids_col: str, n_col: str, keep: list[
         n = np.array([len(x) for x in ids], dtype=np.int64)
         total = np.zeros(len(ids))
         if n.sum():
-            lp = model.log_prob(*windows(ids, shape.tokens))
+            lp = model.log_prob_at(*joined(ids, shape.tokens))
             has = np.flatnonzero(n)
             total[has] = np.add.reduceat(lp, (np.cumsum(n) - n)[has])
         return [total]

@@ -34,6 +34,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -133,8 +134,11 @@ class Encoder:
 
     def _ids_of(self, chunks: list[str]) -> list[bytes]:
         known, old = self.known, self.old
-        out = [known.get(c) or old.get(c) for c in chunks]
-        new = [i for i, ids in enumerate(out) if ids is None]
+        out = list(map(known.get, chunks))
+        unmet = [i for i, ids in enumerate(out) if ids is None]
+        for i in unmet:
+            out[i] = old.get(chunks[i])
+        new = [i for i in unmet if out[i] is None]
         parts = [[c] if c.isalpha() else self.model.words.findall(c) for c in (chunks[i] for i in new)]
         words = list(dict.fromkeys(w for p in parts for w in p))
         made = dict(zip(words, self.batch.encode(words)))
@@ -143,7 +147,7 @@ class Encoder:
         if len(known) > self.limit:
             self.old = known
             self.known = known = {}
-        known.update((c, ids) for c, ids in zip(chunks, out) if len(c) <= 64)
+        known.update((chunks[i], out[i]) for i in unmet if len(chunks[i]) <= 64)
         return out
 
     def _plain(self, text: str) -> bool:
@@ -166,7 +170,7 @@ class Encoder:
                             type=pa.large_string())
             split = pc.utf8_split_whitespace(flat)
             coded = split.flatten().dictionary_encode()
-            ids = self._ids_of(coded.dictionary.to_pylist())
+            ids = self._ids_of(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
             ends = np.zeros(len(ids) + 1, dtype=np.int64)
             np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4, out=ends[1:])
             lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
@@ -178,6 +182,13 @@ class Encoder:
                 yield tokens[stops[i]:stops[i + 1]] if plain[i] else self.model.encode(t)
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str, cache: int) -> Encoder:
+    """An encoder that the tasks of a worker process share, one after the
+    other, with the chunks they have met."""
+    return Encoder(path, cache)
+
+
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 4096,
            end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """(id, piece from 0, start, length, ids_crc32) of every document's

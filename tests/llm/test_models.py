@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sightline.llm import langid, lm, quality
+from sightline.llm import langid, lm, packing, quality
 from sightline.llm.queries import tokenizer_path
 from tests.conftest import SF_ORACLE
 from tests.llm import brute
@@ -156,6 +156,45 @@ def test_lm_windows():
     assert c.tolist() == [[9, 9, 6, 7], [9, 5, 7, 9], [5, 6, 9, 9], [9, 9, 9, 9]]
 
 
+def test_lm_sequence_is_its_windows():
+    """A sequence gives the log-probabilities and the training of its windows
+    one by one; each embedding is read once for them."""
+    class Counted(np.ndarray):
+        rows = 0
+
+        def take(self, ids, axis=None):
+            Counted.rows += len(ids)
+            return np.asarray(self).take(ids, axis=axis)
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 100, n) for n in (1, 0, 2, 7, 3000, 60)]
+    flat, at = lm.joined(texts, 100)
+    assert flat[at].tolist() == np.concatenate(texts).tolist()
+    net = _random()
+    want = net.log_prob(*lm.windows(texts, 100))
+    net.embed = net.embed.view(Counted)
+    assert net.log_prob_at(flat, at) == pytest.approx(want, abs=1e-5)
+    assert Counted.rows <= len(flat)
+    assert net.log_prob_at(flat, at, most=50) == pytest.approx(want, abs=1e-5)
+    ways = []
+    for sequence in (True, False):
+        net, seen = _random(), lm.Network(SMALL)
+        seen.flat[:] = 0
+        if sequence:
+            net.train_at(flat, at, seen, 0.1, 4096)
+        else:
+            net.train(*lm.windows(texts, 100), seen, 0.1, 4096)
+        ways.append(net)
+    assert ways[0].flat == pytest.approx(ways[1].flat, abs=2e-3)
+
+
+def test_lm_encoder_is_shared_by_a_worker():
+    one = packing.encoder(PATH, 500_000)
+    assert one is packing.encoder(PATH, 500_000)
+    met = [x.tolist() for x in one.encode(["zzqqx vvkk", "the cat"])]
+    assert met == [x.tolist() for x in one.encode(["zzqqx vvkk", "the cat"])]
+    assert "zzqqx" in one.known
+
+
 def test_lm_tokens_and_counts_cover_all(docs, doc_rows):
     from collections import Counter
 
