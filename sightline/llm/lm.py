@@ -201,61 +201,58 @@ class Network:
     def train_at(self, flat: np.ndarray, at: np.ndarray, seen: Network, rate: float, step: int) -> None:
         """One buffer, the tokens at the places ``at`` of a sequence: every
         node of the tree takes its rows in steps of about ``step`` by Adagrad,
-        each step dealt over all branches, then the embeddings take the
-        sequence in steps of eight times that. ``seen`` holds the sums of
+        each step dealt over all branches, then the embeddings take all
+        in steps of eight times that. ``seen`` holds the sums of
         squares."""
         k, n, width = self.shape.fan, len(at), self.shape.hidden
-        deal = -(-n // step)
-        at = np.concatenate([at[a::deal] for a in range(deal)])
-        leaf = self._leaves(flat[at])
-        h = self.hidden(flat).take(at - REACH, axis=1)
-        dh = np.empty((n, width + 1), dtype=np.float32)
-        ones, every, work = np.ones(k, dtype=np.float32), np.arange(step), np.empty(k * step, dtype=np.float32)
+        leaf, h = self._leaves(flat[at]), self.hidden(flat).take(at - REACH, axis=1)
+        dh, back = np.zeros((n, width + 1), dtype=np.float32), np.empty(n, dtype=np.int64)
+        ones, every, work = np.ones(max(k, 8 * step), dtype=np.float32), np.arange(step), np.empty(k * step, dtype=np.float32)
+        order = np.argsort(leaf, kind="stable")
         for level, weights in enumerate(self.tree):
-            node, branch = self._level(leaf, level)
-            hs, ds = h, dh
-            if level:  # the rows of a node next to each other, in the order they were dealt in
-                order = np.argsort(node, kind="stable")
-                node, branch, hs, ds = node[order], branch[order], h.take(order, axis=1), np.empty_like(dh)
-            for i, j in _runs(node):
-                w, sw = weights[node[i]], seen.tree[level][node[i]]
-                size = -(-(j - i) // -(-(j - i) // step))
-                for f in range(i, j, size):
-                    t = min(f + size, j)
+            runs = _runs(self._level(leaf[order], level)[0])
+            by = order.copy()  # the rows of a step next to each other
+            for i, j in runs:
+                if j - i > step:
+                    deal = -(-(j - i) // step)
+                    by[i:j] = np.concatenate([order[i + a:j:deal] for a in range(deal)])
+            node, branch = self._level(leaf[by], level)
+            hs, ds = h.take(by, axis=1), np.empty_like(dh)
+            for i, j in runs:
+                w, sw, deal, f = weights[node[i]], seen.tree[level][node[i]], -(-(j - i) // step), i
+                for a in range(deal):
+                    t = f + len(range(i + a, j, deal))
                     x, d = hs[:, f:t], work[:k * (t - f)].reshape(k, t - f)
                     np.matmul(w, x, out=d)
                     np.exp(d, out=d)
-                    d *= 1.0 / (ones @ d)
+                    d *= 1.0 / (ones[:k] @ d)
                     d.ravel()[branch[f:t] * (t - f) + every[:t - f]] -= 1.0
                     np.matmul(d.T, w, out=ds[f:t])
                     _update(w, sw, d @ x.T, rate)
-            if level:
-                back = np.empty_like(order)
-                back[order] = np.arange(n)
-                for a in range(0, n, _ROWS):
-                    dh[a:a + _ROWS] += ds.take(back[a:a + _ROWS], axis=0)
-        d0 = np.zeros((n + 1, width), dtype=np.float32)  # the last row: of places without a token
+                    f = t
+            back[by] = np.arange(n)
+            for a in range(0, n, _ROWS):
+                dh[a:a + _ROWS] += ds.take(back[a:a + _ROWS], axis=0)
+        slope = np.empty((n, width), dtype=np.float32)
         for a in range(0, n, _ROWS):
             x = h[:width, a:a + _ROWS]
             x = np.subtract(1.0, np.multiply(x, x, out=x), out=x)
-            np.multiply(dh[a:a + _ROWS, :width], x.T, out=d0[a:a + x.shape[1]])
-        back = np.full(len(flat) + 2 * REACH, n)
-        back[at + REACH] = np.arange(n)
-        ones = np.ones(8 * step, dtype=np.float32)
-        for a in range(0, len(flat), 8 * step):
-            ids = flat[a:a + 8 * step]
-            m = len(ids)
-            d, x = d0.take(back[a:a + m + 2 * REACH], axis=0), self.embed.take(ids, axis=0)
-            grad = np.empty((width, m), dtype=np.float32)
-            for c, kernel in enumerate(self._kernel()):
-                grad[c] = np.correlate(d[:, c], kernel[::-1])
-            _update(self.bias, seen.bias, ones[:m] @ d[REACH:REACH + m], rate)
-            places = [ones[:m] @ (x * d[REACH - p:REACH - p + m]) for p in PLACES]
+            np.multiply(dh[a:a + _ROWS, :width], x.T, out=slope[a:a + x.shape[1]])
+        deal = -(-n // (8 * step))
+        for a in range(deal):
+            rows = order[a::deal]
+            m, d = len(rows), slope.take(rows, axis=0)
+            ids = np.stack([flat[at[rows] + p] for p in PLACES])
+            grads = np.repeat(self.place[:, None], m, axis=1)
+            grads *= d
+            _update(self.bias, seen.bias, ones[:m] @ d, rate)
+            places = [ones[:m] @ (self.embed.take(x, axis=0) * d) for x in ids]
             _update(self.place, seen.place, np.stack(places), rate)
+            ids = ids.ravel()
             by = np.argsort(ids.astype(np.uint16) if self.shape.tokens < 1 << 16 else ids, kind="stable")
             ids = ids[by]
             first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-            grad = np.add.reduceat(np.ascontiguousarray(grad.T).take(by, axis=0), first, axis=0)
+            grad = np.add.reduceat(grads.reshape(-1, width).take(by, axis=0), first, axis=0)
             own = ids[first]
             par, sq = self.embed.take(own, axis=0), seen.embed.take(own, axis=0)
             _update(par, sq, grad, rate)
